@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lapforge.plans import oracle as O
+from lapforge.plans import career as C
+from lapforge.plans import laps as L
+from lapforge.plans import pipeline as P
 from lapforge.plans import standings as S
+from lapforge.plans import teams as T
 from lapforge.plans.common import finalize
 from lapforge.plans.model import Model
 from lapforge.session import configure
@@ -31,6 +35,46 @@ def register(name: str, sql: str | None = None):
 
 
 # ---- standings (Q1-Q6, W2, W6) ----------------------------------------------
-register("standings_driver", O.out(O.STANDINGS_SPEC, O.with_(
-    O.FACTS, O.DRIVERS, O.CONSTRUCTORS, O.STANDINGS, O.RANKED) + "SELECT * FROM ranked"))(
-    lambda m: S.driver_standings(m))
+_REG = [
+    ("standings_driver", S.driver_standings, O.SQL_STANDINGS_DRIVER),
+    ("standings_team", T.team_points, O.SQL_STANDINGS_TEAM),
+    ("season_kpis", S.season_kpis, O.SQL_SEASON_KPIS),
+    ("season_top10", S.season_top, O.SQL_SEASON_TOP10),
+    ("team_share", S.team_share, O.SQL_TEAM_SHARE),
+    ("points_trend", S.points_trend, O.SQL_POINTS_TREND),
+    ("rank_ties", S.rank_ties, O.SQL_RANK_TIES),
+    ("championships", S.championships, O.SQL_CHAMPIONSHIPS),
+    # ---- constructors
+    ("points_gap", T.points_gap, O.SQL_POINTS_GAP),
+    ("yoy_delta", T.yoy_delta, O.SQL_YOY_DELTA),
+    ("constructor_rank", T.constructor_rank, O.SQL_CONSTRUCTOR_RANK),
+    ("team_kpis", T.team_kpis, O.SQL_TEAM_KPIS),
+    ("team_trend", T.team_trend, O.SQL_TEAM_TREND),
+    ("season_top_teams", T.season_top_teams, O.SQL_SEASON_TOP_TEAMS),
+    ("team_matrix", T.team_matrix, O.SQL_TEAM_MATRIX),
+    ("era_points", T.era_points, O.SQL_ERA_POINTS),
+    ("mart_constructor_trend", T.mart_constructor_trend, O.SQL_MART_CONSTRUCTOR_TREND),
+    # ---- careers (Q7-Q9, Q21)
+    ("career", C.career, O.SQL_CAREER),
+    ("career_top8", C.career_top, O.SQL_CAREER_TOP8),
+    ("performance_index", C.performance_index, O.SQL_PERFORMANCE_INDEX),
+    ("mart_driver_career", C.mart_driver_career, O.SQL_MART_DRIVER_CAREER),
+    # ---- laps (Q13-Q17, Q22, Q25)
+    ("lap_kpis", L.lap_kpis, O.SQL_LAP_KPIS),
+    ("lap_progression", L.lap_progression, O.SQL_LAP_PROGRESSION),
+    ("lap_distribution", L.lap_distribution, O.SQL_LAP_DISTRIBUTION),
+    ("lap_histogram", L.lap_histogram, O.SQL_LAP_HISTOGRAM),
+    ("sector_means", L.sector_means, O.SQL_SECTOR_MEANS),
+    ("consistency", L.consistency, O.SQL_CONSISTENCY),
+    ("fuel_adjusted", L.fuel_adjusted, O.SQL_FUEL_ADJUSTED),
+    ("mart_lap_performance", L.mart_lap_performance, O.SQL_MART_LAP_PERFORMANCE),
+    # ---- pipeline (Q18-Q20, Q24, Q27)
+    ("clean_races", P.clean_races, O.SQL_CLEAN_RACES),
+    ("transform_results", P.transform_results, O.SQL_TRANSFORM_RESULTS),
+    ("mart_season_standings", P.mart_season_standings, O.SQL_MART_SEASON_STANDINGS),
+    ("season_aggregates", P.season_aggregates, O.SQL_SEASON_AGGREGATES),
+    ("dedup_results", P.dedup_results, O.SQL_DEDUP_RESULTS),
+]
+
+for _name, _fn, _sql in _REG:
+    register(_name, _sql)(_fn)

@@ -112,3 +112,238 @@ def out(spec: str, body: str) -> str:
 
 STANDINGS_SPEC = ("season:i driver_id:i driver_code:s driver_name:s constructor_id:i "
                   "team:s points:i rank:i")
+
+# ---- standings --------------------------------------------------------------
+_STD = with_(FACTS, DRIVERS, CONSTRUCTORS, STANDINGS, RANKED)
+
+SQL_STANDINGS_DRIVER = out(STANDINGS_SPEC, _STD + "SELECT * FROM ranked")
+
+SQL_STANDINGS_TEAM = out("season:i constructor_id:i team:s points:i",
+                         with_(FACTS, RESULTS, CONSTRUCTORS, TEAMS) + "SELECT * FROM teams")
+
+SQL_SEASON_KPIS = out(
+    "season:i champion:s champion_points:i drivers:i constructors:i",
+    _STD + """SELECT 2000 AS season,
+       max(CASE WHEN rank = 1 THEN driver_code END) AS champion,
+       max(CASE WHEN rank = 1 THEN points END) AS champion_points,
+       count(*) AS drivers, count(DISTINCT team) AS constructors
+FROM ranked WHERE season = 2000""")
+
+SQL_SEASON_TOP10 = out(STANDINGS_SPEC, _STD + "SELECT * FROM ranked WHERE season = 2000 AND rank <= 10")
+
+SQL_TEAM_SHARE = out("constructor_id:i team:s points:i share:d", with_(
+    FACTS, DRIVERS, CONSTRUCTORS, STANDINGS) + """,
+top AS (SELECT constructor_id, team, SUM(points) AS points FROM standings WHERE season = 2000
+        GROUP BY constructor_id, team ORDER BY points DESC, constructor_id LIMIT 6)
+SELECT constructor_id, team, points, points / SUM(points) OVER () AS share FROM top""")
+
+SQL_POINTS_TREND = out("driver_id:i driver_code:s season:i points:i", with_(
+    FACTS, DRIVERS, CONSTRUCTORS, STANDINGS)
+    + "SELECT driver_id, driver_code, season, points FROM standings WHERE driver_id IN (0, 1, 2)")
+
+SQL_RANK_TIES = out("season:i driver_id:i points:i rank_min:i", with_(
+    FACTS, DRIVERS, CONSTRUCTORS, STANDINGS) + """SELECT season, driver_id, points,
+       rank() OVER (PARTITION BY season ORDER BY points DESC) AS rank_min FROM standings""")
+
+SQL_CHAMPIONSHIPS = out("driver_id:i championships:i", _STD + """SELECT d.driver_id,
+       count(w.season) AS championships
+FROM (SELECT DISTINCT driver_id FROM facts) d
+LEFT JOIN (SELECT season, driver_id FROM ranked WHERE rank = 1) w ON d.driver_id = w.driver_id
+GROUP BY d.driver_id""")
+
+# ---- teams ------------------------------------------------------------------
+_TEAMS = with_(FACTS, RESULTS, CONSTRUCTORS, TEAMS)
+
+SQL_POINTS_GAP = out("season:i leader_id:i leader_points:i second_points:i gap:i", _TEAMS + """,
+p AS (SELECT *, row_number() OVER (PARTITION BY season ORDER BY points DESC, constructor_id) AS pos
+      FROM teams)
+SELECT season, max(CASE WHEN pos = 1 THEN constructor_id END) AS leader_id,
+       max(CASE WHEN pos = 1 THEN points END) AS leader_points,
+       max(CASE WHEN pos = 2 THEN points END) AS second_points,
+       max(CASE WHEN pos = 1 THEN points END) - max(CASE WHEN pos = 2 THEN points END) AS gap
+FROM p GROUP BY season""")
+
+SQL_YOY_DELTA = out("constructor_id:i season:i points:i yoy_delta:i", _TEAMS + """SELECT
+  constructor_id, season, points,
+  points - lag(points) OVER (PARTITION BY constructor_id ORDER BY season) AS yoy_delta
+FROM teams""")
+
+SQL_CONSTRUCTOR_RANK = out("season:i constructor_id:i points:i rank:i", _TEAMS + """SELECT
+  season, constructor_id, points, rank() OVER (PARTITION BY season ORDER BY points DESC) AS rank
+FROM teams""")
+
+SQL_TEAM_KPIS = out("season:i champion:s winning_points:i teams:i points_gap:i", _TEAMS + """,
+p AS (SELECT *, row_number() OVER (ORDER BY points DESC, constructor_id) AS pos
+      FROM teams WHERE season = 2000)
+SELECT 2000 AS season, max(CASE WHEN pos = 1 THEN team END) AS champion,
+       max(points) AS winning_points, count(*) AS teams,
+       max(CASE WHEN pos = 1 THEN points END) - max(CASE WHEN pos = 2 THEN points END) AS points_gap
+FROM p""")
+
+_TOP5 = """,
+top5 AS (SELECT constructor_id FROM teams GROUP BY constructor_id
+         ORDER BY SUM(points) DESC, constructor_id LIMIT 5)
+"""
+
+SQL_TEAM_TREND = out("season:i constructor_id:i team:s points:i", _TEAMS + _TOP5
+                     + "SELECT * FROM teams WHERE constructor_id IN (SELECT constructor_id FROM top5)")
+
+SQL_SEASON_TOP_TEAMS = out("season:i constructor_id:i team:s points:i", _TEAMS + """SELECT *
+FROM teams WHERE season = 2000 ORDER BY points DESC, constructor_id LIMIT 8""")
+
+# Seasons present in the test data (1995-2001); the Spark side reads them from
+# the season dimension.
+MATRIX_SEASONS = list(range(1995, 2002))
+SQL_TEAM_MATRIX = out(
+    "constructor_id:i team:s " + " ".join(f"{s}:i" for s in MATRIX_SEASONS),
+    _TEAMS + _TOP5 + "SELECT constructor_id, team, "
+    + ", ".join(f'coalesce(SUM(CASE WHEN season = {s} THEN points END), 0) AS "{s}"'
+                for s in MATRIX_SEASONS)
+    + " FROM teams WHERE constructor_id IN (SELECT constructor_id FROM top5)"
+      " GROUP BY constructor_id, team")
+
+SQL_ERA_POINTS = out("rule_era:s constructor_id:i points:i seasons:i", _TEAMS + """SELECT
+  CASE WHEN season < 1996 THEN 'classic' WHEN season < 1999 THEN 'transition' ELSE 'modern' END
+    AS rule_era,
+  constructor_id, SUM(points) AS points, count(*) AS seasons
+FROM teams GROUP BY 1, 2""")
+
+SQL_MART_CONSTRUCTOR_TREND = out(
+    "constructor_id:i constructor:s season:i pts:i rank:i yoy_delta:i", _TEAMS + """SELECT
+  constructor_id, team AS constructor, season, points AS pts,
+  rank() OVER (PARTITION BY season ORDER BY points DESC) AS rank,
+  points - lag(points) OVER (PARTITION BY constructor_id ORDER BY season) AS yoy_delta
+FROM teams""")
+
+# ---- career -------------------------------------------------------------------
+_CAREER = with_(FACTS, DRIVERS, CONSTRUCTORS, CAREER)
+
+SQL_CAREER = out("driver_id:i code:s driver:s last_team:s races:i wins:i podiums:i points:i "
+                 "avg_pos:d win_pct:d", _CAREER + "SELECT * FROM career")
+
+SQL_CAREER_TOP8 = out("driver_id:i code:s wins:i podiums:i points:i", _CAREER + """SELECT
+  driver_id, code, wins, podiums, points FROM career ORDER BY points DESC, driver_id LIMIT 8""")
+
+SQL_PERFORMANCE_INDEX = out(
+    "driver_id:i code:s wins_idx:d podiums_idx:d points_idx:d races_idx:d win_pct_idx:d",
+    _CAREER + """,
+mx AS (SELECT max(wins) AS mw, max(podiums) AS mp, max(points) AS mpt, max(races) AS mr,
+              max(win_pct) AS mwp FROM career)
+SELECT driver_id, code,
+  coalesce(wins / nullif(mw, 0), 0) * 100 AS wins_idx,
+  coalesce(podiums / nullif(mp, 0), 0) * 100 AS podiums_idx,
+  coalesce(points / nullif(mpt, 0), 0) * 100 AS points_idx,
+  coalesce(races / nullif(mr, 0), 0) * 100 AS races_idx,
+  coalesce(win_pct / nullif(mwp, 0), 0) * 100 AS win_pct_idx
+FROM career, mx ORDER BY points DESC, driver_id LIMIT 3""")
+
+SQL_MART_DRIVER_CAREER = out(
+    "driver_id:i driver_code:s seasons:i races:i wins:i podiums:i championships:i", _STD + """,
+w AS (SELECT driver_id, count(*) AS championships FROM ranked WHERE rank = 1 GROUP BY driver_id)
+SELECT f.driver_id, d.driver_code, f.seasons, f.races, f.wins, f.podiums,
+       coalesce(w.championships, 0) AS championships
+FROM (SELECT driver_id, count(DISTINCT season) AS seasons, count(*) AS races,
+             count_if(finish_position = 1) AS wins, count_if(finish_position <= 3) AS podiums
+      FROM facts GROUP BY driver_id) f
+LEFT JOIN w ON f.driver_id = w.driver_id
+LEFT JOIN drivers d ON f.driver_id = d.driver_id""")
+
+# ---- laps ---------------------------------------------------------------------
+_LAPS = with_(LAPS)
+
+SQL_LAP_KPIS = out("season:i fastest_lap:d avg_lap:d laps:i drivers:i fastest_txt:s avg_txt:s",
+                   _LAPS + """SELECT 2024 AS season, min(lap_time) AS fastest_lap,
+  avg(lap_time) AS avg_lap, count(*) AS laps, count(DISTINCT driver_id) AS drivers,
+  printf('%.3f', min(lap_time)) AS fastest_txt, printf('%.3f', avg(lap_time)) AS avg_txt
+FROM laps WHERE season = 2024""")
+
+SQL_LAP_PROGRESSION = out("driver_id:i lap:i lap_time:d", with_(LAPS, LAPS_N) + """SELECT
+  driver_id, lap, lap_time FROM laps_n WHERE season = 2024 AND driver_id IN (
+    SELECT DISTINCT driver_id FROM laps WHERE season = 2024 ORDER BY driver_id LIMIT 5)""")
+
+SQL_LAP_DISTRIBUTION = out("driver_id:i n:i min:d mean:d max:d q1:d median:d q3:d",
+                           _LAPS + """SELECT driver_id, count(lap_time) AS n, min(lap_time) AS min,
+  avg(lap_time) AS mean, max(lap_time) AS max,
+  quantile_cont(lap_time, 0.25) AS q1, quantile_cont(lap_time, 0.5) AS median,
+  quantile_cont(lap_time, 0.75) AS q3
+FROM laps WHERE season = 2024 GROUP BY driver_id""")
+
+SQL_LAP_HISTOGRAM = out("driver_id:i bucket:i laps:i", _LAPS + """,
+s AS (SELECT * FROM laps WHERE season = 2024 AND lap_time IS NOT NULL),
+b AS (SELECT min(lap_time) AS lo, max(lap_time) AS hi FROM s)
+SELECT driver_id,
+  least(10, CAST(floor(coalesce((lap_time - lo) / nullif(hi - lo, 0), 0) * 10.0) AS BIGINT) + 1)
+    AS bucket,
+  count(*) AS laps
+FROM s, b GROUP BY 1, 2""")
+
+SQL_SECTOR_MEANS = out("driver_id:i sector1:d sector2:d sector3:d", _LAPS + """SELECT driver_id,
+  avg(sector1) AS sector1, avg(sector2) AS sector2, avg(sector3) AS sector3
+FROM laps WHERE season = 2024 GROUP BY driver_id""")
+
+SQL_CONSISTENCY = out("driver_id:i std_dev:d std_dev_3:d", _LAPS + """SELECT driver_id,
+  stddev_samp(lap_time) AS std_dev, round_even(stddev_samp(lap_time), 3) AS std_dev_3
+FROM laps WHERE season = 2024 GROUP BY driver_id""")
+
+SQL_FUEL_ADJUSTED = out("driver_id:i fuel_adjusted_pace:d raw_pace:d laps:i",
+                        with_(LAPS, LAPS_N) + """SELECT driver_id,
+  avg(lap_time + 0.03 * lap) AS fuel_adjusted_pace, avg(lap_time) AS raw_pace, count(*) AS laps
+FROM laps_n WHERE season = 2024 GROUP BY driver_id""")
+
+SQL_MART_LAP_PERFORMANCE = out(
+    "driver_id:i race:i avg_lap_ms:d fastest_lap_ms:i laps:i consistency_pct:d", _LAPS + """SELECT
+  driver_id, season AS race,
+  avg(CAST(round_even(lap_time * 1000.0, 0) AS BIGINT)) AS avg_lap_ms,
+  min(CAST(round_even(lap_time * 1000.0, 0) AS BIGINT)) AS fastest_lap_ms,
+  count(*) AS laps,
+  100.0 * (1.0 - stddev_samp(lap_time) / avg(lap_time)) AS consistency_pct
+FROM laps GROUP BY driver_id, season""")
+
+# ---- pipeline -----------------------------------------------------------------
+SQL_CLEAN_RACES = out("race_id:i season:i round:i race_date:s name:s", """SELECT
+  o_orderkey AS race_id, year(o_orderdate) AS season, month(o_orderdate) AS round,
+  strftime(o_orderdate, '%Y-%m-%d') AS race_date, trim(o_orderpriority) AS name
+FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)
+  AND year(o_orderdate) BETWEEN 1950 AND 2024""")
+
+SQL_TRANSFORM_RESULTS = out(
+    "season:i driver_id:i code:s constructor_id:i total_points:i position_count:i season_rank:i",
+    with_(FACTS, RESULTS, DRIVERS) + """,
+a AS (SELECT r.season, r.driver_id, d.driver_code AS code, r.constructor_id,
+             SUM(CASE WHEN r.finish_position IN (1,2,3,4,5,6,7,8,9,10) THEN r.points ELSE 0 END)
+               AS total_points,
+             count(r.finish_position) AS position_count
+      FROM results r LEFT JOIN drivers d ON r.driver_id = d.driver_id
+      GROUP BY 1, 2, 3, 4)
+SELECT *, rank() OVER (PARTITION BY season ORDER BY total_points DESC) AS season_rank FROM a""")
+
+SQL_MART_SEASON_STANDINGS = out(
+    "season:i driver_id:i driver_code:s driver_name:s constructor_id:i constructor_name:s "
+    "total_points:i total_races:i wins:i podiums:i season_rank:i",
+    with_(FACTS, RESULTS, DRIVERS, CONSTRUCTORS) + """,
+base AS (
+  SELECT r.season, r.driver_id, d.driver_code, d.forename || ' ' || d.surname AS driver_name,
+         r.constructor_id, c.constructor_name,
+         SUM(r.points) AS total_points, COUNT(*) AS total_races,
+         count_if(r.finish_position = 1) AS wins, count_if(r.finish_position <= 3) AS podiums
+  FROM results r JOIN drivers d USING (driver_id) JOIN constructors c
+    ON r.constructor_id = c.constructor_id
+  GROUP BY 1, 2, 3, 4, 5, 6)
+SELECT *, rank() OVER (PARTITION BY season ORDER BY total_points DESC) AS season_rank FROM base""")
+
+SQL_SEASON_AGGREGATES = out("driver_id:i season:i points:i prev_points:i delta:i",
+                            with_(FACTS) + """,
+s AS (SELECT season, driver_id, SUM(points) AS points FROM facts GROUP BY 1, 2)
+SELECT driver_id, season, points,
+  lag(points) OVER (PARTITION BY driver_id ORDER BY season) AS prev_points,
+  points - lag(points) OVER (PARTITION BY driver_id ORDER BY season) AS delta
+FROM s""")
+
+SQL_DEDUP_RESULTS = out(
+    "race_id:i season:i round:i circuit_id:i driver_id:i finish_position:i grid_position:i "
+    "laps_completed:i points:i status:s", with_(FACTS) + """SELECT
+  race_id, season, round, circuit_id, driver_id, finish_position, grid_position, laps_completed,
+  points, status
+FROM (SELECT *, row_number() OVER (PARTITION BY race_id, driver_id ORDER BY season, round,
+        circuit_id, finish_position, grid_position, laps_completed, points, status) AS rn
+      FROM facts) WHERE rn = 1""")
