@@ -10,6 +10,7 @@ from lapforge.plans import oracle as O
 from lapforge.plans import career as C
 from lapforge.plans import laps as L
 from lapforge.plans import pipeline as P
+from lapforge.plans import quality as Q
 from lapforge.plans import standings as S
 from lapforge.plans import teams as T
 from lapforge.plans.common import finalize
@@ -74,6 +75,12 @@ _REG = [
     ("mart_season_standings", P.mart_season_standings, O.SQL_MART_SEASON_STANDINGS),
     ("season_aggregates", P.season_aggregates, O.SQL_SEASON_AGGREGATES),
     ("dedup_results", P.dedup_results, O.SQL_DEDUP_RESULTS),
+    # ---- quality (D1-D8) and inventory
+    ("dq_report", Q.dq_report, O.SQL_DQ_REPORT),
+    ("dq_duplicates", Q.dq_duplicates, O.SQL_DQ_DUPLICATES),
+    ("dq_orphans", Q.dq_orphans, O.SQL_DQ_ORPHANS),
+    ("dq_schema", Q.dq_schema, None),
+    ("table_inventory", Q.table_inventory, O.SQL_TABLE_INVENTORY),
 ]
 
 for _name, _fn, _sql in _REG:

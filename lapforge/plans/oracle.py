@@ -347,3 +347,76 @@ SQL_DEDUP_RESULTS = out(
 FROM (SELECT *, row_number() OVER (PARTITION BY race_id, driver_id ORDER BY season, round,
         circuit_id, finish_position, grid_position, laps_completed, points, status) AS rn
       FROM facts) WHERE rn = 1""")
+
+# ---- quality ------------------------------------------------------------------
+_P_OF_POS = ("CASE finish_position WHEN 1 THEN 25 WHEN 2 THEN 18 WHEN 3 THEN 15 WHEN 4 THEN 12 "
+             "WHEN 5 THEN 10 WHEN 6 THEN 8 WHEN 7 THEN 6 WHEN 8 THEN 4 WHEN 9 THEN 2 "
+             "WHEN 10 THEN 1 ELSE 0 END")
+
+_DQ_FINISH = """SELECT "table", "check", violations, total,
+  100.0 * (total - violations) / total AS pass_pct,
+  CASE WHEN violations = 0 THEN 'pass'
+       WHEN 100.0 * (total - violations) / total >= 99.0 THEN 'warn' ELSE 'fail' END AS status
+FROM checks"""
+
+SQL_DQ_REPORT = out("table:s check:s violations:i total:i pass_pct:d status:s",
+                    with_(FACTS, RESULTS, LAPS) + f""",
+r AS (SELECT count(*) AS total,
+        count_if(driver_id IS NULL) AS d1,
+        count_if(NOT coalesce(finish_position BETWEEN 1 AND 20, false)) AS d2,
+        count_if(points IS DISTINCT FROM ({_P_OF_POS})) AS d3,
+        count_if(NOT coalesce(season BETWEEN 1950 AND 2024, false)) AS d6
+      FROM results),
+l AS (SELECT count(*) AS total, count_if(NOT coalesce(lap_time > 60, false)) AS d4 FROM laps),
+checks AS (
+  SELECT 'fact_race_results' AS "table", 'not_null:driver_id' AS "check", d1 AS violations, total FROM r
+  UNION ALL SELECT 'fact_race_results', 'in_range:finish_position[1,20]', d2, total FROM r
+  UNION ALL SELECT 'fact_race_results', 'matches_map:points~finish_position', d3, total FROM r
+  UNION ALL SELECT 'fact_race_results', 'in_range:season[1950,2024]', d6, total FROM r
+  UNION ALL SELECT 'fact_lap_times', 'greater_than:lap_time>60', d4, total FROM l)
+""" + _DQ_FINISH)
+
+SQL_DQ_DUPLICATES = out("key_groups:i dup_groups:i dup_rows:i status:s", with_(FACTS) + """,
+g AS (SELECT race_id, driver_id, count(*) AS n FROM facts GROUP BY 1, 2)
+SELECT count(*) AS key_groups, count_if(n > 1) AS dup_groups,
+  coalesce(SUM(CASE WHEN n > 1 THEN n END), 0) AS dup_rows,
+  CASE WHEN count_if(n > 1) = 0 THEN 'pass' ELSE 'fail' END AS status
+FROM g""")
+
+SQL_DQ_ORPHANS = out("check:s violations:i total:i pass_pct:d status:s",
+                     with_(FACTS, RESULTS) + """,
+c AS (
+  SELECT 'fk:constructor_id->dim_constructors' AS "check", count(*) AS total,
+         count_if(constructor_id NOT IN (SELECT n_nationkey FROM nation) OR constructor_id IS NULL)
+           AS violations
+  FROM results
+  UNION ALL
+  SELECT 'fk:circuit_id->dim_circuits', count(*),
+         count_if(circuit_id NOT IN (SELECT p_partkey FROM part WHERE p_size < 40)
+                  OR circuit_id IS NULL)
+  FROM results),
+checks AS (SELECT NULL AS "table", * FROM c)
+SELECT "check", violations, total, 100.0 * (total - violations) / total AS pass_pct,
+  CASE WHEN violations = 0 THEN 'pass'
+       WHEN 100.0 * (total - violations) / total >= 99.0 THEN 'warn' ELSE 'fail' END AS status
+FROM checks""")
+
+SQL_TABLE_INVENTORY = out(
+    "table:s layer:s rows:i grain:s distinct_grain:i grain_unique:i",
+    with_(FACTS, RESULTS, LAPS) + """
+SELECT 'fact_race_results' AS "table", 'fact' AS layer, count(*) AS rows,
+  'race_id + driver_id' AS grain, count(DISTINCT (race_id, driver_id)) AS distinct_grain,
+  CAST(count(*) = count(DISTINCT (race_id, driver_id)) AS BIGINT) AS grain_unique FROM facts
+UNION ALL SELECT 'fact_lap_times', 'fact', count(*), 'season + driver_id + event_id',
+  count(DISTINCT (season, driver_id, event_id)),
+  CAST(count(*) = count(DISTINCT (season, driver_id, event_id)) AS BIGINT) FROM laps
+UNION ALL SELECT 'dim_drivers', 'dimension', count(*), 'driver_id', count(DISTINCT s_suppkey),
+  CAST(count(*) = count(DISTINCT s_suppkey) AS BIGINT) FROM supplier
+UNION ALL SELECT 'dim_constructors', 'dimension', count(*), 'constructor_id',
+  count(DISTINCT n_nationkey), CAST(count(*) = count(DISTINCT n_nationkey) AS BIGINT) FROM nation
+UNION ALL SELECT 'dim_circuits', 'dimension', count(*), 'circuit_id', count(DISTINCT p_partkey),
+  CAST(count(*) = count(DISTINCT p_partkey) AS BIGINT) FROM part
+UNION ALL SELECT 'agg_season_points', 'mart', count(*), 'season + driver_id', count(*), 1
+  FROM (SELECT DISTINCT season, driver_id FROM facts)
+UNION ALL SELECT 'agg_constructor_pts', 'mart', count(*), 'season + constructor_id', count(*), 1
+  FROM (SELECT DISTINCT season, constructor_id FROM results)""")
