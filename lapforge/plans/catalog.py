@@ -12,6 +12,8 @@ from lapforge.plans import laps as L
 from lapforge.plans import pipeline as P
 from lapforge.plans import quality as Q
 from lapforge.plans import standings as S
+from lapforge.plans import storage as W
+from lapforge.plans import streams as ST
 from lapforge.plans import teams as T
 from lapforge.plans.common import finalize
 from lapforge.plans.model import Model
@@ -81,6 +83,14 @@ _REG = [
     ("dq_orphans", Q.dq_orphans, O.SQL_DQ_ORPHANS),
     ("dq_schema", Q.dq_schema, None),
     ("table_inventory", Q.table_inventory, O.SQL_TABLE_INVENTORY),
+    # ---- sinks and sources, checked on the stored state
+    ("csv_roundtrip", W.csv_roundtrip, O.SQL_CSV_ROUNDTRIP),
+    ("merge_mart", W.merge_mart_query, O.SQL_MERGE_MART),
+    ("schema_evolution", W.schema_evolution, O.SQL_SCHEMA_EVOLUTION),
+    ("append_load", W.append_load, O.SQL_APPEND_LOAD),
+    # ---- streaming, checked on the final state (S13, ST1, ST2)
+    ("land_stream", ST.land_stream_query, O.SQL_LAND_STREAM),
+    ("refresh_mart_stream", ST.refresh_mart_stream_query, O.SQL_REFRESH_MART_STREAM),
 ]
 
 for _name, _fn, _sql in _REG:

@@ -57,7 +57,7 @@ class Model:
         return read_parquet_table(self.spark, self.base, name, columns or None)
 
     # ---- facts -------------------------------------------------------------
-    def orders_by_season(self, season: int | None = None) -> DataFrame:
+    def orders_by_season(self, season: int | None = None, with_time: bool = False) -> DataFrame:
         o = self.table("orders", "o_orderkey", "o_orderdate")
         if season is not None:
             # A range on the raw column (not year(...) = s) so parquet can skip row groups.
@@ -68,15 +68,18 @@ class Model:
             "o_orderkey",
             F.year("o_orderdate").cast("int").alias("season"),
             F.month("o_orderdate").cast("int").alias("round"),
+            *(["o_orderdate"] if with_time else []),
         )
 
-    def race_facts(self, season: int | None = None, drivers=None) -> DataFrame:
-        """One row per result: race, season, round, circuit, driver, positions, points, status."""
+    def race_facts(self, season: int | None = None, drivers=None,
+                   with_time: bool = False) -> DataFrame:
+        """One row per result: race, season, round, circuit, driver, positions, points, status
+        (and the race time ``race_ts`` when ``with_time``)."""
         li = self.table("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
                         "l_returnflag")
         if drivers is not None:
             li = li.filter(F.col("l_suppkey").isin(list(drivers)))
-        o = self.orders_by_season(season)
+        o = self.orders_by_season(season, with_time)
         j = li.join(o, li.l_orderkey == o.o_orderkey)
         qty = trunc_int(F.col("l_quantity"))
         pos = F.lit(1) + (qty - F.lit(1)) % F.lit(20)
@@ -94,6 +97,7 @@ class Model:
             qty.alias("laps_completed"),
             points_of(pos).alias("points"),
             status.alias("status"),
+            *([F.col("o_orderdate").cast("timestamp").alias("race_ts")] if with_time else []),
         )
 
     def results(self, season: int | None = None) -> DataFrame:

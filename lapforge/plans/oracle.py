@@ -420,3 +420,37 @@ UNION ALL SELECT 'agg_season_points', 'mart', count(*), 'season + driver_id', co
   FROM (SELECT DISTINCT season, driver_id FROM facts)
 UNION ALL SELECT 'agg_constructor_pts', 'mart', count(*), 'season + constructor_id', count(*), 1
   FROM (SELECT DISTINCT season, constructor_id FROM results)""")
+
+# ---- storage round trips ----------------------------------------------------------
+SQL_CSV_ROUNDTRIP = out("season:i driver_id:i driver_code:s points:i", with_(
+    FACTS, DRIVERS, CONSTRUCTORS, STANDINGS)
+    + "SELECT season, driver_id, driver_code, points FROM standings")
+
+SQL_MERGE_MART = SQL_MART_SEASON_STANDINGS
+
+SQL_SCHEMA_EVOLUTION = out("season:i driver_id:i points:i wins:i", with_(FACTS) + """SELECT
+  season, driver_id, SUM(points) AS points,
+  CASE WHEN season >= 1999 THEN count_if(finish_position = 1) END AS wins
+FROM facts GROUP BY season, driver_id""")
+
+SQL_APPEND_LOAD = out("season:i driver_id:i points:i rows_loaded:i", with_(FACTS) + """,
+s AS (SELECT season, driver_id, SUM(points) AS points FROM facts GROUP BY season, driver_id)
+SELECT season, driver_id, points, (SELECT count(*) FROM s) AS rows_loaded FROM s""")
+
+# ---- streaming (final state) ------------------------------------------------------
+_DISTINCT_RAW = f"""raw AS (
+  SELECT DISTINCT l.l_orderkey AS race_id, CAST(year(o.o_orderdate) AS INTEGER) AS season,
+         CAST(month(o.o_orderdate) AS INTEGER) AS round, l.l_partkey AS circuit_id,
+         l.l_suppkey AS driver_id, {_POS} AS finish_position, {_POINTS_CASE} AS points,
+         CASE l.l_returnflag WHEN 'N' THEN 'Finished' WHEN 'R' THEN 'DNF'
+              WHEN 'A' THEN '+1 Lap' END AS status,
+         strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S') AS race_ts
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
+
+SQL_LAND_STREAM = out("race_id:i season:i round:i circuit_id:i driver_id:i finish_position:i "
+                      "points:i status:s race_ts:s", with_(_DISTINCT_RAW) + "SELECT * FROM raw")
+
+SQL_REFRESH_MART_STREAM = out("season:i driver_id:i points:i races:i wins:i",
+                              with_(_DISTINCT_RAW) + """SELECT season, driver_id,
+  SUM(points) AS points, count(*) AS races, count_if(finish_position = 1) AS wins
+FROM raw GROUP BY season, driver_id""")

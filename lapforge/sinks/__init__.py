@@ -1,0 +1,107 @@
+"""Writers.
+
+All writes are distributed DataFrame writes (no pandas hop).  Paths on a
+cluster must be on shared storage; ``lapforge.session.scratch_path`` gives a
+fresh folder under ``spark.checkpoint.dir`` for intermediate tables.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+
+def write_overwrite(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
+                    fmt: str = "parquet") -> None:
+    """Replace the table at ``path``; the new schema replaces the old one."""
+    w = df.write.mode("overwrite").format(fmt)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(path)
+
+
+def evolve(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Union by name; columns missing on one side are NULL there."""
+    return old.unionByName(new, allowMissingColumns=True)
+
+
+def read_evolved(spark: SparkSession, path: str) -> DataFrame:
+    """S7 on read: parquet files with different column sets under one folder."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
+def append_load(df: DataFrame, path: str, fmt: str = "parquet") -> int:
+    """Append to a table (created when absent) and return the rows written.
+
+    The count is an ``Observation`` of the same write job, not a second pass."""
+    obs = Observation("append_load")
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    observed.write.mode("append").format(fmt).save(path)
+    return int(obs.get["rows"])
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).schema  # noqa: B018
+        return True
+    except AnalysisException:
+        return False
+
+
+class KeyCollision(ValueError):
+    """The new rows hold the same merge key more than once (e.g. a driver who
+    changed team mid-season under a (season, driver) key)."""
+
+
+def check_unique(df: DataFrame, keys: Sequence[str]) -> None:
+    dup = df.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
+    if dup:
+        raise KeyCollision(f"duplicate merge key {dict(zip(keys, dup[0][:len(keys)]))}")
+
+
+def merge_mart(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str],
+               partition_col: str = "season", on_collision: str = "fail") -> None:
+    """Upsert ``new`` into the mart at ``path`` by ``keys``.
+
+    Only the partitions (seasons) present in ``new`` are rewritten, with dynamic
+    partition overwrite: old rows of those seasons whose key is not in ``new``
+    are kept, the rest replaced; new columns are added (NULL in untouched
+    partitions, read with ``mergeSchema``).  The merged rows are checkpointed
+    first, so the job never reads and overwrites the same files at once.
+    A repeated merge of the same rows changes nothing.
+    """
+    keys = list(keys)
+    if on_collision == "fail":
+        check_unique(new, keys)
+    elif on_collision == "keep_first":
+        new = new.dropDuplicates(keys)
+    if not table_exists(spark, path):
+        new.write.mode("overwrite").partitionBy(partition_col).parquet(path)
+        return
+    old = read_evolved(spark, path)
+    touched = new.select(partition_col).distinct()
+    kept = old.join(touched, partition_col, "left_semi") \
+        .join(new.select(*keys), keys, "left_anti")
+    merged = kept.unionByName(new, allowMissingColumns=True).checkpoint(eager=True)
+    (merged.write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_col).parquet(path))
+
+
+def land(df: DataFrame, path: str, partition_by: Sequence[str] = ("season",)) -> None:
+    """Landing write partitioned for pruning (``season = x`` reads one folder)."""
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+
+
+def export(df: DataFrame, path: str, fmt: str = "csv") -> None:
+    """Export as csv (with header), json or parquet."""
+    w = df.write.mode("overwrite")
+    if fmt == "csv":
+        w.option("header", True).csv(path)
+    elif fmt == "json":
+        w.json(path)
+    else:
+        w.parquet(path)
