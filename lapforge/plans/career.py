@@ -18,7 +18,9 @@ from lapforge.operators.ordering import top_n
 from lapforge.plans.model import Model
 from lapforge.plans.standings import season_winners
 
-CAREER_ORDER = [F.col("points").desc(), F.col("driver_id").asc()]
+
+def career_order():
+    return [F.col("points").desc(), F.col("driver_id").asc()]
 
 
 def career_stats(facts: DataFrame, keys=("driver_id",)) -> DataFrame:
@@ -49,7 +51,7 @@ def career(m: Model) -> DataFrame:
 
 def career_top(m: Model, n: int = 8) -> DataFrame:
     """Q8: wins and podiums of the ``n`` drivers with most points (not most wins)."""
-    return top_n(career(m), CAREER_ORDER, n).select("driver_id", "code", "wins", "podiums",
+    return top_n(career(m), career_order(), n).select("driver_id", "code", "wins", "podiums",
                                                     "points")
 
 
@@ -61,7 +63,7 @@ def performance_index(m: Model, n: int = 3) -> DataFrame:
     """Q9: five measures as % of their maximum over all drivers, for the top ``n``."""
     c = career(m)
     withmax = with_max(c, [src for src, _ in INDEX_MEASURES])
-    top = top_n(withmax, CAREER_ORDER, n)
+    top = top_n(withmax, career_order(), n)
     return top.select(
         "driver_id", "code",
         *[(safe_ratio(F.col(src), F.col("max_" + src)) * F.lit(100.0)).alias(dst)

@@ -39,14 +39,16 @@ def standings(m: Model, season: int | None = None, drivers=None) -> DataFrame:
     return with_driver_names(pts, m)
 
 
-STANDINGS_ORDER = [F.col("points").desc(), F.col("driver_id").asc()]
+def standings_order():
+    return [F.col("points").desc(), F.col("driver_id").asc()]
+
 STANDINGS_COLS = ["season", "driver_id", "driver_code", "driver_name", "constructor_id",
                   "team", "points", "rank"]
 
 
 def driver_standings(m: Model, season: int | None = None) -> DataFrame:
     """Q1: standings with rank by points, ties in driver order (pandas ``first``)."""
-    ranked = rank_first(standings(m, season), ["season"], STANDINGS_ORDER, name="rank")
+    ranked = rank_first(standings(m, season), ["season"], standings_order(), name="rank")
     return ranked.select(*STANDINGS_COLS)
 
 
@@ -79,10 +81,10 @@ def season_kpis(m: Model, season: int = SEASON) -> DataFrame:
 
 def season_top(m: Model, season: int = SEASON, n: int = 10) -> DataFrame:
     """Q4: the season's first ``n`` by rank (a top-k, not a full ranking)."""
-    top = top_n(standings(m, season), STANDINGS_ORDER, n)
+    top = top_n(standings(m, season), standings_order(), n)
     # rank of the k rows kept = their position in the same order (k rows only)
     from pyspark.sql import Window
-    ranked = top.withColumn("rank", F.row_number().over(Window.orderBy(*STANDINGS_ORDER)))
+    ranked = top.withColumn("rank", F.row_number().over(Window.orderBy(*standings_order())))
     return finalize(ranked.select(*STANDINGS_COLS))
 
 
@@ -106,7 +108,7 @@ def points_trend(m: Model, drivers=TREND_DRIVERS) -> DataFrame:
 
 def rank_ties(m: Model) -> DataFrame:
     """SQL ``rank()`` of the standings: ties share a rank and leave a gap."""
-    ranked = rank_min(standings(m), ["season"], STANDINGS_ORDER, ["points"], name="rank_min")
+    ranked = rank_min(standings(m), ["season"], standings_order(), ["points"], name="rank_min")
     return finalize(ranked.select("season", "driver_id", "points", "rank_min"))
 
 

@@ -19,7 +19,9 @@ from lapforge.operators.ordering import top_n, top_n_per_group
 from lapforge.plans.model import SEASON, Model, rule_era
 from lapforge.plans.standings import season_points
 
-TEAM_ORDER = [F.col("points").desc(), F.col("constructor_id").asc()]
+
+def team_order():
+    return [F.col("points").desc(), F.col("constructor_id").asc()]
 
 
 def team_points(m: Model, season: int | None = None) -> DataFrame:
@@ -38,7 +40,7 @@ def points_gap(m: Model) -> DataFrame:
 
     The top two per season come from ``row_number() <= 2`` (partial per-group
     limit); the gap is NULL when a season has one team."""
-    top2 = top_n_per_group(team_points(m), ["season"], TEAM_ORDER, 2)
+    top2 = top_n_per_group(team_points(m), ["season"], team_order(), 2)
     return top2.groupBy("season").agg(
         F.max(F.when(F.col("pos") == 1, F.col("constructor_id"))).alias("leader_id"),
         F.max(F.when(F.col("pos") == 1, F.col("points"))).alias("leader_points"),
@@ -65,7 +67,7 @@ def team_kpis(m: Model, season: int = SEASON) -> DataFrame:
     """Q10: champion team, its points, number of teams and gap to second."""
     t = team_points(m, season)
     ordered = F.struct(F.col("points"), -F.col("constructor_id"))
-    top2 = top_n(t, TEAM_ORDER, 2)
+    top2 = top_n(t, team_order(), 2)
     second = top2.agg(F.min("points").alias("_p2"), F.count(F.lit(1)).alias("_n2"))
     head = t.agg(F.max_by("team", ordered).alias("champion"),
                  F.max("points").alias("winning_points"),
@@ -80,7 +82,7 @@ def top_teams(m: Model, n: int = 5) -> DataFrame:
     """A17 + K4: the ``n`` constructors with most points over all seasons."""
     totals = team_points(m).groupBy("constructor_id") \
         .agg(F.sum("points").cast("bigint").alias("points"))
-    return top_n(totals, TEAM_ORDER, n).select("constructor_id")
+    return top_n(totals, team_order(), n).select("constructor_id")
 
 
 def team_trend(m: Model, n: int = 5) -> DataFrame:
@@ -91,7 +93,7 @@ def team_trend(m: Model, n: int = 5) -> DataFrame:
 
 def season_top_teams(m: Model, season: int = SEASON, n: int = 8) -> DataFrame:
     """Q11 bar: the season's top ``n`` constructors."""
-    return top_n(team_points(m, season), TEAM_ORDER, n)
+    return top_n(team_points(m, season), team_order(), n)
 
 
 def team_matrix(m: Model, n: int = 5) -> DataFrame:
