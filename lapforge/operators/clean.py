@@ -59,5 +59,7 @@ def clean_races(raw: DataFrame, lo: int = 1950, hi: int = 2024) -> DataFrame:
         F.trim(F.col("name")).alias("name"),
     )
     # The reference keeps an arbitrary row per raceId; we keep the first by the
-    # remaining columns so re-runs give the same table.
-    return dedup_first(typed, ["race_id"]).filter(F.col("season").between(lo, hi))
+    # remaining columns so re-runs give the same table.  Exact repeats (a race
+    # exported once per result line) collapse first in a hash aggregate, so the
+    # ordered pick per key sees one row per distinct version of a race.
+    return dedup_first(typed.distinct(), ["race_id"]).filter(F.col("season").between(lo, hi))

@@ -37,6 +37,11 @@ SEASON = 2000
 LAP_SEASON = 2024
 TREND_DRIVERS = (0, 1, 2)
 
+FACT_COLUMNS = ["race_id", "season", "round", "circuit_id", "driver_id", "finish_position",
+                "grid_position", "laps_completed", "points", "status"]
+LAP_COLUMNS = ["event_id", "ts", "season", "driver_id", "lap_time", "sector1", "sector2",
+               "sector3"]
+
 
 def rule_era(season) -> "F.Column":
     """Our season dimension attribute (the reference only names the column)."""
@@ -49,9 +54,10 @@ def rule_era(season) -> "F.Column":
 class Model:
     """Lazy model frames for one data directory."""
 
-    def __init__(self, spark: SparkSession, base: str):
+    def __init__(self, spark: SparkSession, base: str, warehouse: bool = True):
         self.spark = spark
         self.base = base
+        self.warehouse = warehouse
 
     def table(self, name: str, *columns: str) -> DataFrame:
         return read_parquet_table(self.spark, self.base, name, columns or None)
@@ -74,7 +80,21 @@ class Model:
     def race_facts(self, season: int | None = None, drivers=None,
                    with_time: bool = False) -> DataFrame:
         """One row per result: race, season, round, circuit, driver, positions, points, status
-        (and the race time ``race_ts`` when ``with_time``)."""
+        (and the race time ``race_ts`` when ``with_time``).
+
+        Read from the warehouse fact (season folders pruned, driver filter
+        pushed to parquet) unless the model was built with ``warehouse=False``."""
+        if not self.warehouse:
+            return self.raw_race_facts(season, drivers, with_time)
+        from lapforge.plans import warehouse as wh
+        f = wh.season_filter(wh.read_fact(self, wh.FACT_RESULTS), season)
+        if drivers is not None:
+            f = f.filter(F.col("driver_id").isin(list(drivers)))
+        return f.select(*FACT_COLUMNS, *(["race_ts"] if with_time else []))
+
+    def raw_race_facts(self, season: int | None = None, drivers=None,
+                       with_time: bool = False) -> DataFrame:
+        """The race facts computed from lineitem x orders (what the warehouse stores)."""
         li = self.table("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
                         "l_returnflag")
         if drivers is not None:
@@ -135,6 +155,15 @@ class Model:
 
     # ---- laps ----------------------------------------------------------------
     def laps(self, season: int | None = None, with_lap: bool = False) -> DataFrame:
+        """Lap rows: event, time, season, driver, lap time, sectors (and ``lap``)."""
+        if not self.warehouse:
+            return self.raw_laps(season, with_lap)
+        from lapforge.plans import warehouse as wh
+        f = wh.season_filter(wh.read_fact(self, wh.FACT_LAPS), season)
+        return f.select(*LAP_COLUMNS, *(["lap"] if with_lap else []))
+
+    def raw_laps(self, season: int | None = None, with_lap: bool = False) -> DataFrame:
+        """Lap rows computed from events (what the warehouse stores)."""
         e = self.table("events", "event_id", "ts", "user_id", "event_type", "value")
         season_col = (F.lit(2020) + F.floor((F.dayofmonth("ts") - F.lit(1)) / F.lit(6))) \
             .cast("int")
