@@ -1,0 +1,94 @@
+"""Synthetic results and laps (S3, S4) with the reference's distributions.
+
+Rows come from ``spark.range`` dimensions cross-joined (small by
+construction: seasons x rounds x entrants); every random draw is a hash of
+(seed, row keys, draw name), so the output does not depend on partitioning or
+task order (``rand(seed)`` does).  The reference's Mersenne-Twister stream is
+serial and is not reproduced bit for bit.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lapforge.functions import (STATUS_LABELS, STATUS_WEIGHTS, clamp, gaussian, hash_uniform,
+                                points_of, uniform_int)
+
+# The reference's entrants (code, name, team, number, titles).
+ENTRANTS = [
+    ("HAM", "Lewis Hamilton", "Mercedes", 44, 7),
+    ("VER", "Max Verstappen", "Red Bull", 1, 4),
+    ("SCH", "Michael Schumacher", "Ferrari", 3, 7),
+    ("SEN", "Ayrton Senna", "McLaren", 12, 3),
+    ("VET", "Sebastian Vettel", "Red Bull", 5, 4),
+    ("ALO", "Fernando Alonso", "Renault", 14, 2),
+    ("PRO", "Alain Prost", "McLaren", 8, 4),
+    ("RAI", "Kimi Räikkönen", "Ferrari", 7, 1),
+    ("NOR", "Lando Norris", "McLaren", 4, 0),
+    ("LEC", "Charles Leclerc", "Ferrari", 16, 0),
+]
+
+# The reference's tracks (the first ten are raced each season).
+TRACKS = ["Monaco", "Silverstone", "Monza", "Spa", "Suzuka", "Abu Dhabi", "Bahrain",
+          "Melbourne", "Zandvoort", "Interlagos", "COTA", "Singapore"]
+
+# Position model (spread per entrant index, noise), lap model.
+POSITION_STEP = 1.65
+POSITION_SD = 2.2
+LAP_BASE, LAP_SD, LAP_NOISE_SD, FUEL_PER_LAP = 82.0, 0.8, 0.4, 0.03
+SECTOR_MEANS, SECTOR_SD = (27.0, 29.0, 26.0), 0.2
+
+
+def _entrants(spark: SparkSession, n: int | None = None) -> DataFrame:
+    rows = [(i, *e) for i, e in enumerate(ENTRANTS[:n] if n else ENTRANTS)]
+    return spark.createDataFrame(rows, "d_idx int, driver_code string, driver_name string, "
+                                       "team string, number int, titles int")
+
+
+def gen_results(spark: SparkSession, first_season: int = 2010, last_season: int = 2024,
+                rounds: int = 10, seed: int = 42, partitions: int | None = None) -> DataFrame:
+    """S3: seasons x rounds x entrants race results."""
+    n = partitions or spark.sparkContext.defaultParallelism
+    seasons = spark.range(first_season, last_season + 1, numPartitions=n) \
+        .select(F.col("id").cast("int").alias("season"))
+    tracks = spark.createDataFrame([(i + 1, t) for i, t in enumerate(TRACKS[:rounds])],
+                                   "round int, track string")
+    grid = seasons.crossJoin(F.broadcast(tracks)).crossJoin(F.broadcast(_entrants(spark)))
+    keys = [F.col("season"), F.col("round"), F.col("d_idx")]
+    base = F.col("d_idx") * F.lit(POSITION_STEP) + gaussian(seed, F.lit("pos"), *keys,
+                                                            sd=POSITION_SD)
+    pos = clamp((base + F.lit(1)).cast("int"), 1, 20)
+    return grid.select(
+        "season", "round", "track", "driver_code", "driver_name", "team",
+        pos.alias("position"),
+        points_of(pos).alias("points"),
+        F.bround(F.lit(75.0) + hash_uniform(seed, F.lit("lap"), *keys) * F.lit(30.0), 3)
+        .alias("fastest_lap"),
+        uniform_int(seed, 1, 3, F.lit("pit"), *keys).alias("pit_stops"),
+        clamp(pos + uniform_int(seed, -5, 5, F.lit("grid"), *keys), 1, 20).alias("grid"),
+        _status(seed, keys).alias("status"),
+    )
+
+
+def _status(seed, keys):
+    from lapforge.functions import weighted_choice
+    return weighted_choice(seed, STATUS_LABELS, STATUS_WEIGHTS, F.lit("status"), *keys)
+
+
+def gen_laps(spark: SparkSession, seasons=(2020, 2021, 2022, 2023, 2024), entrants: int = 5,
+             laps: int = 54, seed: int = 42, partitions: int | None = None) -> DataFrame:
+    """Seasons x first entrants x laps; lap time falls with fuel burn, the
+    sectors are drawn on their own (the lap is not their sum)."""
+    n = partitions or spark.sparkContext.defaultParallelism
+    lap = spark.range(1, laps + 1, numPartitions=n).select(F.col("id").cast("int").alias("lap"))
+    s = spark.createDataFrame([(x,) for x in seasons], "season int")
+    grid = lap.crossJoin(F.broadcast(s)).crossJoin(F.broadcast(_entrants(spark, entrants)))
+    keys = [F.col("season"), F.col("d_idx"), F.col("lap")]
+    t = (F.lit(LAP_BASE) + gaussian(seed, F.lit("base"), *keys, sd=LAP_SD)
+         - F.lit(FUEL_PER_LAP) * F.col("lap") + gaussian(seed, F.lit("noise"), *keys,
+                                                         sd=LAP_NOISE_SD))
+    sectors = [F.bround(gaussian(seed, F.lit(f"s{i}"), *keys, mean=m, sd=SECTOR_SD), 3)
+               .alias(f"sector{i}") for i, m in enumerate(SECTOR_MEANS, start=1)]
+    return grid.select("season", "driver_code", "team", "lap",
+                       F.bround(t, 3).alias("lap_time"), *sectors)
