@@ -97,10 +97,14 @@ def land(df: DataFrame, path: str, partition_by: Sequence[str] = ("season",)) ->
 
 
 def export(df: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Export as csv (with header), json or parquet."""
+    """Export as csv (with header), json or parquet.  CSV keeps values
+    exactly (Spark's CSV writer trims outer spaces unless told not to)."""
     w = df.write.mode("overwrite")
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        (w.option("header", True)
+         .option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False)
+         .csv(path))
     elif fmt == "json":
         w.json(path)
     else:

@@ -1,0 +1,38 @@
+"""Synthetic tables: sizes, ranges, and independence from partitioning."""
+from pyspark.sql import functions as F
+
+from lapforge.sources.generators import gen_laps, gen_results
+
+
+def test_results_shape_and_ranges(spark):
+    df = gen_results(spark)
+    assert df.count() == 1500
+    r = df.agg(F.min("position"), F.max("position"), F.min("fastest_lap"), F.max("fastest_lap"),
+               F.min("pit_stops"), F.max("pit_stops"), F.min("grid"), F.max("grid")).first()
+    assert 1 <= r[0] and r[1] <= 20 and 75 <= r[2] and r[3] <= 105
+    assert (r[4], r[5]) == (1, 3) and 1 <= r[6] and r[7] <= 20
+    statuses = {x.status: x["count"] for x in df.groupBy("status").count().collect()}
+    assert set(statuses) <= {"Finished", "DNF", "+1 Lap"} and statuses["Finished"] > 1000
+
+
+def test_points_follow_position(spark):
+    bad = gen_results(spark).filter(
+        (F.col("position") > 10) & (F.col("points") != 0)).count()
+    assert bad == 0
+
+
+def test_same_rows_under_any_partitioning(spark):
+    a = gen_results(spark, partitions=1).collect()
+    b = gen_results(spark, partitions=8).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+    la = gen_laps(spark, partitions=1).collect()
+    lb = gen_laps(spark, partitions=7).collect()
+    assert sorted(map(tuple, la)) == sorted(map(tuple, lb))
+
+
+def test_laps_shape_and_fuel_trend(spark):
+    df = gen_laps(spark)
+    assert df.count() == 5 * 5 * 54
+    early = df.filter("lap <= 5").agg(F.avg("lap_time")).first()[0]
+    late = df.filter("lap >= 50").agg(F.avg("lap_time")).first()[0]
+    assert late < early
