@@ -121,9 +121,19 @@ class Model:
         )
 
     def results(self, season: int | None = None) -> DataFrame:
-        """Race facts with the constructor key (the driver's team at the time)."""
+        """Race facts with the constructor key (the driver's team at the time).
+
+        The warehouse fact stores the key (resolved once at build time)."""
+        if not self.warehouse:
+            return self.raw_results(season)
+        from lapforge.plans import warehouse as wh
+        f = wh.season_filter(wh.read_fact(self, wh.FACT_RESULTS), season)
+        return f.select(*FACT_COLUMNS, "constructor_id")
+
+    def raw_results(self, season: int | None = None, with_time: bool = False) -> DataFrame:
+        """Race facts joined to the supplier for the constructor key."""
         s = self.table("supplier", "s_suppkey", "s_nationkey")
-        f = self.race_facts(season)
+        f = self.raw_race_facts(season, with_time=with_time)
         return f.join(s, f.driver_id == s.s_suppkey, "left").drop("s_suppkey") \
             .withColumnRenamed("s_nationkey", "constructor_id")
 
@@ -149,8 +159,15 @@ class Model:
                         F.col("p_name").alias("circuit_name"), "p_size")
 
     def seasons(self) -> DataFrame:
-        o = self.table("orders", "o_orderdate")
-        yr = o.select(F.year("o_orderdate").cast("int").alias("season_year")).distinct()
+        """Season dimension: the years raced, with our rule era.  From the
+        warehouse this reads only the season folders' partition values."""
+        if self.warehouse:
+            from lapforge.plans import warehouse as wh
+            yr = wh.read_fact(self, wh.FACT_RESULTS).select(
+                F.col("season").cast("int").alias("season_year")).distinct()
+        else:
+            o = self.table("orders", "o_orderdate")
+            yr = o.select(F.year("o_orderdate").cast("int").alias("season_year")).distinct()
         return yr.withColumn("rule_era", rule_era("season_year"))
 
     # ---- laps ----------------------------------------------------------------

@@ -38,11 +38,15 @@ def _partitions(spark: SparkSession) -> int:
     return int(conf) if conf else int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def write_fact(df: DataFrame, path: str, partitions: int, cluster: str = "driver_id") -> None:
-    """Range-partition on (season, cluster) so files hold contiguous key ranges,
-    then write one folder per season."""
-    (df.repartitionByRange(partitions, "season", cluster)
-     .sortWithinPartitions("season", cluster)
+def write_fact(df: DataFrame, path: str, partitions: int,
+               cluster: tuple[str, ...] = ("driver_id",), split: str = "race_id") -> None:
+    """Range-partition on (season, cluster..., split) so files hold contiguous
+    driver ranges (row-group skipping on driver filters) while ``split`` lets a
+    driver holding a third of a season spread over many files; then write one
+    folder per season."""
+    keys = ["season", *cluster, split]
+    (df.repartitionByRange(partitions, *keys)
+     .sortWithinPartitions(*keys)
      .write.mode("overwrite").partitionBy("season").parquet(path))
 
 
@@ -51,8 +55,8 @@ def build(model) -> str:
     spark = model.spark
     path = scratch_path(spark, "warehouse")
     n = _partitions(spark)
-    write_fact(model.raw_race_facts(with_time=True), f"{path}/{FACT_RESULTS}", n)
-    write_fact(model.raw_laps(with_lap=True), f"{path}/{FACT_LAPS}", n)
+    write_fact(model.raw_results(with_time=True), f"{path}/{FACT_RESULTS}", n)
+    write_fact(model.raw_laps(with_lap=True), f"{path}/{FACT_LAPS}", n, split="event_id")
     return path
 
 
