@@ -1,8 +1,8 @@
 """Constructor queries.
 
-Team standings are one row per (season, constructor).  Constructors are the
-nations of the drivers, so facts are summed per (season, driver) first and the
-driver -> constructor lookup joins that small result.  Windows here are
+Team standings are one row per (season, constructor), summed straight from the
+fact's constructor key (resolved once when the warehouse fact is written), and
+only the names join the small result.  Windows here are
 partitioned by constructor (at most one row per season) or by season over the
 constructors (bounded by the nation table), so no window sees an unbounded
 group.
@@ -26,10 +26,7 @@ def team_order():
 
 def team_points(m: Model, season: int | None = None) -> DataFrame:
     """Q2 / A1: points per (season, constructor) with the team name."""
-    per_driver = season_points(m.race_facts(season))
-    d = m.drivers().select("driver_id", "constructor_id")
-    per_team = per_driver.join(d, "driver_id", "left") \
-        .groupBy("season", "constructor_id").agg(F.sum("points").cast("bigint").alias("points"))
+    per_team = season_points(m.results(season), ["season", "constructor_id"])
     c = m.constructors().withColumnRenamed("constructor_name", "team")
     return per_team.join(c, "constructor_id", "left") \
         .select("season", "constructor_id", "team", "points")
