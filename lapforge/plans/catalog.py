@@ -77,12 +77,15 @@ _REG = [
     ("mart_season_standings", P.mart_season_standings, O.SQL_MART_SEASON_STANDINGS),
     ("season_aggregates", P.season_aggregates, O.SQL_SEASON_AGGREGATES),
     ("dedup_results", P.dedup_results, O.SQL_DEDUP_RESULTS),
+    ("join_driver_constructor", P.join_driver_constructor, O.SQL_JOIN_DRIVER_CONSTRUCTOR),
+    ("star_results", P.star_results, O.SQL_STAR_RESULTS),
     # ---- quality (D1-D8) and inventory
     ("dq_report", Q.dq_report, O.SQL_DQ_REPORT),
     ("dq_duplicates", Q.dq_duplicates, O.SQL_DQ_DUPLICATES),
     ("dq_orphans", Q.dq_orphans, O.SQL_DQ_ORPHANS),
     ("dq_schema", Q.dq_schema, None),
     ("table_inventory", Q.table_inventory, O.SQL_TABLE_INVENTORY),
+    ("layer_summary", Q.layer_summary, O.SQL_LAYER_SUMMARY),
     # ---- sinks and sources, checked on the stored state
     ("csv_roundtrip", W.csv_roundtrip, O.SQL_CSV_ROUNDTRIP),
     ("merge_mart", W.merge_mart_query, O.SQL_MERGE_MART),

@@ -454,3 +454,44 @@ SQL_REFRESH_MART_STREAM = out("season:i driver_id:i points:i races:i wins:i",
                               with_(_DISTINCT_RAW) + """SELECT season, driver_id,
   SUM(points) AS points, count(*) AS races, count_if(finish_position = 1) AS wins
 FROM raw GROUP BY season, driver_id""")
+
+# ---- joins and the engine's own run log ----------------------------------------
+SQL_JOIN_DRIVER_CONSTRUCTOR = out(
+    "race_id:i season:i driver_id:i driver_code:s driver_name:s constructor_id:i "
+    "constructor_name:s finish_position:i points:i", with_(FACTS, RESULTS, DRIVERS, CONSTRUCTORS)
+    + """SELECT r.race_id, r.season, r.driver_id, d.driver_code,
+  d.forename || ' ' || d.surname AS driver_name, r.constructor_id, c.constructor_name,
+  r.finish_position, r.points
+FROM results r LEFT JOIN drivers d ON r.driver_id = d.driver_id
+LEFT JOIN constructors c ON r.constructor_id = c.constructor_id""")
+
+SQL_STAR_RESULTS = out(
+    "race_id:i season:i rule_era:s circuit_id:i circuit_name:s driver_id:i driver_code:s "
+    "constructor_name:s finish_position:i points:i",
+    with_(FACTS, RESULTS, DRIVERS, CONSTRUCTORS) + """SELECT r.race_id, r.season,
+  CASE WHEN r.season < 1996 THEN 'classic' WHEN r.season < 1999 THEN 'transition'
+       ELSE 'modern' END AS rule_era,
+  r.circuit_id, p.p_name AS circuit_name, r.driver_id, d.driver_code, c.constructor_name,
+  r.finish_position, r.points
+FROM results r JOIN part p ON r.circuit_id = p.p_partkey
+JOIN drivers d ON r.driver_id = d.driver_id
+JOIN (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS season FROM orders) s
+  ON r.season = s.season
+JOIN constructors c ON r.constructor_id = c.constructor_id""")
+
+SQL_LAYER_SUMMARY = out("layer:s rows:i tables:i failures:i raw_rows_loaded:i",
+                        with_(FACTS, RESULTS, LAPS) + """,
+log AS (
+  SELECT 'raw' AS layer, count(*) AS rows FROM lineitem
+  UNION ALL SELECT 'raw', count(*) FROM orders
+  UNION ALL SELECT 'raw', count(*) FROM supplier
+  UNION ALL SELECT 'raw', count(*) FROM nation
+  UNION ALL SELECT 'raw', count(*) FROM part
+  UNION ALL SELECT 'raw', count(*) FROM events
+  UNION ALL SELECT 'warehouse', count(*) FROM results
+  UNION ALL SELECT 'warehouse', count(*) FROM laps
+  UNION ALL SELECT 'mart', count(*) FROM (SELECT DISTINCT season, driver_id FROM facts)
+  UNION ALL SELECT 'mart', count(*) FROM (SELECT DISTINCT season, constructor_id FROM results))
+SELECT layer, SUM(rows) AS rows, count(*) AS tables, count_if(rows = 0) AS failures,
+  (SELECT SUM(rows) FROM log WHERE layer = 'raw') AS raw_rows_loaded
+FROM log GROUP BY layer""")

@@ -88,3 +88,29 @@ def dedup_results(m: Model) -> DataFrame:
     """Q27: one result per (race, driver): the first by the full row order."""
     f = m.race_facts()
     return dedup_first(f, ["race_id", "driver_id"])
+
+
+def join_driver_constructor(m: Model) -> DataFrame:
+    """J8 (pipeline stage 5): every result with its driver and constructor by
+    left joins, so the row count is kept (a missing dimension row gives NULL names)."""
+    r = m.results()
+    d = m.drivers().select("driver_id", "driver_code",
+                           full_name("forename", "surname").alias("driver_name"))
+    c = m.constructors()
+    return r.join(d, "driver_id", "left").join(c, "constructor_id", "left").select(
+        "race_id", "season", "driver_id", "driver_code", "driver_name", "constructor_id",
+        "constructor_name", "finish_position", "points")
+
+
+def star_results(m: Model) -> DataFrame:
+    """The results fact joined to its four dimensions (circuits, drivers,
+    seasons, constructors) with inner joins."""
+    from lapforge.operators.joins import star
+    circuits = m.circuits().select("circuit_id", "circuit_name")
+    drivers = m.drivers().select("driver_id", "driver_code")
+    seasons = F.broadcast(m.seasons().withColumnRenamed("season_year", "season"))
+    constructors = m.constructors()
+    return star(m.results(), [(circuits, "circuit_id"), (drivers, "driver_id"),
+                              (seasons, "season"), (constructors, "constructor_id")]) \
+        .select("race_id", "season", "rule_era", "circuit_id", "circuit_name", "driver_id",
+                "driver_code", "constructor_name", "finish_position", "points")

@@ -88,3 +88,36 @@ def table_inventory(m: Model) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def pipeline_run_log(m: Model) -> DataFrame:
+    """The run log of this engine's own pipeline: one row per table with its
+    layer and row count (raw inputs, warehouse facts, marts), status from the
+    count (an empty table is a failed load)."""
+    from lapforge.plans.teams import team_points
+    tables = [
+        ("lineitem.parquet", "raw", m.table("lineitem", "l_orderkey")),
+        ("orders.parquet", "raw", m.table("orders", "o_orderkey")),
+        ("supplier.parquet", "raw", m.table("supplier", "s_suppkey")),
+        ("nation.parquet", "raw", m.table("nation", "n_nationkey")),
+        ("part.parquet", "raw", m.table("part", "p_partkey")),
+        ("events.parquet", "raw", m.table("events", "event_id")),
+        ("fact_race_results", "warehouse", m.results().select("race_id")),
+        ("fact_lap_times", "warehouse", m.laps().select("event_id")),
+        ("agg_season_points", "mart", season_points(m.race_facts())),
+        ("agg_constructor_pts", "mart", team_points(m)),
+    ]
+    out = None
+    for name, layer, df in tables:
+        row = df.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("table"), F.lit(layer).alias("layer"), "rows",
+            F.when(F.col("rows") > 0, "SUCCESS").otherwise("FAILED").alias("status"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def layer_summary(m: Model) -> DataFrame:
+    """O1 on the engine's own run log: rows, tables and failures per layer,
+    and the rows ingested in the raw layer."""
+    from lapforge.plans.ops import layer_summary as summarize
+    return summarize(pipeline_run_log(m))

@@ -125,3 +125,12 @@ def test_text_parsers(spark):
                                 ("1:18", "4,280,000")], "d string, c string")
     got = [tuple(r) for r in df.select(LF.dur_seconds("d"), LF.parse_count("c")).collect()]
     assert got == [(392, 5_400_000), (42, 150_000), (None, None), (78, 4_280_000)]
+
+
+def test_time_and_number_formats(spark):
+    import datetime
+    df = spark.createDataFrame([(datetime.datetime(2024, 1, 15, 8, 0, 1, 123456), 1234567.891)],
+                               "ts timestamp, v double")
+    r = df.select(LF.fmt_time("ts").alias("t"), LF.fmt_num("v", 3).alias("n"),
+                  LF.fmt_thousands("v").alias("k"), LF.to_ms(F.lit(82.3456)).alias("ms")).first()
+    assert (r.t, r.n, r.k, r.ms) == ("08:00:01.123", "1234567.891", "1,234,568", 82346)
