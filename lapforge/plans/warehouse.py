@@ -4,8 +4,8 @@ The reference's platform lands raw tables, builds a star schema
 (``fact_race_results``, ``fact_lap_times``) and serves the dashboards from it.
 Here the same: ``build`` runs the one expensive join (lineitem x orders) and
 the lap numbering once, writes both facts as parquet partitioned by season
-(range-partitioned on (season, driver) inside, so a season filter prunes
-folders and a driver filter skips row groups), and every query scans them.
+(rebalanced on (season, driver) and sorted inside, so a season filter
+prunes folders and a driver filter skips row groups), and every query scans them.
 
 The tables go under the shared ``spark.checkpoint.dir`` (``scratch_path``);
 they are durable, so a lost executor re-reads them instead of recomputing
@@ -33,19 +33,26 @@ def _key(spark: SparkSession, base: str) -> tuple[str, str]:
     return (spark.sparkContext.applicationId, base.rstrip("/"))
 
 
-def _partitions(spark: SparkSession) -> int:
+def _partitions(spark: SparkSession) -> int | None:
     conf = spark.conf.get("lapforge.warehouse.partitions", None)
-    return int(conf) if conf else int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return int(conf) if conf else None
 
 
-def write_fact(df: DataFrame, path: str, partitions: int,
+def write_fact(df: DataFrame, path: str, partitions: int | None = None,
                cluster: tuple[str, ...] = ("driver_id",), split: str = "race_id") -> None:
-    """Range-partition on (season, cluster..., split) so files hold contiguous
-    driver ranges (row-group skipping on driver filters) while ``split`` lets a
-    driver holding a third of a season spread over many files; then write one
-    folder per season."""
+    """Write one folder per season, files sorted by (season, cluster..., split).
+
+    ``REBALANCE`` hash-partitions on (season, cluster...) and lets AQE size the
+    write tasks: a hot key (a driver holding a third of a season) is split
+    into several tasks, small partitions are merged, and no sampling pass over
+    the input is needed (a range repartition would first recompute the join to
+    sample it).  The sort inside each file keeps row groups narrow on the
+    driver key, so driver filters skip row groups.  ``partitions`` (from
+    ``lapforge.warehouse.partitions``) sets the initial hash partition count.
+    """
     keys = ["season", *cluster, split]
-    (df.repartitionByRange(partitions, *keys)
+    hint_args = [*([partitions] if partitions else []), "season", *cluster]
+    (df.hint("rebalance", *hint_args)
      .sortWithinPartitions(*keys)
      .write.mode("overwrite").partitionBy("season").parquet(path))
 
