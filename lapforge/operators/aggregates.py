@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lapforge.operators.joins import scalar_row
 from lapforge.operators.ordering import join_null_safe, sequence_number
 
 
@@ -51,10 +52,9 @@ def pivot_sum(df: DataFrame, index: Sequence[str], column: str, value: str,
 
 
 def share(df: DataFrame, value: str, name: str = "share") -> DataFrame:
-    """Value / total over the frame; the total is a one-row aggregate joined back."""
-    total = df.agg(F.sum(value).alias("_lf_total"))
-    return df.crossJoin(F.broadcast(total)) \
-        .withColumn(name, F.try_divide(F.col(value), F.col("_lf_total"))).drop("_lf_total")
+    """Value / total over the frame; the total is a scalar subquery."""
+    total = scalar_row(df.agg(F.sum(value).alias("total")))["total"]
+    return df.withColumn(name, F.try_divide(F.col(value), total))
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
@@ -93,18 +93,16 @@ def distribution(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return join_null_safe(stats, q, keys, "left")
 
 
-def histogram(df: DataFrame, keys: Sequence[str], value: str, bins: int,
-              lo_hi: DataFrame | None = None) -> DataFrame:
+def histogram(df: DataFrame, keys: Sequence[str], value: str, bins: int) -> DataFrame:
     """Equal-width histogram per group between the global min and max.
 
-    The bounds are a one-row aggregate joined back (J6); the bucket is
+    The bounds are one scalar subquery (J6); the bucket is
     ``least(bins, floor((v - lo) / (hi - lo) * bins) + 1)`` (top edge in the
     last bucket)."""
-    bounds = lo_hi if lo_hi is not None else df.agg(F.min(value).alias("_lf_lo"),
-                                                    F.max(value).alias("_lf_hi"))
-    b = df.filter(F.col(value).isNotNull()).crossJoin(F.broadcast(bounds))
-    width = F.col("_lf_hi") - F.col("_lf_lo")
+    b = df.filter(F.col(value).isNotNull())
+    bounds = scalar_row(b.agg(F.min(value).alias("lo"), F.max(value).alias("hi")))
+    lo, hi = bounds["lo"], bounds["hi"]
     bucket = F.least(F.lit(bins),
-                     F.floor(F.coalesce(F.try_divide(F.col(value) - F.col("_lf_lo"), width),
+                     F.floor(F.coalesce(F.try_divide(F.col(value) - lo, hi - lo),
                                         F.lit(0.0)) * F.lit(float(bins))) + 1).cast("int")
     return b.groupBy(*keys, bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("laps"))

@@ -1,8 +1,8 @@
 """Join building blocks.
 
 Broadcasts are explicit only for frames whose size is bounded by construction
-(one-row aggregates, top-n key lists, the per-partition offset table, the
-calendar-year season dimension).  Every other dimension join is left to the
+(top-n key lists, the per-partition offset table, the calendar-year season
+dimension); one-row aggregates are scalar subqueries.  Every other dimension join is left to the
 planner, whose broadcast decision is a size check (file statistics, then the
 measured shuffle size under AQE against ``spark.sql.autoBroadcastJoinThreshold``);
 above it the join stays sort-merge and AQE splits skewed keys.
@@ -41,7 +41,14 @@ def orphans(fact: DataFrame, key: str, dim: DataFrame, dim_key: str | None = Non
     return fact.join(keys, fact[key] == keys["_lf_k"], "left_anti")
 
 
+def scalar_row(one_row: DataFrame):
+    """A one-row, one-struct-column frame as a scalar subquery Column (its
+    fields are read with ``["name"]``); Spark runs it once and inlines the value."""
+    return one_row.select(F.struct(*one_row.columns).alias("_lf_s")).scalar()
+
+
 def with_max(df: DataFrame, cols: Sequence[str], prefix: str = "max_") -> DataFrame:
-    """Every row next to the global maxima of ``cols`` (one-row aggregate, broadcast)."""
-    mx = df.agg(*[F.max(c).alias(prefix + c) for c in cols])
-    return df.crossJoin(F.broadcast(mx))
+    """Every row next to the global maxima of ``cols`` (a scalar subquery over
+    one aggregate; no join, no unpartitioned window)."""
+    mx = scalar_row(df.agg(*[F.max(c).alias(c) for c in cols]))
+    return df.select("*", *[mx[c].alias(prefix + c) for c in cols])

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lapforge.functions import dur_seconds, parse_count
 from lapforge.operators.aggregates import count_if
+from lapforge.operators.joins import scalar_row
 from lapforge.sources.files import read_lines
 
 
@@ -23,9 +24,9 @@ def layer_summary(log: DataFrame) -> DataFrame:
         F.sum("rows").cast("bigint").alias("rows"),
         F.count(F.lit(1)).alias("tables"),
         count_if(F.col("status") != "SUCCESS").alias("failures"))
-    raw_total = log.filter(F.col("layer") == "raw").agg(
-        F.sum("rows").cast("bigint").alias("raw_rows_loaded"))
-    return per.crossJoin(F.broadcast(raw_total))
+    raw_total = scalar_row(log.filter(F.col("layer") == "raw").agg(
+        F.sum("rows").cast("bigint").alias("rows")))["rows"]
+    return per.withColumn("raw_rows_loaded", raw_total)
 
 
 def step_gaps(log: DataFrame, run_key=None) -> DataFrame:

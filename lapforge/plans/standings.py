@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapforge.functions import full_name
+from lapforge.operators.aggregates import share
 from lapforge.operators.ordering import argmax_row, rank_first, rank_min, top_n
 from lapforge.plans.common import finalize
 from lapforge.plans.model import SEASON, TREND_DRIVERS, Model
@@ -93,10 +94,7 @@ def team_share(m: Model, season: int = SEASON, n: int = 6) -> DataFrame:
     by_team = standings(m, season).groupBy("constructor_id", "team") \
         .agg(F.sum("points").cast("bigint").alias("points"))
     top = top_n(by_team, [F.col("points").desc(), F.col("constructor_id").asc()], n)
-    total = top.agg(F.sum("points").alias("_total"))
-    out = top.crossJoin(F.broadcast(total))  # one-row total: J6 scalar join
-    return finalize(out.select("constructor_id", "team", "points",
-                               F.try_divide(F.col("points"), F.col("_total")).alias("share")))
+    return finalize(share(top, "points").select("constructor_id", "team", "points", "share"))
 
 
 def points_trend(m: Model, drivers=TREND_DRIVERS) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapforge.operators.aggregates import pivot_sum
-from lapforge.operators.joins import semi_topn
+from lapforge.operators.joins import scalar_row, semi_topn
 from lapforge.operators.ordering import top_n, top_n_per_group
 from lapforge.plans.model import SEASON, Model, rule_era
 from lapforge.plans.standings import season_points
@@ -64,15 +64,14 @@ def team_kpis(m: Model, season: int = SEASON) -> DataFrame:
     """Q10: champion team, its points, number of teams and gap to second."""
     t = team_points(m, season)
     ordered = F.struct(F.col("points"), -F.col("constructor_id"))
-    top2 = top_n(t, team_order(), 2)
-    second = top2.agg(F.min("points").alias("_p2"), F.count(F.lit(1)).alias("_n2"))
+    top2 = scalar_row(top_n(t, team_order(), 2)
+                      .agg(F.min("points").alias("p2"), F.count(F.lit(1)).alias("n2")))
     head = t.agg(F.max_by("team", ordered).alias("champion"),
                  F.max("points").alias("winning_points"),
                  F.count(F.lit(1)).alias("teams"))
-    out = head.crossJoin(second)  # two one-row frames
-    return out.select(F.lit(season).alias("season"), "champion", "winning_points", "teams",
-                      F.when(F.col("_n2") > 1, F.col("winning_points") - F.col("_p2"))
-                      .alias("points_gap"))
+    return head.select(F.lit(season).alias("season"), "champion", "winning_points", "teams",
+                       F.when(top2["n2"] > 1, F.col("winning_points") - top2["p2"])
+                       .alias("points_gap"))
 
 
 def top_teams(m: Model, n: int = 5) -> DataFrame:

@@ -1,7 +1,9 @@
 """Synthetic results and laps (S3, S4) with the reference's distributions.
 
-Rows come from ``spark.range`` dimensions cross-joined (small by
-construction: seasons x rounds x entrants); every random draw is a hash of
+Rows come from one ``spark.range`` over seasons x rounds x entrants, whose
+index is split into (season, round, entrant) by integer arithmetic; the small
+entrant and track dimensions join on their keys (equi-joins, broadcast: a
+fixed list).  Every random draw is a hash of
 (seed, row keys, draw name), so the output does not depend on partitioning or
 task order (``rand(seed)`` does).  The reference's Mersenne-Twister stream is
 serial and is not reproduced bit for bit.
@@ -50,11 +52,15 @@ def gen_results(spark: SparkSession, first_season: int = 2010, last_season: int
                 rounds: int = 10, seed: int = 42, partitions: int | None = None) -> DataFrame:
     """S3: seasons x rounds x entrants race results."""
     n = partitions or spark.sparkContext.defaultParallelism
-    seasons = spark.range(first_season, last_season + 1, numPartitions=n) \
-        .select(F.col("id").cast("int").alias("season"))
+    k = len(ENTRANTS)
+    total = (last_season - first_season + 1) * rounds * k
+    idx = spark.range(0, total, numPartitions=n).select(
+        (F.lit(first_season) + F.floor(F.col("id") / (rounds * k))).cast("int").alias("season"),
+        (F.floor(F.col("id") / k) % rounds + 1).cast("int").alias("round"),
+        (F.col("id") % k).cast("int").alias("d_idx"))
     tracks = spark.createDataFrame([(i + 1, t) for i, t in enumerate(TRACKS[:rounds])],
                                    "round int, track string")
-    grid = seasons.crossJoin(F.broadcast(tracks)).crossJoin(F.broadcast(_entrants(spark)))
+    grid = idx.join(F.broadcast(tracks), "round").join(F.broadcast(_entrants(spark)), "d_idx")
     keys = [F.col("season"), F.col("round"), F.col("d_idx")]
     base = F.col("d_idx") * F.lit(POSITION_STEP) + gaussian(seed, F.lit("pos"), *keys,
                                                             sd=POSITION_SD)
@@ -81,9 +87,15 @@ def gen_laps(spark: SparkSession, seasons=(2020, 2021, 2022, 2023, 2024), entran
     """Seasons x first entrants x laps; lap time falls with fuel burn, the
     sectors are drawn on their own (the lap is not their sum)."""
     n = partitions or spark.sparkContext.defaultParallelism
-    lap = spark.range(1, laps + 1, numPartitions=n).select(F.col("id").cast("int").alias("lap"))
-    s = spark.createDataFrame([(x,) for x in seasons], "season int")
-    grid = lap.crossJoin(F.broadcast(s)).crossJoin(F.broadcast(_entrants(spark, entrants)))
+    seasons = list(seasons)
+    total = len(seasons) * entrants * laps
+    idx = spark.range(0, total, numPartitions=n).select(
+        F.floor(F.col("id") / (entrants * laps)).cast("int").alias("s_idx"),
+        (F.floor(F.col("id") / laps) % entrants).cast("int").alias("d_idx"),
+        (F.col("id") % laps + 1).cast("int").alias("lap"))
+    s = spark.createDataFrame(list(enumerate(seasons)), "s_idx int, season int")
+    grid = idx.join(F.broadcast(s), "s_idx").join(F.broadcast(_entrants(spark, entrants)),
+                                                  "d_idx")
     keys = [F.col("season"), F.col("d_idx"), F.col("lap")]
     t = (F.lit(LAP_BASE) + gaussian(seed, F.lit("base"), *keys, sd=LAP_SD)
          - F.lit(FUEL_PER_LAP) * F.col("lap") + gaussian(seed, F.lit("noise"), *keys,
