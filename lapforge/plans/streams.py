@@ -30,7 +30,8 @@ def _landed(m: Model) -> tuple[str, str]:
     base = scratch_path(spark, "stream")
     in_dir, out_dir = f"{base}/incoming", f"{base}/raw"
     _stage_arrivals(m, in_dir)
-    land_stream(spark, in_dir, out_dir, f"{base}/_ckpt_land", delay=HISTORY_DELAY)
+    land_stream(spark, in_dir, out_dir, f"{base}/_ckpt_land", delay=HISTORY_DELAY,
+                files_per_trigger=16)
     return base, out_dir
 
 

@@ -134,3 +134,27 @@ def test_time_and_number_formats(spark):
     r = df.select(LF.fmt_time("ts").alias("t"), LF.fmt_num("v", 3).alias("n"),
                   LF.fmt_thousands("v").alias("k"), LF.to_ms(F.lit(82.3456)).alias("ms")).first()
     assert (r.t, r.n, r.k, r.ms) == ("08:00:01.123", "1234567.891", "1,234,568", 82346)
+
+
+def test_empty_season_kpis_one_row(spark):
+    from lapforge.plans.model import Model
+    from lapforge.plans.standings import season_kpis
+    from lapforge.plans.teams import team_kpis
+    m = Model(spark, "/root/testdata/sf0.001")
+    k = season_kpis(m, 1990).collect()
+    assert len(k) == 1 and k[0].champion is None and k[0].drivers == 0
+    t = team_kpis(m, 1990).collect()
+    assert len(t) == 1 and t[0].champion is None and t[0].teams == 0 and t[0].points_gap is None
+
+
+def test_one_team_season_has_no_gap(spark):
+    from pyspark.sql import functions as F
+
+    from lapforge.operators.ordering import top_n_per_group
+    t = spark.createDataFrame([(2000, 1, 30), (2001, 1, 10), (2001, 2, 12)],
+                              "season int, constructor_id int, points int")
+    top2 = top_n_per_group(t, ["season"], [F.col("points").desc(), F.col("constructor_id")], 2)
+    gap = {r.season: r.gap for r in top2.groupBy("season").agg(
+        (F.max(F.when(F.col("pos") == 1, F.col("points")))
+         - F.max(F.when(F.col("pos") == 2, F.col("points")))).alias("gap")).collect()}
+    assert gap == {2000: None, 2001: 2}
