@@ -158,3 +158,17 @@ def test_one_team_season_has_no_gap(spark):
         (F.max(F.when(F.col("pos") == 1, F.col("points")))
          - F.max(F.when(F.col("pos") == 2, F.col("points")))).alias("gap")).collect()}
     assert gap == {2000: None, 2001: 2}
+
+
+def test_rename_helpers_named_agg_and_tail(spark):
+    from lapforge.operators.aggregates import named_agg
+    from lapforge.operators.clean import rename, rename_all
+    from lapforge.operators.ordering import tail
+    df = spark.createDataFrame([("a", 1), ("a", 3), ("b", None)], "k string, v int")
+    assert rename(df, {"v": "value", "zz": "ignored"}).columns == ["k", "value"]
+    assert rename_all(df, ["Code", "Wins"]).columns == ["Code", "Wins"]
+    got = {r.k: (r.s, r.c, r.n) for r in named_agg(
+        df, ["k"], {"s": ("v", "sum"), "c": ("v", "count"), "n": ("v", "count_star")}).collect()}
+    assert got == {"a": (4, 2, 2), "b": (None, 0, 1)}
+    last = [r.v for r in tail(df.filter("v is not null"), ["v"], 1).collect()]
+    assert last == [3]
