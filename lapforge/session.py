@@ -18,6 +18,12 @@ from pyspark.sql import SparkSession
 # checks says it is below this many bytes; otherwise the join stays sort-merge.
 BROADCAST_BYTES = 32 * 1024 * 1024
 
+# Cluster defaults (applied only where the session leaves them unset): shuffles
+# start from many partitions so a 100 TB join never puts hundreds of GB in one
+# reducer, and AQE coalesces small shuffles back to the advisory size.
+CLUSTER_INITIAL_SHUFFLE_PARTITIONS = 16384
+ADVISORY_PARTITION_BYTES = 256 * 1024 * 1024
+
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "lapforge") -> SparkSession:
@@ -58,10 +64,20 @@ def configure(spark: SparkSession) -> SparkSession:
     conf.set("spark.sql.autoBroadcastJoinThreshold", str(BROADCAST_BYTES))
     conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(BROADCAST_BYTES))
     conf.set("spark.sql.parquet.filterPushdown", "true")
+    if not spark.sparkContext.master.startswith("local"):
+        _set_if_unset(spark, "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                      str(CLUSTER_INITIAL_SHUFFLE_PARTITIONS))
+        _set_if_unset(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+                      str(ADVISORY_PARTITION_BYTES))
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _set_if_unset(spark: SparkSession, key: str, value: str) -> None:
+    if spark.conf.get(key, None) in (None, ""):
+        spark.conf.set(key, value)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only where none is set.
 
