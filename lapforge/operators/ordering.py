@@ -11,11 +11,17 @@ the rows) that is one giant sort.  Instead:
 2. the sorted rows are pinned with ``checkpoint()`` (in the shared
    ``spark.checkpoint.dir``), so every later read sees the same partitions in
    the same order - also after a lost executor;
-3. each row's global position = rows in earlier partitions (a table with one
-   row per partition, hence a proven-size broadcast) + its index in its own
-   partition (from ``monotonically_increasing_id``);
-4. the first position of every group (and of every tie group, for ``rank``)
-   comes from a partially aggregated ``min``; the row number is the difference.
+3. row numbers: while sorting, one ``mapInPandas`` pass numbers each row
+   inside its contiguous key run of its partition (Arrow batches, vectorised
+   pandas).  A run that began in earlier partitions gets a carry: the rows of
+   its key in those partitions.  The carry is read from a table with one row
+   per partition (first key, last key, rows of the last key), hence a
+   proven-size broadcast.  No aggregate or join is as large as the groups;
+4. ranks (``tie_cols``): each row's global position = rows in earlier
+   partitions (same per-partition table) + its index in its partition (from
+   ``monotonically_increasing_id``); the first position of the group and of the
+   tie group comes from a partially aggregated ``min``, and the rank is the
+   difference.  Ranks are used on aggregated tables only (standings).
 
 Windows stay the tool where a group is bounded by construction (e.g. one row
 per season for a constructor, or a top-k of n rows per group).
@@ -49,6 +55,91 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return left.join(r, cond, how).drop(*tmp.values())
 
 
+def _run_index(keys: list[str]):
+    """mapInPandas body: per sorted partition, the 0-based index of each row
+    in its contiguous run of equal keys (NULL equals NULL), whether the row
+    belongs to the partition's first run, and the row's index in the partition."""
+    import numpy as np
+    import pandas as pd
+
+    def number(batches):
+        from pyspark import TaskContext
+        part = TaskContext.get().partitionId()
+        prev_key = None      # key tuple of the last row seen in this partition
+        run_len = 0          # rows of that key seen so far in this partition
+        first_run = True     # still inside the partition's first run
+        seen = 0
+        for pdf in batches:
+            n = len(pdf)
+            if n == 0:
+                continue
+            k = pdf[keys]
+            same_as_prev = ((k == k.shift()) | (k.isna() & k.shift().isna())).all(axis=1)
+            same_as_prev = same_as_prev.to_numpy().copy()
+            if prev_key is None:
+                same_as_prev[0] = False
+            else:
+                head = k.iloc[0]
+                same_as_prev[0] = all(
+                    (pd.isna(a) and pd.isna(b)) or (not pd.isna(a) and not pd.isna(b) and a == b)
+                    for a, b in zip(head.tolist(), prev_key))
+            starts = ~same_as_prev
+            run_id = np.cumsum(starts)           # 0 while the batch continues the previous run
+            pos = np.arange(n)
+            start_pos = np.maximum.accumulate(np.where(starts, pos, 0))
+            idx = pos - start_pos
+            cont = run_id == 0                   # rows continuing the run from earlier batches
+            idx = np.where(cont, idx + run_len, idx)
+            if prev_key is None:
+                in_first = run_id == 1           # the partition's first run
+            else:
+                in_first = (run_id == 0) & first_run
+            out = pdf.copy()
+            out["_lf_part"] = np.int64(part)
+            out["_lf_gi"] = idx.astype("int64")
+            out["_lf_first"] = in_first
+            out["_lf_local"] = (pos + seen).astype("int64")
+            yield out
+            last = k.iloc[n - 1].tolist()
+            tail_len = int(idx[-1]) + 1
+            first_run = bool(in_first[-1])
+            prev_key, run_len = last, tail_len
+            seen += n
+    return number
+
+
+def _row_number_by_runs(df: DataFrame, keys: list[str], order: Sequence,
+                        name: str) -> DataFrame:
+    from pyspark.sql import types as T
+    schema = T.StructType(df.schema.fields + [
+        T.StructField("_lf_part", T.LongType()), T.StructField("_lf_gi", T.LongType()),
+        T.StructField("_lf_first", T.BooleanType()), T.StructField("_lf_local", T.LongType())])
+    pinned = (df.orderBy(*[F.col(k) for k in keys], *[_col(o) for o in order])
+              .mapInPandas(_run_index(keys), schema)
+              .checkpoint(eager=True))
+    key = F.struct(*[F.col(k) for k in keys])
+    # one row per sorted partition: its first key, last key and rows of the last key
+    parts = pinned.groupBy("_lf_part").agg(
+        F.max(F.when(F.col("_lf_first"), key)).alias("_lf_fk"),
+        F.max_by(key, F.col("_lf_local")).alias("_lf_lk"),
+        (F.max_by(F.col("_lf_gi"), F.col("_lf_local")) + 1).alias("_lf_ln"))
+    # rows of a key in earlier partitions: running sum of "rows of the last key"
+    # over the partitions ending in that key (they are consecutive: rows are sorted)
+    by_last = Window.partitionBy("_lf_lk").orderBy("_lf_part") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    prev = Window.orderBy("_lf_part")  # over the per-partition table only
+    carry = parts.select("_lf_part", "_lf_fk", "_lf_lk",
+                         F.sum("_lf_ln").over(by_last).alias("_lf_cum"))
+    carry = carry.select(
+        "_lf_part",
+        F.when(F.lag("_lf_lk").over(prev).eqNullSafe(F.col("_lf_fk")),
+               F.lag("_lf_cum").over(prev)).otherwise(F.lit(0)).alias("_lf_carry"))
+    out = pinned.join(F.broadcast(carry), "_lf_part")
+    seq = F.col("_lf_gi") + 1 + F.when(F.col("_lf_first"), F.col("_lf_carry")).otherwise(0)
+    return out.withColumn(name, seq.cast("int")) \
+        .drop("_lf_part", "_lf_gi", "_lf_first", "_lf_local", "_lf_carry")
+
+
 def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence,
                     name: str = "seq", tie_cols: Sequence[str] | None = None,
                     rank_name: str | None = None) -> DataFrame:
@@ -60,6 +151,8 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence,
     """
     keys = list(keys)
     ensure_checkpoint_dir(df.sparkSession)
+    if not tie_cols:
+        return _row_number_by_runs(df, keys, order, name)
     pinned = (df.orderBy(*[F.col(k) for k in keys], *[_col(o) for o in order])
               .withColumn("_lf_mid", F.monotonically_increasing_id())
               .checkpoint(eager=True))
