@@ -11,17 +11,14 @@ the rows) that is one giant sort.  Instead:
 2. the sorted rows are pinned with ``checkpoint()`` (in the shared
    ``spark.checkpoint.dir``), so every later read sees the same partitions in
    the same order - also after a lost executor;
-3. row numbers: while sorting, one ``mapInPandas`` pass numbers each row
-   inside its contiguous key run of its partition (Arrow batches, vectorised
-   pandas).  A run that began in earlier partitions gets a carry: the rows of
-   its key in those partitions.  The carry is read from a table with one row
-   per partition (first key, last key, rows of the last key), hence a
-   proven-size broadcast.  No aggregate or join is as large as the groups;
-4. ranks (``tie_cols``): each row's global position = rows in earlier
-   partitions (same per-partition table) + its index in its partition (from
-   ``monotonically_increasing_id``); the first position of the group and of the
-   tie group comes from a partially aggregated ``min``, and the rank is the
-   difference.  Ranks are used on aggregated tables only (standings).
+3. while sorting, one ``mapInPandas`` pass numbers each row inside its
+   contiguous key run of its partition (Arrow batches, vectorised pandas);
+   for ``rank`` also inside its run of equal (key, tie) values;
+4. a run that began in earlier partitions gets a carry: the rows of its value
+   in those partitions, read from a table with one row per partition (first
+   value, last value, rows of the last value), hence a proven-size broadcast.
+   Row number = index in the key run + 1; rank = row number - index in the
+   tie run.  No aggregate or join is as large as the groups.
 
 Windows stay the tool where a group is bounded by construction (e.g. one row
 per season for a constructor, or a top-k of n rows per group).
@@ -36,9 +33,6 @@ from pyspark.sql import functions as F
 
 from lapforge.session import ensure_checkpoint_dir
 
-_LOCAL_BITS = 33  # monotonically_increasing_id: partition id << 33 | row index
-
-
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -55,89 +49,80 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return left.join(r, cond, how).drop(*tmp.values())
 
 
-def _run_index(keys: list[str]):
-    """mapInPandas body: per sorted partition, the 0-based index of each row
-    in its contiguous run of equal keys (NULL equals NULL), whether the row
-    belongs to the partition's first run, and the row's index in the partition."""
+def _same_as_previous(k, prev_key) -> "np.ndarray":
+    """Per row: equal (NULL = NULL) to the row before; row 0 against ``prev_key``."""
     import numpy as np
     import pandas as pd
+    same = ((k == k.shift()) | (k.isna() & k.shift().isna())).all(axis=1).to_numpy().copy()
+    if prev_key is None:
+        same[0] = False
+    else:
+        same[0] = all((pd.isna(a) and pd.isna(b)) or
+                      (not pd.isna(a) and not pd.isna(b) and a == b)
+                      for a, b in zip(k.iloc[0].tolist(), prev_key))
+    return np.asarray(same, dtype=bool)
+
+
+def _run_index(levels: list[list[str]]):
+    """mapInPandas body over one sorted partition.
+
+    For each level (a list of columns; e.g. the group keys, then keys + tie
+    columns) every row gets its 0-based index inside its contiguous run of equal
+    values in this partition (``_lf_i<L>``) and whether it belongs to the
+    partition's first run (``_lf_f<L>``); ``_lf_local`` is the row's index in
+    the partition.  Runs continue across Arrow batches."""
+    import numpy as np
 
     def number(batches):
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
-        prev_key = None      # key tuple of the last row seen in this partition
-        run_len = 0          # rows of that key seen so far in this partition
-        first_run = True     # still inside the partition's first run
+        state = [dict(prev=None, run_len=0, first=True) for _ in levels]
         seen = 0
         for pdf in batches:
             n = len(pdf)
             if n == 0:
                 continue
-            k = pdf[keys]
-            same_as_prev = ((k == k.shift()) | (k.isna() & k.shift().isna())).all(axis=1)
-            same_as_prev = same_as_prev.to_numpy().copy()
-            if prev_key is None:
-                same_as_prev[0] = False
-            else:
-                head = k.iloc[0]
-                same_as_prev[0] = all(
-                    (pd.isna(a) and pd.isna(b)) or (not pd.isna(a) and not pd.isna(b) and a == b)
-                    for a, b in zip(head.tolist(), prev_key))
-            starts = ~same_as_prev
-            run_id = np.cumsum(starts)           # 0 while the batch continues the previous run
-            pos = np.arange(n)
-            start_pos = np.maximum.accumulate(np.where(starts, pos, 0))
-            idx = pos - start_pos
-            cont = run_id == 0                   # rows continuing the run from earlier batches
-            idx = np.where(cont, idx + run_len, idx)
-            if prev_key is None:
-                in_first = run_id == 1           # the partition's first run
-            else:
-                in_first = (run_id == 0) & first_run
             out = pdf.copy()
+            pos = np.arange(n)
+            for li, cols in enumerate(levels):
+                st = state[li]
+                k = pdf[cols]
+                starts = ~_same_as_previous(k, st["prev"])
+                run_id = np.cumsum(starts)       # 0: rows continuing the previous batch's run
+                idx = pos - np.maximum.accumulate(np.where(starts, pos, 0))
+                idx = np.where(run_id == 0, idx + st["run_len"], idx)
+                first = (run_id == 1) if st["prev"] is None else ((run_id == 0) & st["first"])
+                out[f"_lf_i{li}"] = idx.astype("int64")
+                out[f"_lf_f{li}"] = first
+                st["prev"] = k.iloc[n - 1].tolist()
+                st["run_len"] = int(idx[-1]) + 1
+                st["first"] = bool(first[-1])
             out["_lf_part"] = np.int64(part)
-            out["_lf_gi"] = idx.astype("int64")
-            out["_lf_first"] = in_first
             out["_lf_local"] = (pos + seen).astype("int64")
-            yield out
-            last = k.iloc[n - 1].tolist()
-            tail_len = int(idx[-1]) + 1
-            first_run = bool(in_first[-1])
-            prev_key, run_len = last, tail_len
             seen += n
+            yield out
     return number
 
 
-def _row_number_by_runs(df: DataFrame, keys: list[str], order: Sequence,
-                        name: str) -> DataFrame:
-    from pyspark.sql import types as T
-    schema = T.StructType(df.schema.fields + [
-        T.StructField("_lf_part", T.LongType()), T.StructField("_lf_gi", T.LongType()),
-        T.StructField("_lf_first", T.BooleanType()), T.StructField("_lf_local", T.LongType())])
-    pinned = (df.orderBy(*[F.col(k) for k in keys], *[_col(o) for o in order])
-              .mapInPandas(_run_index(keys), schema)
-              .checkpoint(eager=True))
-    key = F.struct(*[F.col(k) for k in keys])
-    # one row per sorted partition: its first key, last key and rows of the last key
+def _carry(pinned: DataFrame, cols: list[str], li: int) -> DataFrame:
+    """Per sorted partition: rows of its first run's value that sit in earlier
+    partitions.  From one row per partition (first value, last value, rows of
+    the last value): those earlier rows are the running sum of "rows of the last
+    value" over the consecutive partitions that end in that value."""
+    val = F.struct(*[F.col(c) for c in cols])
     parts = pinned.groupBy("_lf_part").agg(
-        F.max(F.when(F.col("_lf_first"), key)).alias("_lf_fk"),
-        F.max_by(key, F.col("_lf_local")).alias("_lf_lk"),
-        (F.max_by(F.col("_lf_gi"), F.col("_lf_local")) + 1).alias("_lf_ln"))
-    # rows of a key in earlier partitions: running sum of "rows of the last key"
-    # over the partitions ending in that key (they are consecutive: rows are sorted)
-    by_last = Window.partitionBy("_lf_lk").orderBy("_lf_part") \
+        F.max(F.when(F.col(f"_lf_f{li}"), val)).alias("_lf_fv"),
+        F.max_by(val, F.col("_lf_local")).alias("_lf_lv"),
+        (F.max_by(F.col(f"_lf_i{li}"), F.col("_lf_local")) + 1).alias("_lf_ln"))
+    by_last = Window.partitionBy("_lf_lv").orderBy("_lf_part") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     prev = Window.orderBy("_lf_part")  # over the per-partition table only
-    carry = parts.select("_lf_part", "_lf_fk", "_lf_lk",
-                         F.sum("_lf_ln").over(by_last).alias("_lf_cum"))
-    carry = carry.select(
+    cum = parts.select("_lf_part", "_lf_fv", "_lf_lv",
+                       F.sum("_lf_ln").over(by_last).alias("_lf_cum"))
+    return cum.select(
         "_lf_part",
-        F.when(F.lag("_lf_lk").over(prev).eqNullSafe(F.col("_lf_fk")),
-               F.lag("_lf_cum").over(prev)).otherwise(F.lit(0)).alias("_lf_carry"))
-    out = pinned.join(F.broadcast(carry), "_lf_part")
-    seq = F.col("_lf_gi") + 1 + F.when(F.col("_lf_first"), F.col("_lf_carry")).otherwise(0)
-    return out.withColumn(name, seq.cast("int")) \
-        .drop("_lf_part", "_lf_gi", "_lf_first", "_lf_local", "_lf_carry")
+        F.when(F.lag("_lf_lv").over(prev).eqNullSafe(F.col("_lf_fv")),
+               F.lag("_lf_cum").over(prev)).otherwise(F.lit(0)).alias(f"_lf_c{li}"))
 
 
 def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence,
@@ -149,37 +134,31 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence,
     with ``tie_cols`` also adds ``rank()`` (ties share the lowest number, gaps
     follow) as ``rank_name``, the ties being rows equal on ``tie_cols``.
     """
+    from pyspark.sql import types as T
     keys = list(keys)
     ensure_checkpoint_dir(df.sparkSession)
-    if not tie_cols:
-        return _row_number_by_runs(df, keys, order, name)
+    levels = [keys] + ([keys + [t for t in tie_cols if t not in keys]] if tie_cols else [])
+    extra = [T.StructField("_lf_part", T.LongType()), T.StructField("_lf_local", T.LongType())]
+    for li in range(len(levels)):
+        extra += [T.StructField(f"_lf_i{li}", T.LongType()),
+                  T.StructField(f"_lf_f{li}", T.BooleanType())]
     pinned = (df.orderBy(*[F.col(k) for k in keys], *[_col(o) for o in order])
-              .withColumn("_lf_mid", F.monotonically_increasing_id())
+              .mapInPandas(_run_index(levels), T.StructType(df.schema.fields + extra))
               .checkpoint(eager=True))
-    part = F.shiftright(F.col("_lf_mid"), _LOCAL_BITS)
-    local = F.col("_lf_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
-    # One row per sorted partition: bounded by the partition count, not the data.
-    sizes = pinned.groupBy(part.alias("_lf_part")).agg(F.count(F.lit(1)).alias("_lf_n"))
-    before = Window.orderBy("_lf_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_lf_part",
-                           F.coalesce(F.sum("_lf_n").over(before), F.lit(0)).alias("_lf_off"))
-    pos = (pinned.withColumn("_lf_part", part)
-           .join(F.broadcast(offsets), "_lf_part")
-           .withColumn("_lf_gpos", F.col("_lf_off") + local)
-           .drop("_lf_part", "_lf_off", "_lf_mid"))
+    out = pinned
+    for li, cols in enumerate(levels):
+        # one row per partition: a proven-size broadcast
+        out = out.join(F.broadcast(_carry(pinned, cols, li)), "_lf_part")
+
+    def global_index(li):
+        return F.col(f"_lf_i{li}") + F.when(F.col(f"_lf_f{li}"), F.col(f"_lf_c{li}")) \
+            .otherwise(F.lit(0))
+
+    out = out.withColumn(name, (global_index(0) + 1).cast("int"))
     if tie_cols:
-        tie_keys = keys + [t for t in tie_cols if t not in keys]
-        ties = pos.groupBy(*tie_keys).agg(F.min("_lf_gpos").alias("_lf_tstart"))
-        starts = ties.groupBy(*keys).agg(F.min("_lf_tstart").alias("_lf_start"))
-        firsts = join_null_safe(ties, starts, keys)
-        out = join_null_safe(pos, firsts, tie_keys)
-        out = out.withColumn(rank_name or "rank",
-                             (F.col("_lf_tstart") - F.col("_lf_start") + 1).cast("int"))
-    else:
-        starts = pos.groupBy(*keys).agg(F.min("_lf_gpos").alias("_lf_start"))
-        out = join_null_safe(pos, starts, keys)
-    out = out.withColumn(name, (F.col("_lf_gpos") - F.col("_lf_start") + 1).cast("int"))
-    return out.drop("_lf_gpos", "_lf_start", "_lf_tstart")
+        # rank = row number of the first row of the tie run
+        out = out.withColumn(rank_name or "rank", (F.col(name) - global_index(1)).cast("int"))
+    return out.drop(*[f.name for f in extra], *[f"_lf_c{li}" for li in range(len(levels))])
 
 
 def rank_first(df: DataFrame, by: Sequence[str], order: Sequence,

@@ -107,3 +107,25 @@ def test_row_number_two_keys_with_nulls(spark):
     w = Window.partitionBy("a", "b").orderBy(F.col("id").desc())
     want = df.withColumn("rn", F.row_number().over(w))
     assert sorted(got.select("id", "rn").collect()) == sorted(want.select("id", "rn").collect())
+
+
+def test_rank_when_tie_runs_span_partitions_and_batches(spark):
+    rnd = random.Random(3)
+    rows = [(0 if rnd.random() < 0.6 else rnd.randint(1, 4), rnd.randint(0, 2), i)
+            for i in range(12000)]
+    df = spark.createDataFrame(rows, "g int, pts int, id int").repartition(7)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    try:
+        got = rank_min(df, ["g"], [F.col("pts").desc(), F.col("id")], ["pts"], name="rk")
+        seq = sequence_number(df, ["g"], [F.col("pts").desc(), F.col("id")], name="rn",
+                              tie_cols=["pts"], rank_name="rk")
+        w = Window.partitionBy("g").orderBy(F.col("pts").desc())
+        want = df.withColumn("rk", F.rank().over(w)).withColumn(
+            "rn", F.row_number().over(Window.partitionBy("g").orderBy(F.col("pts").desc(),
+                                                                      F.col("id"))))
+        assert sorted(got.select("id", "rk").collect()) == \
+            sorted(want.select("id", "rk").collect())
+        assert sorted(seq.select("id", "rn", "rk").collect()) == \
+            sorted(want.select("id", "rn", "rk").collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
