@@ -53,14 +53,6 @@ def driver_standings(m: Model, season: int | None = None) -> DataFrame:
     return ranked.select(*STANDINGS_COLS)
 
 
-def team_standings(m: Model, season: int | None = None) -> DataFrame:
-    """Q2: points per season and constructor."""
-    pts = season_points(m.results(season), ["season", "constructor_id"])
-    c = m.constructors().withColumnRenamed("constructor_name", "team")
-    return pts.join(c, "constructor_id", "left").select("season", "constructor_id", "team",
-                                                       "points")
-
-
 def season_kpis(m: Model, season: int = SEASON) -> DataFrame:
     """Q3: champion, its points, drivers and constructors of one season.
 

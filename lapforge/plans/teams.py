@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from lapforge.operators.aggregates import pivot_sum
 from lapforge.operators.joins import scalar_row, semi_topn
-from lapforge.operators.ordering import top_n, top_n_per_group
-from lapforge.plans.model import SEASON, Model, rule_era
+from lapforge.operators.ordering import n_largest, top_n, top_n_per_group
+from lapforge.plans.model import SEASON, Model
 from lapforge.plans.standings import season_points
 
 
@@ -78,7 +78,7 @@ def top_teams(m: Model, n: int = 5) -> DataFrame:
     """A17 + K4: the ``n`` constructors with most points over all seasons."""
     totals = team_points(m).groupBy("constructor_id") \
         .agg(F.sum("points").cast("bigint").alias("points"))
-    return top_n(totals, team_order(), n).select("constructor_id")
+    return n_largest(totals, "points", "constructor_id", n).select("constructor_id")
 
 
 def team_trend(m: Model, n: int = 5) -> DataFrame:
@@ -121,7 +121,3 @@ def mart_constructor_trend(m: Model) -> DataFrame:
         F.col("points").alias("pts"),
         F.rank().over(by_season).alias("rank"),
         (F.col("points") - F.lag("points").over(by_team)).alias("yoy_delta"))
-
-
-def with_rule_era(df: DataFrame, season: str = "season") -> DataFrame:
-    return df.withColumn("rule_era", rule_era(season))

@@ -172,3 +172,10 @@ def test_rename_helpers_named_agg_and_tail(spark):
     assert got == {"a": (4, 2, 2), "b": (None, 0, 1)}
     last = [r.v for r in tail(df.filter("v is not null"), ["v"], 1).collect()]
     assert last == [3]
+
+
+def test_dedup_any_keeps_one_row_per_key(spark):
+    from lapforge.operators.clean import dedup_any
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
+    rows = dedup_any(df, ["k"]).collect()
+    assert sorted(r.k for r in rows) == [1, 2]
