@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapforge.functions import fmt_num, round_even, to_ms
-from lapforge.operators.aggregates import distribution, histogram, mean_of
+from lapforge.operators.aggregates import distinct_count, distribution, histogram, mean_of
 from lapforge.operators.joins import semi_topn
 from lapforge.operators.ordering import first_keys
 from lapforge.plans.model import LAP_SEASON, Model
@@ -18,11 +18,13 @@ from lapforge.plans.model import LAP_SEASON, Model
 FUEL_SLOPE = 0.03  # fixed value: seconds of fuel effect per lap in the reference's model
 
 
-def lap_kpis(m: Model, season: int = LAP_SEASON) -> DataFrame:
-    """Q13: fastest and mean lap, laps sampled, drivers; with ``%.3f`` text."""
+def lap_kpis(m: Model, season: int = LAP_SEASON, approx_rsd: float | None = None) -> DataFrame:
+    """Q13: fastest and mean lap, laps sampled, drivers; with ``%.3f`` text.
+    ``approx_rsd`` counts drivers with a HyperLogLog sketch instead."""
     laps = m.laps(season)
     out = laps.agg(F.min("lap_time").alias("fastest_lap"), F.avg("lap_time").alias("avg_lap"),
-                   F.count(F.lit(1)).alias("laps"), F.countDistinct("driver_id").alias("drivers"))
+                   F.count(F.lit(1)).alias("laps"),
+                   distinct_count("driver_id", approx_rsd).alias("drivers"))
     return out.select(F.lit(season).alias("season"), "fastest_lap", "avg_lap", "laps", "drivers",
                       fmt_num("fastest_lap", 3).alias("fastest_txt"),
                       fmt_num("avg_lap", 3).alias("avg_txt"))
@@ -36,9 +38,10 @@ def lap_progression(m: Model, season: int = LAP_SEASON, n: int = 5) -> DataFrame
         .orderBy("driver_id", "lap")
 
 
-def lap_distribution(m: Model, season: int = LAP_SEASON) -> DataFrame:
+def lap_distribution(m: Model, season: int = LAP_SEASON,
+                     approx_accuracy: int | None = None) -> DataFrame:
     """Q15: per driver count, min, quartiles (linear interpolation), max, mean."""
-    return distribution(m.laps(season), ["driver_id"], "lap_time")
+    return distribution(m.laps(season), ["driver_id"], "lap_time", approx_accuracy)
 
 
 def lap_histogram(m: Model, season: int = LAP_SEASON, bins: int = 10) -> DataFrame:

@@ -179,3 +179,19 @@ def test_dedup_any_keeps_one_row_per_key(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
     rows = dedup_any(df, ["k"]).collect()
     assert sorted(r.k for r in rows) == [1, 2]
+
+
+def test_approximate_options_close_to_exact(spark):
+    import random
+
+    from lapforge.operators.aggregates import distinct_count, distribution
+    rnd = random.Random(5)
+    df = spark.createDataFrame([(i % 3, rnd.random() * 100) for i in range(3000)],
+                               "g int, v double")
+    exact = {r.g: r for r in distribution(df, ["g"], "v").collect()}
+    approx = {r.g: r for r in distribution(df, ["g"], "v", approx_accuracy=10000).collect()}
+    for g in exact:
+        assert abs(exact[g].median - approx[g].median) < 1.0
+        assert exact[g].n == approx[g].n
+    n = df.agg(distinct_count("v").alias("e"), distinct_count("v", 0.01).alias("a")).first()
+    assert abs(n.a - n.e) / n.e < 0.05
