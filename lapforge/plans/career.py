@@ -74,11 +74,17 @@ def mart_driver_career(m: Model) -> DataFrame:
     """Q21: seasons, races, wins, podiums and championships per driver."""
     f = m.race_facts()
     pos = F.col("finish_position")
-    stats = f.groupBy("driver_id").agg(
-        F.countDistinct("season").alias("seasons"),
+    # two levels instead of count(distinct season) next to other aggregates
+    # (which would expand every fact row): per (driver, season), then per driver
+    per_season = f.groupBy("driver_id", "season").agg(
         F.count(F.lit(1)).alias("races"),
         count_if(pos == 1).alias("wins"),
-        count_if(pos <= 3).alias("podiums"),
+        count_if(pos <= 3).alias("podiums"))
+    stats = per_season.groupBy("driver_id").agg(
+        F.count(F.lit(1)).alias("seasons"),
+        F.sum("races").cast("bigint").alias("races"),
+        F.sum("wins").cast("bigint").alias("wins"),
+        F.sum("podiums").cast("bigint").alias("podiums"),
     )
     titles = season_winners(m).groupBy("driver_id") \
         .agg(F.count(F.lit(1)).alias("championships"))

@@ -22,9 +22,19 @@ def lap_kpis(m: Model, season: int = LAP_SEASON, approx_rsd: float | None = None
     """Q13: fastest and mean lap, laps sampled, drivers; with ``%.3f`` text.
     ``approx_rsd`` counts drivers with a HyperLogLog sketch instead."""
     laps = m.laps(season)
-    out = laps.agg(F.min("lap_time").alias("fastest_lap"), F.avg("lap_time").alias("avg_lap"),
-                   F.count(F.lit(1)).alias("laps"),
-                   distinct_count("driver_id", approx_rsd).alias("drivers"))
+    if approx_rsd:
+        out = laps.agg(F.min("lap_time").alias("fastest_lap"),
+                       F.avg("lap_time").alias("avg_lap"), F.count(F.lit(1)).alias("laps"),
+                       distinct_count("driver_id", approx_rsd).alias("drivers"))
+    else:
+        # exact distinct drivers without expanding every lap row: per driver, then total
+        per = laps.groupBy("driver_id").agg(
+            F.min("lap_time").alias("mn"), F.sum("lap_time").alias("sm"),
+            F.count("lap_time").alias("nv"), F.count(F.lit(1)).alias("n"))
+        out = per.agg(F.min("mn").alias("fastest_lap"),
+                      F.try_divide(F.sum("sm"), F.sum("nv")).alias("avg_lap"),
+                      F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("laps"),
+                      F.count("driver_id").alias("drivers"))
     return out.select(F.lit(season).alias("season"), "fastest_lap", "avg_lap", "laps", "drivers",
                       fmt_num("fastest_lap", 3).alias("fastest_txt"),
                       fmt_num("avg_lap", 3).alias("avg_txt"))

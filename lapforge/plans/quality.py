@@ -64,8 +64,16 @@ def dq_schema(m: Model) -> DataFrame:
 
 
 def _inventory_row(df: DataFrame, table: str, layer: str, grain: list[str]) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("rows"),
-                  F.countDistinct(*[F.col(g) for g in grain]).alias("distinct_grain")) \
+    """Rows and distinct grain keys in one two-level aggregate (rows per grain
+    key, then totals) instead of count + count(distinct), which expands rows.
+    Keys with a NULL part are not counted as distinct keys (as count(distinct))."""
+    per_key = df.groupBy(*grain).agg(F.count(F.lit(1)).alias("_lf_n"))
+    not_null = None
+    for g in grain:
+        c = F.col(g).isNotNull()
+        not_null = c if not_null is None else not_null & c
+    return per_key.agg(F.coalesce(F.sum("_lf_n"), F.lit(0)).cast("bigint").alias("rows"),
+                       F.count_if(not_null).alias("distinct_grain")) \
         .select(F.lit(table).alias("table"), F.lit(layer).alias("layer"), "rows",
                 F.lit(" + ".join(grain)).alias("grain"), "distinct_grain",
                 (F.col("rows") == F.col("distinct_grain")).alias("grain_unique"))

@@ -42,6 +42,8 @@ def summarize(text: str) -> dict:
         "windows": windows,
         "cartesian": sum("CartesianProduct" in ln or "BroadcastNestedLoopJoin" in ln
                          for ln in lines),
+        "expand": sum(ln.strip().startswith(("Expand", "+- Expand", ":- Expand"))
+                      or "Expand [" in ln for ln in lines),
         "python": sum("MapInPandas" in ln or "ArrowEvalPython" in ln or "BatchEvalPython" in ln
                       for ln in lines),
     }
