@@ -49,20 +49,6 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return left.join(r, cond, how).drop(*tmp.values())
 
 
-def _same_as_previous(k, prev_key) -> "np.ndarray":
-    """Per row: equal (NULL = NULL) to the row before; row 0 against ``prev_key``."""
-    import numpy as np
-    import pandas as pd
-    same = ((k == k.shift()) | (k.isna() & k.shift().isna())).all(axis=1).to_numpy().copy()
-    if prev_key is None:
-        same[0] = False
-    else:
-        same[0] = all((pd.isna(a) and pd.isna(b)) or
-                      (not pd.isna(a) and not pd.isna(b) and a == b)
-                      for a, b in zip(k.iloc[0].tolist(), prev_key))
-    return np.asarray(same, dtype=bool)
-
-
 def _run_index(levels: list[list[str]]):
     """mapInPandas body over one sorted partition.
 
@@ -70,11 +56,31 @@ def _run_index(levels: list[list[str]]):
     columns) every row gets its 0-based index inside its contiguous run of equal
     values in this partition (``_lf_i<L>``) and whether it belongs to the
     partition's first run (``_lf_f<L>``); ``_lf_local`` is the row's index in
-    the partition.  Runs continue across Arrow batches."""
-    import numpy as np
+    the partition.  Runs continue across Arrow batches.
+
+    The returned function is self-contained (its helpers and imports live
+    inside it), so it is shipped to the Python workers by value and needs no
+    import of this package there.
+    """
+    levels = [list(cols) for cols in levels]
 
     def number(batches):
+        import numpy as np
+        import pandas as pd
         from pyspark import TaskContext
+
+        def same_as_previous(k, prev_key):
+            """Per row: equal (NULL = NULL) to the row before; row 0 against ``prev_key``."""
+            same = ((k == k.shift()) | (k.isna() & k.shift().isna())).all(axis=1)
+            same = np.asarray(same.to_numpy(), dtype=bool).copy()
+            if prev_key is None:
+                same[0] = False
+            else:
+                same[0] = all((pd.isna(a) and pd.isna(b)) or
+                              (not pd.isna(a) and not pd.isna(b) and a == b)
+                              for a, b in zip(k.iloc[0].tolist(), prev_key))
+            return same
+
         part = TaskContext.get().partitionId()
         state = [dict(prev=None, run_len=0, first=True) for _ in levels]
         seen = 0
@@ -87,7 +93,7 @@ def _run_index(levels: list[list[str]]):
             for li, cols in enumerate(levels):
                 st = state[li]
                 k = pdf[cols]
-                starts = ~_same_as_previous(k, st["prev"])
+                starts = ~same_as_previous(k, st["prev"])
                 run_id = np.cumsum(starts)       # 0: rows continuing the previous batch's run
                 idx = pos - np.maximum.accumulate(np.where(starts, pos, 0))
                 idx = np.where(run_id == 0, idx + st["run_len"], idx)
