@@ -170,6 +170,20 @@ class Model:
             yr = o.select(F.year("o_orderdate").cast("int").alias("season_year")).distinct()
         return yr.withColumn("rule_era", rule_era("season_year"))
 
+    def season_list(self) -> list[int]:
+        """The seasons raced, ascending (bounded by the calendar).  From the
+        warehouse this is metadata: the season folders of the fact's file
+        index, no Spark job."""
+        if self.warehouse:
+            import re
+            from lapforge.plans import warehouse as wh
+            files = wh.read_fact(self, wh.FACT_RESULTS).inputFiles()
+            found = {int(m.group(1)) for f in files
+                     for m in [re.search(r"/season=(-?\d+)/", f)] if m}
+            return sorted(found)
+        return [r[0] for r in self.seasons().select("season_year").orderBy("season_year")
+                .collect()]
+
     # ---- laps ----------------------------------------------------------------
     def laps(self, season: int | None = None, with_lap: bool = False) -> DataFrame:
         """Lap rows: event, time, season, driver, lap time, sectors (and ``lap``)."""

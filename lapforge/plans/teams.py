@@ -95,9 +95,10 @@ def season_top_teams(m: Model, season: int = SEASON, n: int = 8) -> DataFrame:
 def team_matrix(m: Model, n: int = 5) -> DataFrame:
     """Q12: constructor x season points matrix of the top ``n`` (absent cell = 0).
 
-    Pivot values are the seasons of the season dimension (bounded by the
-    calendar), so the pivot is one aggregate without a discovery job."""
-    seasons = [r[0] for r in m.seasons().select("season_year").orderBy("season_year").collect()]
+    Pivot values are the seasons raced (bounded by the calendar; read from the
+    warehouse's season folders), so the pivot is one aggregate without a
+    discovery job."""
+    seasons = m.season_list()
     t = semi_topn(team_points(m), "constructor_id", top_teams(m, n))
     return pivot_sum(t, ["constructor_id", "team"], "season", "points", seasons)
 

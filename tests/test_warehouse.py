@@ -26,3 +26,8 @@ def test_laps_fact_equals_raw(spark):
 def test_seasons_dimension_equal(spark):
     wh, raw = Model(spark, SF), Model(spark, SF, warehouse=False)
     assert _rows(wh.seasons()) == _rows(raw.seasons())
+
+
+def test_season_list_from_folders(spark):
+    wh, raw = Model(spark, SF), Model(spark, SF, warehouse=False)
+    assert wh.season_list() == raw.season_list() == list(range(1995, 2002))
