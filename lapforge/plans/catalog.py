@@ -83,7 +83,7 @@ _REG = [
     ("dq_report", Q.dq_report, O.SQL_DQ_REPORT),
     ("dq_duplicates", Q.dq_duplicates, O.SQL_DQ_DUPLICATES),
     ("dq_orphans", Q.dq_orphans, O.SQL_DQ_ORPHANS),
-    ("dq_schema", Q.dq_schema, None),
+    ("dq_schema", Q.dq_schema, O.SQL_DQ_SCHEMA),
     ("table_inventory", Q.table_inventory, O.SQL_TABLE_INVENTORY),
     ("layer_summary", Q.layer_summary, O.SQL_LAYER_SUMMARY),
     # ---- sinks and sources, checked on the stored state

@@ -495,3 +495,32 @@ log AS (
 SELECT layer, SUM(rows) AS rows, count(*) AS tables, count_if(rows = 0) AS failures,
   (SELECT SUM(rows) FROM log WHERE layer = 'raw') AS raw_rows_loaded
 FROM log GROUP BY layer""")
+
+# ---- schema check (D8) ------------------------------------------------------------
+# (column, declared, Spark type of the mapped fact column, DuckDB type to try)
+_SCHEMA_ROWS = [
+    ("race_id", "int", "bigint", "INTEGER"),
+    ("season", "smallint", "int", "SMALLINT"),
+    ("round", "tinyint", "int", "TINYINT"),
+    ("circuit_id", "int", "bigint", "INTEGER"),
+    ("driver_id", "int", "bigint", "INTEGER"),
+    ("constructor_id", "int", "int", "INTEGER"),
+    ("grid_position", "tinyint", "int", "TINYINT"),
+    ("finish_position", "tinyint", "int", "TINYINT"),
+    ("points", "float", "int", "FLOAT"),
+    ("laps_completed", "tinyint", "int", "TINYINT"),
+    ("status", "string", "string", "VARCHAR"),
+]
+
+SQL_DQ_SCHEMA = out(
+    "column:s declared:s actual:s present:i type_ok:i bad_values:i too_long:i",
+    with_(FACTS, RESULTS) + ",\nv AS (SELECT "
+    + ", ".join(f"count_if({c} IS NOT NULL AND TRY_CAST({c} AS {t}) IS NULL) AS b_{c}"
+                for c, _, _, t in _SCHEMA_ROWS)
+    + ", count_if(length(status) > 32) AS l_status FROM results)\n"
+    + "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS \"column\", '{d}' AS declared, '{a}' AS actual, 1 AS present, "
+        f"{int(a == d)} AS type_ok, b_{c} AS bad_values, "
+        f"{'l_status' if c == 'status' else '0'} AS too_long FROM v"
+        for c, d, a, _ in _SCHEMA_ROWS)
+    + "\nUNION ALL\nSELECT 'fastest_lap_time', 'float', NULL, 0, 0, NULL, NULL")
