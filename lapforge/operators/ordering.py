@@ -110,25 +110,30 @@ def _run_index(levels: list[list[str]]):
     return number
 
 
-def _carry(pinned: DataFrame, cols: list[str], li: int) -> DataFrame:
-    """Per sorted partition: rows of its first run's value that sit in earlier
-    partitions.  From one row per partition (first value, last value, rows of
-    the last value): those earlier rows are the running sum of "rows of the last
-    value" over the consecutive partitions that end in that value."""
-    val = F.struct(*[F.col(c) for c in cols])
-    parts = pinned.groupBy("_lf_part").agg(
-        F.max(F.when(F.col(f"_lf_f{li}"), val)).alias("_lf_fv"),
-        F.max_by(val, F.col("_lf_local")).alias("_lf_lv"),
-        (F.max_by(F.col(f"_lf_i{li}"), F.col("_lf_local")) + 1).alias("_lf_ln"))
-    by_last = Window.partitionBy("_lf_lv").orderBy("_lf_part") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def _carries(pinned: DataFrame, levels: list[list[str]]) -> DataFrame:
+    """Per sorted partition and level: rows of its first run's value that sit in
+    earlier partitions.  From one row per partition (per level: first value,
+    last value, rows of the last value): those earlier rows are the running
+    sum of "rows of the last value" over the consecutive partitions that end in
+    that value.  One aggregate for all levels; the result has one row per
+    partition."""
+    aggs = []
+    for li, cols in enumerate(levels):
+        val = F.struct(*[F.col(c) for c in cols])
+        aggs += [F.max(F.when(F.col(f"_lf_f{li}"), val)).alias(f"_lf_fv{li}"),
+                 F.max_by(val, F.col("_lf_local")).alias(f"_lf_lv{li}"),
+                 (F.max_by(F.col(f"_lf_i{li}"), F.col("_lf_local")) + 1).alias(f"_lf_ln{li}")]
+    parts = pinned.groupBy("_lf_part").agg(*aggs)
     prev = Window.orderBy("_lf_part")  # over the per-partition table only
-    cum = parts.select("_lf_part", "_lf_fv", "_lf_lv",
-                       F.sum("_lf_ln").over(by_last).alias("_lf_cum"))
-    return cum.select(
-        "_lf_part",
-        F.when(F.lag("_lf_lv").over(prev).eqNullSafe(F.col("_lf_fv")),
-               F.lag("_lf_cum").over(prev)).otherwise(F.lit(0)).alias(f"_lf_c{li}"))
+    out = parts
+    for li in range(len(levels)):
+        by_last = Window.partitionBy(f"_lf_lv{li}").orderBy("_lf_part") \
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        out = out.withColumn(f"_lf_cum{li}", F.sum(f"_lf_ln{li}").over(by_last))
+    return out.select("_lf_part", *[
+        F.when(F.lag(f"_lf_lv{li}").over(prev).eqNullSafe(F.col(f"_lf_fv{li}")),
+               F.lag(f"_lf_cum{li}").over(prev)).otherwise(F.lit(0)).alias(f"_lf_c{li}")
+        for li in range(len(levels))])
 
 
 def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence,
@@ -151,10 +156,8 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence,
     pinned = (df.orderBy(*[F.col(k) for k in keys], *[_col(o) for o in order])
               .mapInPandas(_run_index(levels), T.StructType(df.schema.fields + extra))
               .checkpoint(eager=True))
-    out = pinned
-    for li, cols in enumerate(levels):
-        # one row per partition: a proven-size broadcast
-        out = out.join(F.broadcast(_carry(pinned, cols, li)), "_lf_part")
+    # one row per partition: a proven-size broadcast
+    out = pinned.join(F.broadcast(_carries(pinned, levels)), "_lf_part")
 
     def global_index(li):
         return F.col(f"_lf_i{li}") + F.when(F.col(f"_lf_f{li}"), F.col(f"_lf_c{li}")) \
