@@ -85,7 +85,14 @@ def invalidate(spark: SparkSession, base: str) -> None:
 
 
 def read_fact(model, name: str) -> DataFrame:
-    return model.spark.read.parquet(f"{location(model)}/{name}")
+    """The stored fact; rebuilt once if its folder has gone (e.g. the shared
+    folder was cleaned while the session lived)."""
+    from pyspark.errors import AnalysisException
+    try:
+        return model.spark.read.parquet(f"{location(model)}/{name}")
+    except AnalysisException:
+        invalidate(model.spark, model.base)
+        return model.spark.read.parquet(f"{location(model)}/{name}")
 
 
 def season_filter(df: DataFrame, season: int | None) -> DataFrame:

@@ -31,3 +31,14 @@ def test_seasons_dimension_equal(spark):
 def test_season_list_from_folders(spark):
     wh, raw = Model(spark, SF), Model(spark, SF, warehouse=False)
     assert wh.season_list() == raw.season_list() == list(range(1995, 2002))
+
+
+def test_rebuilds_when_folder_is_gone(spark):
+    from lapforge.plans import warehouse
+    m = Model(spark, SF)
+    before = m.race_facts().count()
+    key = warehouse._key(spark, SF)
+    gone = warehouse.location(m) + "-gone"
+    warehouse._BUILT[key] = gone  # as if the shared folder had been cleaned
+    assert m.race_facts().count() == before
+    assert warehouse.location(m) != gone
