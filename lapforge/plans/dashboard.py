@@ -1,0 +1,55 @@
+"""The reference's dashboard computations on frames of its own shape.
+
+Results: season, round, track, driver_code, driver_name, team, position,
+points, ...; laps: season, driver_code, team, lap, lap_time, sector1..3 (as
+``sources.generators`` produces them or as a user loads them).  The same
+operators as the registered queries, keyed by the reference's string columns.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from lapforge.functions import pct, round_even
+from lapforge.operators.aggregates import count_if, pivot_sum
+from lapforge.operators.ordering import rank_first
+from lapforge.plans.standings import season_points
+
+DRIVER_KEYS = ["driver_code", "driver_name", "team"]
+
+
+def driver_standings_of(results: DataFrame) -> DataFrame:
+    """Q1: points per (season, driver, team), rank by points with ties in
+    (code, name, team) order."""
+    pts = season_points(results, ["season", *DRIVER_KEYS])
+    return rank_first(pts, ["season"], [F.col("points").desc(), *DRIVER_KEYS], name="rank")
+
+
+def team_standings_of(results: DataFrame) -> DataFrame:
+    """Q2: points per (season, team)."""
+    return season_points(results, ["season", "team"])
+
+
+def career_of(results: DataFrame) -> DataFrame:
+    """Q7 with the reference's column names renamed to snake case."""
+    pos = F.col("position")
+    c = results.groupBy(*DRIVER_KEYS).agg(
+        F.count(pos).alias("races"), count_if(pos == 1).alias("wins"),
+        count_if(pos <= 3).alias("podiums"), F.sum("points").cast("bigint").alias("points"),
+        F.avg(pos).alias("avg_pos"))
+    return c.select(F.col("driver_code").alias("code"), F.col("driver_name").alias("driver"),
+                    F.col("team").alias("last_team"), "races", "wins", "podiums", "points",
+                    round_even("avg_pos", 1).alias("avg_pos"),
+                    round_even(pct(F.col("wins"), F.col("races")), 1).alias("win_pct"))
+
+
+def team_matrix_of(results: DataFrame, seasons) -> DataFrame:
+    """Q12 over all teams: team x season points, absent = 0."""
+    return pivot_sum(team_standings_of(results), ["team"], "season", "points", list(seasons))
+
+
+def lap_consistency_of(laps: DataFrame, season: int) -> DataFrame:
+    """Q17: lap-time sample standard deviation per driver of one season."""
+    return laps.filter(F.col("season") == season).groupBy("driver_code") \
+        .agg(F.stddev_samp("lap_time").alias("std_dev"))
