@@ -53,3 +53,47 @@ def lap_consistency_of(laps: DataFrame, season: int) -> DataFrame:
     """Q17: lap-time sample standard deviation per driver of one season."""
     return laps.filter(F.col("season") == season).groupBy("driver_code") \
         .agg(F.stddev_samp("lap_time").alias("std_dev"))
+
+
+def season_kpis_of(standings: DataFrame, season: int) -> DataFrame:
+    """Q3: champion code and points, drivers and constructors of a season (one row)."""
+    s = standings.filter(F.col("season") == season)
+    champ = F.min_by(F.struct("driver_code", "points"), F.col("rank"))
+    return s.agg(champ.alias("_c"), F.count(F.lit(1)).alias("drivers"),
+                 F.countDistinct("team").alias("constructors")).select(
+        F.col("_c.driver_code").alias("champion"), F.col("_c.points").alias("champion_points"),
+        "drivers", "constructors")
+
+
+def team_share_of(standings: DataFrame, season: int, n: int = 6) -> DataFrame:
+    """Q5: the season's top ``n`` teams by driver points and their share of those n."""
+    from lapforge.operators.aggregates import share
+    from lapforge.operators.ordering import top_n
+    t = standings.filter(F.col("season") == season).groupBy("team") \
+        .agg(F.sum("points").cast("bigint").alias("points"))
+    return share(top_n(t, [F.col("points").desc(), F.col("team")], n), "points")
+
+
+def performance_index_of(career: DataFrame, n: int = 3) -> DataFrame:
+    """Q9: five measures as % of their maximum over all drivers, for the top ``n`` by points."""
+    from lapforge.functions import safe_ratio
+    from lapforge.operators.joins import with_max
+    from lapforge.operators.ordering import top_n
+    cols = ["wins", "podiums", "points", "races", "win_pct"]
+    top = top_n(with_max(career, cols), [F.col("points").desc(), F.col("code")], n)
+    return top.select("code", *[(safe_ratio(c, "max_" + c) * F.lit(100.0)).alias(c)
+                                for c in cols])
+
+
+def lap_kpis_of(laps: DataFrame, season: int) -> DataFrame:
+    """Q13: fastest and mean lap, laps sampled, drivers of a season."""
+    s = laps.filter(F.col("season") == season)
+    return s.agg(F.min("lap_time").alias("fastest"), F.avg("lap_time").alias("mean"),
+                 F.count(F.lit(1)).alias("laps"), F.countDistinct("driver_code").alias("drivers"))
+
+
+def sector_means_of(laps: DataFrame, season: int) -> DataFrame:
+    """Q16: mean of the three sector times per driver."""
+    from lapforge.operators.aggregates import mean_of
+    return mean_of(laps.filter(F.col("season") == season), ["driver_code"],
+                   ["sector1", "sector2", "sector3"])
