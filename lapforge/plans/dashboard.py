@@ -97,3 +97,34 @@ def sector_means_of(laps: DataFrame, season: int) -> DataFrame:
     from lapforge.operators.aggregates import mean_of
     return mean_of(laps.filter(F.col("season") == season), ["driver_code"],
                    ["sector1", "sector2", "sector3"])
+
+
+def points_trend_of(standings: DataFrame, drivers) -> DataFrame:
+    """Q6: season points of the chosen driver codes, ordered by driver and season."""
+    return standings.filter(F.col("driver_code").isin(list(drivers))) \
+        .select("driver_code", "season", "points").orderBy("driver_code", "season")
+
+
+def team_trend_of(results: DataFrame, n: int = 5) -> DataFrame:
+    """Q11: season points of the ``n`` teams with most points over all seasons."""
+    from lapforge.operators.joins import semi_topn
+    from lapforge.operators.ordering import n_largest
+    t = team_standings_of(results)
+    totals = t.groupBy("team").agg(F.sum("points").alias("points"))
+    return semi_topn(t, "team", n_largest(totals, "points", "team", n).select("team")) \
+        .orderBy("team", "season")
+
+
+def lap_progression_of(laps: DataFrame, season: int, n: int = 5) -> DataFrame:
+    """Q14: lap times by lap of the first ``n`` driver codes (key order) of a season."""
+    from lapforge.operators.joins import semi_topn
+    from lapforge.operators.ordering import first_keys
+    s = laps.filter(F.col("season") == season)
+    return semi_topn(s, "driver_code", first_keys(s, "driver_code", n)) \
+        .select("driver_code", "lap", "lap_time").orderBy("driver_code", "lap")
+
+
+def lap_distribution_of(laps: DataFrame, season: int) -> DataFrame:
+    """Q15: per driver count, min, quartiles, max and mean of lap time."""
+    from lapforge.operators.aggregates import distribution
+    return distribution(laps.filter(F.col("season") == season), ["driver_code"], "lap_time")
