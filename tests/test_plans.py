@@ -28,3 +28,8 @@ def test_windows_only_on_bounded_keys(plans):
                 assert name in SEASON_WINDOW_OK, (name, keys)
             if keys == "driver_id":
                 assert name in DRIVER_WINDOW_OK, (name, keys)
+
+
+def test_no_expand_over_facts(plans):
+    """Distinct counts are two aggregation levels, never an Expand of fact rows."""
+    assert {k: v["expand"] for k, v in plans.items() if v["expand"]} == {}
