@@ -52,8 +52,12 @@ def main() -> None:
         warehouse.location(Model(spark, sf_dir))
         return time.perf_counter() - t0
 
-    build_once()  # warm-up
-    times["build_warehouse"] = round(statistics.median(build_once() for _ in range(runs)), 3)
+    failed: dict[str, str] = {}
+    try:
+        build_once()  # warm-up
+        times["build_warehouse"] = round(statistics.median(build_once() for _ in range(runs)), 3)
+    except Exception as e:  # keep measuring the rest; report the failure
+        failed["build_warehouse"] = f"{type(e).__name__}: {e}"[:300]
     for name in names:
         fn = QUERIES[name]
 
@@ -62,8 +66,11 @@ def main() -> None:
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
             return time.perf_counter() - t0
 
-        once()  # warm-up
-        times[name] = round(statistics.median(once() for _ in range(runs)), 3)
+        try:
+            once()  # warm-up
+            times[name] = round(statistics.median(once() for _ in range(runs)), 3)
+        except Exception as e:
+            failed[name] = f"{type(e).__name__}: {e}"[:300]
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
         "metric": "sum_of_median_query_seconds",
@@ -73,6 +80,7 @@ def main() -> None:
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
         "runs": runs,
+        **({"failed": failed} if failed else {}),
     }))
     spark.stop()
 
