@@ -40,6 +40,19 @@ def _norm(v):
     return (1, repr(v))
 
 
+_SPARK_KIND = {"bigint": "int64", "double": "float64", "string": "str"}
+_DUCK_KIND = {"BIGINT": "int64", "DOUBLE": "float64", "VARCHAR": "str"}
+
+
+def kinds_match(spark_schema, duck_description) -> bool:
+    """Column name -> type kind on both sides (bigint/BIGINT, double/DOUBLE,
+    string/VARCHAR); anything else counts as a mismatch."""
+    s = {f.name: _SPARK_KIND.get(f.dataType.simpleString(), f.dataType.simpleString())
+         for f in spark_schema.fields}
+    d = {c[0]: _DUCK_KIND.get(str(c[1]).upper(), str(c[1])) for c in duck_description}
+    return s == d
+
+
 def rows_of(cols, records):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return sorted(tuple(_norm(r[i]) for i in order) for r in records), sorted(cols)
@@ -55,6 +68,7 @@ def compare(spark, sf_dir, names=None, con=None):
             df = QUERIES[name](spark, sf_dir)
             s_rows = [tuple(r) for r in df.collect()]
             s_cols = df.columns
+            s_schema = df.schema
         except Exception as e:  # report, keep going
             report[name] = {"ok": False, "error": f"spark: {type(e).__name__}: {e}"[:800]}
             continue
@@ -75,7 +89,8 @@ def compare(spark, sf_dir, names=None, con=None):
         a, ac = rows_of(s_cols, s_rows)
         b, bc = rows_of(d_cols, d_rows)
         entry["oracle_rows"] = len(b)
-        entry["ok"] = (a == b and ac == bc)
+        entry["types_ok"] = kinds_match(s_schema, res.description)
+        entry["ok"] = (a == b and ac == bc and entry["types_ok"])
         if not entry["ok"]:
             entry["cols"] = [ac, bc]
             diff_a = [r for r in a if r not in set(b)][:3]
