@@ -11,11 +11,14 @@
    shingles is needed.
 3. The nodes of a key are first compared with the key's smallest node only: a huge
    group of near copies becomes one star.
+   Keys with the same nodes are one key from the start.
 4. Where the nodes of a key are still in more than one component, they go in blocks of
    bounded size into R-trees over their count vectors (shingles per hash group): the
    overlap of two sets is at most the sum of the coordinate minima, and a tree node is
    skipped when the sum of the minima with its upper corner is too small.  Only pairs
-   of different components come out.
+   of different components come out: in the first ``NEAREST_ROUNDS`` rounds the nearest
+   one of each node, which joins most components with few pairs, and in the last round
+   all of them.
 5. All pairs are verified on the full sets, again after the bound of the minima.
 
 Defined cases: null or empty text, or text without words, has no shingles and is
@@ -39,9 +42,10 @@ from lapforge.llm.words import SPACES, Hasher, blocks, mix, shingles
 
 WIDTH = 3
 PERCENT = 90
-COORDINATES = 64
+COORDINATES = 256  # a power of two
 LEAF = 16
 BLOCK_NODES = 512
+NEAREST_ROUNDS = 1
 
 
 def classes(percent: int, upto: int = 1 << 40) -> list[tuple[int, int, int]]:
@@ -130,7 +134,7 @@ def full_sets(texts: DataFrame, width: int) -> DataFrame:
                 part = batch.slice(k, 500)
                 found = [h for _, h in batch_shingles(
                     hasher, [t.as_buffer().to_pybytes() for t in part.column("text")], width)]
-                counts = [np.bincount((mix(h, 2) >> np.uint64(58)).astype(np.int64), minlength=COORDINATES)
+                counts = [np.bincount((mix(h, 2) & np.uint64(COORDINATES - 1)).astype(np.int64), minlength=COORDINATES)
                           for h in found]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("node"), pa.array([len(h) for h in found], pa.int64()),
@@ -176,19 +180,23 @@ class CountTree:
         most = np.minimum(upper, vector).sum(axis=1)
         return most * (100 + self.percent) >= (size + small) * self.percent
 
-    def search(self, size: int, vector: np.ndarray) -> np.ndarray:
-        """Indices of the points whose overlap with the given one may be large enough."""
+    def search(self, size: int, vector: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Indices of the points whose overlap with the given one may be large enough, and
+        the share of the two sizes that it may reach."""
         at = np.zeros(1, np.int64)
         for upper, small in reversed(self.levels):
             at = at[at < len(upper)]
             at = at[self._may_link(size, vector, upper[at], small[at])]
             at = (at[:, None] * LEAF + np.arange(LEAF)).ravel()
         at = at[at < len(self.sizes)]
-        return self.order[at[self._may_link(size, vector, self.vectors[at], self.sizes[at])]]
+        at = at[self._may_link(size, vector, self.vectors[at], self.sizes[at])]
+        return self.order[at], np.minimum(self.vectors[at], vector).sum(axis=1) / (size + self.sizes[at])
 
 
-def tree_pairs(members: DataFrame, percent: int, block_nodes: int = BLOCK_NODES) -> DataFrame:
-    """Pairs (a > b) of nodes of one key and different labels that pass the bound.
+def tree_pairs(members: DataFrame, percent: int, block_nodes: int = BLOCK_NODES,
+               nearest: bool = False) -> DataFrame:
+    """Pairs (a > b) of nodes of one key and different labels that pass the bound; with
+    ``nearest`` each node's nearest one only.
 
     ``members``: key, node, label, n, counts.  A key with more than ``block_nodes``
     nodes is dealt into blocks and every pair of blocks is one bounded task.
@@ -203,16 +211,21 @@ def tree_pairs(members: DataFrame, percent: int, block_nodes: int = BLOCK_NODES)
         node, label = table["node"].to_numpy(), table["label"].to_numpy()
         block, lo, hi = (table[c].to_numpy() for c in ("block", "lo", "hi"))
         sizes = table["n"].to_numpy()
-        vectors = np.array(table["counts"].to_pylist(), np.int32).reshape(len(node), COORDINATES)
+        vectors = table["counts"].combine_chunks().flatten().to_numpy().reshape(len(node), COORDINATES)
         tree = CountTree(sizes, vectors, percent)
         a, b = [], []
         for i in range(len(node)):
-            near = tree.search(int(sizes[i]), vectors[i])
-            near = near[(node[near] < node[i]) & (label[near] != label[i])]
+            near, share = tree.search(int(sizes[i]), vectors[i])
+            other = label[near] != label[i]
             if lo[0] != hi[0]:
-                near = near[block[near] != block[i]]
-            a += [node[i]] * len(near)
-            b += node[near].tolist()
+                other &= block[near] != block[i]
+            if not nearest:
+                other &= node[near] < node[i]
+            near, share = near[other], share[other]
+            if nearest and len(near):
+                near = near[[np.lexsort((node[near], -share))[0]]]
+            a += np.maximum(node[near], node[i]).tolist()
+            b += np.minimum(node[near], node[i]).tolist()
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return dealt.select("key", "lo", "hi", "block", "node", "label", "n", "counts") \
@@ -233,24 +246,30 @@ def ngram_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     keyed = written(rows.select("row", "did", "tk", "keys").join(nodes.select("row", "node"), "row")
                     .select("node", "did", "tk", "keys"), "node-keys")
     each = keyed.select("node", F.explode("keys").alias("key"))
-    shared = each.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("hub")) \
-        .where("size > 1").drop("size")
-    members = written(each.join(shared, "key"), "key-members")
+    shared = each.groupBy("key").agg(
+        F.count(F.lit(1)).alias("size"), F.min("node").alias("hub"),
+        *(F.bit_xor(F.xxhash64(F.lit(i), F.col("node"))).alias(f"x{i}") for i in (1, 2))).where("size > 1")
+    distinct = shared.groupBy("size", "x1", "x2").agg(F.min("key").alias("key"), F.min("hub").alias("hub"))
+    members = written(each.join(distinct.select("key", "hub"), "key"), "key-members")
     wanted = members.select("node").distinct().join(keyed.drop("keys"), "node")
     texts = docs.select(*doc_key(docs), text_of(docs).cast("binary").alias("text")) \
         .join(wanted, ["did", "tk"]).dropDuplicates(["node"]).select("node", "text")
     sets = written(full_sets(texts, width), "full-sets")
 
     stars = members.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    tested = stars
     links = written(verified(stars, sets, percent), "links")
-    label = components(links)
-    labelled = members.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    open_keys = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")) \
-        .where("lo < hi").select("key")
-    open_members = written(labelled.join(open_keys, "key").select("key", "node", "label")
-                           .join(sets.select("node", "n", "counts"), "node"), "open-members")
-    pairs = written(tree_pairs(open_members, percent, block_nodes).join(stars, ["a", "b"], "left_anti"), "tree-pairs")
-    links = written(links.unionByName(verified(pairs, sets, percent)), "links")
+    for last in [False] * NEAREST_ROUNDS + [True]:
+        labelled = members.join(components(links), "node", "left") \
+            .withColumn("label", F.coalesce("label", "node"))
+        open_keys = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")) \
+            .where("lo < hi").select("key")
+        open_members = written(labelled.join(open_keys, "key").select("key", "node", "label")
+                               .join(sets.select("node", "n", "counts"), "node"), "open-members")
+        pairs = written(tree_pairs(open_members, percent, block_nodes, not last)
+                        .join(tested, ["a", "b"], "left_anti"), "tree-pairs")
+        links = written(links.unionByName(verified(pairs, sets, percent)), "links")
+        tested = tested.unionByName(pairs)
     label = components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node") \
         .agg(F.count(F.lit(1)).alias("links"))
