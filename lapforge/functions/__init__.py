@@ -82,7 +82,7 @@ def clean_points(position, points) -> Column:
 
 
 def fmt_num(c, places: int = 3) -> Column:
-    return F.format_string(f"%.{places}f", _c(c))
+    return F.when(_c(c).isNotNull(), F.format_string(f"%.{places}f", _c(c)))
 
 
 def fmt_thousands(c) -> Column:

@@ -49,17 +49,19 @@ def clean_races(raw: DataFrame, lo: int = 1950, hi: int = 2024) -> DataFrame:
 
     Input columns are strings: raceId, year, round, date (yyyy-MM-dd), name.
     Unparsable numbers and dates become NULL (ANSI-safe casts); a NULL season is
-    dropped by the inclusive range filter.
+    dropped by the inclusive range filter.  Ids are 64-bit; races whose id does not
+    parse are told apart by its text.
     """
+    text = F.trim(F.col("raceId"))
+    number = text.try_cast("bigint")
     typed = raw.select(
-        to_int("raceId").alias("race_id"),
+        F.coalesce(number.cast("string"), text).alias("_lf_id"),
+        number.alias("race_id"),
         to_int("year").alias("season"),
         to_int("round").alias("round"),
         parse_date("date").alias("race_date"),
         F.trim(F.col("name")).alias("name"),
     )
     # The reference keeps an arbitrary row per raceId; we keep the first by the
-    # remaining columns so re-runs give the same table.  Exact repeats (a race
-    # exported once per result line) collapse first in a hash aggregate, so the
-    # ordered pick per key sees one row per distinct version of a race.
-    return dedup_first(typed.distinct(), ["race_id"]).filter(F.col("season").between(lo, hi))
+    # remaining columns so re-runs give the same table.
+    return dedup_first(typed, ["_lf_id"]).drop("_lf_id").filter(F.col("season").between(lo, hi))

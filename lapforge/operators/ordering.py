@@ -11,8 +11,8 @@ the rows) that is one giant sort.  Instead:
 2. the sorted rows are pinned with ``checkpoint()`` (in the shared
    ``spark.checkpoint.dir``), so every later read sees the same partitions in
    the same order - also after a lost executor;
-3. while sorting, one ``mapInPandas`` pass numbers each row inside its
-   contiguous key run of its partition (Arrow batches, vectorised pandas);
+3. while sorting, one ``mapInArrow`` pass numbers each row inside its
+   contiguous key run of its partition (Arrow compares, columns untouched);
    for ``rank`` also inside its run of equal (key, tie) values;
 4. a run that began in earlier partitions gets a carry: the rows of its value
    in those partitions, read from a table with one row per partition (first
@@ -50,13 +50,15 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
 
 def _run_index(levels: list[list[str]]):
-    """mapInPandas body over one sorted partition.
+    """mapInArrow body over one sorted partition.
 
     For each level (a list of columns; e.g. the group keys, then keys + tie
     columns) every row gets its 0-based index inside its contiguous run of equal
     values in this partition (``_lf_i<L>``) and whether it belongs to the
     partition's first run (``_lf_f<L>``); ``_lf_local`` is the row's index in
-    the partition.  Runs continue across Arrow batches.
+    the partition.  Runs continue across Arrow batches.  Values are compared as
+    Arrow values (NULL equals NULL, NaN equals NaN); no column is converted, so the
+    rows pass through as they came.
 
     The returned function is self-contained (its helpers and imports live
     inside it), so it is shipped to the Python workers by value and needs no
@@ -66,47 +68,50 @@ def _run_index(levels: list[list[str]]):
 
     def number(batches):
         import numpy as np
-        import pandas as pd
+        import pyarrow as pa
+        import pyarrow.compute as pc
         from pyspark import TaskContext
 
-        def same_as_previous(k, prev_key):
-            """Per row: equal (NULL = NULL) to the row before; row 0 against ``prev_key``."""
-            same = ((k == k.shift()) | (k.isna() & k.shift().isna())).all(axis=1)
-            same = np.asarray(same.to_numpy(), dtype=bool).copy()
-            if prev_key is None:
-                same[0] = False
-            else:
-                same[0] = all((pd.isna(a) and pd.isna(b)) or
-                              (not pd.isna(a) and not pd.isna(b) and a == b)
-                              for a, b in zip(k.iloc[0].tolist(), prev_key))
-            return same
+        def same_as_previous(column, last):
+            """Per row: equal to the row before; row 0 against ``last`` (a one-row array)."""
+            before = pa.concat_arrays([last if last is not None else column[:1], column[:-1]])
+            same = pc.fill_null(pc.equal(column, before), False)
+            same = pc.or_(same, pc.and_(pc.is_null(column), pc.is_null(before)))
+            if pa.types.is_floating(column.type):
+                nan = pc.and_(pc.fill_null(pc.is_nan(column), False), pc.fill_null(pc.is_nan(before), False))
+                same = pc.or_(same, nan)
+            return same.to_numpy(zero_copy_only=False)
 
         part = TaskContext.get().partitionId()
         state = [dict(prev=None, run_len=0, first=True) for _ in levels]
         seen = 0
-        for pdf in batches:
-            n = len(pdf)
+        for batch in batches:
+            n = batch.num_rows
             if n == 0:
                 continue
-            out = pdf.copy()
             pos = np.arange(n)
+            extra = {"_lf_part": np.full(n, part, np.int64), "_lf_local": pos + seen}
             for li, cols in enumerate(levels):
                 st = state[li]
-                k = pdf[cols]
-                starts = ~same_as_previous(k, st["prev"])
+                same = np.ones(n, bool)
+                for c in cols:
+                    same &= same_as_previous(batch.column(c), st["prev"] and st["prev"][c])
+                if st["prev"] is None:
+                    same[0] = False
+                starts = ~same
                 run_id = np.cumsum(starts)       # 0: rows continuing the previous batch's run
                 idx = pos - np.maximum.accumulate(np.where(starts, pos, 0))
                 idx = np.where(run_id == 0, idx + st["run_len"], idx)
                 first = (run_id == 1) if st["prev"] is None else ((run_id == 0) & st["first"])
-                out[f"_lf_i{li}"] = idx.astype("int64")
-                out[f"_lf_f{li}"] = first
-                st["prev"] = k.iloc[n - 1].tolist()
+                extra[f"_lf_i{li}"] = idx.astype(np.int64)
+                extra[f"_lf_f{li}"] = first
+                st["prev"] = {c: batch.column(c)[n - 1:] for c in cols}
                 st["run_len"] = int(idx[-1]) + 1
                 st["first"] = bool(first[-1])
-            out["_lf_part"] = np.int64(part)
-            out["_lf_local"] = (pos + seen).astype("int64")
             seen += n
-            yield out
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *(pa.array(v) for v in extra.values())],
+                [*batch.schema.names, *extra])
     return number
 
 
@@ -154,7 +159,7 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence,
         extra += [T.StructField(f"_lf_i{li}", T.LongType()),
                   T.StructField(f"_lf_f{li}", T.BooleanType())]
     pinned = (df.orderBy(*[F.col(k) for k in keys], *[_col(o) for o in order])
-              .mapInPandas(_run_index(levels), T.StructType(df.schema.fields + extra))
+              .mapInArrow(_run_index(levels), T.StructType(df.schema.fields + extra))
               .checkpoint(eager=True))
     # one row per partition: a proven-size broadcast
     out = pinned.join(F.broadcast(_carries(pinned, levels)), "_lf_part")
@@ -163,10 +168,10 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence,
         return F.col(f"_lf_i{li}") + F.when(F.col(f"_lf_f{li}"), F.col(f"_lf_c{li}")) \
             .otherwise(F.lit(0))
 
-    out = out.withColumn(name, (global_index(0) + 1).cast("int"))
+    out = out.withColumn(name, (global_index(0) + 1).cast("bigint"))
     if tie_cols:
         # rank = row number of the first row of the tie run
-        out = out.withColumn(rank_name or "rank", (F.col(name) - global_index(1)).cast("int"))
+        out = out.withColumn(rank_name or "rank", (F.col(name) - global_index(1)).cast("bigint"))
     return out.drop(*[f.name for f in extra], *[f"_lf_c{li}" for li in range(len(levels))])
 
 
@@ -212,9 +217,12 @@ def first_keys(df: DataFrame, key: str, n: int) -> DataFrame:
 
 
 def tail(df: DataFrame, order: Sequence, n: int) -> DataFrame:
-    """K6: last ``n`` rows in ``order``, returned in ``order``."""
-    desc = [(_col(o).desc() if isinstance(o, str) else o) for o in order]
-    return df.orderBy(*desc).limit(n)
+    """K6: last ``n`` rows in ``order``, returned in ``order``.
+
+    ``order`` holds ascending columns (names or expressions); for a descending one
+    give the negated or otherwise reversed value."""
+    last = df.orderBy(*[_col(o).desc_nulls_last() for o in order]).limit(n)
+    return last.orderBy(*[_col(o).asc_nulls_first() for o in order])
 
 
 def argmax_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column],

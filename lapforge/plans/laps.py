@@ -68,7 +68,7 @@ def consistency(m: Model, season: int = LAP_SEASON) -> DataFrame:
     """Q17: sample standard deviation of lap time per driver, ascending."""
     s = m.laps(season).groupBy("driver_id").agg(F.stddev_samp("lap_time").alias("std_dev"))
     return s.select("driver_id", "std_dev", round_even("std_dev", 3).alias("std_dev_3")) \
-        .orderBy("std_dev")
+        .orderBy("std_dev", "driver_id")
 
 
 def fuel_adjusted(m: Model, season: int = LAP_SEASON, slope: float = FUEL_SLOPE) -> DataFrame:

@@ -22,7 +22,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapforge.functions import clamp, points_of, trunc_int
+from lapforge.functions import clamp, clean_points, points_of, trunc_int
 from lapforge.operators.ordering import sequence_number
 from lapforge.sources.tables import read_parquet_table
 
@@ -137,6 +137,28 @@ class Model:
         return f.join(s, f.driver_id == s.s_suppkey, "left").drop("s_suppkey") \
             .withColumnRenamed("s_nationkey", "constructor_id")
 
+    @staticmethod
+    def stats_of(results: DataFrame) -> DataFrame:
+        """One row per (season, driver, constructor of the fact): the season aggregate."""
+        pos = F.col("finish_position")
+        return results.groupBy("season", "driver_id", "constructor_id").agg(
+            F.sum("points").cast("bigint").alias("points"),
+            F.sum(clean_points("finish_position", "points")).cast("bigint").alias("clean_points"),
+            F.count(F.lit(1)).alias("races"),
+            F.count(pos).alias("position_count"),
+            F.sum(pos).cast("bigint").alias("position_sum"),
+            F.count_if(pos == 1).alias("wins"),
+            F.count_if(pos <= 3).alias("podiums"))
+
+    def season_stats(self, season: int | None = None, drivers=None) -> DataFrame:
+        """The season aggregate (``stats_of``), which the warehouse stores."""
+        if self.warehouse:
+            from lapforge.plans import warehouse as wh
+            s = wh.season_filter(wh.read_fact(self, wh.AGG_SEASON), season)
+        else:
+            s = self.stats_of(self.raw_results(season))
+        return s if drivers is None else s.filter(F.col("driver_id").isin(list(drivers)))
+
     # ---- dimensions ----------------------------------------------------------
     def drivers(self) -> DataFrame:
         s = self.table("supplier", "s_suppkey", "s_name", "s_nationkey")
@@ -159,30 +181,20 @@ class Model:
                         F.col("p_name").alias("circuit_name"), "p_size")
 
     def seasons(self) -> DataFrame:
-        """Season dimension: the years raced, with our rule era.  From the
-        warehouse this reads only the season folders' partition values."""
+        """Season dimension: the years raced, with our rule era.  The warehouse
+        stores the years at build time."""
         if self.warehouse:
             from lapforge.plans import warehouse as wh
-            yr = wh.read_fact(self, wh.FACT_RESULTS).select(
-                F.col("season").cast("int").alias("season_year")).distinct()
+            yr = wh.read_fact(self, wh.DIM_SEASONS)
         else:
             o = self.table("orders", "o_orderdate")
             yr = o.select(F.year("o_orderdate").cast("int").alias("season_year")).distinct()
         return yr.withColumn("rule_era", rule_era("season_year"))
 
     def season_list(self) -> list[int]:
-        """The seasons raced, ascending (bounded by the calendar).  From the
-        warehouse this is metadata: the season folders of the fact's file
-        index, no Spark job."""
-        if self.warehouse:
-            import re
-            from lapforge.plans import warehouse as wh
-            files = wh.read_fact(self, wh.FACT_RESULTS).inputFiles()
-            found = {int(m.group(1)) for f in files
-                     for m in [re.search(r"/season=(-?\d+)/", f)] if m}
-            return sorted(found)
-        return [r[0] for r in self.seasons().select("season_year").orderBy("season_year")
-                .collect()]
+        """The seasons raced, ascending (bounded by the calendar)."""
+        return sorted(r[0] for r in self.seasons().select("season_year").collect()
+                      if r[0] is not None)
 
     # ---- laps ----------------------------------------------------------------
     def laps(self, season: int | None = None, with_lap: bool = False) -> DataFrame:

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapforge.functions import clean_points, full_name
-from lapforge.operators.aggregates import count_if
+from lapforge.functions import full_name
 from lapforge.operators.clean import clean_races as _clean
 from lapforge.operators.clean import dedup_first
 from lapforge.operators.ordering import rank_min
@@ -38,16 +37,14 @@ def transform_results(m: Model) -> DataFrame:
     """Q19: clean points (own points if position 1..10, else 0) summed per
     (season, driver, code, constructor) with the count of positions and
     ``rank()`` in season by total points."""
-    f = m.race_facts()
-    agg = f.groupBy("season", "driver_id").agg(
-        F.sum(clean_points("finish_position", "points")).cast("bigint").alias("total_points"),
-        F.count("finish_position").alias("position_count"))
-    d = m.drivers().select("driver_id", F.col("driver_code").alias("code"), "constructor_id")
-    joined = agg.join(d, "driver_id", "left")
-    ranked = rank_min(joined, ["season"],
-                      [F.col("total_points").desc(), F.col("driver_id").asc()],
+    agg = m.season_stats().select("season", "driver_id", "constructor_id",
+                                  F.col("clean_points").alias("total_points"), "position_count")
+    ranked = rank_min(agg, ["season"],
+                      [F.col("total_points").desc(), F.col("driver_id").asc(),
+                       F.col("constructor_id").asc()],
                       ["total_points"], name="season_rank")
-    return ranked.select("season", "driver_id", "code", "constructor_id", "total_points",
+    d = m.drivers().select("driver_id", F.col("driver_code").alias("code"))
+    return ranked.join(d, "driver_id", "left").select("season", "driver_id", "code", "constructor_id", "total_points",
                          "position_count", "season_rank")
 
 
@@ -55,20 +52,18 @@ def mart_season_standings(m: Model) -> DataFrame:
     """Q20: season standings mart: inner joins to both dimensions (facts with an
     unknown key drop out, see the orphan check), points, races, wins, podiums,
     and ``rank()`` in season."""
-    r = m.results()
-    pos = F.col("finish_position")
-    per = r.groupBy("season", "driver_id", "constructor_id").agg(
-        F.sum("points").cast("bigint").alias("total_points"),
-        F.count(F.lit(1)).alias("total_races"),
-        count_if(pos == 1).alias("wins"),
-        count_if(pos <= 3).alias("podiums"))
+    per = m.season_stats().select(
+        "season", "driver_id", "constructor_id", F.col("points").alias("total_points"),
+        F.col("races").alias("total_races"), "wins", "podiums")
     d = m.drivers().select("driver_id", "driver_code",
                            full_name("forename", "surname").alias("driver_name"))
     c = m.constructors()
-    base = per.join(d, "driver_id", "inner").join(c, "constructor_id", "inner")
-    ranked = rank_min(base, ["season"], [F.col("total_points").desc(), F.col("driver_id").asc()],
+    base = per.join(d.select("driver_id"), "driver_id", "left_semi") \
+        .join(c.select("constructor_id"), "constructor_id", "left_semi")
+    ranked = rank_min(base, ["season"], [F.col("total_points").desc(), F.col("driver_id").asc(),
+                                         F.col("constructor_id").asc()],
                       ["total_points"], name="season_rank")
-    return ranked.select("season", "driver_id", "driver_code", "driver_name", "constructor_id",
+    return ranked.join(d, "driver_id").join(c, "constructor_id").select("season", "driver_id", "driver_code", "driver_name", "constructor_id",
                          "constructor_name", "total_points", "total_races", "wins", "podiums",
                          "season_rank")
 
@@ -77,7 +72,7 @@ def season_aggregates(m: Model) -> DataFrame:
     """Q24: driver season points with the change on the driver's previous season.
 
     The window is per driver over seasons: at most one row per season."""
-    s = season_points(m.race_facts())
+    s = season_points(m.season_stats())
     w = Window.partitionBy("driver_id").orderBy("season")
     return s.select("driver_id", "season", "points",
                     F.lag("points").over(w).alias("prev_points"),

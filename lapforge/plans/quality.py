@@ -28,8 +28,6 @@ RESULTS_SOURCE_SCHEMA = [
     ColumnSpec("fastest_lap_time", "float"),
 ]
 
-CIRCUIT_SIZE_LIMIT = 40  # the circuit dimension is filtered so the FK check has real orphans
-
 
 def dq_report(m: Model) -> DataFrame:
     """One aggregate pass per fact, one row per check."""
@@ -51,7 +49,7 @@ def dq_duplicates(m: Model) -> DataFrame:
 def dq_orphans(m: Model) -> DataFrame:
     """Foreign keys of the results fact without a dimension row."""
     r = m.results()
-    circuits = m.circuits().filter(F.col("p_size") < CIRCUIT_SIZE_LIMIT)
+    circuits = m.circuits()
     return foreign_key(r, "constructor_id", m.constructors(), "constructor_id",
                        "fk:constructor_id->dim_constructors") \
         .unionByName(foreign_key(r, "circuit_id", circuits, "circuit_id",
@@ -87,9 +85,9 @@ def table_inventory(m: Model) -> DataFrame:
         _inventory_row(m.drivers(), "dim_drivers", "dimension", ["driver_id"]),
         _inventory_row(m.constructors(), "dim_constructors", "dimension", ["constructor_id"]),
         _inventory_row(m.circuits(), "dim_circuits", "dimension", ["circuit_id"]),
-        _inventory_row(season_points(m.race_facts()), "agg_season_points", "mart",
+        _inventory_row(season_points(m.season_stats()), "agg_season_points", "mart",
                        ["season", "driver_id"]),
-        _inventory_row(m.results().select("season", "constructor_id").distinct(),
+        _inventory_row(m.season_stats().select("season", "constructor_id").distinct(),
                        "agg_constructor_pts", "mart", ["season", "constructor_id"]),
     ]
     out = parts[0]
@@ -112,7 +110,7 @@ def pipeline_run_log(m: Model) -> DataFrame:
         ("events.parquet", "raw", m.table("events", "event_id")),
         ("fact_race_results", "warehouse", m.results().select("race_id")),
         ("fact_lap_times", "warehouse", m.laps().select("event_id")),
-        ("agg_season_points", "mart", season_points(m.race_facts())),
+        ("agg_season_points", "mart", season_points(m.season_stats())),
         ("agg_constructor_pts", "mart", team_points(m)),
     ]
     out = None

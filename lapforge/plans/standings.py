@@ -1,9 +1,9 @@
 """Season standings.
 
-Facts are aggregated to (season, driver) first, and the driver and
-constructor names are joined to that small result: a supplier has exactly one
-nation, so the driver key determines the team.  Ranking uses the
-distributed ``sequence_number`` (no single task per season).
+All read the season aggregate: one row per season, driver and the constructor
+stored in the fact, so a driver with two teams has two rows.  Rows are ranked on
+their keys first; names join the ranked rows.  Ranking uses the distributed
+``sequence_number`` (no single task per season).
 """
 
 from __future__ import annotations
@@ -26,22 +26,25 @@ def season_points(facts: DataFrame, keys: Sequence[str] = ("season", "driver_id"
 
 
 def with_driver_names(df: DataFrame, m: Model) -> DataFrame:
-    """Attach code, name, constructor and team to rows keyed by driver_id."""
+    """Attach code, name and team to rows keyed by driver_id and constructor_id."""
     d = m.drivers().select("driver_id", "driver_code",
-                           full_name("forename", "surname").alias("driver_name"),
-                           "constructor_id")
+                           full_name("forename", "surname").alias("driver_name"))
     c = m.constructors().withColumnRenamed("constructor_name", "team")
     return df.join(d, "driver_id", "left").join(c, "constructor_id", "left")
 
 
 def standings(m: Model, season: int | None = None, drivers=None) -> DataFrame:
     """Season driver standings without rank: season, driver, team, points."""
-    pts = season_points(m.race_facts(season=season, drivers=drivers))
-    return with_driver_names(pts, m)
+    return with_driver_names(season_rows(m, season, drivers), m)
+
+
+def season_rows(m: Model, season: int | None = None, drivers=None) -> DataFrame:
+    """Season, driver, constructor, points (no names)."""
+    return m.season_stats(season, drivers).select("season", "driver_id", "constructor_id", "points")
 
 
 def standings_order():
-    return [F.col("points").desc(), F.col("driver_id").asc()]
+    return [F.col("points").desc(), F.col("driver_id").asc(), F.col("constructor_id").asc()]
 
 STANDINGS_COLS = ["season", "driver_id", "driver_code", "driver_name", "constructor_id",
                   "team", "points", "rank"]
@@ -49,8 +52,8 @@ STANDINGS_COLS = ["season", "driver_id", "driver_code", "driver_name", "construc
 
 def driver_standings(m: Model, season: int | None = None) -> DataFrame:
     """Q1: standings with rank by points, ties in driver order (pandas ``first``)."""
-    ranked = rank_first(standings(m, season), ["season"], standings_order(), name="rank")
-    return ranked.select(*STANDINGS_COLS)
+    ranked = rank_first(season_rows(m, season), ["season"], standings_order(), name="rank")
+    return with_driver_names(ranked, m).select(*STANDINGS_COLS)
 
 
 def season_kpis(m: Model, season: int = SEASON) -> DataFrame:
@@ -98,20 +101,20 @@ def points_trend(m: Model, drivers=TREND_DRIVERS) -> DataFrame:
 
 def rank_ties(m: Model) -> DataFrame:
     """SQL ``rank()`` of the standings: ties share a rank and leave a gap."""
-    ranked = rank_min(standings(m), ["season"], standings_order(), ["points"], name="rank_min")
+    ranked = rank_min(season_rows(m), ["season"], standings_order(), ["points"], name="rank_min")
     return finalize(ranked.select("season", "driver_id", "points", "rank_min"))
 
 
 def season_winners(m: Model) -> DataFrame:
     """Champion of every season (rank 1 under W1) by a partial ``min(struct)``."""
-    s = season_points(m.race_facts())
-    return argmax_row(s, ["season"], [-F.col("points"), F.col("driver_id")],
+    s = season_rows(m)
+    return argmax_row(s, ["season"], [-F.col("points"), F.col("driver_id"), F.col("constructor_id")],
                       ["driver_id", "points"])
 
 
 def championships(m: Model) -> DataFrame:
     """Seasons won per driver (every driver that raced, 0 when none)."""
     wins = season_winners(m).groupBy("driver_id").agg(F.count(F.lit(1)).alias("championships"))
-    raced = m.race_facts().select("driver_id").distinct()
+    raced = m.season_stats().select("driver_id").distinct()
     out = raced.join(wins, "driver_id", "left").na.fill(0, ["championships"])
     return finalize(out)

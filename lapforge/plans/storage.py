@@ -23,6 +23,11 @@ from lapforge.sources.tables import read_table
 SPLIT_SEASON = 1999
 
 
+def early(season: int = SPLIT_SEASON):
+    """Before ``season``; a NULL season counts as late, so the two sides hold every row."""
+    return F.coalesce(F.col("season") < season, F.lit(False))
+
+
 def csv_roundtrip(m: Model) -> DataFrame:
     """S12 + S1: standings exported as header CSV, read back as strings, typed again."""
     s = standings(m).select("season", "driver_id", "driver_code", "points")
@@ -44,8 +49,8 @@ def merge_mart_query(m: Model) -> DataFrame:
     spark = m.spark
     path = scratch_path(spark, "mart_season_standings")
     mart = mart_season_standings(m)
-    merge_mart(spark, path, mart.filter(F.col("season") < SPLIT_SEASON), MART_KEYS)
-    merge_mart(spark, path, mart.filter(F.col("season") >= SPLIT_SEASON - 1), MART_KEYS)
+    merge_mart(spark, path, mart.filter(early()), MART_KEYS)
+    merge_mart(spark, path, mart.filter(~early(SPLIT_SEASON - 1)), MART_KEYS)
     return read_evolved(spark, path).select(*mart.columns)
 
 
@@ -54,8 +59,8 @@ def schema_evolution(m: Model) -> DataFrame:
     as separate files and read back as one table (``wins`` NULL where absent)."""
     spark = m.spark
     stats = career_stats(m.race_facts(), ["season", "driver_id"])
-    v1 = stats.filter(F.col("season") < SPLIT_SEASON).select("season", "driver_id", "points")
-    v2 = stats.filter(F.col("season") >= SPLIT_SEASON).select("season", "driver_id", "points",
+    v1 = stats.filter(early()).select("season", "driver_id", "points")
+    v2 = stats.filter(~early()).select("season", "driver_id", "points",
                                                               "wins")
     path = scratch_path(spark, "evolving")
     v1.write.parquet(f"{path}/batch=1")
@@ -71,8 +76,8 @@ def append_load(m: Model) -> DataFrame:
     spark = m.spark
     s = standings(m).select("season", "driver_id", "points")
     layer = scratch_path(spark, "warehouse")
-    n1 = _append(s.filter(F.col("season") < SPLIT_SEASON), f"{layer}/agg_season_points")
-    n2 = _append(s.filter(F.col("season") >= SPLIT_SEASON), f"{layer}/agg_season_points")
+    n1 = _append(s.filter(early()), f"{layer}/agg_season_points")
+    n2 = _append(s.filter(~early()), f"{layer}/agg_season_points")
     back = read_table(spark, layer, "agg_season_points")
     land(back, f"{layer}/agg_season_points_by_season")
     landed = read_table(spark, layer, "agg_season_points_by_season")

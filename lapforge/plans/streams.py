@@ -11,17 +11,12 @@ from lapforge.session import scratch_path
 from lapforge.streaming import (RAW_RESULT_SCHEMA, RESULT_KEY, land_stream,
                                 refresh_mart_stream)
 
-# The staged files hold seven years of history at once, so a repeat may come
-# years after the original; the delay covers that span.  A live feed would use
-# minutes or hours.
-HISTORY_DELAY = "3650 days"
-
 
 def _stage_arrivals(m: Model, in_dir: str) -> None:
     """Result files as an exporter would drop them: the results by season in
     several files, then a replayed export of one season (repeated records)."""
     f = m.race_facts(with_time=True).select(*RESULT_KEY)
-    f.repartition(4, "season").write.mode("overwrite").parquet(in_dir)
+    f.write.mode("overwrite").parquet(in_dir)
     f.filter(F.col("season") == SEASON).write.mode("append").parquet(in_dir)
 
 
@@ -30,8 +25,7 @@ def _landed(m: Model) -> tuple[str, str]:
     base = scratch_path(spark, "stream")
     in_dir, out_dir = f"{base}/incoming", f"{base}/raw"
     _stage_arrivals(m, in_dir)
-    land_stream(spark, in_dir, out_dir, f"{base}/_ckpt_land", delay=HISTORY_DELAY,
-                files_per_trigger=16)
+    land_stream(spark, in_dir, out_dir, f"{base}/_ckpt_land", files_per_trigger=16)
     return base, out_dir
 
 

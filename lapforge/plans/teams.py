@@ -1,7 +1,7 @@
 """Constructor queries.
 
-Team standings are one row per (season, constructor), summed straight from the
-fact's constructor key (resolved once when the warehouse fact is written), and
+Team standings are one row per (season, constructor), summed from the season
+aggregate (whose constructor is the fact's own key), and
 only the names join the small result.  Windows here are
 partitioned by constructor (at most one row per season) or by season over the
 constructors (bounded by the nation table), so no window sees an unbounded
@@ -26,7 +26,7 @@ def team_order():
 
 def team_points(m: Model, season: int | None = None) -> DataFrame:
     """Q2 / A1: points per (season, constructor) with the team name."""
-    per_team = season_points(m.results(season), ["season", "constructor_id"])
+    per_team = season_points(m.season_stats(season), ["season", "constructor_id"])
     c = m.constructors().withColumnRenamed("constructor_name", "team")
     return per_team.join(c, "constructor_id", "left") \
         .select("season", "constructor_id", "team", "points")

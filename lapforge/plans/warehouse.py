@@ -3,14 +3,15 @@
 The reference's platform lands raw tables, builds a star schema
 (``fact_race_results``, ``fact_lap_times``) and serves the dashboards from it.
 Here the same: ``build`` runs the one expensive join (lineitem x orders) and
-the lap numbering once, writes both facts as parquet partitioned by season
+the lap numbering once, writes both facts as parquet partitioned by season,
+the season aggregate and the season dimension
 (rebalanced on (season, driver) and sorted inside, so a season filter
 prunes folders and a driver filter skips row groups), and every query scans them.
 
 The tables go under the shared ``spark.checkpoint.dir`` (``scratch_path``);
 they are durable, so a lost executor re-reads them instead of recomputing
-the join.  One build per (session, data directory); ``invalidate`` forces a
-rebuild.
+the join.  One build per session, data directory and state of its files;
+``invalidate`` forces a rebuild.
 """
 
 from __future__ import annotations
@@ -22,15 +23,29 @@ from pyspark.sql import functions as F
 
 from lapforge.session import scratch_path
 
-_BUILT: dict[tuple[str, str], str] = {}
+_BUILT: dict[tuple, str] = {}
 _LOCK = threading.Lock()
 
 FACT_RESULTS = "fact_race_results"
 FACT_LAPS = "fact_lap_times"
+AGG_SEASON = "agg_season_points"
+DIM_SEASONS = "dim_seasons"
 
+INPUTS = ("lineitem", "orders", "supplier", "events")
 
-def _key(spark: SparkSession, base: str) -> tuple[str, str]:
-    return (spark.sparkContext.applicationId, base.rstrip("/"))
+
+def _state(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Modification time and bytes of a table's folder or file."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getFileStatus(jpath).getModificationTime(), fs.getContentSummary(jpath).getLength()
+
+
+def _key(spark: SparkSession, base: str) -> tuple:
+    """Application, data folder and the state of the inputs: a changed input is a new key."""
+    base = base.rstrip("/")
+    return (spark.sparkContext.applicationId, base,
+            *(_state(spark, f"{base}/{t}.parquet") for t in INPUTS))
 
 
 def _partitions(spark: SparkSession) -> int | None:
@@ -67,6 +82,10 @@ def build(model) -> str:
     # the lap numbering already range-sorted the events by (season, driver,
     # time): its partitions are contiguous key ranges, so they are written as is
     write_fact(model.raw_laps(with_lap=True), f"{path}/{FACT_LAPS}", rebalance=False)
+    facts = spark.read.parquet(f"{path}/{FACT_RESULTS}")
+    model.stats_of(facts).write.parquet(f"{path}/{AGG_SEASON}")
+    spark.read.parquet(f"{path}/{AGG_SEASON}").select(F.col("season").cast("int").alias("season_year")) \
+        .distinct().coalesce(1).write.parquet(f"{path}/{DIM_SEASONS}")
     return path
 
 
@@ -81,7 +100,8 @@ def location(model) -> str:
 
 def invalidate(spark: SparkSession, base: str) -> None:
     with _LOCK:
-        _BUILT.pop(_key(spark, base), None)
+        key = _key(spark, base)
+        _BUILT.pop(key, None)
 
 
 def read_fact(model, name: str) -> DataFrame:

@@ -64,7 +64,7 @@ def configure(spark: SparkSession) -> SparkSession:
     conf.set("spark.sql.autoBroadcastJoinThreshold", str(BROADCAST_BYTES))
     conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(BROADCAST_BYTES))
     conf.set("spark.sql.parquet.filterPushdown", "true")
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.split("[")[0] != "local":
         _set_if_unset(spark, "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
                       str(CLUSTER_INITIAL_SHUFFLE_PARTITIONS))
         _set_if_unset(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes",
@@ -92,7 +92,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if sc.master.split("[")[0] != "local":  # local-cluster has executors of its own
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a shared folder "
                 "(HDFS/S3/ABFS) before running lapforge jobs on a cluster")

@@ -13,6 +13,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from lapforge.operators.ordering import join_null_safe
+from lapforge.session import ensure_checkpoint_dir
+
 
 def write_overwrite(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
                     fmt: str = "parquet") -> None:
@@ -44,11 +47,14 @@ def append_load(df: DataFrame, path: str, fmt: str = "parquet") -> int:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the table is there; any failure but a missing path is raised."""
     try:
         spark.read.parquet(path).schema  # noqa: B018
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 class KeyCollision(ValueError):
@@ -63,31 +69,42 @@ def check_unique(df: DataFrame, keys: Sequence[str]) -> None:
 
 
 def merge_mart(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str],
-               partition_col: str = "season", on_collision: str = "fail") -> None:
-    """Upsert ``new`` into the mart at ``path`` by ``keys``.
-
-    Only the partitions (seasons) present in ``new`` are rewritten, with dynamic
-    partition overwrite: old rows of those seasons whose key is not in ``new``
-    are kept, the rest replaced; new columns are added (NULL in untouched
-    partitions, read with ``mergeSchema``).  The merged rows are checkpointed
-    first, so the job never reads and overwrites the same files at once.
-    A repeated merge of the same rows changes nothing.
+               partition_col: str = "season", on_collision: str = "fail",
+               sync_columns: bool = False) -> None:
+    """Upsert ``new`` into the mart at ``path`` by ``keys`` (NULL matches NULL).
+
+    Only the partitions (seasons, also the NULL one) present in ``new`` are
+    rewritten, with dynamic partition overwrite: old rows of those seasons whose key
+    is not in ``new`` are kept, the rest replaced; new columns are added (NULL in
+    untouched partitions, read with ``mergeSchema``).  With ``sync_columns`` columns
+    that ``new`` lacks leave the mart, which rewrites all of it.  The new rows and the
+    merged rows are checkpointed, so ``new`` is computed once and the job never reads
+    and overwrites the same files.  A repeated merge of the same rows changes nothing.
     """
     keys = list(keys)
+    ensure_checkpoint_dir(spark)
+    if on_collision == "keep_first":
+        new = new.dropDuplicates(keys)
+    new = new.checkpoint(eager=True)
     if on_collision == "fail":
         check_unique(new, keys)
-    elif on_collision == "keep_first":
-        new = new.dropDuplicates(keys)
     if not table_exists(spark, path):
         new.write.mode("overwrite").partitionBy(partition_col).parquet(path)
         return
     old = read_evolved(spark, path)
-    touched = new.select(partition_col).distinct()
-    kept = old.join(touched, partition_col, "left_semi") \
-        .join(new.select(*keys), keys, "left_anti")
+    every = sync_columns and bool(set(old.columns) - set(new.columns))
+    if every:
+        old = old.select(*[c for c in new.columns if c in old.columns])
+    else:  # one value per partition folder: a bounded list, and a filter that prunes folders
+        values = [r[0] for r in new.select(partition_col).distinct().collect()]
+        here = F.col(partition_col).isin([v for v in values if v is not None])
+        if None in values:
+            here = F.coalesce(here, F.lit(True))
+        old = old.where(here)
+    kept = join_null_safe(old, new.select(*keys).distinct(), keys, "left_anti")
     merged = kept.unionByName(new, allowMissingColumns=True).checkpoint(eager=True)
     (merged.write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
+     .option("partitionOverwriteMode", "static" if every else "dynamic")
      .partitionBy(partition_col).parquet(path))
 
 

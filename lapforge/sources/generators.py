@@ -60,7 +60,7 @@ def gen_results(spark: SparkSession, first_season: int = 2010, last_season: int
         (F.col("id") % k).cast("int").alias("d_idx"))
     tracks = spark.createDataFrame([(i + 1, t) for i, t in enumerate(TRACKS[:rounds])],
                                    "round int, track string")
-    grid = idx.join(F.broadcast(tracks), "round").join(F.broadcast(_entrants(spark)), "d_idx")
+    grid = idx.join(F.broadcast(tracks), "round", "left").join(F.broadcast(_entrants(spark)), "d_idx", "left")
     keys = [F.col("season"), F.col("round"), F.col("d_idx")]
     base = F.col("d_idx") * F.lit(POSITION_STEP) + gaussian(seed, F.lit("pos"), *keys,
                                                             sd=POSITION_SD)
@@ -95,7 +95,7 @@ def gen_laps(spark: SparkSession, seasons=(2020, 2021, 2022, 2023, 2024), entran
         (F.col("id") % laps + 1).cast("int").alias("lap"))
     s = spark.createDataFrame(list(enumerate(seasons)), "s_idx int, season int")
     grid = idx.join(F.broadcast(s), "s_idx").join(F.broadcast(_entrants(spark, entrants)),
-                                                  "d_idx")
+                                                  "d_idx", "left")
     keys = [F.col("season"), F.col("d_idx"), F.col("lap")]
     t = (F.lit(LAP_BASE) + gaussian(seed, F.lit("base"), *keys, sd=LAP_SD)
          - F.lit(FUEL_PER_LAP) * F.col("lap") + gaussian(seed, F.lit("noise"), *keys,

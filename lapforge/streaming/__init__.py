@@ -1,9 +1,9 @@
 """Structured Streaming jobs.
 
 ST1 lands arriving result files into the raw layer: a file stream with a
-fixed schema, a watermark on the race time and ``dropDuplicatesWithinWatermark``
-on the record key, written to a parquet sink with a checkpoint (exactly-once
-file sink, restartable after a lost executor or driver).
+fixed schema whose micro-batches are de-duplicated on the record key and against
+the landed rows, then appended (restartable after a lost executor or driver: a
+replayed batch finds its rows landed).
 
 ST2 refreshes the season-standings mart from each landed micro-batch with
 ``foreachBatch``: the seasons touched by the batch are recomputed from the
@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lapforge.operators.aggregates import count_if
-from lapforge.sinks import merge_mart
+from lapforge.operators.ordering import join_null_safe
+from lapforge.sinks import merge_mart, table_exists
 
 RAW_RESULT_SCHEMA = T.StructType([
     T.StructField("race_id", T.LongType()),
@@ -48,19 +49,28 @@ def live_source(spark: SparkSession, in_dir: str, schema: T.StructType = RAW_RES
 
 
 def land_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str,
-                key: Sequence[str] = tuple(RESULT_KEY), event_time: str = "race_ts",
-                delay: str = "1 day", schema: T.StructType = RAW_RESULT_SCHEMA,
+                key: Sequence[str] = tuple(RESULT_KEY), schema: T.StructType = RAW_RESULT_SCHEMA,
                 files_per_trigger: int = 2) -> None:
     """ST1: land everything available now, dropping repeated records.
 
-    ``delay`` bounds how late a repeat may arrive and still be recognised (and
-    how long the de-duplication state lives); records later than the watermark
-    are dropped by Spark's late-data rule."""
-    stream = live_source(spark, in_dir, schema, files_per_trigger)
-    deduped = stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(key))
-    q = (deduped.writeStream.format("parquet")
-         .partitionBy("season")
-         .option("path", out_dir)
+    Each micro-batch is de-duplicated on ``key`` and anti-joined (NULL matches NULL)
+    with the landed rows of the seasons it touches, then appended.  A row is never
+    dropped for being late, a repeat is recognised however late it comes, and a
+    replayed batch adds nothing."""
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        fresh = batch.dropDuplicates(list(key))
+        if table_exists(spark, out_dir):
+            landed = spark.read.schema(schema).parquet(out_dir)
+            seasons = [r[0] for r in batch.select("season").distinct().collect()]  # calendar years
+            here = F.col("season").isin([s for s in seasons if s is not None])
+            if None in seasons:
+                here = F.coalesce(here, F.lit(True))
+            fresh = join_null_safe(fresh, landed.where(here).select(*key), list(key), "left_anti")
+        fresh.write.mode("append").partitionBy("season").parquet(out_dir)
+
+    q = (live_source(spark, in_dir, schema, files_per_trigger).writeStream
+         .foreachBatch(land)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())

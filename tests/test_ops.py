@@ -18,22 +18,28 @@ def test_step_gaps(spark):
 
 
 def test_run_history(spark):
-    r = ops.run_history_summary(files.run_history(spark)).first()
-    assert r.runs == 5 and r.success_pct == 60.0 and r.failed == 1
-    assert r.mean_duration_sec == (392 + 378 + 492 + 405) / 4
-    assert r.mean_records == 5_400_000
+    runs = spark.createDataFrame(
+        [("r1", "2024-03-01 06:00", "1m 30s", "2K", "SUCCESS"), ("r2", "2024-03-02 06:00", "2m 30s", "4K", "SUCCESS"),
+         ("r3", "2024-03-03 06:00", "—", "—", "FAILED")],
+        "run_id string, triggered string, duration string, records string, status string")
+    r = ops.run_history_summary(runs).first()
+    assert r.runs == 3 and r.failed == 1
+    assert r.mean_duration_sec == 120 and r.mean_records == 3000
 
 
 def test_stage_totals(spark):
-    r = ops.stage_totals(files.stage_list(spark)).first()
-    assert r.total_sec == 356 and r.total_tasks == 136
-    assert r.slowest_stage == "raw_ingest_lap_times"
+    stages = spark.createDataFrame(
+        [("Stage 1", "read", "COMPLETE", "0:10", "1K", 2), ("Stage 2", "join", "COMPLETE", "1:05", "2M", 3)],
+        "stage string, job_name string, status string, duration string, records string, tasks int")
+    r = ops.stage_totals(stages).first()
+    assert r.total_sec == 75 and r.total_tasks == 5 and r.slowest_stage == "join"
 
 
 def test_resource_summary(spark):
-    rows = {r.metric: r for r in ops.resource_summary(files.resource_series(spark)).collect()}
-    assert rows["cpu"].peak == 92 and rows["cpu"].peak_minute == 3
-    assert rows["mem"].peak == 72 and rows["net"].peak == 85
+    series = spark.createDataFrame([(0, 5, 9, 1), (1, 7, 3, 8)], "minute int, cpu int, mem int, net int")
+    rows = {r.metric: r for r in ops.resource_summary(series).collect()}
+    assert rows["cpu"].peak == 7 and rows["cpu"].peak_minute == 1
+    assert rows["mem"].peak == 9 and rows["net"].peak == 8
 
 
 def test_app_log_records_and_tail(spark, tmp_dir):

@@ -18,7 +18,7 @@ def test_land_then_refresh_and_replay(spark, tmp_dir):
     batch1 = [_r(1, 2000, 7, 1, 25, 1), _r(1, 2000, 8, 2, 18, 1), _r(2, 2001, 7, 3, 15, 2)]
     _rows(spark, batch1).write.mode("append").parquet(inc)
     _rows(spark, batch1[:1]).write.mode("append").parquet(inc)  # a repeated record
-    land_stream(spark, inc, raw, f"{tmp_dir}/ck1", delay="3650 days")
+    land_stream(spark, inc, raw, f"{tmp_dir}/ck1")
     assert spark.read.parquet(raw).count() == 3
     refresh_mart_stream(spark, raw, mart, f"{tmp_dir}/ck2")
     got = {(r.season, r.driver_id): (r.points, r.races, r.wins)
@@ -27,7 +27,7 @@ def test_land_then_refresh_and_replay(spark, tmp_dir):
 
     # new arrival for 2001 plus another repeat: only 2001 changes
     _rows(spark, [_r(3, 2001, 8, 1, 25, 3), batch1[1]]).write.mode("append").parquet(inc)
-    land_stream(spark, inc, raw, f"{tmp_dir}/ck1", delay="3650 days")
+    land_stream(spark, inc, raw, f"{tmp_dir}/ck1")
     assert spark.read.parquet(raw).count() == 4
     refresh_mart_stream(spark, raw, mart, f"{tmp_dir}/ck2")
     got2 = {(r.season, r.driver_id): (r.points, r.races, r.wins)

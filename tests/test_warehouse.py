@@ -28,7 +28,13 @@ def test_seasons_dimension_equal(spark):
     assert _rows(wh.seasons()) == _rows(raw.seasons())
 
 
-def test_season_list_from_folders(spark):
+def test_season_aggregate_equals_raw(spark):
+    wh, raw = Model(spark, SF), Model(spark, SF, warehouse=False)
+    cols = raw.season_stats().columns
+    assert _rows(wh.season_stats().select(*cols)) == _rows(raw.season_stats())
+
+
+def test_season_list(spark):
     wh, raw = Model(spark, SF), Model(spark, SF, warehouse=False)
     assert wh.season_list() == raw.season_list() == list(range(1995, 2002))
 
