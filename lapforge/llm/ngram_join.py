@@ -146,20 +146,27 @@ def full_sets(texts: DataFrame, width: int) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets are linked."""
-    left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("counts").alias("ca"),
-                       F.col("items").alias("ia"))
-    right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("counts").alias("cb"),
-                        F.col("items").alias("ib"))
-    both = pairs.join(left, "a").join(right, "b")
-    total = F.col("na") + F.col("nb")
+    """The pairs (a, b) of nodes whose sets are linked.
+
+    The count vectors are compared first; full sets travel only for pairs whose bound
+    is large enough.
+    """
+
+    def with_sides(some: DataFrame, column: str) -> DataFrame:
+        side = sets.select(F.col("node").alias("_node"), "n", column)
+        for end in ("a", "b"):
+            some = some.join(side.select(F.col("_node").alias(end), F.col("n").alias(f"n{end}"),
+                                         F.col(column).alias(f"{column}_{end}")), end)
+        return some
 
     def linked(overlap: Column) -> Column:
-        return overlap * 100 >= (total - overlap) * percent
+        return overlap * 100 >= (F.col("na") + F.col("nb") - overlap) * percent
 
-    minima = F.aggregate(F.zip_with("ca", "cb", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda s, x: s + x)
-    return both.where(linked(minima)).where(linked(F.size(F.array_intersect("ia", "ib")).cast("long"))) \
-        .select("a", "b")
+    minima = F.aggregate(F.zip_with("counts_a", "counts_b", lambda x, y: F.least(x, y)),
+                         F.lit(0).cast("long"), lambda s, x: s + x)
+    near = written(with_sides(pairs, "counts").where(linked(minima)).select("a", "b"), "near-pairs")
+    return with_sides(near, "items") \
+        .where(linked(F.size(F.array_intersect("items_a", "items_b")).cast("long"))).select("a", "b")
 
 
 class CountTree:
