@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,3 +69,28 @@ def hash_sample(rows: DataFrame, key: str, wanted: int, by: str | None = None,
 def value_counts(rows: DataFrame, by: str) -> dict:
     """Rows per value of a column with few values."""
     return {r[0]: r[1] for r in rows.groupBy(by).count().collect()}
+
+
+def release() -> None:
+    """Hand memory that this Python worker has freed back to the system.
+
+    Workers live on for later tasks and stages; without this an idle one keeps the
+    arrays, tokenizers and tables that its last task has freed, on top of what the
+    executor's next stage needs.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) \
+        -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` of a mapInArrow, with ``release`` at the task's end."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return whole

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapforge.llm.common import read_table, text_of, written
+from lapforge.llm.common import read_table, text_of, trimmed, written
 
 SALTS = 32
 BUCKET_ROWS = 200_000
@@ -174,7 +174,7 @@ def index(rows: DataFrame, taken_down: DataFrame | None = None,
                                                [pa.string()] + [pa.int64()] * 4, strict=True)],
                 [f.split()[0] for f in GROUPS.split(", ")])
 
-    return summed.repartition(n, "text_sha256").mapInArrow(run, GROUPS)
+    return summed.repartition(n, "text_sha256").mapInArrow(trimmed(run), GROUPS)
 
 
 def exact_dedup(docs: DataFrame) -> DataFrame:

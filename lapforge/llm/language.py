@@ -24,14 +24,14 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapforge.llm.common import fold, hash_sample, read_table, value_counts
+from lapforge.llm.common import fold, hash_sample, read_table, trimmed, value_counts
 
 FOLDS, HELD_OUT = 4, 2
 SAMPLE_DOCS = 400
@@ -178,8 +178,9 @@ class CrossParser:
         return langs, np.where(letters, np.clip(score, 0, 1), 0.0).tolist()
 
 
-def predicted(batches: Iterator[pa.RecordBatch], texts: dict[str, str]) -> Iterator[tuple]:
-    """(rows, languages, scores) of batches with the columns text and n."""
+def predicted(batches: Iterator[pa.RecordBatch], texts: dict[str, str],
+              text_of_rows: Callable[[pa.RecordBatch], pa.Array]) -> Iterator[tuple]:
+    """(rows, languages, scores) of batches with a column n, the characters of each text."""
     parser = CrossParser(texts)
     for batch in batches:
         lengths = np.cumsum(batch.column("n").to_numpy())
@@ -187,14 +188,14 @@ def predicted(batches: Iterator[pa.RecordBatch], texts: dict[str, str]) -> Itera
         for part in np.split(np.arange(batch.num_rows), cuts):
             if len(part):
                 rows = batch.slice(part[0], len(part))
-                yield rows, *parser.predict(rows.column("text").to_pylist())
+                yield rows, *parser.predict(text_of_rows(rows).to_pylist())
 
 
 def identify(docs: DataFrame, texts: dict[str, str]) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, langs, scores in predicted(batches, texts):
+        for rows, langs, scores in predicted(batches, texts, lambda rows: rows.column("text")):
             yield pa.RecordBatch.from_arrays(
                 [rows.column("doc_id"), rows.column("held_out"), pa.array(langs, pa.string()),
                  pa.array(scores, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
@@ -203,24 +204,24 @@ def identify(docs: DataFrame, texts: dict[str, str]) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"),
         (fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"),
         F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n"), "text") \
-        .mapInArrow(run, RESULT)
+        .mapInArrow(trimmed(run), RESULT)
 
 
 def with_language(docs: DataFrame, texts: dict[str, str]) -> DataFrame:
     """``docs`` with the prediction as ``lang``, without the documents that are ``und``."""
     columns = docs.columns
-    at = columns.index("lang")
+    at, text_at = columns.index("lang"), columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, langs, _ in predicted(batches, texts):
+        for rows, langs, _ in predicted(batches, texts, lambda rows: rows.column("row").field(text_at)):
             held = rows.column("row").flatten()
             held[at] = pa.array(langs, pa.string())
             keep = pa.array([x != "und" for x in langs], pa.bool_())
             yield pa.RecordBatch.from_arrays(held, columns).filter(keep)
 
     schema = docs.schema
-    return docs.select(F.struct(*columns).alias("row"), F.col("text").cast("string").alias("text"),
-                       F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n")).mapInArrow(run, schema)
+    return docs.select(F.struct(*columns).alias("row"),
+                       F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n")).mapInArrow(trimmed(run), schema)
 
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:

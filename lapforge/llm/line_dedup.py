@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from lapforge.llm.common import doc_key, read_table, written
+from lapforge.llm.common import doc_key, read_table, trimmed, written
 
 MIN_WORDS = 50
 KEY = ["did", "tk"]
@@ -81,7 +81,7 @@ def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
                     ["did", "tk", "pos", "h1", "h2", "runs"])
 
     return docs.where(docs["text"].isNotNull()).select(*doc_key(docs), docs["text"].cast("string").alias("text")) \
-        .mapInArrow(run, LINES)
+        .mapInArrow(trimmed(run), LINES)
 
 
 def ranked(rows: DataFrame, a: str, b: str, name: str) -> DataFrame:

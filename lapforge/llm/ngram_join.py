@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapforge.llm.common import doc_key, read_table, text_of, written
+from lapforge.llm.common import doc_key, read_table, text_of, trimmed, written
 from lapforge.llm.graph import components
 from lapforge.llm.words import SPACES, Hasher, blocks, mix, shingles
 
@@ -121,7 +121,7 @@ def sets_of(docs: DataFrame, width: int, percent: int) -> DataFrame:
                     ["doc_id", "did", "tk", "n", "s1", "s2", "keys"])
 
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), *doc_key(docs),
-                       text_of(docs).cast("binary").alias("text")).mapInArrow(run, SETS)
+                       text_of(docs).cast("binary").alias("text")).mapInArrow(trimmed(run), SETS)
 
 
 def full_sets(texts: DataFrame, width: int) -> DataFrame:
@@ -142,7 +142,7 @@ def full_sets(texts: DataFrame, width: int) -> DataFrame:
                      pa.array([h.view(np.int64) for h in found], pa.list_(pa.int64()))],
                     ["node", "n", "counts", "items"])
 
-    return texts.mapInArrow(run, "node long, n long, counts array<int>, items array<long>")
+    return texts.mapInArrow(trimmed(run), "node long, n long, counts array<int>, items array<long>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

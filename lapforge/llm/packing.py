@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from lapforge.llm.common import read_table, text_of
+from lapforge.llm.common import read_table, text_of, trimmed
 from lapforge.llm.words import SPACES, Hasher, blocks
 
 TIERS = (512, 1024, 2048, 4096)
@@ -259,7 +259,7 @@ def pack(docs: DataFrame, vocabulary: str, tiers: tuple[int, ...] = TIERS,
             yield done()
 
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text")) \
-        .mapInArrow(run, SCHEMA)
+        .mapInArrow(trimmed(run), SCHEMA)
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from lapforge.llm.common import fold, read_table, text_of
+from lapforge.llm.common import fold, read_table, text_of, trimmed
 from lapforge.llm.toxicity import labelled_sample
 
 FOLDS, HELD_OUT = 3, 1
@@ -188,7 +188,7 @@ def score(docs: DataFrame, net: Net) -> DataFrame:
 
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"),
                        (fold(docs["doc_id"], FOLDS) == HELD_OUT).alias("held_out"),
-                       text_of(docs).cast("binary").alias("text")).mapInArrow(run, RESULT)
+                       text_of(docs).cast("binary").alias("text")).mapInArrow(trimmed(run), RESULT)
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapforge.llm.common import doc_key, read_table, text_of, written
+from lapforge.llm.common import doc_key, read_table, text_of, trimmed, written
 
 KINDS = ("assign", "access", "hex", "bare")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -95,7 +95,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), *doc_key(docs),
                        docs["source"].cast("string").alias("owner"), text_of(docs).alias("text")) \
-        .mapInArrow(run, SCANNED)
+        .mapInArrow(trimmed(run), SCANNED)
 
 
 def ownership(scanned: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapforge.llm.common import fold, hash_sample, read_table, text_of
+from lapforge.llm.common import fold, hash_sample, read_table, text_of, trimmed
 from lapforge.llm.words import LETTERS, Hasher, blocks
 
 FOLDS, HELD_OUT = 4, 2
@@ -169,7 +169,7 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float) -> DataFrame:
 
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"),
                        (fold(docs["doc_id"], FOLDS) == HELD_OUT).alias("held_out"),
-                       text_of(docs).cast("binary").alias("text")).mapInArrow(run, RESULT)
+                       text_of(docs).cast("binary").alias("text")).mapInArrow(trimmed(run), RESULT)
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapforge.llm.common import read_table, written
+from lapforge.llm.common import read_table, trimmed, written
 from lapforge.session import scratch_path
 
 ARCHIVE_BYTES = 64 << 20
@@ -139,7 +139,7 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
             yield pa.RecordBatch.from_pylist(done, pa.schema(
                 [("path", pa.string()), ("records", pa.int64()), ("bytes", pa.int64())]))
 
-    return written(tagged.mapInArrow(run, MANIFEST), "warc-manifest")
+    return written(tagged.mapInArrow(trimmed(run), MANIFEST), "warc-manifest")
 
 
 class Bad(Exception):
@@ -288,7 +288,7 @@ def read_archives(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
         if rows:
             yield flush()
 
-    return manifest.select("path").repartition(files).mapInArrow(run, READ)
+    return manifest.select("path").repartition(files).mapInArrow(trimmed(run), READ)
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
