@@ -28,13 +28,12 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from lapforge.llm.common import doc_key, read_table, trimmed, written
+from lapforge.llm.common import doc_key, read_table, release, trimmed, written
 
 MIN_WORDS = 50
 KEY = ["did", "tk"]
@@ -137,23 +136,26 @@ def deleted_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         .groupBy(*KEY).agg(F.collect_set("pos").alias("gone"))
 
 
-@F.pandas_udf(StringType())
-def without_lines(text: pd.Series, gone: pd.Series) -> pd.Series:
+def left_of(text: str, gone: list[int]) -> str:
     """The text without its non-blank lines at the places ``gone``."""
-    out = []
-    for t, g in zip(text, gone, strict=True):
-        if t is not None and g is not None:
-            drop, kept, place = set(np.asarray(g).tolist()), [], 0
-            for line in t.split("\n"):
-                if line.strip():
-                    if place not in drop:
-                        kept.append(line)
-                    place += 1
-                else:
-                    kept.append(line)
-            t = "\n".join(kept)
-        out.append(t)
-    return pd.Series(out, dtype=object)
+    drop, kept, place = set(gone), [], 0
+    for line in text.split("\n"):
+        if not line.strip():
+            kept.append(line)
+            continue
+        if place not in drop:
+            kept.append(line)
+        place += 1
+    return "\n".join(kept)
+
+
+@F.arrow_udf(StringType())
+def without_lines(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """``left_of`` where there is a text and something to delete, else the text itself."""
+    for texts, places in batches:
+        yield pa.array([left_of(t, g) if t is not None and g is not None else t
+                        for t, g in zip(texts.to_pylist(), places.to_pylist(), strict=True)], pa.string())
+    release()
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
