@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,17 +20,35 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared checkpoint folder.
+Write = Callable[[DataFrame, str], DataFrame]
+
+
+def written(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """``df`` as a table in the shared checkpoint folder (or in ``folder``, which lies there).
 
     Cuts the lineage: later stages re-read the table, also after an executor is
     lost, so row order and generated ids in it never change.
     """
-    path = scratch_path(df.sparkSession, name)
+    path = f"{folder}/{name}-{uuid.uuid4().hex}" if folder else scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def workspace(spark: SparkSession, name: str) -> Iterator[Write]:
+    """A ``written`` whose tables are deleted when the block ends.
+
+    What outlives the block must be written elsewhere within it; then nothing refers
+    to the deleted tables, also when an executor is lost later.
+    """
+    folder = scratch_path(spark, name)
+    try:
+        yield lambda df, table: written(df, table, folder)
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds`` (a null id counts as empty text)."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(folds))

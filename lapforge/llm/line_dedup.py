@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from lapforge.llm.common import doc_key, read_table, release, trimmed, written
+from lapforge.llm.common import Write, doc_key, read_table, release, trimmed, workspace, written
 
 MIN_WORDS = 50
 KEY = ["did", "tk"]
@@ -83,19 +83,19 @@ def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
         .mapInArrow(trimmed(run), LINES)
 
 
-def ranked(rows: DataFrame, a: str, b: str, name: str) -> DataFrame:
+def ranked(rows: DataFrame, a: str, b: str, name: str, write: Write) -> DataFrame:
     """Order-preserving ranks of the (a, b) that occur more than once: a, b, rank."""
     twice = rows.groupBy(a, b).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return written(twice.orderBy(a, b).select(a, b, F.monotonically_increasing_id().alias("rank")), name)
+    return write(twice.orderBy(a, b).select(a, b, F.monotonically_increasing_id().alias("rank")), name)
 
 
-def suffix_ranks(lines: DataFrame) -> Iterator[tuple[int, DataFrame]]:
+def suffix_ranks(lines: DataFrame, write: Write = written) -> Iterator[tuple[int, DataFrame]]:
     """(k, did, tk, pos, rank): ranks of the first 2^k lines of each suffix, repeated ones only.
 
     At k = 0 the rows carry ``runs`` as well.
     """
-    level = written(
-        lines.join(ranked(lines, "h1", "h2", "line-ranks"), ["h1", "h2"])
+    level = write(
+        lines.join(ranked(lines, "h1", "h2", "line-ranks", write), ["h1", "h2"])
         .select(*KEY, "pos", "rank", "runs").dropDuplicates([*KEY, "pos"]), "line-level")
     k = 0
     while True:
@@ -103,37 +103,38 @@ def suffix_ranks(lines: DataFrame) -> Iterator[tuple[int, DataFrame]]:
         step = 1 << k
         ahead = level.select(*KEY, (F.col("pos") - step).alias("pos"), F.col("rank").alias("next"))
         pairs = level.select(*KEY, "pos", "rank").withColumnRenamed("rank", "lead").join(ahead, [*KEY, "pos"])
-        level = written(pairs.join(ranked(pairs, "lead", "next", "line-ranks"), ["lead", "next"])
-                        .select(*KEY, "pos", "rank"), "line-level")
+        level = write(pairs.join(ranked(pairs, "lead", "next", "line-ranks", write), ["lead", "next"])
+                      .select(*KEY, "pos", "rank"), "line-level")
         k += 1
 
 
 def deleted_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """did, tk, gone: the places (among non-blank lines) of the lines to delete per document."""
-    lines = written(lines_of(docs, min_words), "lines")
-    found, longest, windows = None, None, None
-    for k, level in suffix_ranks(lines):
-        if windows is None:
-            windows = level.select(*KEY, "pos", F.explode("runs").alias("len"))
-            longest = windows.agg(F.max("len")).first()[0] or 0
-        size = 1 << k
-        if size > longest:
-            break
-        own = windows.where((F.col("len") >= size) & (F.col("len") < 2 * size))
-        last = level.select(*KEY, F.col("pos").alias("end"), F.col("rank").alias("last"))
-        named = own.join(level.select(*KEY, "pos", F.col("rank").alias("head")), [*KEY, "pos"]) \
-            .withColumn("end", F.col("pos") + F.col("len") - size).join(last, [*KEY, "end"]) \
-            .select(*KEY, "pos", "len", "head", "last")
-        place = F.struct(*KEY, "pos")
-        first = named.groupBy("len", "head", "last").agg(F.min(place).alias("first"),
-                                                         F.count(F.lit(1)).alias("n")).where("n > 1")
-        later = named.join(first.drop("n"), ["len", "head", "last"]).where(place != F.col("first")) \
-            .select(*KEY, "pos", "len")
-        found = later if found is None else found.unionByName(later)
-    if found is None:
-        found = windows.select(*KEY, "pos", "len").where(F.lit(False))
-    return found.select(*KEY, F.explode(F.sequence("pos", F.col("pos") + F.col("len") - 1)).alias("pos")) \
-        .groupBy(*KEY).agg(F.collect_set("pos").alias("gone"))
+    with workspace(docs.sparkSession, "line-dedup") as write:
+        lines = write(lines_of(docs, min_words), "lines")
+        found, longest, windows = None, None, None
+        for k, level in suffix_ranks(lines, write):
+            if windows is None:
+                windows = level.select(*KEY, "pos", F.explode("runs").alias("len"))
+                longest = windows.agg(F.max("len")).first()[0] or 0
+            size = 1 << k
+            if size > longest:
+                break
+            own = windows.where((F.col("len") >= size) & (F.col("len") < 2 * size))
+            last = level.select(*KEY, F.col("pos").alias("end"), F.col("rank").alias("last"))
+            named = own.join(level.select(*KEY, "pos", F.col("rank").alias("head")), [*KEY, "pos"]) \
+                .withColumn("end", F.col("pos") + F.col("len") - size).join(last, [*KEY, "end"]) \
+                .select(*KEY, "pos", "len", "head", "last")
+            place = F.struct(*KEY, "pos")
+            first = named.groupBy("len", "head", "last").agg(F.min(place).alias("first"),
+                                                             F.count(F.lit(1)).alias("n")).where("n > 1")
+            later = named.join(first.drop("n"), ["len", "head", "last"]).where(place != F.col("first")) \
+                .select(*KEY, "pos", "len")
+            found = later if found is None else found.unionByName(later)
+        if found is None:
+            found = windows.select(*KEY, "pos", "len").where(F.lit(False))
+        return written(found.select(*KEY, F.explode(F.sequence("pos", F.col("pos") + F.col("len") - 1)).alias("pos"))
+                       .groupBy(*KEY).agg(F.collect_set("pos").alias("gone")), "lines-gone")
 
 
 def left_of(text: str, gone: list[int]) -> str:

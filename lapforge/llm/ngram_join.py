@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapforge.llm.common import doc_key, read_table, text_of, trimmed, written
+from lapforge.llm.common import Write, doc_key, read_table, text_of, trimmed, workspace, written
 from lapforge.llm.graph import components
 from lapforge.llm.words import SPACES, Hasher, blocks, mix, shingles
 
@@ -46,6 +46,7 @@ COORDINATES = 256  # a power of two
 LEAF = 16
 BLOCK_NODES = 512
 NEAREST_ROUNDS = 1
+SIGNATURE = ["n", "s1", "s2"]
 
 
 def classes(percent: int, upto: int = 1 << 40) -> list[tuple[int, int, int]]:
@@ -145,7 +146,44 @@ def full_sets(texts: DataFrame, width: int) -> DataFrame:
     return texts.mapInArrow(trimmed(run), "node long, n long, counts array<int>, items array<long>")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (key, node) rows sorted by key, without those whose key surely occurs once.
+
+    A key's run may go on in the partition before or after, so the first and the last row
+    always stay.  Rows are compared with their neighbours; one row is held at a time.
+    """
+    held, alone = None, False  # the last row so far; has it no like neighbour before it?
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column("key").to_numpy()
+        same = key[1:] == key[:-1]
+        before = np.concatenate(([held is None or held.column("key")[0].as_py() == key[0]], same))
+        if held is not None and (before[0] or not alone):
+            yield held
+        stays = before[:-1] | same
+        yield batch.slice(0, len(key) - 1).filter(pa.array(stays))
+        held, alone = batch.slice(len(key) - 1), not before[-1]
+    if held is not None:
+        yield held
+
+
+def key_members(keyed: DataFrame, write: Write) -> DataFrame:
+    """key, node, hub of the keys with more than one node, keys of the same nodes once.
+
+    ``keyed``: node, keys.  A range sort by (key, node) lets most keys, which only one
+    node has, go before anything is counted; a key of many nodes spans many partitions.
+    """
+    each = write(keyed.select(F.explode("keys").alias("key"), "node").repartitionByRange("key", "node")
+                 .sortWithinPartitions("key", "node").mapInArrow(trimmed(repeated), "key long, node long"), "keys")
+    shared = each.groupBy("key").agg(
+        F.count(F.lit(1)).alias("size"), F.min("node").alias("hub"),
+        *(F.bit_xor(F.xxhash64(F.lit(i), F.col("node"))).alias(f"x{i}") for i in (1, 2))).where("size > 1")
+    distinct = shared.groupBy("size", "x1", "x2").agg(F.min("key").alias("key"), F.min("hub").alias("hub"))
+    return each.join(distinct.select("key", "hub"), "key")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int, write: Write = written) -> DataFrame:
     """The pairs (a, b) of nodes whose sets are linked.
 
     The count vectors are compared first; full sets travel only for pairs whose bound
@@ -164,7 +202,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     minima = F.aggregate(F.zip_with("counts_a", "counts_b", lambda x, y: F.least(x, y)),
                          F.lit(0).cast("long"), lambda s, x: s + x)
-    near = written(with_sides(pairs, "counts").where(linked(minima)).select("a", "b"), "near-pairs")
+    near = write(with_sides(pairs, "counts").where(linked(minima)).select("a", "b"), "near-pairs")
     return with_sides(near, "items") \
         .where(linked(F.size(F.array_intersect("items_a", "items_b")).cast("long"))).select("a", "b")
 
@@ -246,48 +284,48 @@ def ngram_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     ``links`` counts the verified links found of the document's set (those that were
     needed to join its component), not all partners.
     """
-    rows = written(sets_of(docs, width, percent).withColumn("row", F.monotonically_increasing_id()), "sets")
-    signature = ["n", "s1", "s2"]
-    nodes = written(rows.where("n > 0").groupBy(*signature).agg(F.min("row").alias("row"))
-                    .withColumn("node", F.monotonically_increasing_id()), "nodes")
-    keyed = written(rows.select("row", "did", "tk", "keys").join(nodes.select("row", "node"), "row")
-                    .select("node", "did", "tk", "keys"), "node-keys")
-    each = keyed.select("node", F.explode("keys").alias("key"))
-    shared = each.groupBy("key").agg(
-        F.count(F.lit(1)).alias("size"), F.min("node").alias("hub"),
-        *(F.bit_xor(F.xxhash64(F.lit(i), F.col("node"))).alias(f"x{i}") for i in (1, 2))).where("size > 1")
-    distinct = shared.groupBy("size", "x1", "x2").agg(F.min("key").alias("key"), F.min("hub").alias("hub"))
-    members = written(each.join(distinct.select("key", "hub"), "key"), "key-members")
-    wanted = members.select("node").distinct().join(keyed.drop("keys"), "node")
-    texts = docs.select(*doc_key(docs), text_of(docs).cast("binary").alias("text")) \
-        .join(wanted, ["did", "tk"]).dropDuplicates(["node"]).select("node", "text")
-    sets = written(full_sets(texts, width), "full-sets")
+    with workspace(docs.sparkSession, "ngram-join") as write:
+        with workspace(docs.sparkSession, "ngram-keys") as passing:
+            found = passing(sets_of(docs, width, percent).withColumn("row", F.monotonically_increasing_id()), "sets")
+            rows = write(found.drop("keys"), "rows")
+            nodes = write(rows.where("n > 0").groupBy(*SIGNATURE).agg(F.min(F.struct("row", "did", "tk")).alias("first"))
+                          .select(*SIGNATURE, "first.*").withColumn("node", F.monotonically_increasing_id()), "nodes")
+            keyed = found.select("row", "keys").join(nodes.select("row", "node"), "row")
+            members = write(key_members(keyed, passing), "members")
+        wanted = members.select("node").distinct().join(nodes.select("node", "did", "tk"), "node")
+        texts = docs.select(*doc_key(docs), text_of(docs).cast("binary").alias("text")) \
+            .join(wanted, ["did", "tk"]).dropDuplicates(["node"]).select("node", "text")
+        links = all_links(members, write(full_sets(texts, width), "full-sets"), percent, block_nodes, write)
+        label = components(links, write)
+        degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node") \
+            .agg(F.count(F.lit(1)).alias("links"))
+
+        placed = nodes.select(*SIGNATURE, "node").join(label, "node", "left").join(degree, "node", "left") \
+            .withColumn("label", F.coalesce("label", "node"))
+        known = rows.select("doc_id", *SIGNATURE).join(placed, SIGNATURE, "left")
+        smallest = known.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("smallest"))
+        return written(known.join(smallest, "label", "left").select(
+            "doc_id", F.col("n").alias("n_shingles"), F.coalesce("smallest", "doc_id").alias("component_id"),
+            F.coalesce("links", F.lit(0).cast("long")).alias("links")), "ngram-components")
+
 
+def all_links(members: DataFrame, sets: DataFrame, percent: int, block_nodes: int, write: Write) -> DataFrame:
+    """Linked pairs (a, b) of nodes that join every component: stars first, then trees."""
     stars = members.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     tested = stars
-    links = written(verified(stars, sets, percent), "links")
+    links = write(verified(stars, sets, percent, write), "links")
     for last in [False] * NEAREST_ROUNDS + [True]:
-        labelled = members.join(components(links), "node", "left") \
+        labelled = members.join(components(links, write), "node", "left") \
             .withColumn("label", F.coalesce("label", "node"))
         open_keys = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")) \
             .where("lo < hi").select("key")
-        open_members = written(labelled.join(open_keys, "key").select("key", "node", "label")
-                               .join(sets.select("node", "n", "counts"), "node"), "open-members")
-        pairs = written(tree_pairs(open_members, percent, block_nodes, not last)
-                        .join(tested, ["a", "b"], "left_anti"), "tree-pairs")
-        links = written(links.unionByName(verified(pairs, sets, percent)), "links")
+        open_members = write(labelled.join(open_keys, "key").select("key", "node", "label")
+                             .join(sets.select("node", "n", "counts"), "node"), "open-members")
+        pairs = write(tree_pairs(open_members, percent, block_nodes, not last)
+                      .join(tested, ["a", "b"], "left_anti"), "tree-pairs")
+        links = write(links.unionByName(verified(pairs, sets, percent, write)), "links")
         tested = tested.unionByName(pairs)
-    label = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node") \
-        .agg(F.count(F.lit(1)).alias("links"))
-
-    placed = nodes.drop("row").join(label, "node", "left").join(degree, "node", "left") \
-        .withColumn("label", F.coalesce("label", "node"))
-    known = rows.select("doc_id", *signature).join(placed, signature, "left")
-    smallest = known.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("smallest"))
-    return known.join(smallest, "label", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("smallest", "doc_id").alias("component_id"),
-        F.coalesce("links", F.lit(0).cast("long")).alias("links"))
+    return links
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
