@@ -12,6 +12,7 @@
 3. The nodes of a key are first compared with the key's smallest node only: a huge
    group of near copies becomes one star.
    Keys with the same nodes are one key from the start.
+   A range sort by key lets the keys that only one node has go first.
 4. Where the nodes of a key are still in more than one component, they go in blocks of
    bounded size into R-trees over their count vectors (shingles per hash group): the
    overlap of two sets is at most the sum of the coordinate minima, and a tree node is
@@ -42,7 +43,7 @@ from lapforge.llm.words import SPACES, Hasher, blocks, mix, shingles
 
 WIDTH = 3
 PERCENT = 90
-COORDINATES = 256  # a power of two
+COORDINATES = (256, 8192)  # fewest and most, powers of two; sets of more than 8 * 256 shingles get more
 LEAF = 16
 BLOCK_NODES = 512
 NEAREST_ROUNDS = 1
@@ -125,6 +126,32 @@ def sets_of(docs: DataFrame, width: int, percent: int) -> DataFrame:
                        text_of(docs).cast("binary").alias("text")).mapInArrow(trimmed(run), SETS)
 
 
+def count_vector(h: np.ndarray) -> np.ndarray:
+    """Shingles per hash group.  There are at least an eighth as many groups as shingles (up to
+    the most), or the counts of any two long sets would be alike."""
+    least, most = COORDINATES
+    groups = min(most, max(least, 1 << max(0, (len(h) - 1) // 8).bit_length()))
+    return np.bincount((mix(h, 2) & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+
+
+def folded(vector: Column, groups: Column) -> Column:
+    """A count vector brought to fewer groups: group i takes i, i + groups, i + 2 * groups, .."""
+    sums = F.transform(F.sequence(F.lit(0), groups - 1), lambda i: F.aggregate(
+        F.sequence(i, F.size(vector) - 1, groups), F.lit(0), lambda s, j: s + F.get(vector, j)))
+    return F.when(F.size(vector) > groups, sums).otherwise(vector)
+
+
+def folded_together(counts: pa.ListArray) -> np.ndarray:
+    """The count vectors as one matrix, all brought to the fewest groups of any."""
+    lengths = np.diff(counts.offsets.to_numpy())
+    groups = int(lengths.min())
+    out = np.zeros((len(lengths), groups), np.int32)
+    for n in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == n)
+        out[at] = counts.take(pa.array(at)).flatten().to_numpy().reshape(len(at), n // groups, groups).sum(axis=1)
+    return out
+
+
 def full_sets(texts: DataFrame, width: int) -> DataFrame:
     """node, n, counts (the count vector), items (the sorted shingles) of (node, text) rows."""
 
@@ -135,8 +162,7 @@ def full_sets(texts: DataFrame, width: int) -> DataFrame:
                 part = batch.slice(k, 500)
                 found = [h for _, h in batch_shingles(
                     hasher, [t.as_buffer().to_pybytes() for t in part.column("text")], width)]
-                counts = [np.bincount((mix(h, 2) & np.uint64(COORDINATES - 1)).astype(np.int64), minlength=COORDINATES)
-                          for h in found]
+                counts = [count_vector(h) for h in found]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("node"), pa.array([len(h) for h in found], pa.int64()),
                      pa.array(counts, pa.list_(pa.int32())),
@@ -200,7 +226,9 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int, write: Write = wri
     def linked(overlap: Column) -> Column:
         return overlap * 100 >= (F.col("na") + F.col("nb") - overlap) * percent
 
-    minima = F.aggregate(F.zip_with("counts_a", "counts_b", lambda x, y: F.least(x, y)),
+    groups = F.least(F.size("counts_a"), F.size("counts_b"))
+    minima = F.aggregate(F.zip_with(*(folded(F.col(f"counts_{end}"), groups) for end in ("a", "b")),
+                                    lambda x, y: F.least(x, y)),
                          F.lit(0).cast("long"), lambda s, x: s + x)
     near = write(with_sides(pairs, "counts").where(linked(minima)).select("a", "b"), "near-pairs")
     return with_sides(near, "items") \
@@ -256,7 +284,7 @@ def tree_pairs(members: DataFrame, percent: int, block_nodes: int = BLOCK_NODES,
         node, label = table["node"].to_numpy(), table["label"].to_numpy()
         block, lo, hi = (table[c].to_numpy() for c in ("block", "lo", "hi"))
         sizes = table["n"].to_numpy()
-        vectors = table["counts"].combine_chunks().flatten().to_numpy().reshape(len(node), COORDINATES)
+        vectors = folded_together(table["counts"].combine_chunks())
         tree = CountTree(sizes, vectors, percent)
         a, b = [], []
         for i in range(len(node)):

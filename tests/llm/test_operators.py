@@ -3,6 +3,8 @@ import hashlib
 import random
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,6 +110,8 @@ def test_ngram_join_equals_brute_force(spark, odd, empty):
                 copy[rng.randrange(len(copy))] = f"x{rng.randint(0, 9)}"
             docs[n] = " ".join(copy)
             n += 1
+    long = [f"w{rng.randint(0, 10 ** 6)}" for _ in range(8300)]  # count vectors of 512 and of 1024 groups
+    docs |= {n: " ".join(long[:4080]), n + 1: " ".join(long[:4250]), n + 2: " ".join(long[4100:8250])}
     frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3)
 
     def shingles(text):
@@ -130,6 +134,32 @@ def test_ngram_join_equals_brute_force(spark, odd, empty):
     assert {r.doc_id: r.component_id for r in both if r.doc_id} == {1: 1, 2: 2, 3: 3, 4: 3, 5: 5, 6: 6}
 
 
+def test_keys_that_occur_once_go():
+    rng = random.Random(8)
+    for _ in range(200):
+        keys = sorted(rng.randint(0, 12) for _ in range(rng.randint(0, 14)))
+        batches, at = [], 0
+        while at < len(keys):
+            size = rng.randint(0, 4)
+            batches.append(pa.RecordBatch.from_pydict({"key": pa.array(keys[at:at + size], pa.int64()),
+                                                       "node": pa.array(range(at, at + len(keys[at:at + size])), pa.int64())}))
+            at += size
+        got = [n for b in ngram_join.repeated(iter(batches)) for n in b.column("node").to_pylist()]
+        assert got == [i for i, k in enumerate(keys) if keys.count(k) > 1 or i in (0, len(keys) - 1)]
+
+
+def test_count_vectors_fold_alike(spark):
+    rng = np.random.default_rng(2)
+    h = [rng.integers(0, 1 << 63, n).astype(np.uint64) for n in (5, 2048, 2049, 5000, 80000)]
+    vectors = [ngram_join.count_vector(x) for x in h]
+    assert [len(v) for v in vectors] == [256, 256, 512, 1024, 8192]
+    matrix = ngram_join.folded_together(pa.array([v.tolist() for v in vectors], pa.list_(pa.int32())))
+    assert matrix.shape == (5, 256) and matrix.sum(axis=1).tolist() == [len(x) for x in h]
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "i int, v array<int>")
+    got = rows.select("i", ngram_join.folded(F.col("v"), F.lit(256)).alias("v")).orderBy("i").collect()
+    assert [r.v for r in got] == matrix.tolist()
+
+
 def test_warc_round_trip_and_salvage(spark, tmp_dir):
     pages = spark.createDataFrame([(1, "u", "<p>a</p>"), (2, None, "<p>a</p>"), (3, "u\r\nx", None), (4, "u", ""),
                                    (5, "u", "é" * 9000)], "page_id long, url string, html string").coalesce(1)
