@@ -1,27 +1,41 @@
-"""Benchmark decontamination by template canonicalisation (operator 7).
+"""Benchmark decontamination by exact runs and template canonicalisation (operator 7).
 
-DataFrame functions only.  Texts become words in which numbers, names (capitalised
-words inside a sentence) and units (after a number) are typed placeholders, the rest
-is lower-cased.  Windows of ``WINDOW`` template words are hashed; the benchmark's
-windows with at least half their words outside placeholders are hash-joined with all
-windows of every document.  The join broadcasts the benchmark's windows only below
+DataFrame functions only.  A document holds an item when one of two searches finds it:
+
+1. Exact: a run of ``RUN_WORDS`` lower-cased words of the item, or the whole item where
+   it is shorter, stands in the document.  Every item with a word takes part, whatever
+   its length and however many numbers and names it has; a hit counts by itself.
+   ``RUN_WORDS`` lies just above the 15 words that a copy with contradictory values may
+   share with its item (tests/llm).
+2. Template: texts become words in which numbers (with sign, decimals and separators),
+   names (runs of capitalised words) and units (after a number) are typed placeholders,
+   the rest is lower-cased; any white space separates words.  A run that starts a
+   sentence is read twice: its first word as a plain word (reading 0) and the whole run
+   as a name (reading 1).  Windows of ``WINDOW`` template words with at least half their
+   words outside placeholders are compared.
+
+All windows of an item, of all readings and widths, are hashed and joined in one pass with
+those of every document.  The join broadcasts the benchmark's windows only below
 ``BROADCAST_ROWS`` of them and is a shuffled join beyond.
 
-A document and an item are a candidate pair when at least ``SHARE`` of the item's
-windows occur in the document.  Placeholders are then compared per alignment of the
-two texts: every value of the item must stand for one value throughout.  A
-re-parameterised copy passes with other values, an accidental match of templates
-whose slots contradict each other does not.
+A document and an item are a template pair when at least ``SHARE`` of the item's windows
+of one reading occur in the document (reading 0 first).  Placeholders are then compared
+per alignment of the two texts: every value of the item must stand for one value
+throughout.  A re-parameterised copy passes with other values, an accidental match of
+templates whose slots contradict each other does not.  An exact hit needs neither.
 
 Defined cases: null or empty text has no windows; an item of fewer than ``WINDOW``
-words is one window of its length; an item of fewer than ``LEAST_WORDS`` words, or
-with no window of enough plain words, is matched with nothing; rows equal in id and
-text count as one document; repeated items count as one; an empty table on either
-side gives an empty result; other columns are ignored.
+template words is one window of its length; one of fewer than ``LEAST_WORDS``, or with no
+window of enough plain words, is searched exactly only; ``windows`` and ``hits`` are 0
+where none of an item's template windows occurs, and ``consistent`` is true for a pair
+found exactly only; rows equal in id and text count as one document; repeated items count
+as one; an empty table on either side gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +44,7 @@ from lapforge.llm.common import doc_key, read_table, written
 WINDOW = 8
 LEAST_WORDS = 5
 SHARE = 0.5
+RUN_WORDS = 16
 BROADCAST_ROWS = 500_000
 
 # Words that name a unit when they follow a number.
@@ -38,16 +53,38 @@ UNITS = ("mm", "cm", "m", "km", "mg", "g", "kg", "t", "ml", "l", "s", "sec", "se
          "dollars", "cents", "percent", "degrees", "meters", "metres", "kilometers", "kilometres", "grams",
          "kilograms", "liters", "litres", "eur", "usd")
 NAME, NUMBER, UNIT = "<name>", "<number>", "<unit>"
+EXACT = 2  # the third "reading": raw words
+
+_CAPITAL = r"\p{Lu}[\p{L}\p{N}]*"
+_NAMES = _CAPITAL + r"(?:(?:(?<=[\p{Ll}\p{N}]) |['’-])" + _CAPITAL + ")*"
+_NUMBER = r"(?:(?<![\p{L}\p{N}])[+-])?\p{N}+(?:[.,]\p{N}+)*[\p{L}\p{N}]*"
+_WORD = r"\p{L}[\p{L}\p{N}]*"
+
+
+def readings_of(text: Column) -> list[Column]:
+    """Words with their case, in both readings; a name is marked by a leading U+0001, at the
+    start of a sentence (reading 1 only) by U+0002."""
+    plain = F.regexp_replace(F.translate(text, "−\u0001\u0002", "-  "), r"[\s\p{Z}]+", " ")
+    marked = F.regexp_replace(F.regexp_replace(plain, rf"(?<![\p{{L}}\p{{N}}])(?:{_NAMES})", "\u0002$0"),
+                              "([\\p{Ll}\\p{N},;)\"] )\u0002", "$1\u0001")
+    first = F.regexp_replace(marked, f"\u0002({_CAPITAL})(?<=[\\p{{Ll}}\\p{{N}}]) (?=\\p{{Lu}})", "$1 \u0001")
+    token = F.lit(f"[\u0001\u0002](?:{_NAMES})|{_NUMBER}|{_WORD}")
+    return [F.regexp_extract_all(F.translate(first, "\u0002", ""), token, F.lit(0)),
+            F.regexp_extract_all(marked, token, F.lit(0))]
 
 
-def words_of(text: Column) -> Column:
-    """Words with their case; a name is marked by a leading U+0001."""
-    marked = F.regexp_replace(text, r"([\p{Ll}\p{N},;)\"] )(\p{Lu})", "$1\u0001$2")
-    return F.filter(F.split(marked, "[^\\p{L}\\p{N}\u0001]+"), lambda w: (w != "") & (w != "\u0001"))
+def raw_words(text: Column) -> Column:
+    """Lower-cased words without placeholders."""
+    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+
+
+def value_of(word: Column) -> Column:
+    """A word of a reading without its mark."""
+    return F.translate(word, "\u0001\u0002", "")
 
 
 def is_number(word: Column) -> Column:
-    return word.between("0", "9￿") & (F.substring(word, 1, 1) <= "9")
+    return F.substring(word, 1, 1).between("+", "9")  # of the signs, only + and - start a word
 
 
 def template_of(words: Column) -> Column:
@@ -55,39 +92,59 @@ def template_of(words: Column) -> Column:
 
     def one(word: Column, i: Column) -> Column:
         low = F.lower(word)
-        return F.when(word.startswith("\u0001"), F.lit(NAME)).when(is_number(word), F.lit(NUMBER)) \
+        return F.when(F.substring(word, 1, 1) <= "\u0002", F.lit(NAME)).when(is_number(word), F.lit(NUMBER)) \
             .when(low.isin(*UNITS) & (i > 0) & is_number(F.get(words, i - 1)), F.lit(UNIT)).otherwise(low)
 
     return F.transform(words, one)
 
 
-def windows_of(template: Column, width: int) -> Column:
+def window_hash(words: Column, at: Column, reading: int, width: int) -> Column:
+    """Hash of ``width`` words from place ``at`` on; readings and widths never meet."""
+    return F.xxhash64(F.lit(reading), F.lit(width), *(F.get(words, at + j) for j in range(width)))
+
+
+def windows_of(words: Column, reading: int, width: int) -> Column:
     """Hashes of all windows of ``width`` words, by place."""
-    starts = F.sequence(F.lit(0), F.size(template) - width)
-    return F.when(F.size(template) >= width, F.transform(
-        starts, lambda i: F.xxhash64(*(F.get(template, i + j) for j in range(width))))) \
+    return F.when(F.size(words) >= width, F.transform(
+        F.sequence(F.lit(0), F.size(words) - width), lambda i: window_hash(words, i, reading, width))) \
         .otherwise(F.array().cast("array<long>"))
 
 
+def in_readings(texts: DataFrame, *keys: str) -> DataFrame:
+    """``keys``, w0, w1 (words of both readings), p0, p1 (their templates) and p2 (the raw words)
+    of (keys, text) rows."""
+    w0, w1 = readings_of(F.col("text"))
+    return texts.select(*keys, w0.alias("w0"), w1.alias("w1"), raw_words(F.col("text")).alias("p2")) \
+        .select("*", template_of(F.col("w0")).alias("p0"), template_of(F.col("w1")).alias("p1"))
+
+
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """item_id, place, width, hash, slots (offset and value), windows (of the item)."""
-    items = benchmark.where(F.col("text").isNotNull()) \
-        .select("item_id", words_of(F.col("text")).alias("words")).distinct() \
-        .withColumn("template", template_of(F.col("words"))) \
-        .withColumn("width", F.least(F.size("words"), F.lit(WINDOW))).where(F.col("width") >= LEAST_WORDS)
-    placed = items.select("*", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("width"))).alias("place")) \
+    """item_id, reading, place, width, hash, slots (offset and value), windows (of the item
+    in the reading).  Runs of raw words have reading ``EXACT`` and no slots."""
+    items = in_readings(benchmark.where(F.col("text").isNotNull()), "item_id").distinct()
+    read = items.select("item_id", F.explode(F.array(*(
+        F.struct(F.lit(r).alias("reading"), F.col(p).alias("template"), F.col(w).alias("words"))
+        for r, p, w in ((0, "p0", "w0"), (1, "p1", "w1"), (EXACT, "p2", "p2"))))).alias("r")) \
+        .select("item_id", "r.*").distinct()
+    exact = F.col("reading") == EXACT
+    placed = read.withColumn("width", F.least(F.size("words"), F.when(exact, RUN_WORDS).otherwise(WINDOW))) \
+        .where(F.col("width") >= F.when(exact, 1).otherwise(LEAST_WORDS)) \
+        .select("*", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("width"))).alias("place")) \
         .withColumn("part", F.slice("template", F.col("place") + 1, F.col("width"))) \
         .withColumn("values", F.slice("words", F.col("place") + 1, F.col("width")))
     kinds = (NAME, NUMBER, UNIT)
     slots = F.filter(F.transform("part", lambda w, i: F.when(
-        w.isin(*kinds), F.struct(i.alias("offset"), F.get(F.col("values"), i).alias("value")))),
+        w.isin(*kinds), F.struct(i.alias("offset"), value_of(F.get(F.col("values"), i)).alias("value")))),
         lambda s: s.isNotNull())
-    hashed = F.coalesce(*(F.when(F.col("width") == w, F.xxhash64(*(F.get("part", F.lit(j)) for j in range(w))))
-                          for w in range(LEAST_WORDS, WINDOW + 1)))
-    plain = placed.withColumn("slots", slots).where(F.size("slots") * 2 <= F.col("width")) \
-        .select("item_id", "place", "width", hashed.alias("hash"), "slots")
-    total = plain.select("item_id", "place").distinct().groupBy("item_id").agg(F.count(F.lit(1)).alias("windows"))
-    return plain.join(total, "item_id")
+    hashed = F.coalesce(*(F.when((F.col("reading") == r) & (F.col("width") == w),
+                                 window_hash(F.col("part"), F.lit(0), r, w))
+                          for r in (0, 1, EXACT)
+                          for w in (range(1, RUN_WORDS + 1) if r == EXACT else range(LEAST_WORDS, WINDOW + 1))))
+    plain = placed.withColumn("slots", slots).where(exact | (F.size("slots") * 2 <= F.col("width"))) \
+        .select("item_id", "reading", "place", "width", hashed.alias("hash"), "slots")
+    total = plain.select("item_id", "reading", "place").distinct().groupBy("item_id", "reading") \
+        .agg(F.count(F.lit(1)).alias("windows"))
+    return plain.join(total, ["item_id", "reading"])
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -98,46 +155,63 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     bench = written(benchmark_windows(benchmark), "benchmark-windows")
     count = bench.count()
-    widths = sorted(r[0] for r in bench.select("width").distinct().collect())  # at most 4 values
-    side = F.broadcast(bench) if count <= BROADCAST_ROWS else bench
-    texts = docs.where(F.col("text").isNotNull()).select("doc_id", *doc_key(docs), words_of(F.col("text")).alias("words"))
-    templates = texts.select("doc_id", "did", "tk", template_of(F.col("words")).alias("template"))
-    found = None
-    for width in widths or [WINDOW]:
-        spread = templates.select("doc_id", "did", "tk", F.posexplode(windows_of(F.col("template"), width))
-                                  .alias("at", "hash"))
-        some = spread.join(side.where(F.col("width") == width), "hash") \
-            .select("doc_id", "did", "tk", "item_id", "at", "place", "width", "slots", "windows")
-        found = some if found is None else found.unionByName(some)
-    found = written(found, "window-matches")
+    kinds = sorted(map(tuple, bench.select("reading", "width").distinct().collect()))  # at most 24 rows
+    kinds = kinds or [(0, WINDOW)]
+    part = reduce(lambda out, k: out.when((F.col("reading") == kinds[k][0]) & (F.col("width") == kinds[k][1]), k),
+                  range(len(kinds)), F.when(F.lit(False), -1))
+    side = bench.withColumn("part", part)
+    side = F.broadcast(side) if count <= BROADCAST_ROWS else side
+    texts = docs.where(F.col("text").isNotNull()).select("doc_id", *doc_key(docs), "text")
     pair = ["doc_id", "did", "tk", "item_id"]
-    shares = found.select(*pair, "place", "windows").distinct().groupBy(*pair) \
-        .agg(F.max("windows").alias("windows"), F.count(F.lit(1)).alias("hits")) \
-        .where(F.col("hits") >= F.col("windows") * SHARE)
+    hashes = in_readings(texts, "doc_id", "did", "tk").select(
+        "doc_id", "did", "tk", F.array(*(windows_of(F.col(f"p{r}"), r, w) for r, w in kinds)).alias("hashes"))
+    ends = F.transform("hashes", lambda _, k: F.aggregate(
+        F.slice("hashes", 1, k), F.lit(0), lambda n, h: n + F.size(h)))  # where each kind starts
+    # posexplode of an expression: of a column, Spark would test its size again below, with all of its work
+    spread = hashes.select("doc_id", "did", "tk", ends.alias("starts"), "hashes") \
+        .select("doc_id", "did", "tk", "starts", F.posexplode(F.flatten("hashes")).alias("spot", "hash"))
+    found = written(spread.join(side, "hash").select(
+        *pair, "reading", (F.col("spot") - F.get("starts", F.col("part"))).alias("at"), "place", "width", "slots",
+        "windows"), "window-matches")
+    exact = found.where(F.col("reading") == EXACT).select(*pair).distinct()
+    shares = found.where(F.col("reading") < EXACT).select(*pair, "reading", "place", "windows").distinct() \
+        .groupBy(*pair, "reading").agg(F.max("windows").alias("windows"), F.count(F.lit(1)).alias("hits")) \
+        .withColumn("ok", F.col("hits") >= F.col("windows") * SHARE)
+    none = (F.lit(0).cast("long").alias(c) for c in ("windows", "hits"))
+    evidence = shares.withColumn("exact", F.lit(False)).unionByName(exact.select(
+        *pair, F.lit(EXACT).alias("reading"), *none, F.lit(False).alias("ok"), F.lit(True).alias("exact")))
+    # the first reading that reaches the share, else the first one with hits
+    pairs = evidence.groupBy(*pair).agg(
+        F.max("ok").alias("ok"), F.max("exact").alias("exact"),
+        F.min(F.struct((~F.col("ok")).alias("late"), "reading", "windows", "hits")).alias("best")) \
+        .where("ok or exact").select(*pair, "ok", "exact", "best.reading", "best.windows", "best.hits")
+    pairs = written(pairs, "pairs")
+    key = ["did", "tk", "item_id", "reading"]
     slotted = written(
-        found.where(F.size("slots") > 0).join(shares.select("did", "tk", "item_id").distinct(),
-                                              ["did", "tk", "item_id"], "left_semi")
-        .select("did", "tk", "item_id", (F.col("at") - F.col("place")).alias("shift"),
-                F.explode("slots").alias("slot"), "at")
-        .select("did", "tk", "item_id", "shift", F.col("slot.value").alias("value"),
+        found.where(F.size("slots") > 0).join(pairs.where("ok").select(*key).distinct(), key, "left_semi")
+        .select(*key, (F.col("at") - F.col("place")).alias("shift"), F.explode("slots").alias("slot"), "at")
+        .select(*key, "shift", F.col("slot.value").alias("value"),
                 (F.col("at") + F.col("slot.offset")).alias("at")).distinct(), "slots")
     if slotted.isEmpty():
-        judged = shares.withColumn("slots", F.lit(0).cast("long")).withColumn("consistent", F.lit(True))
+        judged = pairs.withColumn("slots", F.lit(0).cast("long")).withColumn("consistent", F.lit(True))
     else:
-        own = texts.select("did", "tk", "words").join(slotted.select("did", "tk").distinct(), ["did", "tk"], "left_semi") \
-            .select("did", "tk", F.posexplode("words").alias("at", "here")).distinct()
-        stands = slotted.join(own, ["did", "tk", "at"]) \
-            .groupBy("did", "tk", "item_id", "shift", "value").agg(
+        some = texts.join(slotted.select("did", "tk").distinct(), ["did", "tk"], "left_semi")
+        own = in_readings(some, "did", "tk").select("did", "tk", F.explode(F.array(*(
+            F.struct(F.lit(r).alias("reading"), F.col(f"w{r}").alias("words")) for r in (0, 1)))).alias("r")) \
+            .select("did", "tk", "r.reading", F.posexplode("r.words").alias("at", "here")) \
+            .withColumn("here", value_of(F.col("here"))).distinct()
+        stands = slotted.join(own, ["did", "tk", "reading", "at"]) \
+            .groupBy(*key, "shift", "value").agg(
                 F.min("here").alias("lo"), F.max("here").alias("hi"), F.count(F.lit(1)).alias("uses"))
-        shifts = stands.groupBy("did", "tk", "item_id", "shift").agg(
+        shifts = stands.groupBy(*key, "shift").agg(
             F.sum("uses").alias("slots"), F.min((F.col("lo") == F.col("hi")).cast("int")).alias("same"))
-        verdict = shifts.groupBy("did", "tk", "item_id").agg(
+        verdict = shifts.groupBy(*key).agg(
             F.max("slots").alias("slots"), (F.max("same") == 1).alias("consistent"))
-        judged = shares.join(verdict, ["did", "tk", "item_id"], "left") \
+        judged = pairs.join(verdict, key, "left") \
             .withColumn("slots", F.coalesce("slots", F.lit(0).cast("long"))) \
             .withColumn("consistent", F.coalesce("consistent", F.lit(True)))
     return judged.select("doc_id", "tk", "item_id", "windows", "hits", "slots", "consistent",
-                         F.col("consistent").alias("contaminated"))
+                         (F.col("consistent") | F.col("exact")).alias("contaminated"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

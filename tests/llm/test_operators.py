@@ -268,6 +268,22 @@ def test_decontamination_templates_and_slots(spark, odd, empty):
     assert decontamination.decontaminate(odd, bench.limit(0)).count() == odd.count()
 
 
+def contaminated(spark, items, texts):
+    """(document, item) of every hit, by their places in the lists."""
+    frames = [spark.createDataFrame(list(enumerate(x)), f"{c} long, text string")
+              for c, x in (("doc_id", texts), ("item_id", items))]
+    return {(r.doc_id, r.item_id) for r in decontamination.matches(*frames).where("contaminated").collect()}
+
+
+def test_decontamination_exact_runs(spark):
+    long = " ".join(f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(100))
+    items = ["7 + 5 = 12, 9 + 8 = 17, 3 + 14 = 17", "Name the capital", "Anna, Bob, Carla, Dan, Eve and Frank", long, "?!", None]
+    run = " ".join(long.split()[30:70])
+    texts = [f"so we add {items[0]} here", f"please {items[1].upper()} of it", f"they are {items[2]} again",
+             f"x {run} y", " ".join(long.split()[30:45]), "name the big capital", ""]
+    assert contaminated(spark, items, texts) == {(0, 0), (1, 1), (2, 2), (3, 3)}
+
+
 def test_exact_dedup_and_cuckoo_filter(spark, odd, empty):
     got = exact_dedup.exact_dedup(odd).collect()
     assert len(got) == odd.count()
