@@ -284,6 +284,16 @@ def test_decontamination_exact_runs(spark):
     assert contaminated(spark, items, texts) == {(0, 0), (1, 1), (2, 2), (3, 3)}
 
 
+def test_decontamination_numbers_names_and_white_space(spark):
+    items = ["Anna has 3 apples. Bob gives Anna 2 more.",
+             "A shop sells 12 pens for 3 euros and Anna buys some of them on a day in May"]
+    texts = ["Carla has 5 apples. Dan gives Carla 4 more.", "x. Carla Marie has 5 apples. Dan gives Carla Marie 4 more.",
+             items[0].lower(), items[1].upper(),
+             "so: A shop sells 1,200 pens for 3.5 euros and\n Carla  Jones buys some of them on a day in June",
+             "A shop sells -12 pens for +3 euros\nand\tAnna buys some of them on a day in May"]
+    assert contaminated(spark, items, texts) == {(0, 0), (1, 0), (2, 0), (3, 1), (4, 1), (5, 1)}
+
+
 def test_exact_dedup_and_cuckoo_filter(spark, odd, empty):
     got = exact_dedup.exact_dedup(odd).collect()
     assert len(got) == odd.count()
