@@ -4,8 +4,8 @@ Logistic regression over the set of a text's words and byte runs of ``GRAM``
 (hashed; runs also catch word stems), fitted with an L1 term on the ``KEPT``
 features whose presence differs most between the labels.  For every training text with identity terms a counterfactual is made in
 which each term is swapped for the next of its group (every group also holds
-neutral words such as "person"); the squared change of the text's log-odds is
-added to the loss, so a group mention alone cannot raise the score.
+neutral words such as "person") and all features, words and byte runs, are taken
+again; the squared change of the text's log-odds is added to the loss, so a group mention alone cannot raise the score.
 
 Sample bound: about ``SAMPLE_DOCS`` labelled rows outside the held-out fold, at
 most ``SAMPLE_CHARS`` characters of each.  Scoring covers every whole text.
@@ -19,6 +19,7 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,6 +54,10 @@ IDENTITY_GROUPS = (
     ("usual", "blind", "deaf", "disabled", "old", "young"),
 )
 
+SWAPS = {a.encode(): b.encode() for g in IDENTITY_GROUPS for a, b in zip(g, g[1:] + g[:1], strict=True)}
+_INSIDE = rb"[A-Za-z0-9\x80-\xff]"  # the word bytes of LETTERS
+TERM = re.compile(rb"(?<!" + _INSIDE + rb")(?:" + b"|".join(SWAPS) + rb")(?!" + _INSIDE + rb")", re.IGNORECASE)
+
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int,
                     wanted: int, chars: int) -> list[tuple[str, int]]:
@@ -91,14 +96,13 @@ def features(hasher: Hasher, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray
     return np.concatenate(rows), np.concatenate(cols)
 
 
-def swaps(hasher: Hasher) -> dict[int, int]:
-    """Feature of an identity term -> feature of the term it is swapped for."""
-    out = {}
-    for group in IDENTITY_GROUPS:
-        h, _ = hasher.words([" ".join(group).encode()])
-        cols = (h >> np.uint64(64 - BITS)).astype(np.int64).tolist()
-        out.update(zip(cols, cols[1:] + cols[:1], strict=True))
-    return out
+def counterfactual_of(text: bytes) -> bytes:
+    """The text with every identity term swapped for the next of its group."""
+    return TERM.sub(lambda m: SWAPS[m.group().lower()], text)
+
+
+def pairs_of(row: np.ndarray, col: np.ndarray) -> np.ndarray:
+    return (row << BITS) | col
 
 
 def fit(sample: list[tuple[str, int]], counterfactual: float = COUNTERFACTUAL) -> tuple[np.ndarray, float]:
@@ -108,11 +112,13 @@ def fit(sample: list[tuple[str, int]], counterfactual: float = COUNTERFACTUAL) -
     if not len(y) or y.min() == y.max():
         return weights, (50.0 if y[0] else -50.0) if len(y) else -50.0
     hasher = Hasher(LETTERS)
-    row, col = features(hasher, [t.encode("utf-8", "replace") for t, _ in sample])
-    swap = swaps(hasher)
-    there = np.isin(col, np.fromiter(swap, np.int64))
-    cf_row, cf_from = row[there], col[there]
-    cf_to = np.array([swap[c] for c in cf_from.tolist()], np.int64)
+    texts = [t.encode("utf-8", "replace") for t, _ in sample]
+    row, col = features(hasher, texts)
+    swapped = [(i, t) for i, t in enumerate(map(counterfactual_of, texts)) if TERM.search(texts[i])]
+    cf_text = np.fromiter((i for i, _ in swapped), np.int64, len(swapped))
+    cf_row, cf_col = features(hasher, [t for _, t in swapped])
+    before, after = pairs_of(row, col)[np.isin(row, cf_text)], pairs_of(cf_text[cf_row], cf_col)
+    _, terms = features(hasher, list(SWAPS))
     shown, toxic = (np.bincount(col, w, minlength=1 << BITS) for w in (None, y[row]))
     chance = shown * y.mean()
     apart = np.abs(toxic - chance) / np.sqrt(chance + 1)
@@ -120,8 +126,13 @@ def fit(sample: list[tuple[str, int]], counterfactual: float = COUNTERFACTUAL) -
     keep = apart > 0
     if keep.sum() > KEPT:
         keep &= apart >= np.partition(apart, -KEPT)[-KEPT]
-    keep[np.fromiter(swap, np.int64)] = True
+    keep[terms] = True
     row, col = row[keep[col]], col[keep[col]]
+    # features that the swap adds (+1) and takes away (-1)
+    added, gone = np.setdiff1d(after, before), np.setdiff1d(before, after)
+    moved, sign = np.concatenate((added, gone)), np.repeat((1.0, -1.0), (len(added), len(gone)))
+    cf_row, cf_col = moved >> BITS, moved & ((1 << BITS) - 1)
+    cf_row, cf_col, sign = cf_row[keep[cf_col]], cf_col[keep[cf_col]], sign[keep[cf_col]]
     bias, n = float(np.log(y.mean() / (1 - y.mean()))), len(y)
     seen, seen_b = np.full(1 << BITS, 1e-8), 1e-8
     for _ in range(ROUNDS):
@@ -129,10 +140,8 @@ def fit(sample: list[tuple[str, int]], counterfactual: float = COUNTERFACTUAL) -
         g = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y) / n
         grad = np.bincount(col, g[row], minlength=1 << BITS)
         if counterfactual and len(cf_row):
-            change = np.bincount(cf_row, weights[cf_to] - weights[cf_from], minlength=n)
-            push = 2 * counterfactual * change[cf_row] / n
-            grad += np.bincount(cf_to, push, minlength=1 << BITS) \
-                - np.bincount(cf_from, push, minlength=1 << BITS)
+            change = np.bincount(cf_row, sign * weights[cf_col], minlength=n)
+            grad += np.bincount(cf_col, 2 * counterfactual / n * sign * change[cf_row], minlength=1 << BITS)
         seen += grad * grad
         seen_b += g.sum() ** 2
         step = RATE / np.sqrt(seen)

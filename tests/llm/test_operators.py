@@ -205,6 +205,19 @@ def test_toxicity_held_out_and_counterfactual(spark, odd, empty):
     assert toxicity.score(empty, *toxicity.fit([])).count() == 0
 
 
+def test_toxicity_counterfactual_scores(spark):
+    sample = [(f"{who} {tail} {i}", int(who == "muslims" or tail == "are scum")) for i in range(40)
+              for who in ("people", "muslims") for tail in ("are here", "are scum")]
+    docs = spark.createDataFrame([(1, "muslims are here"), (2, "people are here")], "doc_id long, text string")
+
+    def gap(weight):
+        a, b = (r.score for r in toxicity.score(docs, *toxicity.fit(sample, weight)).orderBy("doc_id").collect())
+        return np.log(a / (1 - a)) - np.log(b / (1 - b))
+
+    assert abs(gap(50.0)) < 0.2 * abs(gap(0.0))
+    assert toxicity.counterfactual_of(b"Muslims, musliman and muslims") == b"christians, musliman and christians"
+
+
 def test_quality_held_out(spark, odd, empty):
     labels = read_table(spark, SF, "labels")
     scored = quality.op8_quality(spark, SF).join(labels, "doc_id").where("held_out").collect()
