@@ -6,8 +6,12 @@ language's sample; with ``c`` phrases over ``n`` characters and ``N`` sample
 characters its entropy under the language is ``c * log2(N) / n``.  The language
 with the least entropy wins.
 
-Each automaton becomes one table ``state x character -> state``; a missing
-transition holds the state that starts the next phrase and is marked as a break.
+Every letter of the samples has a code of its own (0 is any non-letter, 1 any letter
+that no sample has).  Each automaton becomes one table ``state x character -> state``;
+a missing transition holds the state that starts the next phrase and is marked as a
+break.  Where the samples have more than ``ALPHABET`` letters, a language's table has
+columns for the most frequent ones of its own sample, and the transitions of its other
+letters are one sorted list.
 Texts are parsed side by side, one character of every text per step; texts are
 cut into segments of ``SEGMENT`` characters for that (a cut is a phrase end), and
 every segment of the whole text counts.
@@ -39,7 +43,7 @@ SLICE = 200
 SAMPLE_CHARS = 20_000
 SEGMENT = 2048
 BATCH_CHARS = 6_000_000
-ALPHABET = 62  # most frequent letters of the samples; 0 is any non-letter, 1 any other letter
+ALPHABET = 62  # letters with a column in the tables; other letters of a sample have sparse transitions
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
@@ -106,18 +110,37 @@ class CrossParser:
             for c in t.lower():
                 if c.isalpha():
                     counts[c] = counts.get(c, 0) + 1
-        letters = sorted(sorted(counts), key=lambda c: -counts[c])[:ALPHABET]
-        self.codes = np.fromiter((chr(i).isalpha() for i in range(0x110000)), np.uint8, 0x110000)
-        for i, c in enumerate(letters):
-            for form in {c, c.upper()}:
+        letters = sorted(sorted(counts), key=lambda c: -counts[c])
+        self.size = len(letters) + 2
+        self.type = np.min_scalar_type(self.size)
+        self.codes = np.fromiter((chr(i).isalpha() for i in range(0x110000)), self.type, 0x110000)
+        for upper in (True, False):  # of letters with one upper case the most frequent has it
+            for i, c in reversed(list(enumerate(letters))):
+                form = c.upper() if upper else c
                 if len(form) == 1:
                     self.codes[ord(form)] = i + 2
-        self.size = len(letters) + 2
-        self.tables, self.bits = [], []
+        self.tables, self.bits, self.columns, self.rare = [], [], [], []
         for lang in self.languages:
             sample = self.encode(texts[lang])
             self.bits.append(np.log2(max(2, len(sample))))
-            self.tables.append(self._table(automaton(sample.tolist())))
+            columns = self._columns(sample)
+            table, rare = self._table(automaton(sample.tolist()), columns)
+            self.tables.append(table)
+            self.columns.append(columns)
+            self.rare.append(rare)
+
+    def _columns(self, sample: np.ndarray) -> np.ndarray | None:
+        """Code -> column of a language's table (1 for a letter without one); None: the code itself."""
+        if self.size <= ALPHABET + 2:
+            return None
+        shown = np.bincount(sample, minlength=self.size)
+        shown[:2] = 0
+        dense = np.argsort(-shown, kind="stable")[:ALPHABET]
+        dense = dense[shown[dense] > 0]
+        columns = np.ones(self.size, np.uint8)
+        columns[0] = 0
+        columns[dense] = np.arange(2, len(dense) + 2)
+        return columns
 
     def encode(self, text: str) -> np.ndarray:
         """Character codes; runs of non-letters become one."""
@@ -126,15 +149,41 @@ class CrossParser:
         keep[1:] = (x[1:] != 0) | (x[:-1] != 0)
         return x[keep]
 
-    def _table(self, states: list[dict[int, int]]) -> np.ndarray:
-        start = np.zeros(self.size, np.int32)
+    def _table(self, states: list[dict[int, int]], columns: np.ndarray | None) -> tuple:
+        """(dense table, transitions of letters without a column or None).
+
+        The latter are (keys state * size + code, in order; their states; code -> is it such a
+        letter; code -> the marked state that starts the next phrase; the table's width).
+        """
+        column = list(range(self.size)) if columns is None else columns.tolist()
+        width = max(column) + 1
+        start = np.zeros(width, np.int32)
+        begin = np.full(self.size, -1, np.int32)
         for c, s in states[0].items():
-            start[c] = s * self.size
+            begin[c] = ~(s * width)
+            if column[c] != 1 or columns is None:
+                start[column[c]] = s * width
         table = np.tile(~start, (len(states), 1))
-        for row, arcs in zip(table, states, strict=True):
+        rare = []
+        for k, (row, arcs) in enumerate(zip(table, states, strict=True)):
             for c, s in arcs.items():
-                row[c] = s * self.size
-        return table.ravel()
+                if column[c] != 1 or columns is None:
+                    row[column[c]] = s * width
+                else:
+                    rare.append((k * self.size + c, s * width))
+        if not rare:
+            return table.ravel(), None
+        keys, to = np.array(sorted(rare), np.int64).T
+        special = np.zeros(self.size, bool)
+        special[[c for c in states[0] if column[c] == 1]] = True
+        return table.ravel(), (keys.copy(), to.astype(np.int32), special, begin, width)
+
+    def _rare_step(self, rare: tuple, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The table's answer for letters without a column."""
+        keys, to, _, begin, width = rare
+        key = state.astype(np.int64) // width * self.size + code
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        return np.where(keys[at] == key, to[at], begin[code])
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """[text, language]: phrases; 0 for an empty text."""
@@ -144,17 +193,21 @@ class CrossParser:
             return out
         segments.sort(key=lambda s: -len(s[1]))
         lengths = np.array([len(s) for _, s in segments])
-        grid = np.zeros((len(segments), lengths[0]), np.uint8)
+        grid = np.zeros((len(segments), lengths[0]), self.type)
         for row, (_, s) in zip(grid, segments, strict=True):
             row[:len(s)] = s
         grid = np.ascontiguousarray(grid.T)
         active = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), side="right")
         owner = np.array([i for i, _ in segments])
-        for k, table in enumerate(self.tables):
+        for k, (table, columns, rare) in enumerate(zip(self.tables, self.columns, self.rare, strict=True)):
             state = np.zeros(len(segments), np.int32)
             breaks = np.zeros(len(segments), np.int32)
+            place = grid if columns is None else columns[grid]
             for t, n in enumerate(active):
-                s = table[state[:n] + grid[t, :n]]
+                s = table[state[:n] + place[t, :n]]
+                if rare:
+                    at = np.flatnonzero(rare[2][grid[t, :n]])
+                    s[at] = self._rare_step(rare, state[at], grid[t, at])
                 broken = s >> 31
                 breaks[:n] -= broken
                 np.bitwise_xor(s, broken, out=state[:n])

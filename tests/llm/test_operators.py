@@ -249,6 +249,38 @@ def test_language_phrases_and_held_out(spark, odd, empty):
     assert language.identify(empty, language.samples(empty)).count() == 0
 
 
+def test_language_many_letters():
+    rng = random.Random(6)
+
+    def words(letters, n):
+        return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 4))) for _ in range(n))
+
+    letters = {"cyrl": [chr(i) for i in range(0x430, 0x450)], "han": [chr(i) for i in range(0x4e00, 0x4e00 + 200)],
+               "hangul": [chr(i) for i in range(0xac00, 0xac00 + 200)], "latin": [chr(i) for i in range(97, 123)],
+               "greek": [chr(i) for i in range(0x3b1, 0x3ca)]}
+    book = {k: [words(v, 1) for _ in range(60)] for k, v in letters.items()}
+    book["han2"] = [w[::-1] for w in book["han"]]  # the same letters in another order
+    texts = {k: " ".join(rng.choice(v) for _ in range(900)) for k, v in book.items()}
+    parser = language.CrossParser(texts)
+    assert parser.size > 62 + 2
+    for k, v in book.items():
+        assert parser.predict([" ".join(rng.choice(v) for _ in range(30))])[0] == [k]
+    for text in (texts["han2"][50:90] + words(letters["han"], 9) + " abc 丰ω", words(letters["latin"], 9)):
+        codes = parser.encode(text).tolist()
+        for k, lang in enumerate(parser.languages):
+            known, word, breaks = bytes_of(parser.encode(texts[lang]).tolist()), [], 0
+            for c in codes:
+                if bytes_of([*word, c]) in known:
+                    word.append(c)
+                else:
+                    breaks, word = breaks + 1, [c] if bytes_of([c]) in known else []
+            assert parser.phrases([parser.encode(text)])[0, k] == breaks + 1
+
+
+def bytes_of(codes):
+    return "".join(map(chr, codes))
+
+
 def test_secrets_ownership(spark, odd, empty):
     live, example = "Zx9" + "qW8rT5yU2iO7pA4s", "Qm3nB6vC1xZ0lK9jH8gF7"
     rows = [(1, f"password: token = abcdefgh {live}", "a"), (2, f"key {example}", "a"), (3, f"key {example}", "b"),
