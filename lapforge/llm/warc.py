@@ -15,7 +15,7 @@ holds one record at a time.
 
 Defined cases: null html is an empty payload; a null page_id is never the response
 of a group that has another id; repeated rows of the response are responses too; a
-null url is written as an empty target; an empty table gives no archives; other
+null url is written as an empty target, a url of any length is read back; an empty table gives no archives; other
 columns are ignored.
 """
 
@@ -39,7 +39,6 @@ from lapforge.session import scratch_path
 ARCHIVE_BYTES = 64 << 20
 READ_BYTES = 1 << 16
 SEARCH_BYTES = 1 << 20
-MAX_HEADER = 1 << 16
 VERSION = b"WARC/1."
 MAGIC = b"\x1f\x8b\x08"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -172,10 +171,20 @@ class Salvage:
             pos += len(data)
         return b"".join(out), pos - len(d.unused_data)
 
+    def head_bytes(self, at: int) -> bytes:
+        """The blocks from ``at`` on up to the one in which the record head ends."""
+        data = bytearray()
+        while block := self.read(at + len(data), READ_BYTES):
+            seen = max(0, len(data) - 3)
+            data += block
+            if data.find(b"\r\n\r\n", seen) >= 0:
+                break
+        return bytes(data)
+
     @staticmethod
     def head(data: bytes) -> tuple[dict[str, str], int]:
         """(fields, length) of the record head at the start of ``data``."""
-        end = data.find(b"\r\n\r\n", 0, MAX_HEADER)
+        end = data.find(b"\r\n\r\n")
         if not data.startswith(VERSION) or end < 0:
             raise Bad("no version line" if end >= 0 else "no end of header")
         fields = {}
@@ -206,7 +215,7 @@ class Salvage:
             return *self.checked(fields, data[n:-4], data[-4:]), end
         if start != VERSION:
             raise Bad("neither member nor version line")
-        fields, n = self.head(self.read(at, MAX_HEADER))
+        fields, n = self.head(self.head_bytes(at))
         length = int(fields["content-length"])
         if at + n + length + 4 > self.size:
             raise Bad("truncated record")

@@ -185,6 +185,18 @@ def test_warc_round_trip_and_salvage(spark, tmp_dir):
             ("gap", len(data) - len(parts[3]) + 9, len(parts[3]) - 9)]
 
 
+def test_warc_long_url(spark, tmp_dir):
+    url = "data:" + "x" * 100_000
+    pages = spark.createDataFrame([(1, url, "<p>a</p>"), (2, "u", "<p>b</p>")], "page_id long, url string, html string")
+    got = warc.read_archives(warc.write_archives(pages, f"file://{tmp_dir}/long")).collect()
+    assert sorted((r.kind, r.page_id, r.url) for r in got) == [("record", 1, url), ("record", 2, "u")]
+    plain = b"".join(warc.record(i, u, b"payload", None, True, "2024-01-01T00:00:00Z") for i, u in ((1, url), (2, "u")))
+    with open(f"{tmp_dir}/plain.warc", "wb") as f:
+        f.write(plain)
+    with open(f"{tmp_dir}/plain.warc", "rb") as f:
+        assert [x[0] for x in warc.Salvage(f, len(plain))] == ["record"] * 2
+
+
 def test_toxicity_held_out_and_counterfactual(spark, odd, empty):
     big = "/root/testdata/sf0.1"  # sf0.01 has too few toxic rows to learn the words of four languages
     labels = read_table(spark, big, "labels")
