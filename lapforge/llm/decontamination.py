@@ -98,16 +98,30 @@ def template_of(words: Column) -> Column:
     return F.transform(words, one)
 
 
-def window_hash(words: Column, at: Column, reading: int, width: int) -> Column:
-    """Hash of ``width`` words from place ``at`` on; readings and widths never meet."""
-    return F.xxhash64(F.lit(reading), F.lit(width), *(F.get(words, at + j) for j in range(width)))
+def pairs_of(hashes: Column, apart: int) -> Column:
+    """Hashes of every two hashes ``apart`` places from each other."""
+    n = F.greatest(F.size(hashes) - apart, F.lit(0))
+    return F.zip_with(F.slice(hashes, 1, n), F.slice(hashes, apart + 1, n), lambda x, y: F.xxhash64(F.lit(apart), x, y))
 
 
-def windows_of(words: Column, reading: int, width: int) -> Column:
-    """Hashes of all windows of ``width`` words, by place."""
-    return F.when(F.size(words) >= width, F.transform(
-        F.sequence(F.lit(0), F.size(words) - width), lambda i: window_hash(words, i, reading, width))) \
-        .otherwise(F.array().cast("array<long>"))
+def with_hashes(rows: DataFrame, words: str, reading: Column, widest: int) -> DataFrame:
+    """``rows`` with the hashes of all runs of 1, 2, 4, .. words, each from two of half its length.
+
+    Every length is a column of its own; nested, each would be worked out many times.
+    """
+    rows, block = rows.select("*", F.transform(words, lambda w: F.xxhash64(reading, w)).alias(f"{words}_1")), 1
+    while block * 2 <= widest:
+        rows = rows.select("*", pairs_of(F.col(f"{words}_{block}"), block).alias(f"{words}_{block * 2}"))
+        block *= 2
+    return rows
+
+
+def windows_of(words: str, width: int) -> Column:
+    """Hashes of all windows of ``width`` words, by place; other widths than 1, 2, 4, .. come from
+    two runs that overlap."""
+    block = 1 << (width.bit_length() - 1)
+    hashes = F.col(f"{words}_{block}")
+    return pairs_of(hashes, width - block) if width > block else hashes
 
 
 def in_readings(texts: DataFrame, *keys: str) -> DataFrame:
@@ -127,8 +141,11 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
         for r, p, w in ((0, "p0", "w0"), (1, "p1", "w1"), (EXACT, "p2", "p2"))))).alias("r")) \
         .select("item_id", "r.*").distinct()
     exact = F.col("reading") == EXACT
-    placed = read.withColumn("width", F.least(F.size("words"), F.when(exact, RUN_WORDS).otherwise(WINDOW))) \
+    placed = with_hashes(read, "template", F.col("reading"), RUN_WORDS) \
+        .withColumn("width", F.least(F.size("words"), F.when(exact, RUN_WORDS).otherwise(WINDOW))) \
         .where(F.col("width") >= F.when(exact, 1).otherwise(LEAST_WORDS)) \
+        .withColumn("windows", F.coalesce(*(F.when(F.col("width") == w, windows_of("template", w))
+                                            for w in range(1, RUN_WORDS + 1)))) \
         .select("*", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("width"))).alias("place")) \
         .withColumn("part", F.slice("template", F.col("place") + 1, F.col("width"))) \
         .withColumn("values", F.slice("words", F.col("place") + 1, F.col("width")))
@@ -136,12 +153,8 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     slots = F.filter(F.transform("part", lambda w, i: F.when(
         w.isin(*kinds), F.struct(i.alias("offset"), value_of(F.get(F.col("values"), i)).alias("value")))),
         lambda s: s.isNotNull())
-    hashed = F.coalesce(*(F.when((F.col("reading") == r) & (F.col("width") == w),
-                                 window_hash(F.col("part"), F.lit(0), r, w))
-                          for r in (0, 1, EXACT)
-                          for w in (range(1, RUN_WORDS + 1) if r == EXACT else range(LEAST_WORDS, WINDOW + 1))))
     plain = placed.withColumn("slots", slots).where(exact | (F.size("slots") * 2 <= F.col("width"))) \
-        .select("item_id", "reading", "place", "width", hashed.alias("hash"), "slots")
+        .select("item_id", "reading", "place", "width", F.get("windows", F.col("place")).alias("hash"), "slots")
     total = plain.select("item_id", "reading", "place").distinct().groupBy("item_id", "reading") \
         .agg(F.count(F.lit(1)).alias("windows"))
     return plain.join(total, ["item_id", "reading"])
@@ -163,8 +176,10 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     side = F.broadcast(side) if count <= BROADCAST_ROWS else side
     texts = docs.where(F.col("text").isNotNull()).select("doc_id", *doc_key(docs), "text")
     pair = ["doc_id", "did", "tk", "item_id"]
-    hashes = in_readings(texts, "doc_id", "did", "tk").select(
-        "doc_id", "did", "tk", F.array(*(windows_of(F.col(f"p{r}"), r, w) for r, w in kinds)).alias("hashes"))
+    runs = in_readings(texts, "doc_id", "did", "tk")
+    for r in sorted({r for r, _ in kinds}):
+        runs = with_hashes(runs, f"p{r}", F.lit(r), max(w for k, w in kinds if k == r))
+    hashes = runs.select("doc_id", "did", "tk", F.array(*(windows_of(f"p{r}", w) for r, w in kinds)).alias("hashes"))
     ends = F.transform("hashes", lambda _, k: F.aggregate(
         F.slice("hashes", 1, k), F.lit(0), lambda n, h: n + F.size(h)))  # where each kind starts
     # posexplode of an expression: of a column, Spark would test its size again below, with all of its work
