@@ -12,6 +12,7 @@ from lapforge.llm.language import op9_language
 from lapforge.llm.line_dedup import OP2_SQL, op2_line_dedup
 from lapforge.llm.ngram_join import OP3_SQL, op3_ngram_join
 from lapforge.llm.packing import op1_packing
+from lapforge.llm.periods import op13_periodic_runs
 from lapforge.llm.quality import op8_quality
 from lapforge.llm.secrets import op6_secrets
 from lapforge.llm.toxicity import op5_toxicity
@@ -20,7 +21,8 @@ from lapforge.llm.warc import OP4_SQL, op4_warc
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_packing, op2_line_dedup, op3_ngram_join, op4_warc, op5_toxicity, op6_secrets,
-        op7_decontamination, op8_quality, op9_language, op10_exact_dedup)
+        op7_decontamination, op8_quality, op9_language, op10_exact_dedup,
+        op13_periodic_runs)
 }
 
 ORACLE: dict[str, str] = {
