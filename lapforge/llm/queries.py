@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lapforge.llm.alignment import op12_alignment
 from lapforge.llm.decontamination import OP7_SQL, op7_decontamination
 from lapforge.llm.exact_dedup import OP10_SQL, op10_exact_dedup
 from lapforge.llm.language import op9_language
@@ -22,7 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_packing, op2_line_dedup, op3_ngram_join, op4_warc, op5_toxicity, op6_secrets,
         op7_decontamination, op8_quality, op9_language, op10_exact_dedup,
-        op13_periodic_runs)
+        op12_alignment, op13_periodic_runs)
 }
 
 ORACLE: dict[str, str] = {
