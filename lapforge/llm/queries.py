@@ -17,13 +17,14 @@ from lapforge.llm.periods import op13_periodic_runs
 from lapforge.llm.quality import op8_quality
 from lapforge.llm.secrets import op6_secrets
 from lapforge.llm.toxicity import op5_toxicity
+from lapforge.llm.url_filter import OP11_SQL, op11_url_filter
 from lapforge.llm.warc import OP4_SQL, op4_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_packing, op2_line_dedup, op3_ngram_join, op4_warc, op5_toxicity, op6_secrets,
         op7_decontamination, op8_quality, op9_language, op10_exact_dedup,
-        op12_alignment, op13_periodic_runs)
+        op11_url_filter, op12_alignment, op13_periodic_runs)
 }
 
 ORACLE: dict[str, str] = {
@@ -32,4 +33,5 @@ ORACLE: dict[str, str] = {
     "op4_warc": OP4_SQL,
     "op7_decontamination": OP7_SQL,
     "op10_exact_dedup": OP10_SQL,
+    "op11_url_filter": OP11_SQL,
 }
