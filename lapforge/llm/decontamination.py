@@ -14,9 +14,17 @@ DataFrame functions only.  A document holds an item when one of two searches fin
    as a name (reading 1).  Windows of ``WINDOW`` template words with at least half their
    words outside placeholders are compared.
 
-All windows of an item, of all readings and widths, are hashed and joined in one pass with
-those of every document.  The join broadcasts the benchmark's windows only below
-``BROADCAST_ROWS`` of them and is a shuffled join beyond.
+A first pass drops the documents that cannot match.  Every window of an item, of either
+search, has an anchor: of its runs of 4 (else 3, 2, 1) neighbouring words outside
+placeholders, the one of the most letters, which few other texts have.  These words stand side by side in every text that
+has the window, whatever its names and numbers are, so one hash per word of a document
+tells; overlapping windows mostly share their anchor.  Only documents with an anchor are
+read in templates.
+
+All their windows, of all readings and widths, are hashed and joined in one pass with the
+distinct windows of the benchmark, then with the items that have them.  The first join
+broadcasts two numbers per window only below ``BROADCAST_ROWS`` of them and is a shuffled
+join beyond.
 
 A document and an item are a template pair when at least ``SHARE`` of the item's windows
 of one reading occur in the document (reading 0 first).  Placeholders are then compared
@@ -46,6 +54,8 @@ LEAST_WORDS = 5
 SHARE = 0.5
 RUN_WORDS = 16
 BROADCAST_ROWS = 500_000
+ANCHOR_WORDS = (4, 3, 2, 1)
+INLINE_ANCHORS = 50_000
 
 # Words that name a unit when they follow a number.
 UNITS = ("mm", "cm", "m", "km", "mg", "g", "kg", "t", "ml", "l", "s", "sec", "seconds", "min", "minutes", "h",
@@ -55,47 +65,82 @@ UNITS = ("mm", "cm", "m", "km", "mg", "g", "kg", "t", "ml", "l", "s", "sec", "se
 NAME, NUMBER, UNIT = "<name>", "<number>", "<unit>"
 EXACT = 2  # the third "reading": raw words
 
-_CAPITAL = r"\p{Lu}[\p{L}\p{N}]*"
-_NAMES = _CAPITAL + r"(?:(?:(?<=[\p{Ll}\p{N}]) |['’-])" + _CAPITAL + ")*"
-_NUMBER = r"(?:(?<![\p{L}\p{N}])[+-])?\p{N}+(?:[.,]\p{N}+)*[\p{L}\p{N}]*"
-_WORD = r"\p{L}[\p{L}\p{N}]*"
+# kinds of words: plain, first of a name within a sentence and at its start, further word of a
+# name, number, further part of a number, unit
+PLAIN, INNER, OPENER, MORE, DIGITS, PART, MEASURE = range(7)
 
+_WORD = r"[\p{L}\p{N}]+"
+_SPACE = r"[\s\p{Z}]+"
 
-def readings_of(text: Column) -> list[Column]:
-    """Words with their case, in both readings; a name is marked by a leading U+0001, at the
-    start of a sentence (reading 1 only) by U+0002."""
-    plain = F.regexp_replace(F.translate(text, "−\u0001\u0002", "-  "), r"[\s\p{Z}]+", " ")
-    marked = F.regexp_replace(F.regexp_replace(plain, rf"(?<![\p{{L}}\p{{N}}])(?:{_NAMES})", "\u0002$0"),
-                              "([\\p{Ll}\\p{N},;)\"] )\u0002", "$1\u0001")
-    first = F.regexp_replace(marked, f"\u0002({_CAPITAL})(?<=[\\p{{Ll}}\\p{{N}}]) (?=\\p{{Lu}})", "$1 \u0001")
-    token = F.lit(f"[\u0001\u0002](?:{_NAMES})|{_NUMBER}|{_WORD}")
-    return [F.regexp_extract_all(F.translate(first, "\u0002", ""), token, F.lit(0)),
-            F.regexp_extract_all(marked, token, F.lit(0))]
 
+def kinds_of() -> Column:
+    """Kind of every word, from ``words`` and ``gaps`` (what stands before each).
 
-def raw_words(text: Column) -> Column:
-    """Lower-cased words without placeholders."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    Only a word's own first character decides for most words, so the others are looked at
+    for few; a loop over words keeps no state, so a run of names of any length is fine.
+    """
+
+    def first(w: Column) -> Column:
+        return F.substring(w, 1, 1)
 
+    def digit(c: Column) -> Column:
+        return c.between("0", "9")
 
-def value_of(word: Column) -> Column:
-    """A word of a reading without its mark."""
-    return F.translate(word, "\u0001\u0002", "")
+    def capital(w: Column) -> Column:
+        return F.lower(first(w)) != first(w)
 
+    def one(w: Column, i: Column) -> Column:
+        before, gap = F.get("words", i - 1), F.get("gaps", i)
+        last = F.substring(before, -1, 1)
+        follows = (i > 0) & gap.rlike(f"^{_SPACE}$") & ((F.upper(last) != last) | digit(last))
+        more = (i > 0) & capital(before) & (follows | gap.isin("'", "’", "-"))
+        inner = follows | gap.rlike(f'[,;)"]{_SPACE}$')
+        part = (i > 0) & gap.isin(".", ",") & before.rlike("^[0-9]+$")
+        return F.when(first(w).between("a", "z"), F.when(
+            (i > 0) & digit(first(before)) & w.isin(*UNITS), MEASURE).otherwise(PLAIN)) \
+            .when(digit(first(w)), F.when(part, PART).otherwise(DIGITS)) \
+            .when(~capital(w), PLAIN).when(more, MORE).when(inner, INNER).otherwise(OPENER)
 
-def is_number(word: Column) -> Column:
-    return F.substring(word, 1, 1).between("+", "9")  # of the signs, only + and - start a word
+    return F.transform("words", one)
 
 
-def template_of(words: Column) -> Column:
-    """Words with typed placeholders."""
+def template_of(reading: int) -> Column:
+    """Words with typed placeholders, from ``lower`` and ``kinds``."""
 
     def one(word: Column, i: Column) -> Column:
-        low = F.lower(word)
-        return F.when(F.substring(word, 1, 1) <= "\u0002", F.lit(NAME)).when(is_number(word), F.lit(NUMBER)) \
-            .when(low.isin(*UNITS) & (i > 0) & is_number(F.get(words, i - 1)), F.lit(UNIT)).otherwise(low)
+        kind = F.get("kinds", i)
+        opener = word if reading == 0 else F.lit(NAME)
+        more = F.when(F.get("kinds", i - 1) == OPENER, NAME) if reading == 0 else F.lit(None).cast("string")
+        return F.when(kind == PLAIN, word).when(kind == DIGITS, NUMBER).when(kind == INNER, NAME) \
+            .when(kind == OPENER, opener).when(kind == MEASURE, UNIT).when(kind == MORE, more)
+
+    return F.filter(F.transform("lower", one), lambda w: w.isNotNull())
+
 
-    return F.transform(words, one)
+def values_of(reading: int) -> Column:
+    """What stands in the text for every word of the template, from ``words``, ``gaps`` and ``kinds``.
+
+    The words are written one after the other, each after a mark that says whether it opens
+    a template word, and cut at those marks.
+    """
+
+    def one(word: Column, i: Column) -> Column:
+        kind, gap = F.get("kinds", i), F.translate(F.get("gaps", i), "−", "-")
+        more = kind == MORE
+        if reading == 0:
+            more = more & (F.get("kinds", i - 1) != OPENER)
+        sign = F.when((kind == DIGITS) & ((i == 0) | (F.length(gap) > 1)) & gap.rlike("[+-]$"), F.substring(gap, -1, 1))
+        return F.concat(F.when(more | (kind == PART), "\u0004").otherwise("\u0003"),
+                        F.coalesce(sign, F.lit("")), word)
+
+    return F.filter(F.split(F.array_join(F.transform("words", one), ""), "\u0003"), lambda v: v != "")
+
+
+def in_words(texts: DataFrame, *keys: str) -> DataFrame:
+    """``keys``, words, gaps, lower and kinds of (keys, text) rows, each text cut once."""
+    return texts.select(*keys, F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)).alias("words"),
+                        F.split("text", _WORD).alias("gaps")) \
+        .select("*", F.transform("words", F.lower).alias("lower"), kinds_of().alias("kinds"))
 
 
 def pairs_of(hashes: Column, apart: int) -> Column:
@@ -124,21 +169,14 @@ def windows_of(words: str, width: int) -> Column:
     return pairs_of(hashes, width - block) if width > block else hashes
 
 
-def in_readings(texts: DataFrame, *keys: str) -> DataFrame:
-    """``keys``, w0, w1 (words of both readings), p0, p1 (their templates) and p2 (the raw words)
-    of (keys, text) rows."""
-    w0, w1 = readings_of(F.col("text"))
-    return texts.select(*keys, w0.alias("w0"), w1.alias("w1"), raw_words(F.col("text")).alias("p2")) \
-        .select("*", template_of(F.col("w0")).alias("p0"), template_of(F.col("w1")).alias("p1"))
-
-
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     """item_id, reading, place, width, hash, slots (offset and value), windows (of the item
     in the reading).  Runs of raw words have reading ``EXACT`` and no slots."""
-    items = in_readings(benchmark.where(F.col("text").isNotNull()), "item_id").distinct()
+    items = in_words(benchmark.where(F.col("text").isNotNull()), "item_id").distinct()
     read = items.select("item_id", F.explode(F.array(*(
-        F.struct(F.lit(r).alias("reading"), F.col(p).alias("template"), F.col(w).alias("words"))
-        for r, p, w in ((0, "p0", "w0"), (1, "p1", "w1"), (EXACT, "p2", "p2"))))).alias("r")) \
+        F.struct(F.lit(r).alias("reading"), t.alias("template"), w.alias("words"))
+        for r, t, w in ((0, template_of(0), values_of(0)), (1, template_of(1), values_of(1)),
+                        (EXACT, F.col("lower"), F.col("lower")))))).alias("r")) \
         .select("item_id", "r.*").distinct()
     exact = F.col("reading") == EXACT
     placed = with_hashes(read, "template", F.col("reading"), RUN_WORDS) \
@@ -151,16 +189,57 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
         .withColumn("values", F.slice("words", F.col("place") + 1, F.col("width")))
     kinds = (NAME, NUMBER, UNIT)
     slots = F.filter(F.transform("part", lambda w, i: F.when(
-        w.isin(*kinds), F.struct(i.alias("offset"), value_of(F.get(F.col("values"), i)).alias("value")))),
+        w.isin(*kinds), F.struct(i.alias("offset"), F.get(F.col("values"), i).alias("value")))),
         lambda s: s.isNotNull())
     plain = placed.withColumn("slots", slots).where(exact | (F.size("slots") * 2 <= F.col("width"))) \
-        .select("item_id", "reading", "place", "width", F.get("windows", F.col("place")).alias("hash"), "slots")
+        .select("item_id", "reading", "place", "width", F.get("windows", F.col("place")).alias("hash"), "slots", "part")
+    plain = with_hashes(plain, "part", F.lit(EXACT), ANCHOR_WORDS[0])
+
+    def longest(n: int) -> Column:
+        """Hash of the n words in a row outside placeholders that have the most letters."""
+        runs = F.transform(windows_of("part", n), lambda h, i: F.struct(
+            F.length(F.array_join(F.slice("part", i + 1, n), "")).alias("letters"), h.alias("hash"),
+            F.exists(F.slice("part", i + 1, n), lambda w: w.isin(*kinds)).alias("open")))
+        return F.array_max(F.filter(runs, lambda r: ~r["open"]))["hash"]
+
+    plain = plain.withColumn("anchor", F.coalesce(*(F.when(longest(n).isNotNull(), F.struct(
+        F.lit(n).alias("words"), longest(n).alias("hash"))) for n in ANCHOR_WORDS))) \
+        .select("item_id", "reading", "place", "width", "hash", "slots", "anchor")
     total = plain.select("item_id", "reading", "place").distinct().groupBy("item_id", "reading") \
         .agg(F.count(F.lit(1)).alias("windows"))
     return plain.join(total, ["item_id", "reading"])
 
 
-def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def with_anchors(texts: DataFrame, bench: DataFrame, inline: int = INLINE_ANCHORS) -> DataFrame:
+    """The rows of ``texts`` (doc_id, did, tk, text) that hold an anchor of some window of the items.
+
+    Up to ``inline`` anchors are tested within the row, so texts stay where they are; more
+    of them are joined, and the texts then with the keys of the documents found.
+    """
+    anchors = bench.select("anchor.words", "anchor.hash").distinct()
+    known = anchors.limit(inline + 1).collect()
+    lengths = sorted({r["words"] for r in known}) if len(known) <= inline else sorted(ANCHOR_WORDS)
+    runs = with_hashes(texts.select("doc_id", "did", "tk", "text", F.transform(
+        F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)), F.lower).alias("low")),
+        "low", F.lit(EXACT), max(lengths, default=1))
+
+    def known_in(n: int) -> Column:
+        return F.exists(windows_of("low", n), lambda h: h.isin(*(r["hash"] for r in known if r["words"] == n)))
+
+    def with_length(n: int) -> Column:
+        return F.transform(windows_of("low", n), lambda h: F.struct(F.lit(n).alias("words"), h.alias("hash")))
+
+    if len(known) <= inline:
+        held = reduce(Column.__or__, map(known_in, lengths), F.lit(False))
+        # explode of an expression: Spark would work out a filter on it below, with its arrays nested
+        return runs.select("doc_id", "did", "tk", "text", F.explode(F.when(held, F.array(F.lit(0)))).alias("_")).drop("_")
+    spread = runs.select("did", "tk", F.explode(F.flatten(F.array(*map(with_length, lengths)))).alias("a"))
+    holders = written(spread.select("did", "tk", "a.words", "a.hash").join(anchors, ["words", "hash"])
+                      .select("did", "tk").distinct(), "anchor-holders")
+    return texts.join(holders, ["did", "tk"], "left_semi")
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, inline: int = INLINE_ANCHORS) -> DataFrame:
     """doc_id, item_id, windows, hits, slots, consistent, contaminated of every candidate pair.
 
     ``doc_id`` keeps its type; ``windows`` counts the item's windows and ``hits`` those
@@ -172,12 +251,15 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     kinds = kinds or [(0, WINDOW)]
     part = reduce(lambda out, k: out.when((F.col("reading") == kinds[k][0]) & (F.col("width") == kinds[k][1]), k),
                   range(len(kinds)), F.when(F.lit(False), -1))
-    side = bench.withColumn("part", part)
+    bench = bench.withColumn("part", part)
+    side = bench.select("hash", "part").distinct()  # two numbers a row
     side = F.broadcast(side) if count <= BROADCAST_ROWS else side
-    texts = docs.where(F.col("text").isNotNull()).select("doc_id", *doc_key(docs), "text")
+    texts = docs.where(F.col("text").isNotNull()).select("doc_id", *doc_key(docs), docs["text"].cast("string").alias("text"))
     pair = ["doc_id", "did", "tk", "item_id"]
-    runs = in_readings(texts, "doc_id", "did", "tk")
-    for r in sorted({r for r, _ in kinds}):
+    read = sorted({r for r, _ in kinds})
+    runs = in_words(with_anchors(texts, bench, inline), "doc_id", "did", "tk").select(
+        "doc_id", "did", "tk", *((F.col("lower") if r == EXACT else template_of(r)).alias(f"p{r}") for r in read))
+    for r in read:
         runs = with_hashes(runs, f"p{r}", F.lit(r), max(w for k, w in kinds if k == r))
     hashes = runs.select("doc_id", "did", "tk", F.array(*(windows_of(f"p{r}", w) for r, w in kinds)).alias("hashes"))
     ends = F.transform("hashes", lambda _, k: F.aggregate(
@@ -185,9 +267,11 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # posexplode of an expression: of a column, Spark would test its size again below, with all of its work
     spread = hashes.select("doc_id", "did", "tk", ends.alias("starts"), "hashes") \
         .select("doc_id", "did", "tk", "starts", F.posexplode(F.flatten("hashes")).alias("spot", "hash"))
-    found = written(spread.join(side, "hash").select(
-        *pair, "reading", (F.col("spot") - F.get("starts", F.col("part"))).alias("at"), "place", "width", "slots",
-        "windows"), "window-matches")
+    # first which windows any item has, then the items of those
+    hits = written(spread.join(side, "hash").select(
+        "doc_id", "did", "tk", "hash", "part", (F.col("spot") - F.get("starts", F.col("part"))).alias("at")), "window-hits")
+    found = written(hits.join(bench.drop("anchor"), ["hash", "part"]).select(
+        *pair, "reading", "at", "place", "width", "slots", "windows"), "window-matches")
     exact = found.where(F.col("reading") == EXACT).select(*pair).distinct()
     shares = found.where(F.col("reading") < EXACT).select(*pair, "reading", "place", "windows").distinct() \
         .groupBy(*pair, "reading").agg(F.max("windows").alias("windows"), F.count(F.lit(1)).alias("hits")) \
@@ -211,10 +295,9 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         judged = pairs.withColumn("slots", F.lit(0).cast("long")).withColumn("consistent", F.lit(True))
     else:
         some = texts.join(slotted.select("did", "tk").distinct(), ["did", "tk"], "left_semi")
-        own = in_readings(some, "did", "tk").select("did", "tk", F.explode(F.array(*(
-            F.struct(F.lit(r).alias("reading"), F.col(f"w{r}").alias("words")) for r in (0, 1)))).alias("r")) \
-            .select("did", "tk", "r.reading", F.posexplode("r.words").alias("at", "here")) \
-            .withColumn("here", value_of(F.col("here"))).distinct()
+        own = in_words(some, "did", "tk").select("did", "tk", F.explode(F.array(*(
+            F.struct(F.lit(r).alias("reading"), values_of(r).alias("words")) for r in (0, 1)))).alias("r")) \
+            .select("did", "tk", "r.reading", F.posexplode("r.words").alias("at", "here")).distinct()
         stands = slotted.join(own, ["did", "tk", "reading", "at"]) \
             .groupBy(*key, "shift", "value").agg(
                 F.min("here").alias("lo"), F.max("here").alias("hi"), F.count(F.lit(1)).alias("uses"))
