@@ -8,12 +8,17 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from lapforge.session import scratch_path
 
+FILTER_BITS = 1 << 26
+FILTER_HASHES = 4
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, read by Spark only (the path may be any Hadoop path)."""
@@ -91,6 +96,46 @@ def value_counts(rows: DataFrame, by: str) -> dict:
     return {r[0]: r[1] for r in rows.groupBy(by).count().collect()}
 
 
+def maybe_in(keys: DataFrame) -> Callable[..., Column]:
+    """A test of two-column keys against ``keys`` (two long columns): false means surely not in it.
+
+    A Bloom filter of about ten bits a key, at most ``FILTER_BITS``, goes to the tasks.  More
+    keys than it is made for pass more rows, but never miss one.
+    """
+    bits = min(FILTER_BITS, max(1 << 16, 1 << (10 * keys.count()).bit_length()))
+
+    def places(a: Column, b: Column) -> list[Column]:
+        return [F.pmod(F.xxhash64(F.lit(i), a, b), F.lit(bits)) for i in range(FILTER_HASHES)]
+
+    spots = keys.select(F.explode(F.array(*places(*(F.col(c) for c in keys.columns)))).alias("place"))
+    set_bits = spots.groupBy(F.shiftright("place", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("value")).toArrow()  # FILTER_BITS / 64 rows
+    words = np.zeros(bits >> 6, np.int64)
+    words[set_bits["word"].to_numpy()] = set_bits["value"].to_numpy()
+
+    @F.arrow_udf(BooleanType())
+    def held(*columns: pa.Array) -> pa.Array:
+        out = np.ones(len(columns[0]), bool)
+        for c in columns:
+            at = c.to_numpy(zero_copy_only=False)
+            out &= (words[at >> 6] >> (at & 63) & 1).astype(bool)
+        return pa.array(out)
+
+    return lambda a, b: held(*places(a, b))
+
+
+def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """``docs`` without the documents whose ``doc_key`` is in ``keys`` (did, tk).
+
+    Only the texts of documents that may be in ``keys`` are joined; all others stay where
+    they are.
+    """
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), *doc_key(docs))
+    maybe = maybe_in(keys.select("did", "tk"))(F.col("did"), F.col("tk"))
+    found = keyed.where(maybe).join(keys.select("did", "tk").distinct(), ["did", "tk"], "left_anti")
+    return keyed.where(~maybe).select("row.*").unionByName(found.select("row.*"))
+
+
 def release() -> None:
     """Hand memory that this Python worker has freed back to the system.
 

@@ -47,7 +47,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapforge.llm.common import doc_key, read_table, written
+from lapforge.llm.common import doc_key, read_table, without, written
 
 WINDOW = 8
 LEAST_WORDS = 5
@@ -308,21 +308,20 @@ def matches(docs: DataFrame, benchmark: DataFrame, inline: int = INLINE_ANCHORS)
         judged = pairs.join(verdict, key, "left") \
             .withColumn("slots", F.coalesce("slots", F.lit(0).cast("long"))) \
             .withColumn("consistent", F.coalesce("consistent", F.lit(True)))
-    return judged.select("doc_id", "tk", "item_id", "windows", "hits", "slots", "consistent",
+    return judged.select("doc_id", "did", "tk", "item_id", "windows", "hits", "slots", "consistent",
                          (F.col("consistent") | F.col("exact")).alias("contaminated"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item."""
-    bad = matches(docs, benchmark).where("contaminated") \
-        .select(F.col("doc_id").alias("_id"), F.col("tk").alias("_tk")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_id"])
-                     & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == bad["_tk"]), "left_anti")
+    bad = matches(docs, benchmark).where("contaminated").select("did", "tk").distinct()
+    return without(docs, written(bad, "contaminated"))
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark items, with the evidence."""
-    return matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("tk")
+    return matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")) \
+        .drop("did", "tk")
 
 
 def _sql_words(table: str, key: str) -> str:

@@ -42,7 +42,7 @@ SAMPLE_DOCS = 400
 SLICE = 200
 SAMPLE_CHARS = 20_000
 SEGMENT = 2048
-BATCH_CHARS = 6_000_000
+BATCH_CHARS = 1_000_000
 ALPHABET = 62  # letters with a column in the tables; other letters of a sample have sparse transitions
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double"
 
@@ -261,7 +261,12 @@ def identify(docs: DataFrame, texts: dict[str, str]) -> DataFrame:
 
 
 def with_language(docs: DataFrame, texts: dict[str, str]) -> DataFrame:
-    """``docs`` with the prediction as ``lang``, without the documents that are ``und``."""
+    """``docs`` with the prediction as ``lang``, without the documents that are ``und``.
+
+    Where no language was learned at all, documents with a letter stay as they are.
+    """
+    if not texts:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     columns = docs.columns
     at, text_at = columns.index("lang"), columns.index("text")
 

@@ -19,7 +19,7 @@ Defined cases: null text stays null and has no lines; blank lines belong to no r
 and stay; lines are compared without white space at their ends; rows equal in id and
 text count as one document and are returned alike; a null doc_id sorts first; an
 overlapping repeat inside one document counts as later; an empty table gives an
-empty result; other columns pass through.
+empty result; other columns pass through, but one named ``lines_removed`` is replaced.
 """
 
 from __future__ import annotations
@@ -29,11 +29,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from lapforge.llm.common import Write, doc_key, read_table, release, trimmed, workspace, written
+from lapforge.llm.common import Write, doc_key, maybe_in, read_table, release, trimmed, workspace, written
 
 MIN_WORDS = 50
 KEY = ["did", "tk"]
@@ -160,15 +160,22 @@ def without_lines(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.A
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with the later copies of repeated runs deleted, and ``lines_removed``."""
-    keyed = docs.select("*", *(c.alias(f"_{n}") for c, n in zip(doc_key(docs), KEY, strict=True)))
-    gone = deleted_lines(docs, min_words).select(F.col("did").alias("_did"), F.col("tk").alias("_tk"),
-                                                 F.col("gone").alias("_gone"))
-    joined = keyed.join(gone, ["_did", "_tk"], "left")
-    return joined.select(
-        *(without_lines(F.col("text"), F.col("_gone")).alias("text") if c == "text" else joined[c]
-          for c in docs.columns if c != "lines_removed"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("lines_removed"))
+    """``docs`` with the later copies of repeated runs deleted, and ``lines_removed``.
+
+    Texts that surely lose nothing stay where they are; the others meet their lines in a
+    merge join, at every size.
+    """
+    gone = deleted_lines(docs, min_words)
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), *doc_key(docs))
+    maybe = maybe_in(gone.select(*KEY))(F.col("did"), F.col("tk"))
+    changed = keyed.where(maybe).join(gone.hint("merge"), KEY, "left")
+
+    def columns(text: Column, removed: Column) -> list[Column]:
+        return [*(text.alias(c) if c == "text" else F.col("row").getField(c).alias(c)
+                  for c in docs.columns if c != "lines_removed"), removed.cast("long").alias("lines_removed")]
+
+    return keyed.where(~maybe).select(*columns(F.col("row.text").cast("string"), F.lit(0))).unionByName(changed.select(
+        *columns(without_lines(F.col("row.text").cast("string"), F.col("gone")), F.coalesce(F.size("gone"), F.lit(0)))))
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

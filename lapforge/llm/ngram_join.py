@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapforge.llm.common import Write, doc_key, read_table, text_of, trimmed, workspace, written
+from lapforge.llm.common import Write, doc_key, read_table, text_of, trimmed, without, workspace, written
 from lapforge.llm.graph import components
 from lapforge.llm.words import SPACES, Hasher, blocks, mix, shingles
 
@@ -307,10 +307,11 @@ def tree_pairs(members: DataFrame, percent: int, block_nodes: int = BLOCK_NODES,
 
 def ngram_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
                block_nodes: int = BLOCK_NODES) -> DataFrame:
-    """doc_id, n_shingles, component_id, links of every row.
+    """doc_id, n_shingles, component_id, links, did, tk, label of every row.
 
     ``links`` counts the verified links found of the document's set (those that were
-    needed to join its component), not all partners.
+    needed to join its component), not all partners.  ``did`` and ``tk`` are the key of the
+    document, ``label`` is the same for all rows of a component (null without shingles).
     """
     with workspace(docs.sparkSession, "ngram-join") as write:
         with workspace(docs.sparkSession, "ngram-keys") as passing:
@@ -330,11 +331,11 @@ def ngram_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
 
         placed = nodes.select(*SIGNATURE, "node").join(label, "node", "left").join(degree, "node", "left") \
             .withColumn("label", F.coalesce("label", "node"))
-        known = rows.select("doc_id", *SIGNATURE).join(placed, SIGNATURE, "left")
+        known = rows.select("doc_id", "did", "tk", *SIGNATURE).join(placed, SIGNATURE, "left")
         smallest = known.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("smallest"))
         return written(known.join(smallest, "label", "left").select(
             "doc_id", F.col("n").alias("n_shingles"), F.coalesce("smallest", "doc_id").alias("component_id"),
-            F.coalesce("links", F.lit(0).cast("long")).alias("links")), "ngram-components")
+            F.coalesce("links", F.lit(0).cast("long")).alias("links"), "did", "tk", "label"), "ngram-components")
 
 
 def all_links(members: DataFrame, sets: DataFrame, percent: int, block_nodes: int, write: Write) -> DataFrame:
@@ -357,19 +358,23 @@ def all_links(members: DataFrame, sets: DataFrame, percent: int, block_nodes: in
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each component: the one of the smallest id.
+    """``docs`` with one document of each component: the one of the smallest id (a document
+    without an id only where no other has one), of texts that share it the one of the
+    smallest digest.
 
-    Rows that repeat the kept document stay as they are; rows without an id stay when
-    their set is linked with nothing.
+    Rows that repeat the kept document, id and text, stay as they are, and so do documents
+    without shingles.
     """
-    kept = ngram_join(docs, width, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
-        .select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    found = ngram_join(docs, width, percent).where("label is not null").select("did", "tk", "label", "doc_id")
+    order = F.struct(F.col("doc_id").isNull(), "did", "tk")
+    first = found.groupBy("label").agg(F.min(order).alias("first")).select("label", "first.did", "first.tk")
+    gone = found.join(first, ["label", "did", "tk"], "left_anti").select("did", "tk").distinct()
+    return without(docs, written(gone, "near-copies"))
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under 3-word shingles at similarity 0.9."""
-    return ngram_join(read_table(spark, sf_dir, "documents")).drop("links")
+    return ngram_join(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 OP3_SQL = r"""

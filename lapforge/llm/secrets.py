@@ -4,9 +4,9 @@ The base patterns give spans per kind.  Bare tokens (20 or more characters of a
 credential alphabet, with letters, digits and high entropy, overlapping no base
 span) are candidates as well.  All candidate values are hashed and counted over
 the whole corpus by distinct owners (``source``) and distinct repositories (here a
-document is a repository).  A value of at most ``LIVE_OWNERS`` owners looks live; a
-value that more owners carry is a copied example.  A bare token is added to a
-document's spans only when its value looks live.
+document is a repository).  A value of at most ``LIVE_OWNERS`` owners and at most
+``LIVE_REPOSITORIES`` repositories looks live; one that more of either carry is a copied
+example.  A bare token is added to a document's spans only when its value looks live.
 
 Defined cases: null text counts as empty; a null source is one owner; repeated
 rows (same id and text) count once in the frequencies and get the same result; an
@@ -36,6 +36,7 @@ BARE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 ASSIGN_CHARS, ACCESS_CHARS = 6, 20
 BARE_BITS = 3.5  # Shannon entropy per character
 LIVE_OWNERS = 1
+LIVE_REPOSITORIES = 20
 
 
 def bits(value: str) -> float:
@@ -111,7 +112,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     scanned = written(scan(docs), "secret-candidates")
     each = scanned.select("did", "tk", F.explode("found").alias("f")).select("did", "tk", "f.*").distinct()
     judged = each.join(ownership(scanned), "value") \
-        .withColumn("live", F.col("owners") <= LIVE_OWNERS)
+        .withColumn("live", (F.col("owners") <= LIVE_OWNERS) & (F.col("repositories") <= LIVE_REPOSITORIES))
     base = F.col("kind") < 3
     spans = judged.groupBy("did", "tk").agg(
         F.collect_list(F.when(base | F.col("live"), F.struct("start", "kind", "span"))).alias("all"),

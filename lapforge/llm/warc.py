@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -48,6 +49,7 @@ def open_fs(path: str) -> tuple[fs.FileSystem, str]:
     """A file system that drivers and executors share, and the path in it."""
     if path.startswith("file:"):
         return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+    path = re.sub("^s3[an]://", "s3://", path)  # Hadoop's names of the same store
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-BLOCK_BYTES = 1 << 21  # texts are hashed in blocks of about this many bytes
+BLOCK_BYTES = 1 << 18  # texts are hashed in blocks of about this many bytes
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C13)
 
 _A, _B, _C = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93))
