@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lapforge.plans import oracle as O
 from lapforge.plans import career as C
 from lapforge.plans import laps as L
+from lapforge.plans import ops as OP
 from lapforge.plans import pipeline as P
 from lapforge.plans import quality as Q
 from lapforge.plans import standings as S
@@ -86,6 +87,12 @@ _REG = [
     ("dq_schema", Q.dq_schema, O.SQL_DQ_SCHEMA),
     ("table_inventory", Q.table_inventory, O.SQL_TABLE_INVENTORY),
     ("layer_summary", Q.layer_summary, O.SQL_LAYER_SUMMARY),
+    # ---- step gaps, series and application log over events
+    ("step_gaps", OP.event_gaps, O.SQL_STEP_GAPS),
+    ("mean_load_time", OP.event_mean_gap, O.SQL_MEAN_LOAD_TIME),
+    ("resource_summary", OP.event_series, O.SQL_RESOURCE_SUMMARY),
+    ("app_log", OP.event_log_records, O.SQL_APP_LOG),
+    ("log_tail", OP.event_log_tail, O.SQL_LOG_TAIL),
     # ---- sinks and sources, checked on the stored state
     ("csv_roundtrip", W.csv_roundtrip, O.SQL_CSV_ROUNDTRIP),
     ("merge_mart", W.merge_mart_query, O.SQL_MERGE_MART),

@@ -1,20 +1,23 @@
 """Pipeline and log analytics.
 
-These read operational tables (a run log, run history, stage list, resource
-series, an application log file), not the race data, so they are library
-functions with tests rather than registered queries; ``table_inventory`` (O5)
-reads the model tables and is registered in ``plans.quality``.
+The functions take operational tables (a run log, run history, stage list, resource series,
+an application log); the queries at the end apply W7 / O2, O6 and O7 to ``events``: a user is
+a run and an event a step, hourly values per event type are the series, and an application
+log is written from the events.  O5 (``table_inventory``) is in ``plans.quality``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapforge.functions import dur_seconds, parse_count
 from lapforge.operators.aggregates import count_if
+from lapforge.operators.carry import carry
 from lapforge.operators.joins import scalar_row
-from lapforge.sources.files import read_lines
+from lapforge.plans.model import Model
+from lapforge.session import scratch_path
+from lapforge.sources.files import log_tail, read_lines
 
 
 def layer_summary(log: DataFrame) -> DataFrame:
@@ -30,22 +33,21 @@ def layer_summary(log: DataFrame) -> DataFrame:
 
 
 def step_gaps(log: DataFrame, run_key=None) -> DataFrame:
-    """Seconds between successive steps of a run (first step NULL).
+    """Seconds between successive steps of a run (first step NULL), with the step before.
 
-    A run is one day of the log unless ``run_key`` is given; the window is per
-    run (one row per loaded table)."""
-    run = run_key if run_key is not None else F.to_date("ts")
-    w = Window.partitionBy(run.alias("run")).orderBy("ts", "table")
-    prev = F.lag("ts").over(w)
-    return log.select("ts", "table", "layer",
-                      (F.unix_timestamp("ts") - F.unix_timestamp(prev)).alias("gap_sec"))
+    A run is one day of the log unless ``run_key`` is given.  The step before is carried
+    over partition borders, so one run of any length spreads over many tasks."""
+    runs = log.select("ts", "table", "layer", (run_key if run_key is not None else F.to_date("ts")).alias("run"))
+    steps = carry(runs, ["run"], ["ts", "table"], {"prev_ts": "ts", "prev_table": "table"})
+    gap = (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("prev_ts").cast("timestamp"))) / 1e6
+    return steps.select("run", "ts", "table", "layer", "prev_table", gap.alias("gap_sec"))
 
 
-def mean_load_time(log: DataFrame) -> DataFrame:
+def mean_load_time(log: DataFrame, run_key=None, raw: str = "raw") -> DataFrame:
     """O2: mean gap between steps, and the mean over raw-layer steps only."""
-    g = step_gaps(log)
+    g = step_gaps(log, run_key)
     return g.agg(F.avg("gap_sec").alias("mean_gap_sec"),
-                 F.avg(F.when(F.col("layer") == "raw", F.col("gap_sec"))).alias("mean_raw_gap_sec"))
+                 F.avg(F.when(F.col("layer") == raw, F.col("gap_sec"))).alias("mean_raw_gap_sec"))
 
 
 def run_history_summary(runs: DataFrame) -> DataFrame:
@@ -73,10 +75,10 @@ def stage_totals(stages: DataFrame) -> DataFrame:
 
 
 def resource_summary(series: DataFrame, metrics=("cpu", "mem", "net")) -> DataFrame:
-    """Wide per-minute series to long (minute, metric, value); mean and peak per metric."""
+    """Wide per-minute series to long (minute, metric, value); mean and (first) peak per metric."""
     long = series.unpivot("minute", list(metrics), "metric", "value")
     return long.groupBy("metric").agg(F.avg("value").alias("mean"), F.max("value").alias("peak"),
-                                      F.max_by("minute", "value").alias("peak_minute"))
+                                      F.max_by("minute", F.struct("value", -F.col("minute"))).alias("peak_minute"))
 
 
 # Fixed value: the log line layout ``asctime | levelname | message`` of
@@ -89,31 +91,78 @@ def app_log(spark: SparkSession, path: str) -> DataFrame:
     attached: file, line, asctime, level, message, detail, lines.
 
     Continuation lines belong to the closest record line above them in the
-    same file; the running ``last(..., ignorenulls)`` is per file (log files
-    are bounded by rotation), and the lines of one record are gathered in line
-    order (bounded by the traceback)."""
-    lines = read_lines(spark, path)
+    same file; its number is carried over split and partition borders, so one
+    huge log is not one task.  The lines of one record are gathered in line
+    order (bounded by the traceback); lines above the first record are left out."""
     is_rec = F.regexp_like(F.col("text"), F.lit(LOG_RECORD))
-    w = Window.partitionBy("file").orderBy("line") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    tagged = lines.withColumn("rec_line",
-                              F.last(F.when(is_rec, F.col("line")), ignorenulls=True).over(w))
-    heads = tagged.filter(is_rec).select(
-        "file", F.col("line").alias("rec_line"),
-        F.regexp_extract("text", LOG_RECORD, 1).alias("asctime"),
-        F.regexp_extract("text", LOG_RECORD, 2).alias("level"),
-        F.regexp_extract("text", LOG_RECORD, 3).alias("message"))
-    cont = tagged.filter(~is_rec & F.col("rec_line").isNotNull()) \
-        .groupBy("file", "rec_line").agg(
-            F.array_sort(F.collect_list(F.struct("line", "text"))).alias("_lf_l"))
-    out = heads.join(cont, ["file", "rec_line"], "left")
+    lines = carry(read_lines(spark, path), ["file"], ["line"], {"rec_line": "line"}, is_rec, own=True)
+    head = F.max(F.when(F.col("line") == F.col("rec_line"), F.col("text")))
+    more = F.array_sort(F.collect_list(F.when(F.col("line") != F.col("rec_line"), F.struct("line", "text"))))
+    out = lines.filter(F.col("rec_line").isNotNull()).groupBy("file", "rec_line") \
+        .agg(head.alias("_lf_h"), more.alias("_lf_l"))
     return out.select(
-        "file", F.col("rec_line").alias("line"), "asctime", "level", "message",
-        F.array_join(F.transform(F.coalesce("_lf_l", F.array()), lambda x: x["text"]), "\n")
-        .alias("detail"),
-        (F.size(F.coalesce("_lf_l", F.array())) + 1).alias("lines"))
+        "file", F.col("rec_line").alias("line"),
+        *(F.regexp_extract("_lf_h", LOG_RECORD, i + 1).alias(c) for i, c in enumerate(("asctime", "level", "message"))),
+        F.array_join(F.transform("_lf_l", lambda x: x["text"]), "\n").alias("detail"),
+        (F.size("_lf_l") + 1).alias("lines"))
 
 
 def level_counts(records: DataFrame) -> DataFrame:
     """Records per level."""
     return records.groupBy("level").agg(F.count(F.lit(1)).alias("records"))
+
+
+# ---- registered queries over ``events`` ---------------------------------------------
+
+METRICS = ("click", "error", "purchase", "view")
+
+
+def event_steps(m: Model) -> DataFrame:
+    """The events as a step log: ts, table (the event), layer (its type) and the user."""
+    return m.table("events", "event_id", "ts", "user_id", "event_type").select(
+        "ts", F.col("event_id").alias("table"), F.col("event_type").alias("layer"), "user_id")
+
+
+def event_gaps(m: Model) -> DataFrame:
+    """Every event of a user with the one before and the seconds between them."""
+    return step_gaps(event_steps(m), F.col("user_id")).select(
+        F.col("run").alias("user_id"), F.col("table").alias("event_id"), F.col("prev_table").alias("prev_event_id"), "gap_sec")
+
+
+def event_mean_gap(m: Model) -> DataFrame:
+    """O2: mean seconds between events over all users as one run, and before a purchase."""
+    return mean_load_time(event_steps(m), F.lit(0), "purchase")
+
+
+def event_series(m: Model) -> DataFrame:
+    """Hourly sums of the values per event type, summed up per type."""
+    hour = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 3600).cast("bigint")
+    cents = F.bround(F.col("value") * 100).cast("bigint")  # whole numbers add up alike in any order
+    wide = m.table("events", "ts", "event_type", "value").groupBy(hour.alias("minute")).pivot("event_type", list(METRICS)) \
+        .agg(F.sum(cents)).na.fill(0, list(METRICS))
+    return resource_summary(wide, METRICS)
+
+
+def write_event_log(m: Model) -> str:
+    """The events as an application log, in order of event_id; an error has two more lines."""
+    e = m.table("events", "event_id", "ts", "user_id", "event_type", "props") \
+        .withColumn("stamp", F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss,SSS"))
+    error = F.col("event_type") == "error"
+    head = F.concat_ws(" | ", "stamp", F.when(error, "ERROR").otherwise("INFO"), F.concat_ws(
+        " ", "event_type", F.lit("of user"), "user_id", F.lit("event"), "event_id"))
+    text = F.when(error, F.concat(head, F.lit("\nTraceback (most recent call last):\n  props "), F.coalesce("props", F.lit("")))) \
+        .otherwise(head)
+    path = scratch_path(m.spark, "event-log")
+    e.select("event_id", text.alias("text")).repartitionByRange("event_id").sortWithinPartitions("event_id") \
+        .select("text").write.text(path)
+    return path
+
+
+def event_log_records(m: Model) -> DataFrame:
+    """The records of the log written from the events, continuation lines attached."""
+    return app_log(m.spark, write_event_log(m)).select("asctime", "level", "message", "detail", "lines")
+
+
+def event_log_tail(m: Model) -> DataFrame:
+    """K6: the last 300 lines of that log."""
+    return log_tail(m.spark, write_event_log(m), 300).select("text")

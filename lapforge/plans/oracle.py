@@ -524,3 +524,48 @@ SQL_DQ_SCHEMA = out(
         f"{'l_status' if c == 'status' else '0'} AS too_long FROM v"
         for c, d, a, _ in _SCHEMA_ROWS)
     + "\nUNION ALL\nSELECT 'fastest_lap_time', 'float', NULL, 0, 0, NULL, NULL")
+
+
+# ---- step gaps, series and application log over events (W7, O2, O6, O7, S11, K6) ----
+
+SQL_STEP_GAPS = """
+SELECT user_id, event_id, lag(event_id) OVER w AS prev_event_id,
+       round_even(CAST((epoch_us(ts) - lag(epoch_us(ts)) OVER w) / 1e6 AS DOUBLE), 6) AS gap_sec
+FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
+"""
+
+SQL_MEAN_LOAD_TIME = """
+WITH g AS (SELECT event_type, (epoch_us(ts) - lag(epoch_us(ts)) OVER (ORDER BY ts, event_id)) / 1e6 AS gap FROM events)
+SELECT round_even(avg(gap), 6) AS mean_gap_sec,
+       round_even(avg(gap) FILTER (WHERE event_type = 'purchase'), 6) AS mean_raw_gap_sec FROM g
+"""
+
+SQL_RESOURCE_SUMMARY = """
+WITH hours AS (SELECT DISTINCT epoch_us(ts) // 3600000000 AS h FROM events),
+s AS (
+  SELECT h, metric, coalesce((SELECT sum(CAST(round_even(value * 100, 0) AS BIGINT)) FROM events
+    WHERE epoch_us(ts) // 3600000000 = h AND event_type = metric), 0) AS v
+  FROM hours, (VALUES ('click'), ('error'), ('purchase'), ('view')) t(metric))
+SELECT metric, round_even(avg(v), 6) AS mean, CAST(max(v) AS BIGINT) AS peak,
+       CAST(arg_max(h, v * 1000000000 - h) AS BIGINT) AS peak_minute FROM s GROUP BY metric
+"""
+
+_EVENT_LOG = """
+WITH e AS (
+  SELECT event_id, event_type = 'error' AS bad, strftime(ts, '%Y-%m-%d %H:%M:%S,%g') AS asctime,
+         event_type || ' of user ' || user_id || ' event ' || event_id AS message,
+         ['Traceback (most recent call last):', '  props ' || coalesce(props, '')] AS more FROM events)
+"""
+
+SQL_APP_LOG = _EVENT_LOG + """
+SELECT asctime, CASE WHEN bad THEN 'ERROR' ELSE 'INFO' END AS level, message,
+       CASE WHEN bad THEN array_to_string(more, chr(10)) ELSE '' END AS detail,
+       CAST(CASE WHEN bad THEN 3 ELSE 1 END AS BIGINT) AS lines FROM e
+"""
+
+SQL_LOG_TAIL = _EVENT_LOG + """,
+l AS (
+  SELECT event_id, 0 AS k, asctime || ' | ' || CASE WHEN bad THEN 'ERROR' ELSE 'INFO' END || ' | ' || message AS text FROM e
+  UNION ALL SELECT event_id, k, more[k] FROM e, (VALUES (1), (2)) t(k) WHERE bad)
+SELECT text FROM l ORDER BY event_id DESC, k DESC LIMIT 300
+"""

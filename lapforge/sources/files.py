@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapforge.operators.ordering import tail
+from lapforge.operators.ordering import sequence_number, tail
 
 
 def read_raw_csv(spark: SparkSession, path: str,
@@ -30,16 +30,15 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """One row per line: file, line (1-based, file order), text, written
     (the file's modification time).
 
-    The text source keeps a file's lines in split order; the id taken right at
-    the scan numbers them, and the line number is the order within the file.
-    The window is per file: log files are bounded by rotation size.
+    Lines are ordered by the start of their split and, within it, by an id taken
+    right at the scan; the number within the file is distributed
+    (``sequence_number``), so one huge log is many splits and many tasks.
     """
     raw = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_modification_time").alias("written"), F.col("value").alias("text"),
-        F.monotonically_increasing_id().alias("_lf_id"))
-    w = Window.partitionBy("file").orderBy("_lf_id")
-    return raw.select("file", F.row_number().over(w).alias("line"), "text", "written")
+        F.col("_metadata.file_block_start").alias("_lf_split"), F.monotonically_increasing_id().alias("_lf_id"))
+    return sequence_number(raw, ["file"], ["_lf_split", "_lf_id"], "line").select("file", "line", "text", "written")
 
 
 def log_tail(spark: SparkSession, path: str, n: int = 300) -> DataFrame:
