@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lapforge.plans.model import SEASON, Model
 from lapforge.session import scratch_path
+from lapforge.sinks import read_evolved
 from lapforge.streaming import (RAW_RESULT_SCHEMA, RESULT_KEY, land_stream,
                                 refresh_mart_stream)
 
@@ -40,4 +41,4 @@ def refresh_mart_stream_query(m: Model) -> DataFrame:
     base, out_dir = _landed(m)
     mart = f"{base}/mart"
     refresh_mart_stream(m.spark, out_dir, mart, f"{base}/_ckpt_mart")
-    return m.spark.read.parquet(mart).select("season", "driver_id", "points", "races", "wins")
+    return read_evolved(m.spark, mart).select("season", "driver_id", "points", "races", "wins")

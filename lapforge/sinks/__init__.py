@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lapforge.operators.ordering import join_null_safe
 from lapforge.session import ensure_checkpoint_dir
+from lapforge.sinks import versions
 
 
 def write_overwrite(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
@@ -32,7 +33,10 @@ def evolve(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def read_evolved(spark: SparkSession, path: str) -> DataFrame:
-    """S7 on read: parquet files with different column sets under one folder."""
+    """S7 on read: parquet files with different column sets under one folder, or the
+    current version of a table of ``sinks.versions``."""
+    if versions.current(spark, path)[0]:
+        return versions.read_version(spark, path)
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
@@ -73,13 +77,14 @@ def merge_mart(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[st
                sync_columns: bool = False) -> None:
     """Upsert ``new`` into the mart at ``path`` by ``keys`` (NULL matches NULL).
 
-    Only the partitions (seasons, also the NULL one) present in ``new`` are
-    rewritten, with dynamic partition overwrite: old rows of those seasons whose key
-    is not in ``new`` are kept, the rest replaced; new columns are added (NULL in
-    untouched partitions, read with ``mergeSchema``).  With ``sync_columns`` columns
-    that ``new`` lacks leave the mart, which rewrites all of it.  The new rows and the
-    merged rows are checkpointed, so ``new`` is computed once and the job never reads
-    and overwrites the same files.  A repeated merge of the same rows changes nothing.
+    Only the partitions (seasons, also the NULL one) present in ``new`` are written:
+    old rows of those seasons whose key is not in ``new`` are kept, the rest replaced;
+    new columns are added (NULL in untouched partitions).  With ``sync_columns`` columns
+    that ``new`` lacks leave the mart, which rewrites all of it.  The merged rows are one
+    new batch and become the current version by one rename (``sinks.versions``), so a
+    lost driver never leaves half a mart; read it with ``read_evolved``.  The new rows are
+    checkpointed, as they are computed once and used three times.  A repeated merge of the
+    same rows changes nothing.
     """
     keys = list(keys)
     ensure_checkpoint_dir(spark)
@@ -88,10 +93,11 @@ def merge_mart(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[st
     new = new.checkpoint(eager=True)
     if on_collision == "fail":
         check_unique(new, keys)
-    if not table_exists(spark, path):
-        new.write.mode("overwrite").partitionBy(partition_col).parquet(path)
+    base = versions.current(spark, path)
+    if not base[0]:
+        versions.replace_partitions(spark, path, new, partition_col, base)
         return
-    old = read_evolved(spark, path)
+    old = versions.read_version(spark, path)
     every = sync_columns and bool(set(old.columns) - set(new.columns))
     if every:
         old = old.select(*[c for c in new.columns if c in old.columns])
@@ -102,10 +108,8 @@ def merge_mart(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[st
             here = F.coalesce(here, F.lit(True))
         old = old.where(here)
     kept = join_null_safe(old, new.select(*keys).distinct(), keys, "left_anti")
-    merged = kept.unionByName(new, allowMissingColumns=True).checkpoint(eager=True)
-    (merged.write.mode("overwrite")
-     .option("partitionOverwriteMode", "static" if every else "dynamic")
-     .partitionBy(partition_col).parquet(path))
+    merged = kept.unionByName(new, allowMissingColumns=True)
+    versions.replace_partitions(spark, path, merged, partition_col, base, every)
 
 
 def land(df: DataFrame, path: str, partition_by: Sequence[str] = ("season",)) -> None:
