@@ -96,6 +96,11 @@ def value_counts(rows: DataFrame, by: str) -> dict:
     return {r[0]: r[1] for r in rows.groupBy(by).count().collect()}
 
 
+def row_of(docs: DataFrame) -> Column:
+    """All columns as one struct, so that no name clashes with those that an operator adds."""
+    return F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in docs.columns)).alias("row")
+
+
 def maybe_in(keys: DataFrame) -> Callable[..., Column]:
     """A test of two-column keys against ``keys`` (two long columns): false means surely not in it.
 
@@ -130,7 +135,7 @@ def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
     Only the texts of documents that may be in ``keys`` are joined; all others stay where
     they are.
     """
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), *doc_key(docs))
+    keyed = docs.select(row_of(docs), *doc_key(docs))
     maybe = maybe_in(keys.select("did", "tk"))(F.col("did"), F.col("tk"))
     found = keyed.where(maybe).join(keys.select("did", "tk").distinct(), ["did", "tk"], "left_anti")
     return keyed.where(~maybe).select("row.*").unionByName(found.select("row.*"))

@@ -33,7 +33,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from lapforge.llm.common import Write, doc_key, maybe_in, read_table, release, trimmed, workspace, written
+from lapforge.llm.common import (Write, doc_key, maybe_in, read_table, release, row_of, trimmed, workspace,
+                                 written)
 
 MIN_WORDS = 50
 KEY = ["did", "tk"]
@@ -166,7 +167,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     merge join, at every size.
     """
     gone = deleted_lines(docs, min_words)
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), *doc_key(docs))
+    keyed = docs.select(row_of(docs), *doc_key(docs))
     maybe = maybe_in(gone.select(*KEY))(F.col("did"), F.col("tk"))
     changed = keyed.where(maybe).join(gone.hint("merge"), KEY, "left")
 

@@ -45,11 +45,16 @@ MAGIC = b"\x1f\x8b\x08"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
+def store_uri(path: str) -> str:
+    """The path with the store's own scheme in place of Hadoop's names of it."""
+    return re.sub("^s3[an]://", "s3://", path)
+
+
 def open_fs(path: str) -> tuple[fs.FileSystem, str]:
     """A file system that drivers and executors share, and the path in it."""
     if path.startswith("file:"):
         return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
-    path = re.sub("^s3[an]://", "s3://", path)  # Hadoop's names of the same store
+    path = store_uri(path)
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
