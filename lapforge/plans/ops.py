@@ -76,7 +76,8 @@ def stage_totals(stages: DataFrame) -> DataFrame:
 
 def resource_summary(series: DataFrame, metrics=("cpu", "mem", "net")) -> DataFrame:
     """Wide per-minute series to long (minute, metric, value); mean and (first) peak per metric."""
-    long = series.unpivot("minute", list(metrics), "metric", "value")
+    each = F.array(*(F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in metrics))
+    long = series.select("minute", F.explode(each).alias("r")).select("minute", "r.*")
     return long.groupBy("metric").agg(F.avg("value").alias("mean"), F.max("value").alias("peak"),
                                       F.max_by("minute", F.struct("value", -F.col("minute"))).alias("peak_minute"))
 
