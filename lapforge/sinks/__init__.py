@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,14 +50,9 @@ def append_load(df: DataFrame, path: str, fmt: str = "parquet") -> int:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether the table is there; any failure but a missing path is raised."""
-    try:
-        spark.read.parquet(path).schema  # noqa: B018
-        return True
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+    """Whether the table's folder is there (asked of its file system, which raises on any failure)."""
+    folder, store = versions.store_of(spark, path)
+    return store.exists(folder)
 
 
 class KeyCollision(ValueError):

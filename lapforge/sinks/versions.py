@@ -25,7 +25,7 @@ class Conflict(RuntimeError):
     """Another writer has put the same version in place."""
 
 
-def _store(spark: SparkSession, path: str):
+def store_of(spark: SparkSession, path: str):
     """(Hadoop path, its file system)."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -33,7 +33,7 @@ def _store(spark: SparkSession, path: str):
 
 def current(spark: SparkSession, path: str) -> tuple[int, StructType, dict[str, str]]:
     """(version, schema, partition folder -> batch) of the table; version 0 where there is none."""
-    folder, fs = _store(spark, f"{path}/{VERSIONS}")
+    folder, fs = store_of(spark, f"{path}/{VERSIONS}")
     names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
     last = max((int(n) for n in names if n.isdigit()), default=0)
     if not last:
@@ -47,7 +47,7 @@ def write_batch(df: DataFrame, path: str, partition_col: str | None = None) -> d
     batch = uuid.uuid4().hex
     w = df.write.partitionBy(partition_col) if partition_col else df.write
     w.parquet(f"{path}/batch={batch}")
-    folder, fs = _store(df.sparkSession, f"{path}/batch={batch}")
+    folder, fs = store_of(df.sparkSession, f"{path}/batch={batch}")
     if not partition_col:
         return {"": batch}
     return {s.getPath().getName(): batch for s in fs.listStatus(folder) if s.isDirectory()}
@@ -55,8 +55,8 @@ def write_batch(df: DataFrame, path: str, partition_col: str | None = None) -> d
 
 def commit(spark: SparkSession, path: str, version: int, schema: StructType, parts: dict[str, str]) -> None:
     """Put manifest ``version`` in place by a rename."""
-    final, fs = _store(spark, f"{path}/{VERSIONS}/{version}")
-    draft, _ = _store(spark, f"{path}/{VERSIONS}/.{uuid.uuid4().hex}")
+    final, fs = store_of(spark, f"{path}/{VERSIONS}/{version}")
+    draft, _ = store_of(spark, f"{path}/{VERSIONS}/.{uuid.uuid4().hex}")
     fs.mkdirs(final.getParent())
     fields = [StructField(f.name, f.dataType, True) for f in schema.fields]
     out = fs.create(draft)
