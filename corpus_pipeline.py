@@ -5,11 +5,11 @@ Parquet and read again as the next stage's docs.  All but the last return the co
 of ``documents``; the last returns the packed pieces.
 
 1. language: the predicted language becomes ``lang``; documents without a language
-   (null text or no letter) go;
+   (null text or no letter) go; where no row is labelled, ``lang`` stays as it is;
 2. lines: later copies of repeated line runs are deleted and ``n_chars`` follows;
    documents that lose their whole text go;
 3. near copies: one document of each component of 5-word-shingle similarity 0.8 stays
-   (the smallest id);
+   (the smallest id, then text; rows that repeat its id and text stay too);
 4. benchmark: documents that hold a benchmark item go;
 5. packing: pieces of the remaining documents in full power-of-two windows.
 
