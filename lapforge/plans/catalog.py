@@ -101,6 +101,8 @@ _REG = [
     # ---- streaming, checked on the final state (S13, ST1, ST2)
     ("land_stream", ST.land_stream_query, O.SQL_LAND_STREAM),
     ("refresh_mart_stream", ST.refresh_mart_stream_query, O.SQL_REFRESH_MART_STREAM),
+    ("land_events", ST.land_events_query, O.SQL_LAND_EVENTS),
+    ("user_mart_stream", ST.user_mart_query, O.SQL_USER_MART_STREAM),
 ]
 
 for _name, _fn, _sql in _REG:

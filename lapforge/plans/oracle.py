@@ -569,3 +569,14 @@ l AS (
   UNION ALL SELECT event_id, k, more[k] FROM e, (VALUES (1), (2)) t(k) WHERE bad)
 SELECT text FROM l ORDER BY event_id DESC, k DESC LIMIT 300
 """
+
+# ---- events landed by key ----------------------------------------------------------
+SQL_LAND_EVENTS = """
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id, event_type, round_even(value, 6) AS value FROM events
+"""
+
+SQL_USER_MART_STREAM = """
+SELECT user_id, count(*) AS events, CAST(sum(CAST(round_even(value * 100, 0) AS BIGINT)) AS BIGINT) AS cents,
+       strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_ts, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_ts
+FROM events GROUP BY user_id
+"""
