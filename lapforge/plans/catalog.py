@@ -98,6 +98,8 @@ _REG = [
     ("merge_mart", W.merge_mart_query, O.SQL_MERGE_MART),
     ("schema_evolution", W.schema_evolution, O.SQL_SCHEMA_EVOLUTION),
     ("append_load", W.append_load, O.SQL_APPEND_LOAD),
+    ("catalog_inventory", W.catalog_inventory, O.SQL_CATALOG_INVENTORY),
+    ("catalog_results", W.catalog_results, O.SQL_CATALOG_RESULTS),
     # ---- streaming, checked on the final state (S13, ST1, ST2)
     ("land_stream", ST.land_stream_query, O.SQL_LAND_STREAM),
     ("refresh_mart_stream", ST.refresh_mart_stream_query, O.SQL_REFRESH_MART_STREAM),

@@ -580,3 +580,12 @@ SELECT user_id, count(*) AS events, CAST(sum(CAST(round_even(value * 100, 0) AS
        strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_ts, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_ts
 FROM events GROUP BY user_id
 """
+
+# ---- catalog tables ----------------------------------------------------------------
+SQL_CATALOG_INVENTORY = out("table:s partitions:i rows:i", with_(FACTS, RESULTS) + """
+SELECT 'fact_race_results' AS "table", count(DISTINCT season) AS partitions, count(*) AS rows FROM results
+UNION ALL SELECT 'agg_season_points', count(DISTINCT season), count(*)
+FROM (SELECT DISTINCT season, driver_id, constructor_id FROM results)""")
+
+SQL_CATALOG_RESULTS = out("season:i rows:i points:i", with_(FACTS) + """
+SELECT season, count(*) AS rows, SUM(points) AS points FROM facts GROUP BY season""")

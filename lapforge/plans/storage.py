@@ -17,6 +17,7 @@ from lapforge.plans.standings import standings
 from lapforge.session import scratch_path
 from lapforge.sinks import append_load as _append
 from lapforge.sinks import evolve, export, land, merge_mart, read_evolved
+from lapforge.sinks.catalog import inventory, land_table, quoted
 from lapforge.sources.files import read_raw_csv
 from lapforge.sources.tables import read_table
 
@@ -83,3 +84,27 @@ def append_load(m: Model) -> DataFrame:
     landed = read_table(spark, layer, "agg_season_points_by_season")
     return landed.select("season", "driver_id", "points",
                          F.lit(n1 + n2).cast("bigint").alias("rows_loaded"))
+
+
+def _catalog_database(m: Model) -> str:
+    """The results in two landings (early seasons, then the others with one of the early ones
+    again) and the season aggregate, as catalog tables of a database of their own."""
+    path = scratch_path(m.spark, "catalog")
+    database = "lapforge_" + path.rsplit("-", 1)[-1]
+    results = m.results().select("race_id", "driver_id", "constructor_id", "points", "season")
+    land_table(results.filter(early()), database, "fact_race_results", f"{path}/fact_race_results")
+    land_table(results.filter(~early(SPLIT_SEASON - 1)), database, "fact_race_results", f"{path}/fact_race_results")
+    stats = m.season_stats().select("driver_id", "constructor_id", "points", "races", "season")
+    land_table(stats, database, "agg_season_points", f"{path}/agg_season_points")
+    return database
+
+
+def catalog_inventory(m: Model) -> DataFrame:
+    """S10 + O5: tables of the catalog with their listed partitions and rows."""
+    return inventory(m.spark, _catalog_database(m))
+
+
+def catalog_results(m: Model) -> DataFrame:
+    """Points and rows per season of the landed fact, read by its catalog name."""
+    return m.spark.table(quoted(_catalog_database(m), "fact_race_results")).groupBy("season").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("points").cast("bigint").alias("points"))
