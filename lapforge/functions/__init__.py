@@ -99,27 +99,6 @@ def to_ms(seconds) -> Column:
     return F.bround(_c(seconds) * F.lit(1000.0), 0).cast("bigint")
 
 
-def dur_seconds(text) -> Column:
-    """``6m 32s`` or ``0:42`` (``m:ss``) to seconds; anything else (a dash) is NULL."""
-    t = F.trim(_c(text))
-    m_s = F.regexp_extract(t, r"^(\d+)m\s*(\d+)s$", 1)
-    s_s = F.regexp_extract(t, r"^(\d+)m\s*(\d+)s$", 2)
-    m_c = F.regexp_extract(t, r"^(\d+):(\d{2})$", 1)
-    s_c = F.regexp_extract(t, r"^(\d+):(\d{2})$", 2)
-    return (F.when(m_s != "", m_s.cast("bigint") * 60 + s_s.cast("bigint"))
-            .when(m_c != "", m_c.cast("bigint") * 60 + s_c.cast("bigint")))
-
-
-def parse_count(text) -> Column:
-    """``5.4M`` / ``150K`` / ``4,280,000`` to a number; anything else is NULL."""
-    t = F.upper(F.regexp_replace(F.trim(_c(text)), ",", ""))
-    num = F.regexp_extract(t, r"^(\d+(?:\.\d+)?)([KM]?)$", 1)
-    suffix = F.regexp_extract(t, r"^(\d+(?:\.\d+)?)([KM]?)$", 2)
-    scale = F.when(suffix == "K", F.lit(1_000.0)).when(suffix == "M", F.lit(1_000_000.0)) \
-        .otherwise(F.lit(1.0))
-    return F.when(num != "", F.bround(num.cast("double") * scale, 0).cast("bigint"))
-
-
 def hash_uniform(seed: int, *keys) -> Column:
     """Deterministic uniform [0, 1) from a seed and key columns.
 

@@ -93,6 +93,9 @@ _REG = [
     ("resource_summary", OP.event_series, O.SQL_RESOURCE_SUMMARY),
     ("app_log", OP.event_log_records, O.SQL_APP_LOG),
     ("log_tail", OP.event_log_tail, O.SQL_LOG_TAIL),
+    # ---- run history and stage totals read from texts
+    ("run_history", OP.order_run_history, O.SQL_RUN_HISTORY),
+    ("stage_totals", OP.order_stage_totals, O.SQL_STAGE_TOTALS),
     # ---- sinks and sources, checked on the stored state
     ("csv_roundtrip", W.csv_roundtrip, O.SQL_CSV_ROUNDTRIP),
     ("merge_mart", W.merge_mart_query, O.SQL_MERGE_MART),

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapforge.functions import dur_seconds, parse_count
+from lapforge.functions import fmt_thousands, fmt_time
+from lapforge.functions.units import count_number, duration_seconds, malformed
 from lapforge.operators.aggregates import count_if
 from lapforge.operators.carry import carry
 from lapforge.operators.joins import scalar_row
@@ -50,28 +51,31 @@ def mean_load_time(log: DataFrame, run_key=None, raw: str = "raw") -> DataFrame:
                  F.avg(F.when(F.col("layer") == raw, F.col("gap_sec"))).alias("mean_raw_gap_sec"))
 
 
-def run_history_summary(runs: DataFrame) -> DataFrame:
-    """O3: runs, success rate %, mean duration (s) and mean records of runs
-    that report them (a dash is no value)."""
-    d = dur_seconds(F.col("duration"))
-    r = parse_count(F.col("records"))
-    return runs.agg(
+def run_history_summary(runs: DataFrame, *by: str) -> DataFrame:
+    """O3: runs, success rate %, mean duration (s) and mean records of the runs that report
+    them (a dash is no value), over all runs or per ``by``.  Texts that mean a value but cannot
+    be read are left out of the means and counted (``bad_durations``, ``bad_records``)."""
+    read = runs.withColumn("_lf_d", duration_seconds("duration")).withColumn("_lf_r", count_number("records"))
+    status = F.col("status")
+    return read.groupBy(*by).agg(
         F.count(F.lit(1)).alias("runs"),
-        (F.lit(100.0) * count_if(F.col("status").contains("SUCCESS")) / F.count(F.lit(1)))
-        .alias("success_pct"),
-        F.avg(d).alias("mean_duration_sec"),
-        F.avg(r).alias("mean_records"),
-        count_if(F.col("status").contains("FAILED")).alias("failed"))
-
-
-def stage_totals(stages: DataFrame) -> DataFrame:
-    """Total stage seconds, records and tasks (plus the slowest stage)."""
-    d = dur_seconds(F.col("duration"))
-    return stages.agg(
-        F.sum(d).cast("bigint").alias("total_sec"),
-        F.sum(parse_count(F.col("records"))).cast("bigint").alias("total_records"),
+        (F.lit(100.0) * count_if(status.contains("SUCCESS")) / F.count(F.lit(1))).alias("success_pct"),
+        F.avg("_lf_d").alias("mean_duration_sec"),
+        F.avg("_lf_r").alias("mean_records"),
+        count_if(status.contains("FAILED")).alias("failed"),
+        count_if(malformed("duration", F.col("_lf_d"))).alias("bad_durations"),
+        count_if(malformed("records", F.col("_lf_r"))).alias("bad_records"))
+
+
+def stage_totals(stages: DataFrame, *by: str) -> DataFrame:
+    """Total stage seconds, records and tasks, and the slowest stage (of equally slow ones
+    the last by name), over all stages or per ``by``."""
+    read = stages.withColumn("_lf_d", duration_seconds("duration")).withColumn("_lf_r", count_number("records"))
+    return read.groupBy(*by).agg(
+        F.sum("_lf_d").cast("bigint").alias("total_sec"),
+        F.sum("_lf_r").cast("bigint").alias("total_records"),
         F.sum("tasks").cast("bigint").alias("total_tasks"),
-        F.max_by("job_name", d).alias("slowest_stage"))
+        F.max(F.struct("_lf_d", "job_name"))["job_name"].alias("slowest_stage"))
 
 
 def resource_summary(series: DataFrame, metrics=("cpu", "mem", "net")) -> DataFrame:
@@ -167,3 +171,54 @@ def event_log_records(m: Model) -> DataFrame:
 def event_log_tail(m: Model) -> DataFrame:
     """K6: the last 300 lines of that log."""
     return log_tail(m.spark, write_event_log(m), 300).select("text")
+
+
+# ---- registered queries over ``orders`` and ``lineitem`` --------------------------------
+
+def count_text(n, style) -> "F.Column":
+    """A count as a report prints it: ``5.4K``, ``4,280,000`` or bare, by ``style`` 0, 1, 2."""
+    return F.when(style == 0, F.concat(F.format_string("%d.%d", F.floor(n / 10), n % 10), F.lit("K"))) \
+        .when(style == 1, fmt_thousands(n)).otherwise(n.cast("string"))
+
+
+def duration_text(seconds, style) -> "F.Column":
+    """Seconds as ``6m 32s``, ``6:32`` or ``1h 46m 32s``, by ``style`` 0, 1, 2."""
+    return F.when(style == 0, F.format_string("%dm %ds", F.floor(seconds / 60), seconds % 60)) \
+        .when(style == 1, F.format_string("%d:%02d", F.floor(seconds / 60), seconds % 60)) \
+        .otherwise(F.format_string("%dh %dm %ds", F.floor(seconds / 3600), F.floor(seconds % 3600 / 60), seconds % 60))
+
+
+def order_runs(m: Model) -> DataFrame:
+    """Orders as a run history: an order is a run, its price in whole units the seconds it took,
+    its customer's key the records; every seventh run reports a dash, every eleventh a text
+    that cannot be read."""
+    key = F.col("o_orderkey")
+    seconds, records = F.floor("o_totalprice").cast("bigint"), F.col("o_custkey").cast("bigint")
+
+    def told(text):
+        return F.when(key % 7 == 0, F.lit("—")).when(key % 11 == 0, F.concat(text, F.lit(" (est.)"))).otherwise(text)
+
+    return m.table("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate").select(
+        key.alias("run_id"), F.col("o_orderdate").cast("timestamp").alias("triggered"),
+        told(duration_text(seconds, key % 3)).alias("duration"), told(count_text(records, key % 3)).alias("records"),
+        F.when(F.col("o_orderstatus") == "F", "FAILED").otherwise("SUCCESS").alias("status"))
+
+
+def order_run_history(m: Model) -> DataFrame:
+    """The run history per month, with the clock time of its earliest start in a day."""
+    runs = order_runs(m).withColumn("month", F.date_format("triggered", "yyyy-MM"))
+    clock = runs.groupBy("month").agg(F.min(fmt_time("triggered")).alias("earliest"))
+    return run_history_summary(runs, "month").join(clock, "month")
+
+
+def order_stage_totals(m: Model) -> DataFrame:
+    """Shipping as stages per ship month: a line item is a stage named by its flags,
+    its quantity the tasks, its price in whole units the seconds, its part's key the records."""
+    seconds, records = F.floor("l_extendedprice").cast("bigint"), F.col("l_partkey").cast("bigint")
+    style = F.col("l_linenumber") % 3
+    stages = m.table("lineitem", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag",
+                     "l_linestatus", "l_shipdate").select(
+        F.date_format("l_shipdate", "yyyy-MM").alias("month"), F.concat_ws("/", "l_returnflag", "l_linestatus").alias("job_name"),
+        duration_text(seconds, style).alias("duration"), count_text(records, style).alias("records"),
+        F.col("l_quantity").cast("int").alias("tasks"))
+    return stage_totals(stages, "month")

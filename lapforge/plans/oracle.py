@@ -589,3 +589,28 @@ FROM (SELECT DISTINCT season, driver_id, constructor_id FROM results)""")
 
 SQL_CATALOG_RESULTS = out("season:i rows:i points:i", with_(FACTS) + """
 SELECT season, count(*) AS rows, SUM(points) AS points FROM facts GROUP BY season""")
+
+# ---- run history and stage totals (the numbers behind the texts) ----------------------
+# Style 0 prints a count n as n / 10 with one place and a K, so it reads back as 100 n.
+SQL_RUN_HISTORY = out(
+    "month:s runs:i success_pct:d mean_duration_sec:d mean_records:d failed:i bad_durations:i bad_records:i earliest:s", """
+WITH r AS (
+  SELECT strftime(o_orderdate, '%Y-%m') AS month, o_orderstatus = 'F' AS failed, strftime(o_orderdate, '%H:%M:%S.%g') AS clock,
+         o_orderkey % 7 = 0 AS dash, o_orderkey % 7 <> 0 AND o_orderkey % 11 = 0 AS bad, floor(o_totalprice) AS sec,
+         CASE WHEN o_orderkey % 3 = 0 THEN 100 * o_custkey ELSE o_custkey END AS records
+  FROM orders)
+SELECT month, count(*) AS runs, 100.0 * count_if(NOT failed) / count(*) AS success_pct,
+       avg(sec) FILTER (WHERE NOT dash AND NOT bad) AS mean_duration_sec,
+       avg(records) FILTER (WHERE NOT dash AND NOT bad) AS mean_records,
+       count_if(failed) AS failed, count_if(bad) AS bad_durations, count_if(bad) AS bad_records, min(clock) AS earliest
+FROM r GROUP BY month""")
+
+SQL_STAGE_TOTALS = out("month:s total_sec:i total_records:i total_tasks:i slowest_stage:s", """
+WITH s AS (
+  SELECT strftime(l_shipdate, '%Y-%m') AS month, l_returnflag || '/' || l_linestatus AS job, floor(l_extendedprice) AS sec,
+         CASE WHEN l_linenumber % 3 = 0 THEN 100 * l_partkey ELSE l_partkey END AS records, trunc(l_quantity) AS tasks
+  FROM lineitem),
+t AS (SELECT month, SUM(sec) AS total_sec, SUM(records) AS total_records, SUM(tasks) AS total_tasks, max(sec) AS most
+      FROM s GROUP BY month)
+SELECT t.month, total_sec, total_records, total_tasks,
+       (SELECT max(job) FROM s WHERE s.month = t.month AND s.sec = t.most) AS slowest_stage FROM t""")

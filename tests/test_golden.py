@@ -121,10 +121,16 @@ def test_exact_quantiles_linear(spark):
 
 
 def test_text_parsers(spark):
-    df = spark.createDataFrame([("6m 32s", "5.4M"), ("0:42", "150K"), ("—", "—"),
-                                ("1:18", "4,280,000")], "d string, c string")
-    got = [tuple(r) for r in df.select(LF.dur_seconds("d"), LF.parse_count("c")).collect()]
-    assert got == [(392, 5_400_000), (42, 150_000), (None, None), (78, 4_280_000)]
+    from lapforge.functions.units import count_number, duration_seconds, malformed
+    d = {"6m 32s": 392, "0:42": 42, "1:18": 78, "1h 2m 3s": 3723, "1:02:03": 3723, " 10M5s ": 605, "1.5m": 90,
+         "—": None, "": None, None: None, "6m 32": "bad", "x6m": "bad", "1:75": "bad", "m": "bad", "6m (est.)": "bad"}
+    c = {"5.4M": 5_400_000, "150K": 150_000, "4,280,000": 4_280_000, "12": 12, "1,234.6": 1235, "2 k": 2000,
+         "-": None, None: None, "5 4": "bad", "1,23": "bad", "5.4Q": "bad", "9" * 30: "bad", "-5": "bad"}
+    for cases, parse in ((d, duration_seconds), (c, count_number)):
+        df = spark.createDataFrame([(t,) for t in cases], "t string")
+        value = parse("t")
+        got = {r.t: "bad" if r.bad else r.v for r in df.select("t", value.alias("v"), malformed("t", value).alias("bad")).collect()}
+        assert got == cases
 
 
 def test_time_and_number_formats(spark):
