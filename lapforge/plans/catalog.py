@@ -67,6 +67,7 @@ _REG = [
     ("lap_kpis", L.lap_kpis, O.SQL_LAP_KPIS),
     ("lap_progression", L.lap_progression, O.SQL_LAP_PROGRESSION),
     ("lap_distribution", L.lap_distribution, O.SQL_LAP_DISTRIBUTION),
+    ("lap_sketches", L.lap_sketches, O.SQL_LAP_SKETCHES),
     ("lap_histogram", L.lap_histogram, O.SQL_LAP_HISTOGRAM),
     ("sector_means", L.sector_means, O.SQL_SECTOR_MEANS),
     ("consistency", L.consistency, O.SQL_CONSISTENCY),

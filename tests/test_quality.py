@@ -61,3 +61,14 @@ def test_schema_check(spark):
     assert rows["season"].bad_values == 1 and rows["season"].type_ok is False
     assert rows["status"].too_long == 1 and rows["status"].type_ok is True
     assert rows["missing"].present is False
+
+
+def test_foreign_keys_in_one_scan(spark):
+    from lapforge.operators.quality import foreign_keys
+    teams = spark.createDataFrame([(1,), (2,), (2,)], "constructor_id int")
+    drivers = spark.createDataFrame([(10,), (12,), (None,)], "driver_id int")
+    checks = [("constructor_id", teams, "constructor_id", "team"), ("driver_id", drivers, "driver_id", "driver")]
+    r = {row.check: (row.violations, row.total) for row in foreign_keys(_facts(spark), checks).collect()}
+    assert r == {"team": (1, 7), "driver": (5, 7)}  # 11, NULL, 13 twice, 14
+    none = {row.check: (row.violations, row.total) for row in foreign_keys(_facts(spark).limit(0), checks).collect()}
+    assert none == {"team": (0, 0), "driver": (0, 0)}
