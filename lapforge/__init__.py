@@ -1,7 +1,7 @@
 """lapforge: season-based competition results analytics on Spark.
 
 Sub-packages:
-  sources    readers (parquet tables, raw CSV, text logs) and generators
+  sources    readers (parquet tables, raw CSV, text logs)
   functions  Column -> Column helpers (points table, half-even rounding, parsers)
   operators  DataFrame -> DataFrame building blocks (ordering, aggregates, joins,
              cleaning, quality checks)

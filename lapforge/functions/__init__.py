@@ -13,10 +13,6 @@ from pyspark.sql import functions as F
 # positions 1..10; every other position scores 0.
 POINTS_BY_POSITION = [25, 18, 15, 12, 10, 8, 6, 4, 2, 1]
 
-# Status labels and their draw weights used by the generator.
-STATUS_LABELS = ["Finished", "DNF", "+1 Lap"]
-STATUS_WEIGHTS = [0.88, 0.07, 0.05]
-
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -97,41 +93,3 @@ def fmt_time(c) -> Column:
 def to_ms(seconds) -> Column:
     """Seconds to whole milliseconds, half-to-even."""
     return F.bround(_c(seconds) * F.lit(1000.0), 0).cast("bigint")
-
-
-def hash_uniform(seed: int, *keys) -> Column:
-    """Deterministic uniform [0, 1) from a seed and key columns.
-
-    Depends only on the row's keys, so a generated table is the same under any
-    partitioning (``rand(seed)`` is not).
-    """
-    h = F.xxhash64(F.lit(seed), *[_c(k) for k in keys])
-    return (F.abs(h % F.lit(1 << 52)).cast("double")) / F.lit(float(1 << 52))
-
-
-def gaussian(seed: int, *keys, mean: float = 0.0, sd: float = 1.0) -> Column:
-    """Normal draw by Box-Muller over two hash uniforms."""
-    u1 = F.greatest(hash_uniform(seed, F.lit("u1"), *keys), F.lit(1e-12))
-    u2 = hash_uniform(seed, F.lit("u2"), *keys)
-    z = F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(6.283185307179586) * u2)
-    return F.lit(mean) + F.lit(sd) * z
-
-
-def uniform_int(seed: int, lo: int, hi: int, *keys) -> Column:
-    """Integer uniform in [lo, hi] inclusive."""
-    u = hash_uniform(seed, *keys)
-    return (F.lit(lo) + F.floor(u * F.lit(hi - lo + 1))).cast("int")
-
-
-def weighted_choice(seed: int, labels, weights, *keys) -> Column:
-    """Pick a label by cumulative weight."""
-    u = hash_uniform(seed, *keys)
-    total = float(sum(weights))
-    expr = None
-    acc = 0.0
-    for label, w in zip(labels[:-1], weights[:-1]):
-        acc += w / total
-        expr = (F.when(u < F.lit(acc), F.lit(label)) if expr is None
-                else expr.when(u < F.lit(acc), F.lit(label)))
-    last = F.lit(labels[-1])
-    return last if expr is None else expr.otherwise(last)

@@ -29,8 +29,9 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None
     """P13 / Q27, deterministic: per key the first row under ``order`` (default:
     all other columns ascending).
 
-    ``min(struct(order..., rest...))`` is a partial aggregate: a key holding a
-    third of the rows costs one buffer row per map task, never one task's sort.
+    ``min(struct(order..., rest...))`` is a partial aggregate, so one row per key leaves
+    each map task, whatever the key's size.  A struct with texts in it is no hash buffer:
+    each map task sorts its own rows by key first (a sort aggregate, which spills).
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]

@@ -1,20 +1,28 @@
 """Run log, run history, stage list, resource series and app log analytics."""
+from pyspark.sql import functions as F
+
 from lapforge.plans import ops
 from lapforge.sources import files
 
 
+def _run_log(spark):
+    rows = [("2024-01-15 08:00:01", "a.csv", "raw", 100, "SUCCESS"), ("2024-01-15 08:00:03", "b.csv", "raw", 20, "SUCCESS"),
+            ("2024-01-15 08:00:38", "fact", "warehouse", 110, "FAILED"), ("2024-01-16 08:00:00", "c.csv", "raw", 3, "SUCCESS")]
+    return spark.createDataFrame(rows, "t string, table string, layer string, rows bigint, status string") \
+        .withColumn("ts", F.col("t").cast("timestamp"))
+
+
 def test_layer_summary_raw_total(spark):
-    rows = {r.layer: r for r in ops.layer_summary(files.run_log(spark)).collect()}
-    assert rows["raw"].rows == 5_349_560 and rows["raw"].tables == 8
-    assert rows["mart"].raw_rows_loaded == 5_349_560
-    assert sum(r.failures for r in rows.values()) == 0
+    rows = {r.layer: r for r in ops.layer_summary(_run_log(spark)).collect()}
+    assert (rows["raw"].rows, rows["raw"].tables, rows["raw"].failures) == (123, 3, 0)
+    assert rows["warehouse"].raw_rows_loaded == 123 and rows["warehouse"].failures == 1
 
 
 def test_step_gaps(spark):
-    g = ops.step_gaps(files.run_log(spark)).orderBy("ts").collect()
-    assert g[0].gap_sec is None and g[1].gap_sec == 2 and g[8].gap_sec == 35
-    m = ops.mean_load_time(files.run_log(spark)).first()
-    assert m.mean_gap_sec == (6 * 60 + 29) / 14
+    g = ops.step_gaps(_run_log(spark)).orderBy("ts").collect()
+    assert [r.gap_sec for r in g] == [None, 2, 35, None] and g[2].prev_table == "b.csv"  # a day is a run
+    m = ops.mean_load_time(_run_log(spark)).first()
+    assert m.mean_gap_sec == 18.5 and m.mean_raw_gap_sec == 2
 
 
 def test_run_history(spark):
