@@ -34,6 +34,14 @@ from lapforge.sinks.versions import store_of
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 ON_TIME, LATE, BEHIND = "on_time", "late", "behind"
 MARKS = "_marks"  # hidden from readers of the folder: one row per batch
+STATE_BYTES = 64 << 20  # input bytes per state partition; each is a RocksDB of several MB of its own
+LEAST_PARTITIONS = 8
+
+
+def state_partitions(spark: SparkSession, in_dir: str) -> int:
+    """Partitions of the state for the files that are there; the checkpoint keeps the first number."""
+    folder, store = store_of(spark, in_dir)
+    return max(LEAST_PARTITIONS, -(-store.getContentSummary(folder).getLength() // STATE_BYTES))
 
 
 def read_landed(spark: SparkSession, out_dir: str, schema: T.StructType) -> DataFrame:
@@ -47,13 +55,18 @@ def read_landed(spark: SparkSession, out_dir: str, schema: T.StructType) -> Data
 
 def land_keyed(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, schema: T.StructType,
                key: Sequence[str], time: str, delay: str = "1 day", files_per_trigger: int = 256,
-               deltas: tuple[Callable[[DataFrame], DataFrame], str] | None = None) -> None:
+               deltas: tuple[Callable[[DataFrame], DataFrame], str] | None = None,
+               partitions: int | None = None) -> None:
     """Land all files that are there once per (key, time), from where the last call stopped.
 
+    ``partitions`` of the state are set by the first call for good; give a number where the
+    first files are few and many more will come (default: by their bytes).
     ``deltas``: (aggregate of the landed rows of a batch, folder); its rows are written per
     batch for ``read_deltas``.  ``schema`` has no column ``batch``, ``lane`` or ``day``."""
     session = configure(spark.newSession())
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    session.conf.set("spark.sql.shuffle.partitions", str(partitions or state_partitions(spark, in_dir)))
     keys = list(dict.fromkeys([*key, time]))
 
     def last_mark(s: SparkSession, batch_id: int):
