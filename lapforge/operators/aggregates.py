@@ -68,27 +68,25 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     """Exact quantiles with linear interpolation (``quantile_cont``) per group.
 
     Positions come from a distributed row number; for each probability the two
-    neighbouring order statistics are looked up by group and position.
+    neighbouring order statistics are picked with a conditional aggregate.
     NULL values are ignored.
     """
     keys = list(keys)
     v = df.filter(F.col(value).isNotNull()).select(*keys, value)
     seq = sequence_number(v, keys, [F.col(value)], name="_lf_i")  # 1-based
     counts = seq.groupBy(*keys).agg(F.count(F.lit(1)).alias("_lf_n"))
-    h = [(F.col("_lf_n") - 1) * F.lit(float(p)) for p in probs]  # 0-based fractional positions
-    ends = [F.struct((rank(x) + 1).alias("_lf_i"), F.lit(k).alias("_lf_p"), F.lit(side).alias("_lf_s"),
-                     (x - F.floor(x)).alias("_lf_f"))
-            for k, x in enumerate(h) for side, rank in ((0, F.floor), (1, F.ceil))]
-    wanted = counts.select(*keys, F.explode(F.array(*ends)).alias("_lf_w")).select(*keys, "_lf_w.*")
-    # a few wanted positions per group meet the rows: only these rows go on
-    found = join_null_safe(seq, wanted, [*keys, "_lf_i"])
-
-    def at(k: int, side: int):
-        return F.max(F.when((F.col("_lf_p") == k) & (F.col("_lf_s") == side), F.col(value)))
-
-    return found.groupBy(*keys).agg(*(
-        (at(k, 0) + (at(k, 1) - at(k, 0)) * F.max(F.when(F.col("_lf_p") == k, F.col("_lf_f")))).alias(nm)
-        for k, nm in enumerate(names)))
+    s = join_null_safe(seq, counts, keys)
+    aggs = []
+    for p, nm in zip(probs, names):
+        h = (F.col("_lf_n") - 1) * F.lit(float(p))  # 0-based fractional position
+        lo = F.floor(h) + 1
+        hi = F.ceil(h) + 1
+        frac = h - F.floor(h)
+        lo_v = F.max(F.when(F.col("_lf_i") == lo, F.col(value)))
+        hi_v = F.max(F.when(F.col("_lf_i") == hi, F.col(value)))
+        fr = F.max(frac)
+        aggs.append((lo_v + (hi_v - lo_v) * fr).alias(nm))
+    return s.groupBy(*keys).agg(*aggs)
 
 
 def distribution(df: DataFrame, keys: Sequence[str], value: str,

@@ -88,16 +88,15 @@ def foreign_keys(df: DataFrame, keys: Sequence[tuple[str, DataFrame, str, str]])
     """Per (column, dimension, its key, name) the fact rows whose key is missing from the
     dimension (NULL keys included), one row per name.
 
-    One scan of the fact answers all of them: rows are counted per combination of keys
-    (partial sums in the map tasks), then the combinations meet each dimension's distinct keys;
-    the planner broadcasts these when their measured size is under the threshold."""
-    per = df.groupBy(*dict.fromkeys(c for c, *_ in keys)).agg(F.count(F.lit(1)).alias("_lf_n"))
+    One scan of the fact answers all of them: its keys meet the distinct keys of each
+    dimension, which the planner broadcasts when their measured size is under the threshold
+    (else sort-merge, where AQE splits a hot key), and one aggregate counts the misses."""
+    hits = df.select(*dict.fromkeys(c for c, *_ in keys))
     for i, (col, dim, key, _) in enumerate(keys):
         known = dim.select(F.col(key).alias(f"_lf_k{i}")).distinct().withColumn(f"_lf_h{i}", F.lit(True))
-        per = per.join(known, F.col(col) == F.col(f"_lf_k{i}"), "left").drop(f"_lf_k{i}")
-    missing = [F.coalesce(F.sum(F.when(F.col(f"_lf_h{i}").isNull(), F.col("_lf_n"))), F.lit(0)).alias(f"_lf_v{i}")
-               for i in range(len(keys))]
-    wide = per.agg(F.coalesce(F.sum("_lf_n"), F.lit(0)).alias("total"), *missing)
+        hits = hits.join(known, F.col(col) == F.col(f"_lf_k{i}"), "left").drop(f"_lf_k{i}")
+    wide = hits.agg(F.count(F.lit(1)).alias("total"),
+                    *(F.count_if(F.col(f"_lf_h{i}").isNull()).alias(f"_lf_v{i}") for i in range(len(keys))))
     rows = F.explode(F.array(*[F.struct(F.lit(name).alias("check"), F.col(f"_lf_v{i}").alias("violations"))
                                for i, (*_, name) in enumerate(keys)]))
     return _finish(wide.select("total", rows.alias("_lf_r")).select("_lf_r.check", "_lf_r.violations", "total"))
