@@ -24,6 +24,11 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 CLUSTER_INITIAL_SHUFFLE_PARTITIONS = 16384
 ADVISORY_PARTITION_BYTES = 256 * 1024 * 1024
 
+# A range sort sends a sample of its keys to the driver: three times the wanted points,
+# which are a number per output partition.  This bounds them for all partitions together.
+RANGE_SAMPLE_POINTS = 32768
+RANGE_POINTS_PER_PARTITION = (2, 100)  # fewest; most, which is Spark's own default
+
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "lapforge") -> SparkSession:
@@ -65,14 +70,28 @@ def configure(spark: SparkSession) -> SparkSession:
     conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(BROADCAST_BYTES))
     conf.set("spark.sql.parquet.filterPushdown", "true")
     if spark.sparkContext.master.split("[")[0] != "local":
-        _set_if_unset(spark, "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
-                      str(CLUSTER_INITIAL_SHUFFLE_PARTITIONS))
-        _set_if_unset(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes",
-                      str(ADVISORY_PARTITION_BYTES))
+        cluster_defaults(spark)
+    _set_if_unset(spark, "spark.sql.execution.rangeExchange.sampleSizePerPartition", str(range_points(spark)))
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def cluster_defaults(spark: SparkSession) -> None:
+    """Sizes of shuffle and scan tasks, where the session leaves them unset."""
+    _set_if_unset(spark, "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                  str(CLUSTER_INITIAL_SHUFFLE_PARTITIONS))
+    _set_if_unset(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+                  str(ADVISORY_PARTITION_BYTES))
+
+
+def range_points(spark: SparkSession) -> int:
+    """Sample points per output partition of a range sort."""
+    parts = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) \
+        or spark.conf.get("spark.sql.shuffle.partitions")
+    least, most = RANGE_POINTS_PER_PARTITION
+    return max(least, min(most, RANGE_SAMPLE_POINTS // int(parts)))
+
+
 def _set_if_unset(spark: SparkSession, key: str, value: str) -> None:
     if spark.conf.get(key, None) in (None, ""):
         spark.conf.set(key, value)

@@ -1,5 +1,5 @@
 """The shared folder comes from the session; it is set only where unset."""
-from lapforge.session import configure, ensure_checkpoint_dir, scratch_path
+from lapforge.session import cluster_defaults, configure, ensure_checkpoint_dir, scratch_path
 
 
 def test_existing_checkpoint_dir_is_kept(spark):
@@ -22,3 +22,16 @@ def test_local_session_keeps_shuffle_defaults(spark):
                           None) in (None, "")
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_a_range_sort_sends_a_bounded_sample_of_its_keys(spark):
+    s = spark.newSession()
+    cluster_defaults(s)
+    configure(s)
+    parts = int(s.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum"))
+    points = int(s.conf.get("spark.sql.execution.rangeExchange.sampleSizePerPartition"))
+    assert 3 * parts * points <= 100_000  # Spark samples three times the points
+    few = spark.newSession()
+    few.conf.set("spark.sql.shuffle.partitions", "8")
+    configure(few)
+    assert few.conf.get("spark.sql.execution.rangeExchange.sampleSizePerPartition") == "100"
