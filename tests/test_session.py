@@ -35,3 +35,14 @@ def test_a_range_sort_sends_a_bounded_sample_of_its_keys(spark):
     few.conf.set("spark.sql.shuffle.partitions", "8")
     configure(few)
     assert few.conf.get("spark.sql.execution.rangeExchange.sampleSizePerPartition") == "100"
+
+
+def test_the_size_of_a_scan_counts_compression(spark, tmp_dir):
+    spark.range(10_000).write.parquet(f"{tmp_dir}/t")
+    plain, ours = spark.newSession(), spark.newSession()
+    configure(ours)
+
+    def size(s):
+        return int(s.read.parquet(f"{tmp_dir}/t")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+
+    assert size(ours) == 4 * size(plain)
