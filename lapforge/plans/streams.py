@@ -28,7 +28,7 @@ def _landed(m: Model) -> tuple[str, str]:
     base = scratch_path(spark, "stream")
     in_dir, out_dir = f"{base}/incoming", f"{base}/raw"
     _stage_arrivals(m, in_dir)
-    land_stream(spark, in_dir, out_dir, f"{base}/_ckpt_land", files_per_trigger=16)
+    land_stream(spark, in_dir, out_dir, f"{base}/_ckpt_land", files_per_trigger=128)
     return base, out_dir
 
 
@@ -42,7 +42,7 @@ def refresh_mart_stream_query(m: Model) -> DataFrame:
     """ST2: the standings mart after refreshing from every landed micro-batch."""
     base, out_dir = _landed(m)
     mart = f"{base}/mart"
-    refresh_mart_stream(m.spark, out_dir, mart, f"{base}/_ckpt_mart")
+    refresh_mart_stream(m.spark, out_dir, mart, f"{base}/_ckpt_mart", files_per_trigger=1024)
     return read_evolved(m.spark, mart).select("season", "driver_id", "points", "races", "wins")
 
 

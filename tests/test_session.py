@@ -46,3 +46,14 @@ def test_the_size_of_a_scan_counts_compression(spark, tmp_dir):
         return int(s.read.parquet(f"{tmp_dir}/t")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
 
     assert size(ours) == 4 * size(plain)
+
+
+def test_tasks_that_sort_what_they_read_read_little(spark):
+    s = spark.newSession()
+    cluster_defaults(s)
+    assert int(s.conf.get("spark.sql.files.maxPartitionBytes")) <= 16 << 20
+    assert int(s.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")) <= 64 << 20
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", "32m")
+    cluster_defaults(own)
+    assert own.conf.get("spark.sql.files.maxPartitionBytes") == "32m"
