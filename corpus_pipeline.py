@@ -28,18 +28,20 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from lapforge.llm import decontamination, language, line_dedup, ngram_join, packing  # noqa: E402
-from lapforge.llm.common import read_table, written  # noqa: E402
+from lapforge.llm.common import read_table, small_batches, written  # noqa: E402
 
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stage 1 (operator 9)."""
+    small_batches(spark)
     return language.with_language(docs, language.samples(docs))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stage 2 (operator 2)."""
+    small_batches(spark)
     out = line_dedup.dedup_lines(docs)
     left = F.length(F.trim(F.regexp_replace("text", r"\s+", " ")))
     return out.where((F.col("lines_removed") == 0) | (left > 0)).select(
@@ -49,11 +51,13 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stage 3 (operator 3)."""
+    small_batches(spark)
     return ngram_join.keep_one(docs, NEAR_WORDS, NEAR_PERCENT)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stage 4 (operator 7)."""
+    small_batches(spark)
     return decontamination.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
 
 
@@ -61,6 +65,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stage 5 (operator 1)."""
     import public_tokenizers
 
+    small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

@@ -18,6 +18,8 @@ from lapforge.session import scratch_path
 
 FILTER_BITS = 1 << 26
 FILTER_HASHES = 4
+ARROW_ROWS = 1000
+ARROW_BYTES = 4 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +27,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows go to Python in small Arrow batches, unless the session says how many.
+
+    A batch is held several times over: by the JVM outside its heap, in buffers that double
+    as they grow, and by the Python worker; with Spark's 10,000 texts this adds up.
+    """
+    for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS),
+                       ("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)):
+        if spark.conf.get(key, None) in (None, ""):
+            spark.conf.set(key, str(value))
+
+
 Write = Callable[[DataFrame, str], DataFrame]
 
 

@@ -6,7 +6,7 @@ import string
 import pytest
 
 from lapforge.llm import decontamination, language, line_dedup, ngram_join, secrets, warc
-from lapforge.llm.common import maybe_in, without
+from lapforge.llm.common import maybe_in, small_batches, without
 
 ITEM = "A train leaves the station at 9 and Anna rides 40 km with Bob until 9 in the evening of that day"
 PAIR = "did long, tk long"
@@ -156,3 +156,24 @@ def test_pipeline_of_odd_documents(spark, tmp_dir):
     ids = {r.doc_id for r in cp.run(spark, f"{tmp_dir}/full").collect()}
     assert ids == {1, None, 4}
     assert cp.run(spark, f"{tmp_dir}/empty").count() == 0
+
+
+def test_pipeline_stages_send_small_batches_to_python(spark):
+    import corpus_pipeline
+
+    docs = [(i, "word " * 50) for i in range(3000)]
+    for name, stage in corpus_pipeline.STAGES[:1] + corpus_pipeline.STAGES[-1:]:
+        s = spark.newSession()
+        stage(s, s.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "'en' lang"), "")
+
+        def sizes(batches):
+            import pyarrow as pa
+            for b in batches:
+                yield pa.RecordBatch.from_pydict({"n": pa.array([b.num_rows], pa.int64())})
+
+        most = s.range(3000).coalesce(1).mapInArrow(sizes, "n long").toPandas()["n"].max()
+        assert most <= 1000, name
+    own = spark.newSession()
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    small_batches(own)
+    assert own.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "50"

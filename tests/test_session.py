@@ -43,7 +43,7 @@ def test_the_size_of_a_scan_counts_compression(spark, tmp_dir):
     configure(ours)
 
     def size(s):
-        return int(s.read.parquet(f"{tmp_dir}/t")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(s.read.parquet(f"{tmp_dir}/t")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
     assert size(ours) == 4 * size(plain)
 
