@@ -7,12 +7,12 @@ import gc
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
 
 from lapforge.session import scratch_path
 
@@ -119,28 +119,31 @@ def maybe_in(keys: DataFrame) -> Callable[..., Column]:
     """A test of two-column keys against ``keys`` (two long columns): false means surely not in it.
 
     A Bloom filter of about ten bits a key, at most ``FILTER_BITS``, goes to the tasks.  More
-    keys than it is made for pass more rows, but never miss one.
+    keys than it is made for pass more rows, but never miss one.  All bits of a key lie in one
+    word, so a row looks up one number, without Python in the tasks.
     """
-    bits = min(FILTER_BITS, max(1 << 16, 1 << (10 * keys.count()).bit_length()))
+    size = min(FILTER_BITS, max(1 << 16, 1 << (10 * keys.count()).bit_length())) >> 6
 
-    def places(a: Column, b: Column) -> list[Column]:
-        return [F.pmod(F.xxhash64(F.lit(i), a, b), F.lit(bits)) for i in range(FILTER_HASHES)]
+    def word(a: Column, b: Column) -> Column:
+        return F.pmod(F.xxhash64(F.lit(0), a, b), F.lit(size)).cast("int")
 
-    spots = keys.select(F.explode(F.array(*places(*(F.col(c) for c in keys.columns)))).alias("place"))
-    set_bits = spots.groupBy(F.shiftright("place", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("value")).toArrow()  # FILTER_BITS / 64 rows
-    words = np.zeros(bits >> 6, np.int64)
+    def mask(a: Column, b: Column) -> Column:
+        bits = (F.shiftright(F.xxhash64(F.lit(1), a, b), 6 * i).bitwiseAND(F.lit(63)).cast("int")
+                for i in range(FILTER_HASHES))
+        return reduce(Column.bitwiseOR, (F.call_function("shiftleft", F.lit(1).cast("long"), i) for i in bits))
+
+    pair = [keys[c] for c in keys.columns]
+    set_bits = keys.groupBy(word(*pair).alias("word")).agg(F.bit_or(mask(*pair)).alias("value")) \
+        .toArrow()  # FILTER_BITS / 64 rows
+    words = np.zeros(size, np.int64)
     words[set_bits["word"].to_numpy()] = set_bits["value"].to_numpy()
+    table = pa.table({"words": pa.ListArray.from_arrays(pa.array([0, size], pa.int32()), pa.array(words))})
+    held = keys.sparkSession.createDataFrame(table).scalar()
 
-    @F.arrow_udf(BooleanType())
-    def held(*columns: pa.Array) -> pa.Array:
-        out = np.ones(len(columns[0]), bool)
-        for c in columns:
-            at = c.to_numpy(zero_copy_only=False)
-            out &= (words[at >> 6] >> (at & 63) & 1).astype(bool)
-        return pa.array(out)
+    def test(a: Column, b: Column) -> Column:
+        return F.get(held, word(a, b)).bitwiseAND(mask(a, b)) == mask(a, b)
 
-    return lambda a, b: held(*places(a, b))
+    return test
 
 
 def without(docs: DataFrame, keys: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 import random
 import re
 import string
+import tempfile
 
 import pytest
 
@@ -177,3 +178,18 @@ def test_pipeline_stages_send_small_batches_to_python(spark):
     own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
     small_batches(own)
     assert own.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "50"
+
+
+def test_documents_are_removed_without_python(spark):
+    """The benchmark stage is to be DataFrame functions only, and returns no fewer rows for it."""
+    import corpus_pipeline
+
+    path = tempfile.mkdtemp(prefix="lapforge-test-")
+    bench(spark).write.parquet(f"{path}/benchmark.parquet")
+    rows = [(i, f"plain text number {i}") for i in range(500)] + [(500, ITEM), (501, f"x {ITEM}"), (502, None), (None, "")]
+    docs = spark.createDataFrame(rows * 2, "doc_id long, text string")
+    left = dict(corpus_pipeline.STAGES)["benchmark"](spark, docs, path)
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
+    want = [(i, t) for i, t in rows * 2 if i not in (500, 501)]
+    assert sorted(map(tuple, left.collect()), key=str) == sorted(want, key=str)
