@@ -13,8 +13,8 @@ def components(edges: DataFrame, write: Write = written) -> DataFrame:
 
     ``edges`` holds long columns ``a`` and ``b``.  Every round is two aggregations
     (with map-side minima, so a hub is no hot group) and two joins; rounds stop when
-    the edge set no longer changes, after about log n of them.  Each round is a
-    table that ``write`` makes.
+    the edge set no longer changes, after about log n of them.  Each round is two
+    tables that ``write`` makes.
     """
     now = write(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                 .distinct(), "edges")
@@ -27,8 +27,8 @@ def components(edges: DataFrame, write: Write = written) -> DataFrame:
         before = state
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")) \
-            .distinct()
+        large = write(both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+                      .distinct(), "large-stars")  # read three times below
         root = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(root, "a")
         now = write(small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))

@@ -113,7 +113,7 @@ def deleted_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """did, tk, gone: the places (among non-blank lines) of the lines to delete per document."""
     with workspace(docs.sparkSession, "line-dedup") as write:
         lines = write(lines_of(docs, min_words), "lines")
-        found, longest, windows = None, None, None
+        found, longest, windows = None, None, None  # every round is a plan of its own, or the driver holds all in one
         for k, level in suffix_ranks(lines, write):
             if windows is None:
                 windows = level.select(*KEY, "pos", F.explode("runs").alias("len"))
@@ -129,8 +129,8 @@ def deleted_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             place = F.struct(*KEY, "pos")
             first = named.groupBy("len", "head", "last").agg(F.min(place).alias("first"),
                                                              F.count(F.lit(1)).alias("n")).where("n > 1")
-            later = named.join(first.drop("n"), ["len", "head", "last"]).where(place != F.col("first")) \
-                .select(*KEY, "pos", "len")
+            later = write(named.join(first.drop("n"), ["len", "head", "last"]).where(place != F.col("first"))
+                          .select(*KEY, "pos", "len"), "later-runs")
             found = later if found is None else found.unionByName(later)
         if found is None:
             found = windows.select(*KEY, "pos", "len").where(F.lit(False))

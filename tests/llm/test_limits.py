@@ -6,7 +6,7 @@ import tempfile
 
 import pytest
 
-from lapforge.llm import decontamination, language, line_dedup, ngram_join, secrets, warc
+from lapforge.llm import common, decontamination, graph, language, line_dedup, ngram_join, secrets, warc
 from lapforge.llm.common import maybe_in, small_batches, without
 
 ITEM = "A train leaves the station at 9 and Anna rides 40 km with Bob until 9 in the evening of that day"
@@ -193,3 +193,23 @@ def test_documents_are_removed_without_python(spark):
     assert not re.search("Python|Arrow|Pandas", plan)
     want = [(i, t) for i, t in rows * 2 if i not in (500, 501)]
     assert sorted(map(tuple, left.collect()), key=str) == sorted(want, key=str)
+
+
+def test_no_plan_grows_with_the_rounds(spark, monkeypatch):
+    """The driver plans each round on its own; all rounds in one plan took its memory."""
+    joins, write = [], common.written
+
+    def counted(df, *args):
+        joins.append(len(re.findall(r"Join \w+", df._jdf.queryExecution().optimizedPlan().toString())))
+        return write(df, *args)
+
+    for module in (common, line_dedup):
+        monkeypatch.setattr(module, "written", counted)
+    passage = "\n".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, passage), (2, f"{passage}\nx"), (3, "y")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.text, r.lines_removed) for r in line_dedup.dedup_lines(docs, 40).collect())
+    assert got == [(1, passage, 0), (2, "x", 60), (3, "y", 0)]
+    edges = spark.createDataFrame([(i, i + 1) for i in range(9)] + [(20, 22), (22, 21), (5, 5)], "a long, b long")
+    label = {r.node: r.label for r in graph.components(edges, counted).collect()}
+    assert label == {**dict.fromkeys(range(10), 0), 20: 20, 21: 20, 22: 20}
+    assert max(joins) <= 6, joins
