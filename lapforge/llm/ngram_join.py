@@ -1,14 +1,13 @@
-"""N-gram Jaccard self-join with count-vector R-trees (operator 3).
+"""N-gram Jaccard self-join with rare-shingle keys and count-vector R-trees (operator 3).
 
 1. Each text becomes its set of distinct word shingles (hashed); equal sets are one
    node from here on.
-2. Shingles are hashed into groups.  Two sets of similarity 0.9 differ in so few
-   shingles that, with ``differences + spare`` groups, at least ``spare`` groups hold
-   exactly the same shingles in both.  The digest of a group's content is a key; the
-   ``spare - 1`` smallest groups of a set need none (among the groups that agree, the
-   largest is never one of them), which leaves out empty and near-empty groups.  Two
-   linked sets therefore share a key: nothing is lost, and no global order of
-   shingles is needed.
+2. All sets put their shingles in one order: those that few sets hold first, the common
+   ones last (``common_shingles``), ties by hash.  Two linked sets share so many shingles
+   that one of them stands among the first of both; the first shingles of a set are its
+   keys, one for each size class in which it may have a partner.  Nothing is lost under
+   any order; with the common shingles last, sets that share boilerplate, a licence or a
+   quotation but little else have no key in common, so keys stay small as the table grows.
 3. The nodes of a key are first compared with the key's smallest node only: a huge
    group of near copies becomes one star.
    Keys with the same nodes are one key from the start.
@@ -47,80 +46,170 @@ COORDINATES = (256, 8192)  # fewest and most, powers of two; sets of more than 8
 LEAF = 16
 BLOCK_NODES = 512
 NEAREST_ROUNDS = 1
+COUNTED = 1 << 21  # shingles that a task counts at a time
+COMMON = 1 << 19  # most common shingles that go to the tasks
+ROWS_OUT = 1 << 16
 SIGNATURE = ["n", "s1", "s2"]
 
 
-def classes(percent: int, upto: int = 1 << 40) -> list[tuple[int, int, int]]:
-    """Size classes (largest size, groups, spare): sizes grow by half from class to class.
+class Common:
+    """Shingles held by many sets, with a level that grows with their number (0: any other)."""
 
-    Linked sets of at most ``top`` shingles differ in at most
-    2 * top * (100 - percent) / (100 + percent) shingles.
+    def __init__(self, shingles: np.ndarray, levels: np.ndarray):
+        order = np.argsort(shingles)
+        self.shingles, self.levels = shingles[order], levels[order]
+
+    def level(self, h: np.ndarray) -> np.ndarray:
+        if not len(self.shingles):
+            return np.zeros(len(h), np.uint8)
+        at = np.minimum(np.searchsorted(self.shingles, h), len(self.shingles) - 1)
+        return np.where(self.shingles[at] == h, self.levels[at], 0).astype(np.uint8)
+
+
+def size_classes(upto: int = 1 << 40) -> np.ndarray:
+    """Largest size of each class; sizes grow by half from class to class."""
+    out = [1]
+    while out[-1] < upto:
+        out.append(max(out[-1] + 1, out[-1] * 3 // 2))
+    return np.array(out)
+
+
+def keys_of(h: np.ndarray, owner: np.ndarray, n: np.ndarray, common: Common, tops: np.ndarray,
+            percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(key, owner) of sets of ``n`` shingles ``h``, sorted by owner and hash.
+
+    Two linked sets meet in the size class of the larger one.  There a set of n shingles
+    needs the first n - o + 1 keys where it shares o shingles at least with any partner: in
+    its own class ``percent`` of n, in a later one, with partners of ``least`` shingles or
+    more, ``percent`` / (100 + ``percent``) of the sizes together.  A set so small that one
+    shingle more or less is too much of a difference has no partner.
     """
-    out, top = [], 1
-    while True:
-        differ = 2 * top * (100 - percent) // (100 + percent)
-        spare = max(2, -(-differ // 10))
-        out.append((top, differ + spare if differ else 1, spare if differ else 1))
-        if top >= upto:
-            return out
-        top = max(top + 1, top * 3 // 2)
-
-
-def keys_of(h: np.ndarray, size_classes: list[tuple[int, int, int]], percent: int) -> np.ndarray:
-    """Keys of one set in its size class and, where a partner may be larger, in the next ones."""
-    n, out = len(h), []
-    tops = [c[0] for c in size_classes]
-    c = int(np.searchsorted(tops, n))
-    while True:
-        top, groups, spare = size_classes[c]
-        if groups > 1:
-            group = (mix(h, 11 + c) % np.uint64(groups)).astype(np.int64)
-            count = np.bincount(group, minlength=groups)
-            content = np.zeros(groups, np.uint64)
-            np.add.at(content, group, mix(h, 5))
-            kept = np.lexsort((np.arange(groups), count))[spare - 1:]
-            key = mix(content[kept] + mix(count[kept].astype(np.uint64), 6)
-                      + mix(np.uint64(c << 32) + kept.astype(np.uint64), 8), 9)
-            out.append(key.view(np.int64))
-        c += 1
-        if n * 100 < percent * (top + 1):  # no partner has more than ``top`` shingles
-            return np.concatenate(out) if out else np.zeros(0, np.int64)
-
-
-def batch_shingles(hasher: Hasher, texts: list[bytes], width: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(index, distinct shingles) of every text, in order."""
-    for first, block in blocks(texts):
+    order = np.lexsort((common.level(h), owner))  # stable: by hash within a level
+    h, owner = h[order], owner[order]
+    size = n[owner]
+    place = np.arange(len(h)) - (np.cumsum(n) - n)[owner]
+    own = np.searchsorted(tops, size)
+    may = size * (100 - percent) >= percent
+    keys, owners = [], []
+    for later in range(len(tops)):
+        if later:
+            least = tops[own + later - 1] + 1
+            needed = -(-percent * (size + least) // (100 + percent))
+        else:
+            needed = -(-percent * size // 100)
+        kept = may & (place <= size - needed)
+        if not kept.any():
+            break
+        keys.append(mix(h[kept] + mix((own[kept] + later).astype(np.uint64), 8), 9))
+        owners.append(owner[kept])
+    if not keys:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    key, who = np.concatenate(keys), np.concatenate(owners)
+    order = np.argsort(who, kind="stable")
+    return key[order].view(np.int64), who[order]
+
+
+def sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Sum of each run of ``values`` that ends at ``ends``, modulo 2 ** 64."""
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)))[ends]
+    return np.diff(total, prepend=np.uint64(0))
+
+
+def block_shingles(hasher: Hasher, texts: list[bytes], width: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(distinct shingles, index of their text in the block, number of each text, its end) of blocks of texts."""
+    for _, block in blocks(texts):
         h, who = hasher.words(block)
         k, owner = shingles(h, who, len(block), width)
-        ends = np.cumsum(np.bincount(owner, minlength=len(block)))
-        for i, e in enumerate(ends.tolist()):
-            yield first + i, k[(ends[i - 1] if i else 0):e]
+        n = np.bincount(owner, minlength=len(block))
+        yield k, owner, n, np.cumsum(n)
+
+
+def text_batches(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            part = batch.slice(k, rows)
+            yield part, [t.as_buffer().to_pybytes() for t in part.column("text")]
+
+
+def repeats(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """(shingle, number) of the shingles that occur more than once."""
+    h = np.concatenate(held)
+    h.sort()
+    first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+    number = np.diff(first, append=len(h))
+    h, number = h[first[number > 1]].view(np.int64), number[number > 1]
+    for k in range(0, len(h), ROWS_OUT):
+        yield pa.RecordBatch.from_arrays([pa.array(h[k:k + ROWS_OUT]), pa.array(number[k:k + ROWS_OUT])],
+                                         ["shingle", "number"])
+
+
+def common_shingles(docs: DataFrame, width: int, write: Write) -> Common:
+    """The shingles that most sets hold, about ``COMMON`` at most: they only set the order of shingles.
+
+    Tasks count all shingles, ``COUNTED`` at a time and each set once, and tell those that
+    occur again; what is common in the whole table is so in its parts.  Those told are summed up.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher(SPACES)
+        held, size, seen = [], 0, set()
+        for _, texts in text_batches(batches, 1000):
+            with np.errstate(over="ignore"):
+                for h, owner, n, ends in block_shingles(hasher, texts, width):
+                    fresh = np.zeros(len(n), bool)
+                    for i, s in enumerate(zip(n.tolist(), sums(mix(h, 3), ends).tolist(), strict=True)):
+                        if s not in seen:
+                            seen.add(s)
+                            fresh[i] = True
+                    held.append(h[fresh[owner]])
+                    size += len(held[-1])
+                    if size >= COUNTED or len(seen) >= COUNTED >> 5:
+                        yield from repeats(held)
+                        held, size, seen = [], 0, set()
+        if size:
+            yield from repeats(held)
+
+    told = docs.select(text_of(docs).cast("binary").alias("text")).mapInArrow(trimmed(run), "shingle long, number long")
+    counts = write(told.groupBy("shingle").agg(F.sum("number").alias("number"))
+                   .select("shingle", F.floor(4 * F.log2("number")).cast("int").alias("level")), "common-shingles")
+    wanted, room = F.lit(False), COMMON
+    for level, n in sorted((tuple(r) for r in counts.groupBy("level").count().collect()), reverse=True):
+        wanted |= (F.col("level") == level) & (F.pmod("shingle", F.lit(1 << 30)) < (1 << 30) * min(room, n) // n)
+        room -= min(room, n)
+    found = counts.where(wanted).toArrow()
+    return Common(found["shingle"].to_numpy().view(np.uint64), found["level"].to_numpy().astype(np.uint8))
+
+
+def batch_shingles(hasher: Hasher, texts: list[bytes], width: int) -> Iterator[np.ndarray]:
+    """Distinct shingles of every text, in order."""
+    for k, _, n, ends in block_shingles(hasher, texts, width):
+        for e, size in zip(ends.tolist(), n.tolist(), strict=True):
+            yield k[e - size:e]
 
 
 SETS = "doc_id long, did long, tk long, n long, s1 long, s2 long, keys array<long>"
 
 
-def sets_of(docs: DataFrame, width: int, percent: int) -> DataFrame:
+def sets_of(docs: DataFrame, width: int, percent: int, common: Common) -> DataFrame:
     """Size, 128-bit signature and keys of every document's shingle set."""
-    size_classes = classes(percent)
+    tops = size_classes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(SPACES)
-        for batch in batches:
-            for k in range(0, batch.num_rows, 1000):
-                part = batch.slice(k, 1000)
-                texts = [t.as_buffer().to_pybytes() for t in part.column("text")]
-                n, s1, s2, keys = [], [], [], []
-                with np.errstate(over="ignore"):
-                    for _, h in batch_shingles(hasher, texts, width):
-                        n.append(len(h))
-                        s1.append(int(mix(h, 3).sum(dtype=np.uint64).view(np.int64)))
-                        s2.append(int(mix(h, 4).sum(dtype=np.uint64).view(np.int64)))
-                        keys.append(keys_of(h, size_classes, percent))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("did"), part.column("tk"), pa.array(n, pa.int64()),
-                     pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                    ["doc_id", "did", "tk", "n", "s1", "s2", "keys"])
+        for part, texts in text_batches(batches, 1000):
+            columns: list[list] = [[] for _ in range(5)]
+            with np.errstate(over="ignore"):
+                for h, owner, n, ends in block_shingles(hasher, texts, width):
+                    key, who = keys_of(h, owner, n, common, tops, percent)
+                    for c, v in zip(columns, (n, *(sums(mix(h, i), ends).view(np.int64) for i in (3, 4)), key,
+                                              np.bincount(who, minlength=len(n))), strict=True):
+                        c.append(v)
+            n, s1, s2, keys, number = (np.concatenate(c) for c in columns)
+            offsets = np.concatenate(([0], np.cumsum(number)))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), part.column("did"), part.column("tk"), pa.array(n), pa.array(s1), pa.array(s2),
+                 pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys))],
+                ["doc_id", "did", "tk", "n", "s1", "s2", "keys"])
 
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), *doc_key(docs),
                        text_of(docs).cast("binary").alias("text")).mapInArrow(trimmed(run), SETS)
@@ -157,17 +246,13 @@ def full_sets(texts: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(SPACES)
-        for batch in batches:
-            for k in range(0, batch.num_rows, 500):
-                part = batch.slice(k, 500)
-                found = [h for _, h in batch_shingles(
-                    hasher, [t.as_buffer().to_pybytes() for t in part.column("text")], width)]
-                counts = [count_vector(h) for h in found]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("node"), pa.array([len(h) for h in found], pa.int64()),
-                     pa.array(counts, pa.list_(pa.int32())),
-                     pa.array([h.view(np.int64) for h in found], pa.list_(pa.int64()))],
-                    ["node", "n", "counts", "items"])
+        for part, texts in text_batches(batches, 500):
+            found = list(batch_shingles(hasher, texts, width))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("node"), pa.array([len(h) for h in found], pa.int64()),
+                 pa.array([count_vector(h) for h in found], pa.list_(pa.int32())),
+                 pa.array([h.view(np.int64) for h in found], pa.list_(pa.int64()))],
+                ["node", "n", "counts", "items"])
 
     return texts.mapInArrow(trimmed(run), "node long, n long, counts array<int>, items array<long>")
 
@@ -269,13 +354,12 @@ class CountTree:
 def tree_pairs(members: DataFrame, percent: int, block_nodes: int = BLOCK_NODES,
                nearest: bool = False) -> DataFrame:
     """Pairs (a > b) of nodes of one key and different labels that pass the bound; with
-    ``nearest`` each node's nearest one only.
+    ``nearest`` the nearest one of each node that is not of the commonest label.
 
-    ``members``: key, node, label, n, counts.  A key with more than ``block_nodes``
+    ``members``: key, size (its nodes), node, label, n, counts.  A key with more than ``block_nodes``
     nodes is dealt into blocks and every pair of blocks is one bounded task.
     """
-    many = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
-    dealt = members.join(many, "key").withColumn("blocks", F.ceil(F.col("size") / block_nodes).cast("int")) \
+    dealt = members.withColumn("blocks", F.ceil(F.col("size") / block_nodes).cast("int")) \
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
         .withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
@@ -286,14 +370,16 @@ def tree_pairs(members: DataFrame, percent: int, block_nodes: int = BLOCK_NODES,
         sizes = table["n"].to_numpy()
         vectors = folded_together(table["counts"].combine_chunks())
         tree = CountTree(sizes, vectors, percent)
+        labels, number = np.unique(label, return_counts=True)
+        passive = label == labels[number.argmax()]  # of two labels, one at least is another
         a, b = [], []
-        for i in range(len(node)):
+        for i in np.flatnonzero(~passive).tolist():
             near, share = tree.search(int(sizes[i]), vectors[i])
             other = label[near] != label[i]
             if lo[0] != hi[0]:
                 other &= block[near] != block[i]
             if not nearest:
-                other &= node[near] < node[i]
+                other &= passive[near] | (node[near] < node[i])
             near, share = near[other], share[other]
             if nearest and len(near):
                 near = near[[np.lexsort((node[near], -share))[0]]]
@@ -315,7 +401,8 @@ def ngram_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     """
     with workspace(docs.sparkSession, "ngram-join") as write:
         with workspace(docs.sparkSession, "ngram-keys") as passing:
-            found = passing(sets_of(docs, width, percent).withColumn("row", F.monotonically_increasing_id()), "sets")
+            common = common_shingles(docs, width, passing)
+            found = passing(sets_of(docs, width, percent, common).withColumn("row", F.monotonically_increasing_id()), "sets")
             rows = write(found.drop("keys"), "rows")
             nodes = write(rows.where("n > 0").groupBy(*SIGNATURE).agg(F.min(F.struct("row", "did", "tk")).alias("first"))
                           .select(*SIGNATURE, "first.*").withColumn("node", F.monotonically_increasing_id()), "nodes")
@@ -346,9 +433,10 @@ def all_links(members: DataFrame, sets: DataFrame, percent: int, block_nodes: in
     for last in [False] * NEAREST_ROUNDS + [True]:
         labelled = members.join(components(links, write), "node", "left") \
             .withColumn("label", F.coalesce("label", "node"))
-        open_keys = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")) \
-            .where("lo < hi").select("key")
-        open_members = write(labelled.join(open_keys, "key").select("key", "node", "label")
+        open_keys = write(labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
+                                                      F.count(F.lit(1)).alias("size"))
+                          .where("lo < hi").select("key", "size"), "open-keys")  # a table, so a large key can be split
+        open_members = write(labelled.join(open_keys, "key").select("key", "size", "node", "label")
                              .join(sets.select("node", "n", "counts"), "node"), "open-members")
         pairs = write(tree_pairs(open_members, percent, block_nodes, not last)
                       .join(tested, ["a", "b"], "left_anti"), "tree-pairs")

@@ -4,6 +4,7 @@ import re
 import string
 import tempfile
 
+import numpy as np
 import pytest
 
 from lapforge.llm import common, decontamination, graph, language, line_dedup, ngram_join, secrets, warc
@@ -45,6 +46,38 @@ def test_one_near_copy_stays_by_id_and_text(spark):
     assert got == sorted([(3, t), (7, u), (None, rows[4][1]), (9, None), (10, ""), (11, "x"), (11, "x")], key=str)
 
 
+def test_shared_boilerplate_is_no_key(spark, monkeypatch):
+    """Documents that share six words of ten, but no link, meet nowhere; copies among them are found."""
+    shared = [f"s{i}" for i in range(120)]
+    texts = {i: " ".join([f"a{i}x{j}" for j in range(40)] + shared + [f"b{i}x{j}" for j in range(40)]) for i in range(300)}
+    texts |= {300 + i: texts[i].replace(f"a{i}x3 ", "") for i in range(5)}
+    met, plain = [], ngram_join.tree_pairs
+    monkeypatch.setattr(ngram_join, "tree_pairs", lambda rows, *a: met.append(rows.count()) or plain(rows, *a))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(2)
+    got = {r.doc_id: r.component_id for r in ngram_join.ngram_join(docs, 5, 80).collect()}
+    assert got == {i: i % 300 for i in texts}
+    assert sum(met) < 300
+
+
+def test_linked_sets_share_a_key_under_any_order():
+    rng = np.random.default_rng(4)
+    for percent in (80, 90):
+        for _ in range(300):
+            n = int(rng.integers(3, 400))
+            pool = rng.integers(0, 1 << 63, 3 * n).astype(np.uint64)
+            gone, more = (int(rng.integers(0, n * (100 - percent) // 100 + 1)) for _ in range(2))
+            sets = [np.unique(pool[:n]), np.unique(np.concatenate((pool[gone:n], pool[n:n + more])))]
+            common = ngram_join.Common(np.unique(some := rng.choice(pool, n)),
+                                       rng.integers(4, 200, len(np.unique(some))).astype(np.uint8))
+            sizes = np.array([len(x) for x in sets])
+            key, owner = ngram_join.keys_of(np.concatenate(sets), np.repeat([0, 1], sizes), sizes, common,
+                                            ngram_join.size_classes(), percent)
+            overlap = len(np.intersect1d(*sets))
+            if gone + more and overlap * 100 >= (sizes.sum() - overlap) * percent:
+                assert np.intersect1d(key[owner == 0], key[owner == 1]).size
+            assert len(key) <= sizes.sum() * 2 * (100 - percent) / 100 + 8
+
+
 def test_without_labels_documents_stay(spark):
     docs = spark.createDataFrame([(1, "plain text", None), (2, "noch ein Text", None), (3, "12 !", None), (4, None, None)],
                                  "doc_id long, text string, lang string")
