@@ -1,13 +1,19 @@
-"""N-gram Jaccard self-join with rare-shingle keys and count-vector R-trees (operator 3).
+"""N-gram Jaccard self-join with shingle keys and count-vector R-trees (operator 3).
 
 1. Each text becomes its set of distinct word shingles (hashed); equal sets are one
    node from here on.
-2. All sets put their shingles in one order: those that few sets hold first, the common
-   ones last (``common_shingles``), ties by hash.  Two linked sets share so many shingles
-   that one of them stands among the first of both; the first shingles of a set are its
-   keys, one for each size class in which it may have a partner.  Nothing is lost under
-   any order; with the common shingles last, sets that share boilerplate, a licence or a
-   quotation but little else have no key in common, so keys stay small as the table grows.
+2. Of ``RARE_WIDTH`` words or more, shingles are keys on their own.  All sets put them in
+   one order: those that few sets hold first, the common ones last (``common_shingles``),
+   ties by hash.  Two linked sets share so many shingles that one of them stands among the
+   first of both; the first shingles of a set are its keys, one for each size class in
+   which it may have a partner.  Nothing is lost under any order; with the common shingles
+   last, sets that share boilerplate, a licence or a quotation but little else have no key
+   in common, so keys stay small as the table grows.
+   Shorter shingles repeat by chance and are hashed into groups.  Two sets of similarity
+   0.9 differ in so few shingles that, with ``differences + spare`` groups, at least
+   ``spare`` groups hold exactly the same shingles in both.  The digest of a group's
+   content is a key; the ``spare - 1`` smallest groups of a set need none (among the
+   groups that agree, the largest is never one of them).
 3. The nodes of a key are first compared with the key's smallest node only: a huge
    group of near copies becomes one star.
    Keys with the same nodes are one key from the start.
@@ -46,6 +52,7 @@ COORDINATES = (256, 8192)  # fewest and most, powers of two; sets of more than 8
 LEAF = 16
 BLOCK_NODES = 512
 NEAREST_ROUNDS = 1
+RARE_WIDTH = 5  # words from which shingles are keys on their own
 COUNTED = 1 << 21  # shingles that a task counts at a time
 COMMON = 1 << 19  # most common shingles that go to the tasks
 ROWS_OUT = 1 << 16
@@ -109,6 +116,43 @@ def keys_of(h: np.ndarray, owner: np.ndarray, n: np.ndarray, common: Common, top
     return key[order].view(np.int64), who[order]
 
 
+def classes(percent: int, upto: int = 1 << 40) -> list[tuple[int, int, int]]:
+    """Size classes (largest size, groups, spare): sizes grow by half from class to class.
+
+    Linked sets of at most ``top`` shingles differ in at most
+    2 * top * (100 - percent) / (100 + percent) shingles.
+    """
+    out, top = [], 1
+    while True:
+        differ = 2 * top * (100 - percent) // (100 + percent)
+        spare = max(2, -(-differ // 10))
+        out.append((top, differ + spare if differ else 1, spare if differ else 1))
+        if top >= upto:
+            return out
+        top = max(top + 1, top * 3 // 2)
+
+
+def group_keys_of(h: np.ndarray, size_classes: list[tuple[int, int, int]], percent: int) -> np.ndarray:
+    """Group keys of one set in its size class and, where a partner may be larger, in the next ones."""
+    n, out = len(h), []
+    tops = [c[0] for c in size_classes]
+    c = int(np.searchsorted(tops, n))
+    while True:
+        top, groups, spare = size_classes[c]
+        if groups > 1:
+            group = (mix(h, 11 + c) % np.uint64(groups)).astype(np.int64)
+            count = np.bincount(group, minlength=groups)
+            content = np.zeros(groups, np.uint64)
+            np.add.at(content, group, mix(h, 5))
+            kept = np.lexsort((np.arange(groups), count))[spare - 1:]
+            key = mix(content[kept] + mix(count[kept].astype(np.uint64), 6)
+                      + mix(np.uint64(c << 32) + kept.astype(np.uint64), 8), 9)
+            out.append(key.view(np.int64))
+        c += 1
+        if n * 100 < percent * (top + 1):  # no partner has more than ``top`` shingles
+            return np.concatenate(out) if out else np.zeros(0, np.int64)
+
+
 def sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Sum of each run of ``values`` that ends at ``ends``, modulo 2 ** 64."""
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)))[ends]
@@ -190,9 +234,16 @@ def batch_shingles(hasher: Hasher, texts: list[bytes], width: int) -> Iterator[n
 SETS = "doc_id long, did long, tk long, n long, s1 long, s2 long, keys array<long>"
 
 
-def sets_of(docs: DataFrame, width: int, percent: int, common: Common) -> DataFrame:
-    """Size, 128-bit signature and keys of every document's shingle set."""
-    tops = size_classes()
+def sets_of(docs: DataFrame, width: int, percent: int, common: Common | None) -> DataFrame:
+    """Size, 128-bit signature and keys of every document's shingle set: its rare shingles, or group
+    keys where ``common`` is None."""
+    tops, groups = size_classes(), classes(percent)
+
+    def keys(h: np.ndarray, owner: np.ndarray, n: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if common is not None:
+            return keys_of(h, owner, n, common, tops, percent)
+        each = [group_keys_of(h[e - size:e], groups, percent) for e, size in zip(ends.tolist(), n.tolist(), strict=True)]
+        return np.concatenate(each), np.repeat(np.arange(len(each)), [len(x) for x in each])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(SPACES)
@@ -200,15 +251,15 @@ def sets_of(docs: DataFrame, width: int, percent: int, common: Common) -> DataFr
             columns: list[list] = [[] for _ in range(5)]
             with np.errstate(over="ignore"):
                 for h, owner, n, ends in block_shingles(hasher, texts, width):
-                    key, who = keys_of(h, owner, n, common, tops, percent)
+                    key, who = keys(h, owner, n, ends)
                     for c, v in zip(columns, (n, *(sums(mix(h, i), ends).view(np.int64) for i in (3, 4)), key,
                                               np.bincount(who, minlength=len(n))), strict=True):
                         c.append(v)
-            n, s1, s2, keys, number = (np.concatenate(c) for c in columns)
+            n, s1, s2, key, number = (np.concatenate(c) for c in columns)
             offsets = np.concatenate(([0], np.cumsum(number)))
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("did"), part.column("tk"), pa.array(n), pa.array(s1), pa.array(s2),
-                 pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys))],
+                 pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(key))],
                 ["doc_id", "did", "tk", "n", "s1", "s2", "keys"])
 
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), *doc_key(docs),
@@ -401,7 +452,7 @@ def ngram_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     """
     with workspace(docs.sparkSession, "ngram-join") as write:
         with workspace(docs.sparkSession, "ngram-keys") as passing:
-            common = common_shingles(docs, width, passing)
+            common = common_shingles(docs, width, passing) if width >= RARE_WIDTH else None
             found = passing(sets_of(docs, width, percent, common).withColumn("row", F.monotonically_increasing_id()), "sets")
             rows = write(found.drop("keys"), "rows")
             nodes = write(rows.where("n > 0").groupBy(*SIGNATURE).agg(F.min(F.struct("row", "did", "tk")).alias("first"))
